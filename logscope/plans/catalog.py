@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logscope.plans import q_activity, q_geo, q_parse, q_reports, q_sinks  # noqa: F401
+from logscope.plans import q_activity, q_geo, q_parse, q_reports, q_sinks, q_streams  # noqa: F401
 from logscope.plans.registry import REGISTRY, QuerySpec
 
 
