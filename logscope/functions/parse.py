@@ -4,6 +4,10 @@ Everything here is a built-in Spark expression (no Python row functions), so it
 stays inside whole-stage codegen. Untrusted text is handled with the ANSI-safe
 forms: ``get`` instead of ``arr[i]``, ``try_cast``, ``try_to_timestamp``.
 
+Each expression is produced as Spark SQL text (``*_sql``) and wrapped with
+``F.expr`` for Column users: one driver call per expression instead of one per
+operator node — building a query over the full parser stays cheap.
+
 Line grammar:
   ip - - [dd/MMM/yyyy:HH:mm:ss +zzzz] "METHOD URL HTTP/x.y" status bytes "referer" "agent"[ "-"]
 
@@ -35,58 +39,93 @@ LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 MIN_LINE_LENGTH = 10   # keep lines strictly longer than this
 MIN_LINE_TOKENS = 10   # keep lines with strictly more space tokens than this
 
+ACCESS_COLUMNS = ["remote_addr", "remote_user", "time_local", "status", "body_bytes_send",
+                  "request_method", "request_url", "http_version", "http_referer",
+                  "http_user_agent"]
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def sql_str(s: str) -> str:
+    """A Spark SQL string literal holding exactly ``s``."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def quote_fragments(line) -> Column:
-    return F.split(_c(line), '"', -1)
 
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def space_tokens(line) -> Column:
-    return F.split(_c(line), " ", -1)
 
+# ---------------------------------------------------------------- split parser
 
-def split_fields(line) -> dict[str, Column]:
+def split_fields_sql(line: str = "line") -> dict[str, str]:
     """Quote-split parse: fragment 0 = head, 1 = request, 2 = status/bytes, 3 = referer, 5 = agent."""
-    q = quote_fragments(line)
-    head = F.split(F.get(q, 0), " ", -1)
-    req = F.split(F.get(q, 1), " ", -1)
-    sb = F.split(F.trim(F.get(q, 2)), " ", -1)
+    q = f"split({line}, '\"', -1)"
+    head = f"split(get({q}, 0), ' ', -1)"
+    req = f"split(get({q}, 1), ' ', -1)"
+    sb = f"split(trim(get({q}, 2)), ' ', -1)"
     return {
-        "remote_addr": F.get(head, 0),
-        "remote_user": F.lit("- -"),
-        "time_local": F.substring(F.get(head, 3), 2, 1 << 30),
-        "tz_offset": F.regexp_replace(F.get(head, 4), r"\]$", ""),
-        "request_method": F.get(req, 0),
-        "request_url": F.get(req, 1),
-        "http_version": F.get(req, 2),
-        "status": F.get(sb, 0).try_cast("int"),
-        "body_bytes_send": F.get(sb, 1).try_cast("int"),
-        "http_referer": F.get(q, 3),
-        "http_user_agent": F.get(q, 5),
-        "_fragments": F.size(q),
-        "_request_tokens": F.size(req),
+        "remote_addr": f"get({head}, 0)",
+        "remote_user": "'- -'",
+        "time_local": f"substring(get({head}, 3), 2)",
+        "tz_offset": f"regexp_replace(get({head}, 4), {sql_str(r']$')}, '')",
+        "request_method": f"get({req}, 0)",
+        "request_url": f"get({req}, 1)",
+        "http_version": f"get({req}, 2)",
+        "status": f"try_cast(get({sb}, 0) AS INT)",
+        "body_bytes_send": f"try_cast(get({sb}, 1) AS INT)",
+        "http_referer": f"get({q}, 3)",
+        "http_user_agent": f"get({q}, 5)",
+        "_fragments": f"size({q})",
+        "_request_tokens": f"size({req})",
     }
 
 
-def event_time(time_local, tz_offset) -> Column:
+def event_time_sql(time_local: str = "time_local", tz_offset: str = "tz_offset") -> str:
     """Instant of the request; honours the line's own offset, never the session zone."""
-    return F.try_to_timestamp(F.concat_ws(" ", _c(time_local), _c(tz_offset)), F.lit(LOG_TIME_FORMAT))
+    return (f"try_to_timestamp(concat_ws(' ', {time_local}, {tz_offset}), "
+            f"{sql_str(LOG_TIME_FORMAT)})")
 
 
-def epoch_ms(time_local, tz_offset) -> Column:
-    return F.unix_millis(event_time(time_local, tz_offset))
+def reject_sql(line: str = "line", event_time: str | None = None) -> str:
+    """First rule a split-parsed line breaks (NULL = valid), over the split field columns."""
+    event_time = event_time or event_time_sql()
+    return f"""CASE WHEN length({line}) <= {MIN_LINE_LENGTH} THEN 'too_short'
+  WHEN _fragments < 6 THEN 'no_request'
+  WHEN _request_tokens <> 3 THEN 'bad_request'
+  WHEN status IS NULL OR body_bytes_send IS NULL THEN 'bad_status'
+  WHEN {event_time} IS NULL THEN 'bad_time' END"""
 
 
-def hour_of_day(time_text) -> Column:
+def hour_sql(time_text: str = "time_local") -> str:
     """Two characters after the first ':' — the local wall-clock hour (STRING)."""
-    t = _c(time_text)
-    return F.substring(t, F.instr(t, ":") + 1, F.lit(2))
+    return f"substring({time_text}, instr({time_text}, ':') + 1, 2)"
+
+
+def split_fields(line: str = "line") -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in split_fields_sql(line).items()}
+
+
+def event_time(time_local: str = "time_local", tz_offset: str = "tz_offset") -> Column:
+    return F.expr(event_time_sql(time_local, tz_offset))
+
+
+def epoch_ms(time_local: str = "time_local", tz_offset: str = "tz_offset") -> Column:
+    return F.expr(f"unix_millis({event_time_sql(time_local, tz_offset)})")
+
 
+def hour_of_day(time_text: str = "time_local") -> Column:
+    return F.expr(hour_sql(time_text))
 
-def strict_parse_packed(line) -> Column:
+
+def quote_fragments(line) -> Column:
+    return F.split(_c(line), '"', -1)
+
+
+def space_tokens(line) -> Column:
+    return F.split(_c(line), " ", -1)
+
+
+# --------------------------------------------------------------- regex parser
+
+def strict_packed_sql(line: str = "line") -> str:
     """All nine regex groups from ONE regex evaluation, newline-joined behind a leading newline.
 
     A matching line starts with a digit, so the packed text differs from the
@@ -94,12 +133,16 @@ def strict_parse_packed(line) -> Column:
     (every group pattern excludes it), so splitting on newline is exact.
     """
     repl = "".join("\n$%d" % i for i in range(1, len(STRICT_LOG_GROUPS) + 1))
-    return F.regexp_replace(_c(line), F.lit(STRICT_LOG_REGEX), F.lit(repl))
+    return f"regexp_replace({line}, {sql_str(STRICT_LOG_REGEX)}, {sql_str(repl)})"
+
+
+def strict_fields_sql(packed: str = "_packed") -> dict[str, str]:
+    parts = f"split({packed}, '\\n', -1)"
+    return {name: f"get({parts}, {i + 1})" for i, name in enumerate(STRICT_LOG_GROUPS)}
 
 
-def strict_fields(packed) -> dict[str, Column]:
-    parts = F.split(_c(packed), "\n", -1)
-    return {name: F.get(parts, i + 1) for i, name in enumerate(STRICT_LOG_GROUPS)}
+def strict_parse_packed(line: str = "line") -> Column:
+    return F.expr(strict_packed_sql(line))
 
 
 def normalised_agent(agent) -> Column:
@@ -107,6 +150,8 @@ def normalised_agent(agent) -> Column:
     return F.regexp_extract(_c(agent), r'^([^"]*)', 1)
 
 
+# --------------------------------------------------------------- keys and IPs
+
 def row_key(ip, time_local, line, ordinal) -> Column:
     """Deterministic, replay-safe key: ip_time_sha256(ordinal:line).
 
@@ -122,22 +167,20 @@ def find_ips(line) -> Column:
     return F.regexp_extract_all(_c(line), F.lit(IP_FIND_REGEX), 1)
 
 
-def ip_octets(ip) -> Column:
-    return F.split(_c(ip), r"\.", -1)
+def ip_valid_sql(ip: str = "ip") -> str:
+    o = f"split({ip}, '[.]', -1)"
+    return f"(size({o}) = 4 AND forall({o}, x -> length(x) <= 3 AND try_cast(x AS INT) <= 255))"
 
 
-def ip_is_valid(ip) -> Column:
-    o = ip_octets(ip)
-    return (F.size(o) == 4) & F.forall(
-        o, lambda x: (F.length(x) <= 3) & (x.try_cast("int") <= 255))
+def ip_is_valid(ip: str = "ip") -> Column:
+    return F.expr(ip_valid_sql(ip))
 
 
-def ip_to_long(ip) -> Column:
+def ip_to_long(ip: str = "ip") -> Column:
     """Numeric IPv4 value; NULL unless every octet is 0..255."""
-    o = ip_octets(ip)
-    value = (F.get(o, 0).try_cast("bigint") * 16777216 + F.get(o, 1).try_cast("bigint") * 65536
-             + F.get(o, 2).try_cast("bigint") * 256 + F.get(o, 3).try_cast("bigint"))
-    return F.when(ip_is_valid(ip), value)
+    o = f"split({ip}, '[.]', -1)"
+    parts = " + ".join(f"try_cast(get({o}, {i}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+    return F.expr(f"CASE WHEN {ip_valid_sql(ip)} THEN {parts} END")
 
 
 # Short province names and the official form a map expects.
@@ -158,9 +201,11 @@ REGION_CANONICAL = {
 }
 
 
-def canonical_region(name) -> Column:
-    n = _c(name)
-    expr = None
-    for short, full in REGION_CANONICAL.items():
-        expr = (F.when(n == short, full) if expr is None else expr.when(n == short, full))
-    return expr.otherwise(n)
+def canonical_region_sql(name: str = "pro") -> str:
+    whens = " ".join(f"WHEN {name} = {sql_str(k)} THEN {sql_str(v)}"
+                     for k, v in REGION_CANONICAL.items())
+    return f"CASE {whens} ELSE {name} END"
+
+
+def canonical_region(name: str = "pro") -> Column:
+    return F.expr(canonical_region_sql(name))

@@ -3,6 +3,10 @@
 The split parser is the default (cheap string splits, codegen-friendly); the
 strict regex parser is used where the offline jobs need its exactness. Rows a
 parser rejects are not lost: ``quarantine`` returns them with a reason.
+
+Parsed fields are computed in one projection and then fenced (see
+``functions.plan.fence``), so the validity filter reads the computed columns
+instead of re-running every split and the regex inside the filter.
 """
 
 from __future__ import annotations
@@ -13,9 +17,11 @@ from pyspark.sql import functions as F
 from logscope.functions import parse as P
 from logscope.functions.plan import fence
 
-ACCESS_COLUMNS = ["remote_addr", "remote_user", "time_local", "status", "body_bytes_send",
-                  "request_method", "request_url", "http_version", "http_referer",
-                  "http_user_agent"]
+ACCESS_COLUMNS = P.ACCESS_COLUMNS
+
+
+def _keep(df: DataFrame, keep) -> list[str]:
+    return [k for k in keep if k in df.columns]
 
 
 def filter_min_length(df: DataFrame, line: str = "line") -> DataFrame:
@@ -28,52 +34,43 @@ def filter_min_tokens(df: DataFrame, line: str = "line") -> DataFrame:
 
 def space_split(df: DataFrame, line: str = "line") -> DataFrame:
     """Whole-line space split: tokens 0 (ip), 3 (time with '['), 9 (bytes)."""
-    t = P.space_tokens(line)
-    return df.select("*", F.get(t, 0).alias("remote_addr"), F.get(t, 3).alias("time_token"),
-                     F.get(t, 9).alias("bytes_token"))
-
-
-def _reject_reason(f: dict, line) -> F.Column:
-    et = P.event_time(f["time_local"], f["tz_offset"])
-    return (F.when(F.length(line) <= P.MIN_LINE_LENGTH, "too_short")
-            .when(f["_fragments"] < 6, "no_request")
-            .when(f["_request_tokens"] != 3, "bad_request")
-            .when(f["status"].isNull() | f["body_bytes_send"].isNull(), "bad_status")
-            .when(et.isNull(), "bad_time"))
+    t = f"split({line}, ' ', -1)"
+    return df.selectExpr("*", f"get({t}, 0) AS remote_addr", f"get({t}, 3) AS time_token",
+                         f"get({t}, 9) AS bytes_token")
 
 
 def split_parse(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
-    """All split fields plus ``reject`` (NULL when the line is a valid record)."""
-    f = P.split_fields(line)
-    cols = [F.col(k) for k in keep if k in df.columns] + [F.col(line)]
-    fields = [f[c].alias(c) for c in ACCESS_COLUMNS] + [f["tz_offset"].alias("tz_offset")]
-    return df.select(*cols, *fields, _reject_reason(f, F.col(line)).alias("reject"))
+    """All split fields plus ``reject`` (NULL when the line is a valid record), fenced."""
+    kept = _keep(df, keep)
+    fields = P.split_fields_sql(line)
+    parsed = fence(df.selectExpr(*kept, line, *[f"{sql} AS {name}" for name, sql in fields.items()]))
+    timed = parsed.selectExpr("*", f"{P.event_time_sql()} AS _event_time")
+    return timed.selectExpr(*kept, line, *ACCESS_COLUMNS, "tz_offset", "_event_time",
+                            f"{P.reject_sql(line, '_event_time')} AS reject")
 
 
 def access_table(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
-    """Valid records only: the ten access columns + tz_offset, epoch_ms and hour."""
-    parsed = fence(split_parse(df, line, keep)).filter(F.col("reject").isNull())
-    return parsed.select(
-        *[c for c in keep if c in df.columns], line, *ACCESS_COLUMNS, "tz_offset",
-        P.epoch_ms("time_local", "tz_offset").alias("epoch_ms"),
-        P.hour_of_day("time_local").alias("hour"))
+    """Valid records only: the ten access columns + tz_offset, event_time, epoch_ms and hour."""
+    kept = _keep(df, keep)
+    parsed = fence(split_parse(df, line, keep)).filter("reject IS NULL")
+    return parsed.selectExpr(*kept, line, *ACCESS_COLUMNS, "tz_offset",
+                             "_event_time AS event_time", "unix_millis(_event_time) AS epoch_ms",
+                             f"{P.hour_sql()} AS hour")
 
 
 def quarantine(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
     """Rejected lines with the first rule they break."""
     parsed = fence(split_parse(df, line, keep))
-    return parsed.filter(F.col("reject").isNotNull()).select(
-        *[c for c in keep if c in df.columns], line, F.col("reject").alias("reason"))
+    return parsed.filter("reject IS NOT NULL").selectExpr(*_keep(df, keep), line, "reject AS reason")
 
 
 def strict_parse(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
     """Strict-regex records (no-match lines dropped, as the offline jobs do)."""
-    packed = P.strict_parse_packed(line).alias("_packed")
-    base = fence(df.select(*[c for c in keep if c in df.columns], F.col(line), packed))
-    f = P.strict_fields("_packed")
-    return (base.filter(F.col("_packed") != F.col(line))
-            .select(*[c for c in keep if c in df.columns], line,
-                    *[f[g].alias(g) for g in P.STRICT_LOG_GROUPS]))
+    kept = _keep(df, keep)
+    base = fence(df.selectExpr(*kept, line, f"{P.strict_packed_sql(line)} AS _packed"))
+    fields = P.strict_fields_sql("_packed")
+    return (base.filter(f"_packed <> {line}")
+            .selectExpr(*kept, line, *[f"{sql} AS {name}" for name, sql in fields.items()]))
 
 
 def strict_parse_normalised(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:

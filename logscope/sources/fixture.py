@@ -40,53 +40,51 @@ GEO_PROVINCES = [
 ]
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
-
-
-def log_time_text(ts: Column) -> Column:
-    """``dd/MMM/yyyy:HH:mm:ss`` from a TIMESTAMP_NTZ, independent of the session zone."""
-    months = F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS])
-    return F.concat(
-        _two(F.dayofmonth(ts)), F.lit("/"), F.element_at(months, F.month(ts)), F.lit("/"),
-        F.year(ts).cast("string"), F.lit(":"), _two(F.hour(ts)), F.lit(":"),
-        _two(F.minute(ts)), F.lit(":"), _two(F.second(ts)),
-    )
-
-
-def _line_expr(ts: Column) -> Column:
-    e = F.col("event_id")
-    u = F.col("user_id")
-    et = F.col("event_type")
-    k = F.get_json_object(F.col("props"), "$.k")
-    ip = F.concat_ws(".", (10 + u % 25).cast("string"), ((u * 7) % 256).cast("string"),
-                     ((u * 13) % 256).cast("string"), (1 + u % 254).cast("string"))
-    method = (F.when(e % 13 == 0, "HEAD")
-              .when(et.isin("purchase", "signup"), "POST").otherwise("GET"))
-    url = (F.when(et == "purchase", F.concat(F.lit("/cart?item="), k))
-           .when(et == "signup", F.lit("/signup"))
-           .when(et == "error", F.concat(F.lit("/filter/27|"), k))
-           .otherwise(F.concat(F.lit("/product/"), k)))
-    version = (F.when(e % 10 == 0, "HTTP/1.0").when(e % 7 == 0, "HTTP/2.0")
-               .otherwise("HTTP/1.1"))
-    status = (F.when((et == "error") & (e % 2 == 0), "500").when(et == "error", "404")
-              .when(e % 17 == 0, "302").otherwise("200"))
-    referer = (F.when(e % 3 == 0, "-")
-               .otherwise(F.concat(F.lit("https://www.example.com/ref/"), (u % 12).cast("string"))))
-    agent = F.element_at(F.array(*[F.lit(a) for a in FIXTURE_AGENTS]), (u % 5 + 1).cast("int"))
-    tail = F.when(e % 2 == 0, ' "-"').otherwise("")
-    good = F.concat(ip, F.lit(" - - ["), log_time_text(ts), F.lit(' +0000] "'), method, F.lit(" "),
-                    url, F.lit(" "), version, F.lit('" '), status, F.lit(" "),
-                    ((e * 37) % 50000).cast("string"), F.lit(' "'), referer, F.lit('" "'),
-                    agent, F.lit('"'), tail)
-    return (F.when(e % 97 == 0, "bad line")
-            .when(e % 101 == 0, "- - broken request without any quotes")
-            .otherwise(good))
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def log_time_sql(ts: str) -> str:
+    """``dd/MMM/yyyy:HH:mm:ss`` from a TIMESTAMP_NTZ column, independent of the session zone."""
+    two = "lpad(CAST({}({}) AS STRING), 2, '0')"
+    return (f"concat({two.format('day', ts)}, '/', element_at(array({_sql_list(MONTH_ABBREVIATIONS)}), "
+            f"month({ts})), '/', CAST(year({ts}) AS STRING), ':', {two.format('hour', ts)}, ':', "
+            f"{two.format('minute', ts)}, ':', {two.format('second', ts)})")
+
+
+def log_time_text(ts: str = "ts") -> Column:
+    return F.expr(log_time_sql(ts))
+
+
+def line_sql() -> str:
+    """Spark SQL text of the fixture line (FIXTURES.md §3), one expression.
+
+    Written as SQL text so the driver builds it with one call instead of
+    hundreds of Column round trips; Catalyst sees the same expression tree.
+    """
+    k = "get_json_object(props, '$.k')"
+    return f"""CASE WHEN event_id % 97 = 0 THEN 'bad line'
+  WHEN event_id % 101 = 0 THEN '- - broken request without any quotes'
+  ELSE concat(
+    CAST(10 + user_id % 25 AS STRING), '.', CAST((user_id * 7) % 256 AS STRING), '.',
+    CAST((user_id * 13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING),
+    ' - - [', {log_time_sql('ts')}, ' +0000] "',
+    CASE WHEN event_id % 13 = 0 THEN 'HEAD' WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END, ' ',
+    CASE event_type WHEN 'purchase' THEN concat('/cart?item=', {k}) WHEN 'signup' THEN '/signup'
+         WHEN 'error' THEN concat('/filter/27|', {k}) ELSE concat('/product/', {k}) END, ' ',
+    CASE WHEN event_id % 10 = 0 THEN 'HTTP/1.0' WHEN event_id % 7 = 0 THEN 'HTTP/2.0' ELSE 'HTTP/1.1' END, '" ',
+    CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '500' WHEN event_type = 'error' THEN '404'
+         WHEN event_id % 17 = 0 THEN '302' ELSE '200' END, ' ',
+    CAST((event_id * 37) % 50000 AS STRING), ' "',
+    CASE WHEN event_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/ref/', CAST(user_id % 12 AS STRING)) END,
+    '" "', element_at(array({_sql_list(FIXTURE_AGENTS)}), CAST(user_id % 5 + 1 AS INT)), '"',
+    CASE WHEN event_id % 2 = 0 THEN ' "-"' ELSE '' END)
+END"""
 
 
 def access_log(events: DataFrame) -> DataFrame:
     """events -> (event_id, ts, user_id, line); the line is built once per row (fence)."""
-    return fence(events.select("event_id", "ts", "user_id", _line_expr(F.col("ts")).alias("line")))
+    return fence(events.select("event_id", "ts", "user_id", F.expr(line_sql()).alias("line")))
 
 
 def read_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:

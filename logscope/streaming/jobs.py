@@ -29,8 +29,7 @@ class StreamRun:
 def parsed(records: DataFrame) -> DataFrame:
     """(offset, value) -> typed access rows (+ event_time, row_key); rejects dropped."""
     acc = parsing.access_table(records, line="value", keep=("offset",))
-    return acc.select("*", P.event_time("time_local", "tz_offset").alias("event_time"),
-                      P.row_key("remote_addr", "time_local", "value", "offset").alias("row_key"))
+    return acc.select("*", P.row_key("remote_addr", "time_local", "value", "offset").alias("row_key"))
 
 
 def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
