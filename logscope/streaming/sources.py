@@ -7,6 +7,7 @@ offset and payload — so every streaming job is source-agnostic.
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def _stamp_in_order(spark: SparkSession, path: str) -> int:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted(st.getPath().toString() for st in fs.listStatus(p)
                    if st.getPath().getName().startswith("part-"))
-    base = 1_000_000_000_000
+    base = int(time.time() * 1000)
     for i, name in enumerate(names):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + i * 1000, -1)
     return len(names)
