@@ -15,4 +15,18 @@ def fence(df: DataFrame) -> DataFrame:
     ``inline`` is a Generate node: predicates on its output stay above it and
     projections are not collapsed through it, so each expression runs once.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    return df.selectExpr("inline(array(struct(*)))")
+
+
+# A broadcast table is shipped whole to every executor: keep it well below
+# executor memory. Sides are counted (one cheap job over a small input) before
+# the hint is applied; anything larger is left to a shuffle join, where AQE can
+# still split skewed partitions.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       rows: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a checked row count (``rows`` when already known)."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= max_rows else df

@@ -31,7 +31,11 @@ def trailing_activity(access: DataFrame, spans: dict[str, int] | None = None,
     """Per IP: last_seen_ms and, per span, hits with ``ts >= last_seen_ms - span``."""
     spans = spans or TRAILING_SPANS
     compact = access.groupBy(ip, ts).agg(F.count(F.lit(1)).alias("_n"))
-    last = compact.groupBy(ip).agg(F.max(ts).alias("last_seen_ms"))
+    # max over the compact table *reading its count*: the optimizer can then not
+    # drop the (ip, ts) aggregate under it, both join sides share one exchange
+    # (ReusedExchange) and the raw input is parsed once.
+    last = compact.groupBy(ip).agg(
+        F.max(F.when(F.col("_n") > 0, F.col(ts))).alias("last_seen_ms"))
     joined = compact.join(last, ip)
     sums = [F.sum(F.when(F.col(ts) >= F.col("last_seen_ms") - span, F.col("_n")).otherwise(0))
             .alias(name) for name, span in spans.items()]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logscope.operators import features as FE
 from logscope.operators import grouped
+from logscope.session import scratch_dir
 
 K = 5
 SEED = 42
@@ -20,6 +21,16 @@ REQUEST_COLUMNS = ["ip", "url", "request_method", "referer", "user_agent"]   # f
 IP_FEATURES = ["distinct_urls", "distinct_methods", "distinct_user_agents"]
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write the model input once (reliable checkpoint in the shared checkpoint folder).
+
+    The scaler fit, the k-means|| initialisation and every Lloyd iteration
+    read their input again; without this each pass re-parses the raw log.
+    """
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def kmeans(df: DataFrame, features_col: str = "scaledFeatures", k: int = K,
            seed: int = SEED) -> DataFrame:
     model = KMeans(featuresCol=features_col, k=k, seed=seed).fit(df)
@@ -29,7 +40,7 @@ def kmeans(df: DataFrame, features_col: str = "scaledFeatures", k: int = K,
 def request_features(requests: DataFrame) -> DataFrame:
     """Frequency indices of the five request columns, assembled and standardised."""
     index = FE.frequency_index(requests, REQUEST_COLUMNS)
-    indexed = FE.apply_index(requests, index, REQUEST_COLUMNS)
+    indexed = materialise(FE.apply_index(requests, index, REQUEST_COLUMNS))
     vec = FE.assemble(indexed, [c + "_index" for c in REQUEST_COLUMNS])
     return FE.standardise(vec)
 
@@ -41,7 +52,7 @@ def request_clusters(requests: DataFrame) -> DataFrame:
 
 def ip_clusters(requests: DataFrame) -> DataFrame:
     """per-IP distinct counts -> assemble -> scale -> KMeans(k=5)."""
-    feats = FE.ip_features(requests)
+    feats = materialise(FE.ip_features(requests))
     return kmeans(FE.standardise(FE.assemble(feats, IP_FEATURES)))
 
 

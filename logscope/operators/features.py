@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logscope.functions.plan import broadcast_if_small
 from logscope.session import scratch_dir
 
 
@@ -65,10 +66,13 @@ def frequency_index(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def apply_index(df: DataFrame, index: DataFrame, columns: list[str], suffix: str = "_index") -> DataFrame:
     """Attach ``<col>_index`` (DOUBLE, as ML expects) for each indexed column."""
+    sizes = {r["column"]: r["n"] for r in
+             index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
     out = df
     for c in columns:
         idx = index.filter(F.col("column") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("freq_index").cast("double").alias(c + suffix))
+        idx = broadcast_if_small(idx, rows=sizes.get(c, 0))
         out = out.join(idx, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
     return out
 

@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
+from logscope.functions.plan import broadcast_if_small
 
 BUCKET_SHIFT = 16                 # /16 buckets
-BROADCAST_MAX_ROWS = 2_000_000    # exploded ranges kept in a broadcast (~100 MB)
 
 
 def bucketed_ranges(ranges: DataFrame) -> DataFrame:
@@ -29,12 +29,6 @@ def bucketed_ranges(ranges: DataFrame) -> DataFrame:
     return ranges.select("*", F.explode(F.sequence(lo_b, hi_b)).alias("bucket"))
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast only a side whose row count is checked to be below ``max_rows``."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
 def lookup(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip",
            broadcast: bool | None = None) -> DataFrame:
     """Left range join: each row of ``ips`` gets (pro, city) of the range holding it.
@@ -48,7 +42,7 @@ def lookup(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip",
     right = bucketed_ranges(ranges).select(
         F.col("bucket").alias("r_bucket"), "lo", "hi", "pro", "city")
     if broadcast is not False:
-        right, _ = _maybe_broadcast(right, BROADCAST_MAX_ROWS)
+        right = broadcast_if_small(right)
     cond = ((F.col("bucket") == F.col("r_bucket"))
             & F.col("ip_num").between(F.col("lo"), F.col("hi")))
     return left.join(right, cond, "left").drop("bucket", "r_bucket", "lo", "hi")

@@ -9,9 +9,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; naming the columns up front keeps the scan's ReadSchema minimal."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Read one table; naming the columns up front keeps the scan's ReadSchema minimal.
+
+    The footer-derived schema is remembered per path (inputs are read-only), so
+    repeated queries skip schema discovery.
+    """
+    path = table_path(sf_dir, name)
+    known = _SCHEMAS.get(path)
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if known is None:
+        _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
