@@ -6,7 +6,7 @@ keyed by ``batch_id``:
 
 * ``append_batch``   — batch ``b`` goes to ``<root>/batch_id=b`` with overwrite, so
   a replayed batch replaces itself instead of duplicating rows.
-* ``upsert_latest``  — last write wins per key: ``current LEFT ANTI batch ∪ batch``.
+* ``upsert_latest``  — last write wins per key: ``current FULL OUTER batch``, batch side preferred.
 * ``upsert_accumulate`` — ``current FULL OUTER batch``, ``coalesce(a,0)+coalesce(b,0)``.
 
 Upserts write a complete new version ``<root>/v=<batch_id>``; a version is
@@ -74,7 +74,12 @@ def _commit(df: DataFrame, root: str, batch_id: int) -> None:
 
 
 def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int) -> bool:
-    """Replace rows by key (last write wins). Returns False for a replayed batch."""
+    """Replace rows by key (last write wins). Returns False for a replayed batch.
+
+    One full-outer join on the keys; a presence marker on the batch side picks
+    the new row even where its values are NULL. The batch is read exactly once
+    (a streaming micro-batch would otherwise be recomputed, state update included).
+    """
     spark = batch.sparkSession
     cur_v = current_version(spark, root)
     if cur_v is not None and batch_id <= cur_v:
@@ -83,8 +88,14 @@ def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int) -
     if cur_v is None:
         merged = stamped
     else:
-        current = spark.read.parquet(_version_path(root, cur_v))
-        merged = current.join(stamped.select(*keys), keys, "left_anti").unionByName(stamped)
+        current = spark.read.schema(stamped.schema).parquet(_version_path(root, cur_v))
+        values = [c for c in stamped.columns if c not in keys]
+        new = stamped.select(*keys, *[F.col(c).alias("_new_" + c) for c in values],
+                             F.lit(True).alias("_present"))
+        joined = current.join(new, keys, "full_outer")
+        merged = joined.select(*keys, *[
+            F.when(F.col("_present"), F.col("_new_" + c)).otherwise(F.col(c)).alias(c)
+            for c in values])
     _commit(merged, root, batch_id)
     return True
 
