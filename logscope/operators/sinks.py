@@ -1,20 +1,21 @@
 """Idempotent table sinks over plain parquet in a shared folder.
 
 The reference writes running totals with read-add-write round trips per row
-(racy, double-counts on replay). Here every write is a whole micro-batch and is
-keyed by ``batch_id``:
-
-* ``append_batch``   — batch ``b`` goes to ``<root>/batch_id=b`` with overwrite, so
-  a replayed batch replaces itself instead of duplicating rows.
-* ``upsert_latest``  — last write wins per key: ``current FULL OUTER batch``, batch side preferred.
-* ``upsert_accumulate`` — ``current FULL OUTER batch``, ``coalesce(a,0)+coalesce(b,0)``.
-
-Upserts write a complete new version ``<root>/v=<batch_id>``; a version is
-visible once Spark's ``_SUCCESS`` marker exists, and readers take the highest
-visible version. A batch whose id is not above the current version is a no-op,
-which gives exactly-once totals under at-least-once delivery. A crash between
-the data write and the marker leaves an invisible version that the retry
-overwrites.
+(racy, double-counts on replay). Here every write is a whole micro-batch keyed
+by ``batch_id``, and no write rewrites the table:
+
+* ``append_batch``   — batch ``b`` goes to ``<root>/batch_id=b`` with overwrite, so a
+  replayed batch replaces itself instead of duplicating rows.
+* ``upsert_latest``  — last write wins per key. Each batch appends its rows to the
+  changelog ``<root>/log/batch_id=b``; readers resolve ``max_by(row, batch_id)``
+  per key (a partial aggregate: no skew, no full rewrite per batch).
+* ``upsert_accumulate`` — ``value += delta`` per key. Each batch appends its
+  deltas; readers ``sum`` them.
+
+Every ``compact_every`` batches the changelog is folded into a snapshot
+``<root>/base/v=b``; readers take the newest committed snapshot (Spark's
+``_SUCCESS`` marker) plus the log partitions above it, so a crash during
+compaction never double-counts, and folded partitions are deleted afterwards.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEEP_VERSIONS = 3
+COMPACT_EVERY = 50
 
 
 def _fs(spark: SparkSession, path: str):
@@ -31,92 +32,111 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Ids of ``<root>/<prefix><id>`` directories that carry a _SUCCESS marker."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                out.append(int(name[2:]))
+        if st.isDirectory() and name.startswith(prefix):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    v = _versions(spark, root)
-    return v[-1] if v else None
+def _log(root: str) -> str:
+    return f"{root.rstrip('/')}/log"
 
 
-def _version_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/v={batch_id:012d}"
+def _base(root: str, b: int | None = None) -> str:
+    return f"{root.rstrip('/')}/base" + ("" if b is None else f"/v={b:012d}")
 
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    v = current_version(spark, root)
-    if v is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(_version_path(root, v))
-
-
-def _prune(spark: SparkSession, root: str) -> None:
-    versions = _versions(spark, root)
-    for v in versions[:-KEEP_VERSIONS]:
-        fs, p, _ = _fs(spark, _version_path(root, v))
-        fs.delete(p, True)
-
-
-def _commit(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(_version_path(root, batch_id))
-    _prune(df.sparkSession, root)
-
-
-def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int) -> bool:
-    """Replace rows by key (last write wins). Returns False for a replayed batch.
-
-    One full-outer join on the keys; a presence marker on the batch side picks
-    the new row even where its values are NULL. The batch is read exactly once
-    (a streaming micro-batch would otherwise be recomputed, state update included).
-    """
+def _write_batch(batch: DataFrame, root: str, batch_id: int) -> bool:
+    """Overwrite ``<root>/batch_id=<id>``; True when the batch is new (not a replay)."""
+    spark = batch.sparkSession
+    replay = batch_id in _committed(spark, root, "batch_id=")
+    batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
+    return not replay
+
+
+def _changes(spark: SparkSession, root: str) -> DataFrame | None:
+    """Newest snapshot ∪ log partitions above it (with their batch_id)."""
+    bases = _committed(spark, _base(root), "v=")
+    log_ids = _committed(spark, _log(root), "batch_id=")
+    base_id = bases[-1] if bases else -1
+    parts = []
+    if bases:
+        parts.append(spark.read.parquet(_base(root, base_id)))
+    if any(i > base_id for i in log_ids):
+        log = spark.read.option("basePath", _log(root)).parquet(_log(root))
+        parts.append(log.filter(F.col("batch_id") > base_id)
+                     .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame | None:
+    """Current table of an ``upsert_latest`` sink: newest row per key (+ its batch_id)."""
+    ch = _changes(spark, root)
+    if ch is None:
+        return None
+    values = [c for c in ch.columns if c not in keys and c != "batch_id"]
+    best = ch.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch_id"), "batch_id").alias("_r"))
+    return best.select(*keys, *[F.col("_r." + c).alias(c) for c in values],
+                       F.col("_r.batch_id").alias("batch_id"))
+
+
+def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) -> DataFrame | None:
+    """Current table of an ``upsert_accumulate`` sink: summed deltas per key."""
+    ch = _changes(spark, root)
+    if ch is None:
+        return None
+    return ch.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value),
+                                 F.max("batch_id").alias("batch_id"))
+
+
+def _maybe_compact(spark: SparkSession, root: str, batch_id: int, compact_every: int, reader) -> None:
+    if compact_every <= 0 or batch_id == 0 or batch_id % compact_every != 0:
+        return
+    snap = reader()
+    if snap is None:
+        return
+    snap.write.mode("overwrite").parquet(_base(root, batch_id))
+    fs, _, jvm = _fs(spark, root)
+    for i in _committed(spark, _log(root), "batch_id="):
+        if i <= batch_id:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{_log(root)}/batch_id={i}"), True)
+    for b in _committed(spark, _base(root), "v=")[:-1]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_base(root, b)), True)
+
+
+def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int,
+                  compact_every: int = COMPACT_EVERY) -> bool:
+    """Last write wins per key. Returns False when the batch is a replay (it then replaces itself)."""
     spark = batch.sparkSession
-    cur_v = current_version(spark, root)
-    if cur_v is not None and batch_id <= cur_v:
-        return False
-    stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if cur_v is None:
-        merged = stamped
-    else:
-        current = spark.read.schema(stamped.schema).parquet(_version_path(root, cur_v))
-        values = [c for c in stamped.columns if c not in keys]
-        new = stamped.select(*keys, *[F.col(c).alias("_new_" + c) for c in values],
-                             F.lit(True).alias("_present"))
-        joined = current.join(new, keys, "full_outer")
-        merged = joined.select(*keys, *[
-            F.when(F.col("_present"), F.col("_new_" + c)).otherwise(F.col(c)).alias(c)
-            for c in values])
-    _commit(merged, root, batch_id)
-    return True
+    new = _write_batch(batch, _log(root), batch_id)
+    _maybe_compact(spark, root, batch_id, compact_every,
+                   lambda: read_latest(spark, root, keys))
+    return new
 
 
 def upsert_accumulate(batch: DataFrame, root: str, keys: list[str], value: str,
-                      batch_id: int) -> bool:
-    """``value += delta`` per key (insert when new). Returns False for a replayed batch."""
+                      batch_id: int, compact_every: int = COMPACT_EVERY) -> bool:
+    """``value += delta`` per key. Returns False when the batch is a replay (no double count)."""
     spark = batch.sparkSession
-    cur_v = current_version(spark, root)
-    if cur_v is not None and batch_id <= cur_v:
-        return False
-    delta = batch.select(*keys, F.col(value).cast("bigint").alias("_delta"))
-    if cur_v is None:
-        merged = delta.select(*keys, F.col("_delta").alias(value))
-    else:
-        current = spark.read.parquet(_version_path(root, cur_v)).select(*keys, value)
-        merged = current.join(delta, keys, "full_outer").select(
-            *keys, (F.coalesce(F.col(value), F.lit(0)) + F.coalesce(F.col("_delta"), F.lit(0)))
-            .alias(value))
-    _commit(merged.withColumn("batch_id", F.lit(batch_id).cast("bigint")), root, batch_id)
-    return True
+    delta = batch.select(*keys, F.col(value).cast("bigint").alias(value))
+    new = _write_batch(delta, _log(root), batch_id)
+    _maybe_compact(spark, root, batch_id, compact_every,
+                   lambda: read_totals(spark, root, keys, value).drop("batch_id")
+                   .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+    return new
 
 
 def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> None:

@@ -109,7 +109,7 @@ def upsert_latest(spark, sf):
     root = scratch_dir(spark, "upsert-latest")
     for bid, rows in _deliveries(access(spark, sf)):
         sinks.upsert_latest(reports.hits_by(rows, "request_url"), root, ["request_url"], bid)
-    return sinks.read_current(spark, root).select("request_url", "hits", "batch_id")
+    return sinks.read_latest(spark, root, ["request_url"]).select("request_url", "hits", "batch_id")
 
 
 @register("upsert_accumulate_hour", f"""
@@ -121,7 +121,7 @@ def upsert_accumulate_hour(spark, sf):
     root = scratch_dir(spark, "hour-count")
     for bid, rows in _deliveries(access(spark, sf)):
         sinks.upsert_accumulate(reports.unique_ips_by_hour(rows), root, ["hour"], "unique_ips", bid)
-    return sinks.read_current(spark, root).select("hour", "unique_ips")
+    return sinks.read_totals(spark, root, ["hour"], "unique_ips").select("hour", "unique_ips")
 
 
 @register("upsert_accumulate_ip", """
@@ -132,7 +132,7 @@ def upsert_accumulate_ip(spark, sf):
     for bid, rows in _deliveries(access(spark, sf)):
         sinks.upsert_accumulate(reports.hits_by(rows, "remote_addr"), root, ["remote_addr"],
                                 "hits", bid)
-    return sinks.read_current(spark, root).select("remote_addr", "hits")
+    return sinks.read_totals(spark, root, ["remote_addr"], "hits").select("remote_addr", "hits")
 
 
 _SNAPSHOT_METRICS = [("status", "CAST(status AS VARCHAR)"), ("method", "request_method"),

@@ -25,7 +25,7 @@ def _dirs(spark, name):
 def _totals(spark, sf, keys, name):
     sink, ckpt = _dirs(spark, name)
     run = jobs.running_totals(_records(spark, sf), keys, sink, ckpt)
-    return jobs.read_table(spark, run.sink_root).select(*keys, "hits")
+    return jobs.read_latest(spark, run.sink_root, keys).select(*keys, "hits")
 
 
 def _register_totals(qname: str, keys: list[str], doc: str):
@@ -55,7 +55,7 @@ def stream_unique_ips_by_hour(spark, sf):
     """True distinct IPs per hour on a stream (dedup state + count)."""
     sink, ckpt = _dirs(spark, "stream-uniq")
     jobs.unique_ips_by_hour(_records(spark, sf), sink, ckpt)
-    return jobs.read_table(spark, sink).select("hour", "unique_ips")
+    return jobs.read_latest(spark, sink, ["hour"]).select("hour", "unique_ips")
 
 
 @register("stream_unique_ips_batch_sum")
@@ -63,7 +63,7 @@ def stream_unique_ips_batch_sum(spark, sf):
     """Per-batch distinct IPs per hour, accumulated across micro-batches (literal reference form)."""
     sink, ckpt = _dirs(spark, "stream-uniq-sum")
     jobs.unique_ips_batch_sum(_records(spark, sf), sink, ckpt)
-    return jobs.read_table(spark, sink).select("hour", "unique_ips")
+    return jobs.read_totals(spark, sink, ["hour"], "unique_ips").select("hour", "unique_ips")
 
 
 @register("stream_batch_topn")
@@ -94,7 +94,7 @@ def stream_hourly_windows(spark, sf):
     """Event-time 1-hour tumbling windows with a watermark, upserted per window."""
     sink, ckpt = _dirs(spark, "stream-windows")
     jobs.hourly_windows(_records(spark, sf), sink, ckpt)
-    return jobs.read_table(spark, sink).select("window_start_ms", "hits")
+    return jobs.read_latest(spark, sink, ["window_start_ms"]).select("window_start_ms", "hits")
 
 
 @register("stream_dedup", """

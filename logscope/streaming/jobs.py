@@ -126,8 +126,17 @@ def dedup(records: DataFrame, sink_root: str, checkpoint: str, delay: str = "1 d
     return StreamRun(sink_root, checkpoint, n)
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    cur = sinks.read_current(spark, root)
+def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """The table a running-total / window job maintains (newest value per key)."""
+    cur = sinks.read_latest(spark, root, keys)
     if cur is None:
-        raise RuntimeError(f"no committed version under {root}")
+        raise RuntimeError(f"nothing committed under {root}")
+    return cur
+
+
+def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) -> DataFrame:
+    """The table an accumulating job maintains (summed deltas per key)."""
+    cur = sinks.read_totals(spark, root, keys, value)
+    if cur is None:
+        raise RuntimeError(f"nothing committed under {root}")
     return cur

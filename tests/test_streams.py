@@ -47,7 +47,7 @@ def test_restart_from_checkpoint_keeps_totals_exact(spark):
     stream_b = sources.replay_records(spark, f"{src}/*/*.parquet", 1)
     run = jobs.running_totals(stream_b, ["request_method"], sink, ckpt)
     assert run.batches == 3                       # only the new files were read
-    got = {r["request_method"]: r["hits"] for r in jobs.read_table(spark, sink).collect()}
+    got = {r["request_method"]: r["hits"] for r in jobs.read_latest(spark, sink, ["request_method"]).collect()}
     want = {r["request_method"]: r["hits"]
             for r in reports.hits_by(access(spark, SF_SMALL), "request_method").collect()}
     assert got == want
@@ -59,7 +59,7 @@ def test_upsert_accumulate_ignores_replayed_batch(spark):
     assert sinks.upsert_accumulate(d, root, ["k"], "v", 0)
     assert sinks.upsert_accumulate(d, root, ["k"], "v", 1)
     assert not sinks.upsert_accumulate(d, root, ["k"], "v", 1)      # replay: no-op
-    got = {r["k"]: r["v"] for r in sinks.read_current(spark, root).collect()}
+    got = {r["k"]: r["v"] for r in sinks.read_totals(spark, root, ["k"], "v").collect()}
     assert got == {"a": 4, "b": 6}
 
 
@@ -69,10 +69,30 @@ def test_upsert_latest_last_write_wins(spark):
                         root, ["k"], 0)
     sinks.upsert_latest(spark.createDataFrame([("b", 7), ("c", 2)], "k STRING, v BIGINT"),
                         root, ["k"], 1)
-    got = {r["k"]: (r["v"], r["batch_id"]) for r in sinks.read_current(spark, root).collect()}
+    got = {r["k"]: (r["v"], r["batch_id"]) for r in sinks.read_latest(spark, root, ["k"]).collect()}
     assert got == {"a": (1, 0), "b": (7, 1), "c": (2, 1)}
 
 
+def test_compaction_folds_the_log(spark):
+    import os
+
+    root = scratch_dir(spark, "t-compact")
+    acc, lat = f"{root}/acc", f"{root}/lat"
+    for bid in range(1, 6):
+        d = spark.createDataFrame([("a", bid), ("b", 1)], "k STRING, v BIGINT")
+        sinks.upsert_accumulate(d, acc, ["k"], "v", bid, compact_every=2)
+        sinks.upsert_latest(d, lat, ["k"], bid, compact_every=2)
+    sinks.upsert_accumulate(spark.createDataFrame([("a", 5), ("b", 1)], "k STRING, v BIGINT"),
+                            acc, ["k"], "v", 5, compact_every=2)          # replay of batch 5
+    tot = {r["k"]: r["v"] for r in sinks.read_totals(spark, acc, ["k"], "v").collect()}
+    assert tot == {"a": 15, "b": 5}
+    latest = {r["k"]: (r["v"], r["batch_id"]) for r in sinks.read_latest(spark, lat, ["k"]).collect()}
+    assert latest == {"a": (5, 5), "b": (1, 5)}
+    local = acc.replace("file:", "", 1)
+    assert sorted(os.listdir(f"{local}/log")) == ["batch_id=5"]           # 1..4 folded into base v=4
+    assert [d for d in os.listdir(f"{local}/base") if d.startswith("v=")] == ["v=000000000004"]
+
+
 def test_append_batch_replay_overwrites_itself(spark):
     root = scratch_dir(spark, "t-app")
     d = spark.createDataFrame([("x",), ("y",)], "k STRING")
