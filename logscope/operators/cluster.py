@@ -6,8 +6,9 @@ itself; the seed and column order are fixed so runs repeat exactly.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,23 +38,32 @@ def kmeans(df: DataFrame, features_col: str = "scaledFeatures", k: int = K,
     return model.transform(df)
 
 
-def request_features(requests: DataFrame) -> DataFrame:
-    """Frequency indices of the five request columns, assembled and standardised."""
+def clustering_pipeline(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:
+    """assemble (fixed column order) -> standardise (unit std, no centring) -> KMeans."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
+        StandardScaler(inputCol="features", outputCol="scaledFeatures", withMean=False, withStd=True),
+        KMeans(featuresCol="scaledFeatures", k=k, seed=seed),
+    ])
+
+
+def indexed_requests(requests: DataFrame) -> DataFrame:
+    """Requests with the frequency index of each of the five request columns."""
     index = FE.frequency_index(requests, REQUEST_COLUMNS)
-    indexed = materialise(FE.apply_index(requests, index, REQUEST_COLUMNS))
-    vec = FE.assemble(indexed, [c + "_index" for c in REQUEST_COLUMNS])
-    return FE.standardise(vec)
+    return materialise(FE.apply_index(requests, index, REQUEST_COLUMNS))
 
 
 def request_clusters(requests: DataFrame) -> DataFrame:
-    """strict parse -> index -> assemble -> scale -> KMeans(k=5)."""
-    return kmeans(request_features(requests))
+    """strict parse -> frequency index -> Pipeline(assemble, scale, KMeans k=5)."""
+    indexed = indexed_requests(requests)
+    inputs = [c + "_index" for c in REQUEST_COLUMNS]
+    return clustering_pipeline(inputs).fit(indexed).transform(indexed)
 
 
 def ip_clusters(requests: DataFrame) -> DataFrame:
-    """per-IP distinct counts -> assemble -> scale -> KMeans(k=5)."""
+    """per-IP distinct counts -> Pipeline(assemble, scale, KMeans k=5)."""
     feats = materialise(FE.ip_features(requests))
-    return kmeans(FE.standardise(FE.assemble(feats, IP_FEATURES)))
+    return clustering_pipeline(IP_FEATURES).fit(feats).transform(feats)
 
 
 def projection(clustered: DataFrame, features_col: str = "features") -> DataFrame:

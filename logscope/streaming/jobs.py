@@ -55,6 +55,27 @@ def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
     return len(seen)
 
 
+def start(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
+          interval: str = "1 second"):
+    """Long-running form: a fixed processing-time trigger (the reference's 1 s cadence).
+
+    Returns the ``StreamingQuery``; offsets and state are recovered from
+    ``checkpoint`` on restart, and the batch_id-guarded sinks make the replayed
+    batch after a failure harmless.
+    """
+    return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+            .foreachBatch(batch_fn).trigger(processingTime=interval).start())
+
+
+def console_preview(df: DataFrame, checkpoint: str, sort_by: list | None = None, n: int = 10,
+                    mode: str = "complete"):
+    """Debug sink: print the first ``n`` rows of every micro-batch (sorted when asked)."""
+    out = df.orderBy(*sort_by) if sort_by else df
+    return (out.writeStream.outputMode(mode).format("console").option("numRows", n)
+            .option("truncate", False).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def running_totals(records: DataFrame, keys: list[str], sink_root: str, checkpoint: str,
                    name: str = "hits", trigger: dict | None = None) -> StreamRun:
     """Total per key since the stream started (state store) -> keyed upsert sink."""

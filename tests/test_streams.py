@@ -53,6 +53,35 @@ def test_restart_from_checkpoint_keeps_totals_exact(spark):
     assert got == want
 
 
+def test_processing_time_trigger_runs_and_stops(spark):
+    recs = _records(spark)
+    path = scratch_dir(spark, "t-pt")
+    sources.write_replay(recs, path, files=2)
+    sink, ckpt = scratch_dir(spark, "t-pt-sink"), scratch_dir(spark, "t-pt-ckpt")
+    agg = jobs.parsed(sources.replay_records(spark, path, 1)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("hits"))
+    q = jobs.start(agg, ckpt, lambda b, bid: sinks.upsert_latest(b, sink, ["status"], bid),
+                   interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r["status"]: r["hits"] for r in jobs.read_latest(spark, sink, ["status"]).collect()}
+    want = {r["status"]: r["hits"] for r in reports.hits_by(access(spark, SF_SMALL), "status").collect()}
+    assert got == want
+
+
+def test_console_preview_runs(spark):
+    path = scratch_dir(spark, "t-cons")
+    sources.write_replay(_records(spark), path, files=2)
+    counts = jobs.parsed(sources.replay_records(spark, path, 1)).groupBy("request_url").agg(
+        F.count(F.lit(1)).alias("hits"))
+    q = jobs.console_preview(counts, scratch_dir(spark, "t-cons-ckpt"),
+                             [F.col("hits").desc(), "request_url"])
+    q.awaitTermination()
+    assert q.exception() is None
+
+
 def test_upsert_accumulate_ignores_replayed_batch(spark):
     root = scratch_dir(spark, "t-acc")
     d = spark.createDataFrame([("a", 2), ("b", 3)], "k STRING, v BIGINT")
