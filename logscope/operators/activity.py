@@ -47,6 +47,11 @@ def hourly_activity(access: DataFrame, ip: str = "remote_addr", ts: str = "epoch
     bucket = (F.floor(F.col(ts) / HOUR_MS) * HOUR_MS).cast("bigint")
     hourly = access.groupBy(F.col(ip), bucket.alias("bucket_ms")).agg(
         F.count(F.lit(1)).alias("hits"))
+    return trailing_over_hours(hourly, ip)
+
+
+def trailing_over_hours(hourly: DataFrame, ip: str = "remote_addr") -> DataFrame:
+    """(ip, bucket_ms, hits) -> + trailing 24 h / 72 h sums (range window over hourly rows)."""
     w = Window.partitionBy(ip).orderBy("bucket_ms")
     return hourly.select(
         ip, "bucket_ms", "hits",

@@ -97,6 +97,25 @@ def stream_hourly_windows(spark, sf):
     return jobs.read_latest(spark, sink, ["window_start_ms"]).select("window_start_ms", "hits")
 
 
+@register("stream_ip_hourly_activity", f"""
+WITH h AS (SELECT remote_addr, CAST(floor(epoch_ms / 3600000) * 3600000 AS BIGINT) AS bucket_ms,
+                  count(*) AS hits FROM access GROUP BY ALL)
+SELECT remote_addr, bucket_ms, hits,
+  CAST(sum(hits) OVER (PARTITION BY remote_addr ORDER BY bucket_ms
+       RANGE BETWEEN {23 * 3600000} PRECEDING AND CURRENT ROW) AS BIGINT) AS hits_1d,
+  CAST(sum(hits) OVER (PARTITION BY remote_addr ORDER BY bucket_ms
+       RANGE BETWEEN {71 * 3600000} PRECEDING AND CURRENT ROW) AS BIGINT) AS hits_3d
+FROM h""")
+def stream_ip_hourly_activity(spark, sf):
+    """Streaming per-IP activity: watermarked hourly counts, trailing 1-day / 3-day sums on them."""
+    from logscope.operators import activity
+    sink, ckpt = _dirs(spark, "stream-ip-hourly")
+    jobs.ip_hourly_counts(_records(spark, sf), sink, ckpt)
+    hourly = jobs.read_latest(spark, sink, ["remote_addr", "bucket_ms"]).select(
+        "remote_addr", "bucket_ms", "hits")
+    return activity.trailing_over_hours(hourly)
+
+
 @register("stream_dedup", """
 SELECT event_id, concat_ws('_', remote_addr, time_local,
        sha256(concat(CAST(event_id AS VARCHAR), ':', line))) AS row_key FROM access""")
