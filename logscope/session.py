@@ -25,6 +25,11 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
+    # Running totals per ip / url / agent grow with the key space: RocksDB keeps
+    # state off-heap (spilling to local disk) and checkpoints changelogs only.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
