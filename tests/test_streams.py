@@ -53,6 +53,21 @@ def test_restart_from_checkpoint_keeps_totals_exact(spark):
     assert got == want
 
 
+def test_text_tail_source_equals_batch(spark):
+    """Plain log files tailed from a directory give the same running totals as the batch report."""
+    from logscope.sources import text
+
+    src = scratch_dir(spark, "t-text")
+    text.write_lines(lines(spark, SF_SMALL).repartition(3), src)
+    sink, ckpt = scratch_dir(spark, "t-text-sink"), scratch_dir(spark, "t-text-ckpt")
+    run = jobs.running_totals(sources.text_records(spark, src, 1), ["http_version"], sink, ckpt)
+    assert run.batches == 3
+    got = {r["http_version"]: r["hits"] for r in jobs.read_latest(spark, sink, ["http_version"]).collect()}
+    want = {r["http_version"]: r["hits"]
+            for r in reports.hits_by(access(spark, SF_SMALL), "http_version").collect()}
+    assert got == want
+
+
 def test_processing_time_trigger_runs_and_stops(spark):
     recs = _records(spark)
     path = scratch_dir(spark, "t-pt")
