@@ -22,9 +22,15 @@ def _dirs(spark, name):
     return scratch_dir(spark, name + "-sink"), scratch_dir(spark, name + "-ckpt")
 
 
+def _state_partitions(spark) -> int:
+    """One state-store partition per core for these replay queries."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _totals(spark, sf, keys, name):
     sink, ckpt = _dirs(spark, name)
-    run = jobs.running_totals(_records(spark, sf), keys, sink, ckpt)
+    run = jobs.running_totals(_records(spark, sf), keys, sink, ckpt,
+                              state_partitions=_state_partitions(spark))
     return jobs.read_latest(spark, run.sink_root, keys).select(*keys, "hits")
 
 
@@ -54,7 +60,7 @@ _register_totals("stream_referer_totals", ["http_referer"], "Running total per r
 def stream_unique_ips_by_hour(spark, sf):
     """True distinct IPs per hour on a stream (dedup state + count)."""
     sink, ckpt = _dirs(spark, "stream-uniq")
-    jobs.unique_ips_by_hour(_records(spark, sf), sink, ckpt)
+    jobs.unique_ips_by_hour(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
     return jobs.read_latest(spark, sink, ["hour"]).select("hour", "unique_ips")
 
 
@@ -93,7 +99,7 @@ FROM access GROUP BY 1""")
 def stream_hourly_windows(spark, sf):
     """Event-time 1-hour tumbling windows with a watermark, upserted per window."""
     sink, ckpt = _dirs(spark, "stream-windows")
-    jobs.hourly_windows(_records(spark, sf), sink, ckpt)
+    jobs.hourly_windows(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
     return jobs.read_latest(spark, sink, ["window_start_ms"]).select("window_start_ms", "hits")
 
 
@@ -110,7 +116,7 @@ def stream_ip_hourly_activity(spark, sf):
     """Streaming per-IP activity: watermarked hourly counts, trailing 1-day / 3-day sums on them."""
     from logscope.operators import activity
     sink, ckpt = _dirs(spark, "stream-ip-hourly")
-    jobs.ip_hourly_counts(_records(spark, sf), sink, ckpt)
+    jobs.ip_hourly_counts(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
     hourly = jobs.read_latest(spark, sink, ["remote_addr", "bucket_ms"]).select(
         "remote_addr", "bucket_ms", "hits")
     return activity.trailing_over_hours(hourly)
@@ -123,6 +129,7 @@ def stream_dedup(spark, sf):
     """At-least-once delivery (every record sent twice) deduplicated by row key."""
     from logscope.operators import sinks
     sink, ckpt = _dirs(spark, "stream-dedup")
-    jobs.dedup(_records(spark, sf, redeliver=True), sink, ckpt)
+    jobs.dedup(_records(spark, sf, redeliver=True), sink, ckpt,
+               state_partitions=_state_partitions(spark))
     out = sinks.read_appended(spark, sink)
     return out.select(F.col("offset").alias("event_id"), "row_key")

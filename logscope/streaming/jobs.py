@@ -32,8 +32,29 @@ def parsed(records: DataFrame) -> DataFrame:
     return acc.select("*", P.row_key("remote_addr", "time_local", "value", "offset").alias("row_key"))
 
 
+STATE_PARTITIONS_CONF = "spark.sql.shuffle.partitions"
+
+
+def _start_with_state_partitions(writer, spark: SparkSession, state_partitions: int | None):
+    """Start ``writer``; a new query gets ``state_partitions`` state-store partitions.
+
+    Stateful operators take their partition count from
+    ``spark.sql.shuffle.partitions`` when a checkpoint is first created and keep
+    it for life (it is stored in the checkpoint). It is applied only while the
+    query starts; the session's value is restored right after.
+    """
+    if not state_partitions:
+        return writer.start()
+    old = spark.conf.get(STATE_PARTITIONS_CONF)
+    spark.conf.set(STATE_PARTITIONS_CONF, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(STATE_PARTITIONS_CONF, old)
+
+
 def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
-         trigger: dict | None = None) -> int:
+         trigger: dict | None = None, state_partitions: int | None = None) -> int:
     """Start a foreachBatch query and wait for it; returns the number of micro-batches.
 
     Default trigger is ``availableNow`` (drain what is there, then stop); pass
@@ -48,7 +69,7 @@ def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
     writer = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
               .foreachBatch(wrapped))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
-    q = writer.start()
+    q = _start_with_state_partitions(writer, df.sparkSession, state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -77,19 +98,22 @@ def console_preview(df: DataFrame, checkpoint: str, sort_by: list | None = None,
 
 
 def running_totals(records: DataFrame, keys: list[str], sink_root: str, checkpoint: str,
-                   name: str = "hits", trigger: dict | None = None) -> StreamRun:
+                   name: str = "hits", trigger: dict | None = None,
+                   state_partitions: int | None = None) -> StreamRun:
     """Total per key since the stream started (state store) -> keyed upsert sink."""
     agg = parsed(records).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, keys, bid),
-             trigger=trigger)
+             trigger=trigger, state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
-def unique_ips_by_hour(records: DataFrame, sink_root: str, checkpoint: str) -> StreamRun:
+def unique_ips_by_hour(records: DataFrame, sink_root: str, checkpoint: str,
+                       state_partitions: int | None = None) -> StreamRun:
     """True distinct IPs per hour: dedup (ip, hour) in state, then count per hour."""
     pairs = parsed(records).select("remote_addr", "hour").dropDuplicates(["remote_addr", "hour"])
     agg = pairs.groupBy("hour").agg(F.count(F.lit(1)).alias("unique_ips"))
-    n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["hour"], bid))
+    n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["hour"], bid),
+             state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
@@ -129,18 +153,19 @@ def access_etl(records: DataFrame, sink_root: str, checkpoint: str) -> StreamRun
 
 
 def hourly_windows(records: DataFrame, sink_root: str, checkpoint: str,
-                   delay: str = "2 hours") -> StreamRun:
+                   delay: str = "2 hours", state_partitions: int | None = None) -> StreamRun:
     """Event-time tumbling 1-hour windows with a watermark (bounded state), upserted per window."""
     windowed = (parsed(records).withWatermark("event_time", delay)
                 .groupBy(F.window("event_time", "1 hour")).agg(F.count(F.lit(1)).alias("hits")))
     out = windowed.select(F.unix_millis(F.col("window.start")).alias("window_start_ms"), "hits")
     n = _run(out, checkpoint,
-             lambda b, bid: sinks.upsert_latest(b, sink_root, ["window_start_ms"], bid))
+             lambda b, bid: sinks.upsert_latest(b, sink_root, ["window_start_ms"], bid),
+             state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
 def ip_hourly_counts(records: DataFrame, sink_root: str, checkpoint: str,
-                     delay: str = "2 hours") -> StreamRun:
+                     delay: str = "2 hours", state_partitions: int | None = None) -> StreamRun:
     """Per (ip, event-time hour) counts with a watermark — the compact table the
     trailing-activity windows are computed on (sliding 1-day windows on the
     stream itself would multiply every update by 24)."""
@@ -149,15 +174,18 @@ def ip_hourly_counts(records: DataFrame, sink_root: str, checkpoint: str,
               .agg(F.count(F.lit(1)).alias("hits")))
     out = counts.select("remote_addr", F.unix_millis(F.col("window.start")).alias("bucket_ms"), "hits")
     n = _run(out, checkpoint,
-             lambda b, bid: sinks.upsert_latest(b, sink_root, ["remote_addr", "bucket_ms"], bid))
+             lambda b, bid: sinks.upsert_latest(b, sink_root, ["remote_addr", "bucket_ms"], bid),
+             state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
-def dedup(records: DataFrame, sink_root: str, checkpoint: str, delay: str = "1 day") -> StreamRun:
+def dedup(records: DataFrame, sink_root: str, checkpoint: str, delay: str = "1 day",
+          state_partitions: int | None = None) -> StreamRun:
     """Drop redelivered records by row key within the watermark; append the survivors."""
     rows = (parsed(records).withWatermark("event_time", delay)
             .dropDuplicatesWithinWatermark(["row_key"]).select("offset", "row_key"))
-    n = _run(rows, checkpoint, lambda b, bid: sinks.append_batch(b, sink_root, bid), mode="append")
+    n = _run(rows, checkpoint, lambda b, bid: sinks.append_batch(b, sink_root, bid), mode="append",
+             state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
