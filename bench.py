@@ -1,10 +1,11 @@
 """Benchmark the headline queries.
 
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
-``local[$BENCH_CPUS]``: one warm-up, then the median of ``$BENCH_REPEAT``
-(default 3) timed runs. A run = build the query (including any sink/stream
-work it performs) + execute it fully (``noop`` write, nothing collected).
-Prints ONE JSON line.
+``local[$BENCH_CPUS]``: one warm-up pass over all queries (JIT), then
+``$BENCH_REPEAT`` (default 3) timed passes, round-robin over the queries; the
+median per query is reported. A run = build the query (including any sink or
+stream work it performs) + execute it fully (``noop`` write, nothing
+collected). Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -43,22 +44,25 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8)))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "16g"})
     catalog = all_queries()
     names = only or HEADLINE
-    results: dict[str, float] = {}
-    for name in names:
-        spec = catalog[name]
+    def run(name: str) -> float:
+        t0 = time.perf_counter()
+        catalog[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
-        def run() -> float:
-            t0 = time.perf_counter()
-            spec.build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            return time.perf_counter() - t0
-
-        run()  # warm-up
-        results[name] = round(statistics.median(run() for _ in range(repeat)), 3)
-        print(f"# {name}: {results[name]}s", file=sys.stderr, flush=True)
+    for name in names:                      # warm-up pass
+        run(name)
+    samples: dict[str, list[float]] = {n: [] for n in names}
+    for _ in range(repeat):
+        for name in names:
+            samples[name].append(run(name))
+    results = {n: round(statistics.median(v), 3) for n, v in samples.items()}
+    for name, v in results.items():
+        print(f"# {name}: {v}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": sf, "cpus": cpus,

@@ -105,7 +105,7 @@ SELECT ip,
 FROM f, s""")
 def scaled_ip_features(spark, sf):
     """Per-IP features divided by their sample standard deviation (StandardScaler)."""
-    feats = features.ip_features(strict(spark, sf))
+    feats = cluster.materialise(features.ip_features(strict(spark, sf)))   # fit + transform read it
     scaled = features.standardise(features.assemble(feats, cluster.IP_FEATURES))
     out = features.vector_columns(scaled.select("ip", "scaledFeatures"), "scaledFeatures",
                                   ["scaled_urls", "scaled_methods", "scaled_user_agents"])
