@@ -1,19 +1,23 @@
 """Per-IP activity: trailing 1-day / 3-day hit counts, hourly activity snapshots.
 
 Trailing counts are anchored at each IP's latest request (``last_seen``), as
-the reference's report is. They are computed without a window partitioned by
-IP — a hot IP would put a third of all rows into one task — as:
-
-1. compact rows to (ip, epoch_ms) counts (shuffle on both keys: a hot IP
-   spreads over its timestamps);
-2. per-IP ``max`` (partial aggregate, skew-proof);
-3. join 1 to 2 on ip — AQE turns it into a broadcast join when the per-IP
-   table is small at runtime, and splits a skewed partition otherwise;
-4. conditional sums per IP (partial aggregate again).
-
-The hourly snapshot works on the compact (ip, hour bucket) table, whose rows
-per IP are bounded by the number of hours spanned, not by the traffic volume,
-so a range window over it is safe.
+the reference's report is: hits with ``ts >= last_seen - span``. One IP may
+hold a third of all rows, so nothing here is keyed by the IP alone over raw
+rows (no ``Window.partitionBy(ip)``, no row-level join on ip):
+
+1. rows are partitioned once by ``(ip, hour bucket)`` — a hot IP spreads over
+   the hours it was active — compacted to (ip, bucket, ts) counts and written
+   once (``checkpoint`` into the shared folder); the hourly table (ip, bucket)
+   is aggregated in the same partitions;
+2. ``last_seen`` per IP is a partial aggregate; per (ip, span) it gives the
+   boundary ``lo = last_seen - span`` and its bucket ``b``;
+3. whole buckets after ``b`` come from the hourly table joined on ip — its rows
+   per IP are bounded by the hours spanned, not by the traffic;
+4. the boundary bucket itself is counted exactly (to the millisecond) with an
+   equi-join on ``(ip, bucket)``, which keeps the hot IP spread over buckets.
+
+The hourly snapshot works on the same (ip, hour) table, so a range window
+over it is safe as well.
 """
 
 from __future__ import annotations
@@ -21,25 +25,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logscope.session import scratch_dir
+
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
 TRAILING_SPANS = {"hits_1d": DAY_MS, "hits_3d": 3 * DAY_MS}
 
 
 def trailing_activity(access: DataFrame, spans: dict[str, int] | None = None,
-                      ip: str = "remote_addr", ts: str = "epoch_ms") -> DataFrame:
+                      ip: str = "remote_addr", ts: str = "epoch_ms",
+                      bucket_ms: int = HOUR_MS) -> DataFrame:
     """Per IP: last_seen_ms and, per span, hits with ``ts >= last_seen_ms - span``."""
     spans = spans or TRAILING_SPANS
-    compact = access.groupBy(ip, ts).agg(F.count(F.lit(1)).alias("_n"))
-    # max over the compact table *reading its count*: the optimizer can then not
-    # drop the (ip, ts) aggregate under it, both join sides share one exchange
-    # (ReusedExchange) and the raw input is parsed once.
-    last = compact.groupBy(ip).agg(
-        F.max(F.when(F.col("_n") > 0, F.col(ts))).alias("last_seen_ms"))
-    joined = compact.join(last, ip)
-    sums = [F.sum(F.when(F.col(ts) >= F.col("last_seen_ms") - span, F.col("_n")).otherwise(0))
-            .alias(name) for name, span in spans.items()]
-    return joined.groupBy(ip, "last_seen_ms").agg(*sums)
+    rows = access.select(ip, ts, F.floor(F.col(ts) / bucket_ms).cast("bigint").alias("_b"))
+    scratch_dir(access.sparkSession)      # checkpoint folder (shared on a cluster)
+    # Written once: the four branches below would otherwise each re-derive it
+    # from the raw input (the optimizer rewrites each branch differently, so
+    # Spark cannot reuse one exchange for all of them).
+    compact = (rows.repartition(ip, "_b")
+               .groupBy(ip, "_b", ts).agg(F.count(F.lit(1)).alias("_n"))
+               .checkpoint(eager=True))
+    hourly = compact.groupBy(ip, "_b").agg(F.sum("_n").alias("_nb"))
+    last = compact.groupBy(ip).agg(F.max(ts).alias("last_seen_ms"))
+    per_span = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("span"), F.lit(ms).cast("bigint").alias("ms"))
+        for name, ms in spans.items()]))
+    bounds = (last.select(ip, "last_seen_ms", per_span.alias("_s"))
+              .select(ip, "last_seen_ms", F.col("_s.span").alias("_span"),
+                      (F.col("last_seen_ms") - F.col("_s.ms")).alias("_lo"))
+              .withColumn("_bb", F.floor(F.col("_lo") / bucket_ms).cast("bigint")))
+    whole = (hourly.join(bounds.select(ip, "last_seen_ms", "_span", "_bb"), ip)
+             .filter(F.col("_b") > F.col("_bb"))
+             .groupBy(ip, "last_seen_ms", "_span").agg(F.sum("_nb").alias("_c")))
+    edge = (compact.join(bounds.select(ip, "last_seen_ms", "_span", "_lo",
+                                       F.col("_bb").alias("_b")), [ip, "_b"])
+            .filter(F.col(ts) >= F.col("_lo"))
+            .groupBy(ip, "last_seen_ms", "_span").agg(F.sum("_n").alias("_c")))
+    both = whole.unionByName(edge)
+    return both.groupBy(ip, "last_seen_ms").agg(*[
+        F.coalesce(F.sum(F.when(F.col("_span") == name, F.col("_c"))), F.lit(0)).cast("bigint")
+        .alias(name) for name in spans])
 
 
 def hourly_activity(access: DataFrame, ip: str = "remote_addr", ts: str = "epoch_ms") -> DataFrame:
