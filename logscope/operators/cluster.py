@@ -38,7 +38,7 @@ def kmeans(df: DataFrame, features_col: str = "scaledFeatures", k: int = K,
     return model.transform(df)
 
 
-def clustering_pipeline(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:
+def clustering_estimator(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:
     """assemble (fixed column order) -> standardise (unit std, no centring) -> KMeans."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
@@ -57,13 +57,13 @@ def request_clusters(requests: DataFrame) -> DataFrame:
     """strict parse -> frequency index -> Pipeline(assemble, scale, KMeans k=5)."""
     indexed = indexed_requests(requests)
     inputs = [c + "_index" for c in REQUEST_COLUMNS]
-    return clustering_pipeline(inputs).fit(indexed).transform(indexed)
+    return clustering_estimator(inputs).fit(indexed).transform(indexed)
 
 
 def ip_clusters(requests: DataFrame) -> DataFrame:
     """per-IP distinct counts -> Pipeline(assemble, scale, KMeans k=5)."""
     feats = materialise(FE.ip_features(requests))
-    return clustering_pipeline(IP_FEATURES).fit(feats).transform(feats)
+    return clustering_estimator(IP_FEATURES).fit(feats).transform(feats)
 
 
 def projection(clustered: DataFrame, features_col: str = "features") -> DataFrame:

@@ -56,9 +56,10 @@ def _base(root: str, b: int | None = None) -> str:
 
 def _write_batch(batch: DataFrame, root: str, batch_id: int) -> bool:
     """Overwrite ``<root>/batch_id=<id>``; True when the batch is new (not a replay)."""
-    spark = batch.sparkSession
-    replay = batch_id in _committed(spark, root, "batch_id=")
-    batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
+    path = f"{root.rstrip('/')}/batch_id={batch_id}"
+    fs, _, jvm = _fs(batch.sparkSession, path)
+    replay = fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+    batch.write.mode("overwrite").parquet(path)
     return not replay
 
 
