@@ -39,3 +39,19 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["request_url", "hits"]
     assert df.count() == 273      # FIXTURES.md: distinct URLs at sf0.001
+
+
+ZONE_SENSITIVE = ["parse_time_ms", "hits_by_hour", "ip_activity_snapshot", "etl_access_rows",
+                  "stream_hourly_windows"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, duck_small, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spec = CATALOG[name]
+        out = compare(name, spec.build(spark, SF_SMALL), duck_small, spec.sql)
+        assert out.ok, out.detail
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
