@@ -65,7 +65,7 @@ def split_fields_sql(line: str = "line") -> dict[str, str]:
         "remote_addr": f"get({head}, 0)",
         "remote_user": "'- -'",
         "time_local": f"substring(get({head}, 3), 2)",
-        "tz_offset": f"regexp_replace(get({head}, 4), {sql_str(r']$')}, '')",
+        "tz_offset": _strip_bracket(f"get({head}, 4)"),
         "request_method": f"get({req}, 0)",
         "request_url": f"get({req}, 1)",
         "http_version": f"get({req}, 2)",
@@ -78,8 +78,17 @@ def split_fields_sql(line: str = "line") -> dict[str, str]:
     }
 
 
+def _strip_bracket(x: str) -> str:
+    """Drop one trailing ']' (no regex)."""
+    return f"if(endswith({x}, ']'), left({x}, length({x}) - 1), {x})"
+
+
 def event_time_sql(time_local: str = "time_local", tz_offset: str = "tz_offset") -> str:
-    """Instant of the request; honours the line's own offset, never the session zone."""
+    """Instant of the request; honours the line's own offset, never the session zone.
+
+    (A hand-built ISO-8601 cast was measured as well: cheaper alone, but slower
+    inside the full parser projection, so the formatter stays.)
+    """
     return (f"try_to_timestamp(concat_ws(' ', {time_local}, {tz_offset}), "
             f"{sql_str(LOG_TIME_FORMAT)})")
 
