@@ -108,12 +108,12 @@ def running_totals(records: DataFrame, keys: list[str], sink_root: str, checkpoi
 
 
 def unique_ips_by_hour(records: DataFrame, sink_root: str, checkpoint: str,
-                       state_partitions: int | None = None) -> StreamRun:
+                       state_partitions: int | None = None, trigger: dict | None = None) -> StreamRun:
     """True distinct IPs per hour: dedup (ip, hour) in state, then count per hour."""
     pairs = parsed(records).select("remote_addr", "hour").dropDuplicates(["remote_addr", "hour"])
     agg = pairs.groupBy("hour").agg(F.count(F.lit(1)).alias("unique_ips"))
     n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["hour"], bid),
-             state_partitions=state_partitions)
+             trigger=trigger, state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
@@ -153,14 +153,15 @@ def access_etl(records: DataFrame, sink_root: str, checkpoint: str) -> StreamRun
 
 
 def hourly_windows(records: DataFrame, sink_root: str, checkpoint: str,
-                   delay: str = "2 hours", state_partitions: int | None = None) -> StreamRun:
+                   delay: str = "2 hours", state_partitions: int | None = None,
+                   trigger: dict | None = None) -> StreamRun:
     """Event-time tumbling 1-hour windows with a watermark (bounded state), upserted per window."""
     windowed = (parsed(records).withWatermark("event_time", delay)
                 .groupBy(F.window("event_time", "1 hour")).agg(F.count(F.lit(1)).alias("hits")))
     out = windowed.select(F.unix_millis(F.col("window.start")).alias("window_start_ms"), "hits")
     n = _run(out, checkpoint,
              lambda b, bid: sinks.upsert_latest(b, sink_root, ["window_start_ms"], bid),
-             state_partitions=state_partitions)
+             trigger=trigger, state_partitions=state_partitions)
     return StreamRun(sink_root, checkpoint, n)
 
 
