@@ -120,12 +120,8 @@ def epoch_ms(time_local: str = "time_local", tz_offset: str = "tz_offset") -> Co
     return F.expr(f"unix_millis({event_time_sql(time_local, tz_offset)})")
 
 
-def hour_of_day(time_text: str = "time_local") -> Column:
-    return F.expr(hour_sql(time_text))
 
 
-def quote_fragments(line) -> Column:
-    return F.split(_c(line), '"', -1)
 
 
 def space_tokens(line) -> Column:
@@ -150,8 +146,6 @@ def strict_fields_sql(packed: str = "_packed") -> dict[str, str]:
     return {name: f"get({parts}, {i + 1})" for i, name in enumerate(STRICT_LOG_GROUPS)}
 
 
-def strict_parse_packed(line: str = "line") -> Column:
-    return F.expr(strict_packed_sql(line))
 
 
 def normalised_agent(agent) -> Column:

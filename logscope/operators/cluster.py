@@ -32,10 +32,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def kmeans(df: DataFrame, features_col: str = "scaledFeatures", k: int = K,
-           seed: int = SEED) -> DataFrame:
-    model = KMeans(featuresCol=features_col, k=k, seed=seed).fit(df)
-    return model.transform(df)
 
 
 def clustering_estimator(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:

@@ -52,8 +52,6 @@ def log_time_sql(ts: str) -> str:
             f"{two.format('minute', ts)}, ':', {two.format('second', ts)})")
 
 
-def log_time_text(ts: str = "ts") -> Column:
-    return F.expr(log_time_sql(ts))
 
 
 def line_sql() -> str:
