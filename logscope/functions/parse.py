@@ -120,10 +120,6 @@ def epoch_ms(time_local: str = "time_local", tz_offset: str = "tz_offset") -> Co
     return F.expr(f"unix_millis({event_time_sql(time_local, tz_offset)})")
 
 
-
-
-
-
 def space_tokens(line) -> Column:
     return F.split(_c(line), " ", -1)
 
@@ -146,8 +142,6 @@ def strict_fields_sql(packed: str = "_packed") -> dict[str, str]:
     return {name: f"get({parts}, {i + 1})" for i, name in enumerate(STRICT_LOG_GROUPS)}
 
 
-
-
 def normalised_agent(agent) -> Column:
     """Agent text up to its closing quote: drops a trailing '" "-' the lazy group swallows."""
     return F.regexp_extract(_c(agent), r'^([^"]*)', 1)

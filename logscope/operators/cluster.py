@@ -32,8 +32,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-
-
 def clustering_estimator(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:
     """assemble (fixed column order) -> standardise (unit std, no centring) -> KMeans."""
     return Pipeline(stages=[

@@ -52,8 +52,6 @@ def log_time_sql(ts: str) -> str:
             f"{two.format('minute', ts)}, ':', {two.format('second', ts)})")
 
 
-
-
 def line_sql() -> str:
     """Spark SQL text of the fixture line (FIXTURES.md §3), one expression.
 
