@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logscope.functions.plan import broadcast_if_small
+from logscope.functions.plan import BROADCAST_MAX_ROWS
 from logscope.session import scratch_dir
 
 
@@ -64,17 +64,36 @@ def frequency_index(df: DataFrame, columns: list[str]) -> DataFrame:
             .select("column", "value", "hits", (F.col("gidx") - F.col("_base")).alias("freq_index")))
 
 
-def apply_index(df: DataFrame, index: DataFrame, columns: list[str], suffix: str = "_index") -> DataFrame:
-    """Attach ``<col>_index`` (DOUBLE, as ML expects) for each indexed column."""
+SALTS = 16    # copies of a too-large-to-broadcast index, so a hot value spreads over 16 tasks
+
+
+def apply_index(df: DataFrame, index: DataFrame, columns: list[str], suffix: str = "_index",
+                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Attach ``<col>_index`` (DOUBLE, as ML expects) for each indexed column.
+
+    A column's index (one row per distinct value) is broadcast when its checked
+    size allows. Otherwise the join is salted: every request row gets a
+    deterministic salt ``pmod(xxhash64(row), SALTS)`` and the index is
+    replicated once per salt, so the join key is (value, salt). A hot value
+    (say a third of all requests on one URL) then spreads over SALTS tasks;
+    AQE does not split such a partition in this chain of outer joins (checked).
+    Every row matches exactly one copy, so the result is unchanged.
+    """
     sizes = {r["column"]: r["n"] for r in
              index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
-    out = df
+    big = [c for c in columns if sizes.get(c, 0) > max_broadcast_rows]
+    out = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))) if big else df
     for c in columns:
         idx = index.filter(F.col("column") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("freq_index").cast("double").alias(c + suffix))
-        idx = broadcast_if_small(idx, rows=sizes.get(c, 0))
-        out = out.join(idx, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-    return out
+        if c in big:
+            idx = idx.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(f"_s_{c}"))
+            cond = (out[c].cast("string") == F.col(f"_v_{c}")) & (F.col("_salt") == F.col(f"_s_{c}"))
+            out = out.join(idx, cond, "left").drop(f"_v_{c}", f"_s_{c}")
+        else:
+            idx = F.broadcast(idx)
+            out = out.join(idx, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    return out.drop("_salt") if big else out
 
 
 def assemble(df: DataFrame, inputs: list[str], output: str = "features") -> DataFrame:

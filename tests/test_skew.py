@@ -59,3 +59,21 @@ def test_hot_ip_counts_exact(spark):
     got = {r["remote_addr"]: r["hits"] for r in reports.hits_by(acc, "remote_addr").collect()}
     assert got["9.9.9.9"] == n_hot
     assert sum(got.values()) == acc.count()
+
+
+def test_hot_value_index_join_is_salted_and_exact(spark):
+    """Index tables too large to broadcast: joins on (value, salt) give the same result."""
+    from logscope.operators import features as FE
+    from logscope.plans.inputs import strict
+
+    req = strict(spark, SF_ORACLE).withColumn(
+        "url", F.when(F.col("event_id") % 3 == 0, F.lit("/hot")).otherwise(F.col("url")))
+    cols = ["ip", "url", "request_method", "referer", "user_agent"]
+    idx = FE.frequency_index(req, cols)
+    want = FE.apply_index(req, idx, cols).select("event_id", *[c + "_index" for c in cols])
+    got = FE.apply_index(req, idx, cols, max_broadcast_rows=0).select(
+        "event_id", *[c + "_index" for c in cols])
+    assert sorted(got.collect()) == sorted(want.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
+    assert joins and all("_salt#" in ln for ln in joins)
