@@ -74,3 +74,13 @@ def test_no_python_evaluation_in_any_batch_query(spark):
             continue
         plan = _plan(spec.build(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_strict_regex_evaluated_once_per_line(spark):
+    """The nine groups come from one regexp_replace; the filter reads the fenced result."""
+    from logscope.operators import parsing
+
+    df = parsing.strict_parse(lines(spark, SF_SMALL))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+    assert "regexp_extract(" not in plan
