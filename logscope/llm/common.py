@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.session import scratch_dir
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_shipped: set[str] = set()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,3 +30,27 @@ def keep_table(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(spark, label)}/table"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application (as --py-files would)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root, out = Path(__file__).resolve().parents[1], io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    path = f"{scratch_dir(spark, 'code')}/{root.name}.zip"
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at)
+    stream.write(bytearray(out.getvalue()))
+    stream.close()
+    sc.addPyFile(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` by a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, secret_scan
+from logscope.llm import exact_dedup, near_dedup, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +39,31 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of every document: four-word shingles, similarity of 0.8 or more."""
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=80)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.m = e.a),
+c AS (SELECT doc_id, min(m) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
+    "op10_near_dedup": op10_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op10_near_dedup": OP10_SQL}
