@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, near_dedup, secret_scan
+from logscope.llm import exact_dedup, near_dedup, piece_codec, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and the text they decode to."""
+    return piece_codec.digests(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progressive exact dedup of every document."""
     return exact_dedup.memberships(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -47,7 +52,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS w FROM documents),
+                                    '[^ 	-
+]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -62,6 +68,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 
 
 QUERIES: dict[str, Query] = {
+    "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_dedup": op10_near_dedup,
