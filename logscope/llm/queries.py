@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, near_dedup, piece_codec, secret_scan
+from logscope.llm import exact_dedup, near_dedup, packing, piece_codec, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 ids, lexical neighbours together."""
+    return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, and the text they decode to."""
     return piece_codec.digests(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -68,6 +73,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 
 
 QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
