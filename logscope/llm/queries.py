@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, near_dedup, packing, piece_codec, secret_scan
+from logscope.llm import exact_dedup, merkle, near_dedup, packing, piece_codec, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of every document and of its edited text."""
+    return merkle.neighbour_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by the blob ledger."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_fingerprints": op8_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_dedup": op10_near_dedup,
 }
