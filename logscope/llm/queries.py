@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, merkle, near_dedup, packing, piece_codec, secret_scan
+from logscope.llm import exact_dedup, lang_cnn, merkle, near_dedup, packing, piece_codec, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,14 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a byte CNN fitted on the rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    net = lang_cnn.fit(docs.where(~lang_cnn.held_out() & F.col("text").isNotNull()).select("lang", "text"))
+    return lang_cnn.predict(docs.select("doc_id", "text"), net) \
+        .select("doc_id", lang_cnn.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of every document and of its edited text."""
     return merkle.neighbour_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -81,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_dedup": op10_near_dedup,
