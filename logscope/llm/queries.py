@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, lang_cnn, merkle, near_dedup, packing, piece_codec, secret_scan
+from logscope.llm import exact_dedup, html_extract, lang_cnn, merkle, near_dedup, packing, piece_codec, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the consensus paths of its host."""
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids, lexical neighbours together."""
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -86,6 +91,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
