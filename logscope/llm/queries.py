@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, html_extract, lang_cnn, merkle, near_dedup, packing, piece_codec, secret_scan
+from logscope.llm import exact_dedup, html_extract, lang_cnn, merkle, near_dedup, packing, piece_codec, quality_lm, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a Kneser-Ney model of trusted text, and whether it is kept."""
+    return quality_lm.classify(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), read(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids, lexical neighbours together."""
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -92,6 +97,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
