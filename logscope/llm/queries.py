@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.llm import exact_dedup, html_extract, lang_cnn, merkle, near_dedup, packing, piece_codec, quality_lm, secret_scan
+from logscope.llm import exact_dedup, html_extract, lang_cnn, line_dedup, merkle, near_dedup, packing, piece_codec, quality_lm, secret_scan
 from logscope.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that an earlier document has."""
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a byte CNN fitted on the rows that are not held out."""
     docs = read(spark, sf_dir, "documents")
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_piece_codec": op4_piece_codec,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
     "op9_secret_scan": op9_secret_scan,
