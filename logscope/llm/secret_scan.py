@@ -123,6 +123,10 @@ def span_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
         ":", F.element_at(kinds, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _marked(least: int, mark: str):
+    return lambda part, i: F.when((i % 3 == 2) & (F.char_length(part) >= least), F.lit(mark)).otherwise(part)
+
+
 def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", mark: str = "[REDACTED]",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret found by ``scan`` replaced by ``mark``; other rows are unchanged."""
@@ -131,8 +135,6 @@ def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", mark: str
                        .select(F.col("path").alias("_path"), F.lit(True).alias("_dirty")).distinct(), "blob-dirty")
     clean = whole_text(text)
     for r in rules:
-        parts = F.transform(_parts(clean, r), lambda x, i, r=r: F.when(
-            (i % 3 == 2) & (F.char_length(x) >= r.least), F.lit(mark)).otherwise(x))
-        clean = F.array_join(parts, "")
+        clean = F.array_join(F.transform(_parts(clean, r), _marked(r.least, mark)), "")
     joined = docs.join(dirty, docs[path].eqNullSafe(F.col("_path")), "left")
     return joined.withColumn(text, F.when(F.col("_dirty"), clean).otherwise(F.col(text))).select(*docs.columns)
