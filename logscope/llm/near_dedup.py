@@ -145,7 +145,8 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
     ordered = forest.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
     pairs = map_arrow(ordered, _neighbours, "a long, b long, common int").where("a != b")
     pairs = keep_table(pairs.groupBy("a", "b").agg(F.struct(F.count(F.lit(1)), F.sum("common")).alias("weight")), "candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    # The list grows with the corpus: joined by shuffle at every size, never sent to all tasks.
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge")
     wanted = body.join(ids, body.doc_id == ids.id, "left_semi").select("doc_id", "body")
     sets = keep_table(map_arrow(wanted, _sets(k), "id long, shingles binary"), "shingle-sets")
 
