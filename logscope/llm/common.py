@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from logscope.session import scratch_dir
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _shipped: set[str] = set()
 
 
@@ -24,6 +23,20 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, doc_id: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone``, a table of one column."""
+    name = fresh(docs, "_gone")
+    return docs.join(gone.toDF(name).distinct(), docs[doc_id].cast("long").eqNullSafe(F.col(name)), "left_anti")
+
+
 def keep_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and reread it: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

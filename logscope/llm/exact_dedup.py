@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logscope.llm.common import keep_table, whole_text
+from logscope.llm.common import keep_table, whole_text, without_ids
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 PREFIX = 256
@@ -29,7 +29,7 @@ def normalised(text: str = "text") -> Column:
 
 def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(text_sha256, keep_id, group_size): one row per text that more than one row has."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("body"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), normalised(text).alias("body"))
     keyed = rows.select("doc_id", "body", F.octet_length("body").alias("n_bytes"),
                         F.xxhash64(F.substring("body", 1, PREFIX)).alias("prefix_hash"))
     keys = keep_table(keyed.groupBy("n_bytes", "prefix_hash").agg(F.count(F.lit(1)).alias("n")), "dedup-keys")
@@ -44,7 +44,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def memberships(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row per input row."""
-    digests = docs.select(F.col(doc_id).alias("doc_id"),
+    digests = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                           F.sha2(normalised(text).cast("binary"), 256).alias("text_sha256"))
     out = digests.join(duplicate_groups(docs, doc_id, text), "text_sha256", "left")
     keep = F.coalesce("keep_id", "doc_id")
@@ -54,5 +54,4 @@ def memberships(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of equal texts, those with the smallest doc_id."""
-    drop = memberships(docs, doc_id, text).where("NOT kept").select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(drop, docs[doc_id].eqNullSafe(F.col("_drop_id")), "left_anti")
+    return without_ids(docs, doc_id, memberships(docs, doc_id, text).where("NOT kept").select("doc_id"))

@@ -11,7 +11,10 @@ any size over many tasks. Candidates are confirmed on the full sets: first each
 promising one, then all others that lie in different components so far (a pair inside one
 component cannot change the result).
 
-At a similarity of 0.8 a pair misses one tree with probability 0.59 and all 24 with 3e-6.
+At a similarity of 0.8 a pair misses one tree with probability 0.49 and all 32 with 1e-10. In a
+dense region, where only the nearest rows are paired, a pair whose rivals are nearly as similar
+can be missed; near copies are still linked through each other, as each has up to
+``2 * NEAR * TREES`` partners.
 
 Defined results: a null text counts as empty; a text without words has no shingles, is linked
 with nothing and is its own component; rows that repeat one doc_id are one document (the first
@@ -29,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logscope.llm import wordhash
-from logscope.llm.common import keep_table, map_arrow, whole_text
+from logscope.llm.common import keep_table, map_arrow, whole_text, without_ids
 from logscope.llm.graph import components
 
-TREES, DEPTH, KEY = 24, 4, 16        # trees, least common prefix, values in a sort key
-NEAR, SMALL = 2, 8                   # neighbours in dense regions, rows of a region that is not dense
+TREES, DEPTH, KEY = 32, 3, 16        # trees, least common prefix, values in a sort key
+NEAR, SMALL = 6, 12                 # neighbours in dense regions, rows of a region that is not dense
 _SIZE = TREES * DEPTH
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, _SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -177,5 +180,4 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, that with the smallest doc_id."""
-    drop = near_duplicates(docs, k, percent, doc_id, text).where("NOT kept").select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(drop, docs[doc_id] == F.col("_drop_id"), "left_anti")
+    return without_ids(docs, doc_id, near_duplicates(docs, k, percent, doc_id, text).where("NOT kept").select("doc_id"))

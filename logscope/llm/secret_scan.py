@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logscope.llm.common import keep_table, whole_text
+from logscope.llm.common import fresh, keep_table, whole_text
 
 _A, _B, _C, _OTHER = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
 
@@ -131,10 +131,11 @@ def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", mark: str
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret found by ``scan`` replaced by ``mark``; other rows are unchanged."""
     versions, ledger, _ = scan(docs, None, rules, path, text)
+    key, flag = fresh(docs, "_path"), fresh(docs, "_dirty")
     dirty = keep_table(findings(versions, ledger, rules).where(F.size("spans") > 0)
-                       .select(F.col("path").alias("_path"), F.lit(True).alias("_dirty")).distinct(), "blob-dirty")
+                       .select(F.col("path").alias(key), F.lit(True).alias(flag)).distinct(), "blob-dirty")
     clean = whole_text(text)
     for r in rules:
         clean = F.array_join(F.transform(_parts(clean, r), _marked(r.least, mark)), "")
-    joined = docs.join(dirty, docs[path].eqNullSafe(F.col("_path")), "left")
-    return joined.withColumn(text, F.when(F.col("_dirty"), clean).otherwise(F.col(text))).select(*docs.columns)
+    joined = docs.join(dirty, docs[path].eqNullSafe(F.col(key)), "left")
+    return joined.withColumn(text, F.when(F.col(flag), clean).otherwise(F.col(text))).select(*docs.columns)
