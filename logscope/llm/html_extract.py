@@ -89,7 +89,7 @@ def blocks(html: str, by_name: bool = True) -> list[tuple[str, int, tuple[str, .
     page order. ``by_name`` leaves out elements whose class, id or role says they are no article."""
     out: list[tuple[str, int, tuple[str, ...]]] = []
     # Of each open element: tag, 0 readable / 1 headings only / 2 skipped, container paths.
-    stack: list[tuple[str, int, tuple[str, ...]]] = [("", 0, ())]
+    stack: list[tuple[str, int, tuple[str, ...]]] = [("", 0, ("page",))]
     buffer: list[str] = []
     linked, in_link, heading = 0, 0, 0
 
@@ -165,7 +165,7 @@ def blocks(html: str, by_name: bool = True) -> list[tuple[str, int, tuple[str, .
             state = 1 if any(p.rpartition(">")[2].startswith(("article", "main")) for p in paths) else 2
         if tag in _CONTAINERS:
             classes = sorted(set(_DIGITS.sub("", attrs.get("class", "").lower()).split()))
-            paths = (*paths, f"{paths[-1] if paths else ''}>{'.'.join([tag, *classes])}")
+            paths = (*paths, f"{paths[-1]}>{'.'.join([tag, *classes])}")
         in_link += tag == "a"
         heading += tag in _HEADINGS
         if not text.endswith("/") or tag in _BLOCKS:

@@ -64,13 +64,18 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.neighbour_edits(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _plus_one_if(rank: int):
+    return lambda n, x: n + (x == rank).cast("long")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by the blob ledger."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     versions, ledger, _ = secret_scan.scan(docs)
     found = secret_scan.findings(versions, ledger)
     base = {i: r.kind for i, r in enumerate(secret_scan.RULES) if r.base}
-    count = {kind: F.size(F.filter("spans", lambda s, i=i: s["rank"] == i)).cast("long") for i, kind in base.items()}
+    ranks = F.transform("spans", lambda s: s["rank"])
+    count = {kind: F.aggregate(ranks, F.lit(0).cast("long"), _plus_one_if(i)) for i, kind in base.items()}
     only_base = F.filter("spans", lambda s: s["rank"].isin(list(base)))
     return found.select(F.col("path").alias("doc_id"), *[c.alias(f"n_{k}") for k, c in count.items()],
                         F.sha2(secret_scan.span_text(only_base).cast("binary"), 256).alias("base_sha256"),
