@@ -1,0 +1,216 @@
+"""Packing, SentencePiece, the quality classifier and the pipeline against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from conftest import SF_SMALL
+from helpers import SCHEMA, base_secrets, documents, empty_documents, near_components, odd_documents, odd_rows, row
+from logscope.llm import exact_dedup, packing, piece_codec, quality_lm, queries, secret_scan
+from logscope.llm.common import keep_table
+
+PIECES = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(piece_codec.MODEL))
+TOKENS = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+TOKENS.encode_special_tokens = True
+
+
+def _same_as_library(texts):
+    model = piece_codec.load()
+    ids = model.encode(texts)
+    for t, got, back in zip(texts, ids, model.decode(ids)):
+        want = PIECES.encode(t, add_bos=True, add_eos=True)
+        assert np.frombuffer(got, "<u4").tolist() == want and back == PIECES.decode(want), t[:80]
+
+
+def test_pieces_fixed_cases():
+    _same_as_library(["", " ", "  ", "\n", " \n ", "a", "▁", "a▁b", "\n\n", "👍", "a  b", "x" * 1000, "ab" * 500, " " * 300,
+                      "日本語テキスト" * 50, "<s> </s> <0x0A> <unk>", "\x00\x01", "é" * 200, "\r\n\t", "the " * 300])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"abcdetnrs  \n\t▁éß", "the", "日", "👍", "    ", "ing", "xxxxx", "ﬁ"]), max_size=80).map("".join))
+def test_pieces_like_the_library(text):
+    _same_as_library([text])
+
+
+def test_long_words_use_the_heap():
+    rng = np.random.default_rng(3)
+    _same_as_library(["".join(rng.choice(list("thesinra"), n)) for n in (126, 127, 128, 129, 130, 400, 3000)])
+
+
+def test_pieces_query_and_round_trip(spark):
+    got = {r.doc_id: r for r in queries.op4_piece_codec(spark, SF_SMALL).collect()}
+    for r in documents(spark, SF_SMALL).collect():
+        want, g = PIECES.encode(r.text, add_bos=True, add_eos=True), got[r.doc_id]
+        assert (g.n_tokens, g.ids_sha256) == (len(want), hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest())
+        assert g.decoded_sha256 == hashlib.sha256(PIECES.decode(want).encode()).hexdigest()
+    back = piece_codec.decode(piece_codec.encode(odd_documents(spark))).collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter((r[0], (r[1] or "").replace("▁", " ")) for r in odd_rows())
+    assert piece_codec.digests(empty_documents(spark)).count() == 0
+
+
+def _check_packed(rows, texts):
+    """Every id in exactly one piece, sequences gapless and without padding."""
+    ids = [TOKENS.encode(t or "", add_special_tokens=False).ids + [0] for _, t in texts]
+    want = Counter((d, len(x)) for (d, _), x in zip(texts, ids))
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    if len({d for d, _ in texts}) == len(texts):
+        for (d, _), x in zip(texts, ids):
+            at = 0
+            for r in sorted(by_doc[d], key=lambda r: r.start):
+                assert r.start == at and r.doc_tokens == len(x) and r.length > 0
+                assert r.ids_crc32 == zlib.crc32(np.array(x[at:at + r.length], "<u4").tobytes())
+                at += r.length
+            assert at == len(x)
+    assert sum(r.length for r in rows) == sum(n * c for (_, n), c in want.items())
+    for parts in by_sequence.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.WINDOW and (at & (at - 1)) == 0      # 1024, or another power of two
+
+
+def test_packing_against_the_tokenizer(spark):
+    _check_packed(queries.op3_packing(spark, SF_SMALL).collect(), [(r.doc_id, r.text) for r in documents(spark, SF_SMALL).collect()])
+
+
+def test_packing_odd_rows(spark):
+    _check_packed(packing.pack(odd_documents(spark)).collect(), [(r[0], r[1]) for r in odd_rows()])
+    assert packing.pack(empty_documents(spark)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1 .'  \n\t é", "the", "日", "'s", "  ", "\n\n", " \n", "<|endoftext|>"]), max_size=40).map("".join))
+def test_words_apart_give_the_tokenizers_ids(text):
+    got = np.frombuffer(packing.load().encode([text])[0], "<u2").tolist()
+    assert got == TOKENS.encode(text, add_special_tokens=False).ids + [0]
+
+
+def test_neighbours_are_the_best_by_bm25(spark):
+    """Texts about one subject end up in one sequence, whatever their ids."""
+    rows = [(i, " ".join(f"subject{i % 6}word{j}" for j in range(12))) for i in range(48)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    order = sorted(got, key=lambda r: (r.sequence_id, r.offset))
+    changes = sum(a.doc_id % 6 != b.doc_id % 6 for a, b in zip(order, order[1:]))
+    assert changes <= 16
+
+
+def _brute_model(texts):
+    """Interpolated modified Kneser-Ney over character classes, dense and in one place."""
+    n = quality_lm.CLASSES
+    counts = np.zeros((n, n, n))
+    for t in texts:
+        code, _ = quality_lm._symbols([t])
+        np.add.at(counts, (code >> 12, (code >> 6) & 63, code & 63), 1)
+    orders = [(counts > 0).sum(0), counts]
+    orders.insert(0, (orders[0] > 0).sum(0))
+    lower = np.full(n, 1 / n)
+    for c in orders:
+        k = [int((c == i).sum()) for i in (1, 2, 3, 4)]
+        d = [0.5] * 3
+        if k[0] and k[1] and k[2]:
+            y = k[0] / (k[0] + 2 * k[1])
+            d = [max(0.05, i - (i + 1) * y * k[i] / k[i - 1]) for i in (1, 2, 3)]
+        less = np.array([0, *d])[np.minimum(c, 3).astype(int)]
+        total = c.sum(-1, keepdims=True)
+        lower = np.where(total > 0, (c - less + less.sum(-1, keepdims=True) * lower) / np.maximum(total, 1), lower)
+    return lower
+
+
+def test_quality_scores_against_brute_force(spark):
+    docs = documents(spark, SF_SMALL)
+    rows = {r.doc_id: r for r in docs.collect()}
+    trusted = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect() if r.quality == 1}
+    got = {r.doc_id: r for r in queries.op2_quality(spark, SF_SMALL).collect()}
+    assert got.keys() == rows.keys()
+    for lang in {r.lang for r in rows.values()}:
+        model = _brute_model([rows[d].text for d in sorted(trusted) if rows[d].lang == lang])
+        assert np.allclose(model.sum(-1), 1)
+        for d, r in rows.items():
+            if r.lang == lang:
+                code, _ = quality_lm._symbols([r.text])
+                rate = -np.log(model[code >> 12, (code >> 6) & 63, code & 63]).mean()
+                assert math.isclose(math.log(got[d].perplexity), rate, rel_tol=1e-4) and got[d].n_symbols == len(r.text) + 1
+
+
+def test_quality_keeps_the_good_and_finds_junk(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    got = queries.op2_quality(spark, "/root/testdata/sf0.01").collect()
+    good = [r.kept for r in got if labels.get(r.doc_id) == 1]
+    junk = [r.kept for r in got if labels.get(r.doc_id) == 0]
+    assert np.mean(good) > 0.99 and np.mean(junk) < 0.4
+
+
+def test_quality_odd_rows(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (8, 1), (None, 1), (6, 0), (7, None)], "doc_id long, quality int")
+    got = quality_lm.classify(odd_documents(spark), labels).collect()
+    assert len(got) == len(odd_rows())
+    by = {r.doc_id: r for r in got}
+    assert by[3].kept and by[4].kept and by[3].n_symbols == 1 and by[13].lang == by[14].lang == "*" and by[1].lang == "en"
+    none = quality_lm.classify(odd_documents(spark), labels.where("quality = 9")).collect()
+    assert len(none) == len(odd_rows()) and all(r.kept and r.perplexity is None for r in none)
+    assert quality_lm.classify(empty_documents(spark), labels).count() == 0
+    kept = quality_lm.drop_rejected(odd_documents(spark), labels)
+    assert kept.columns == odd_documents(spark).columns
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "secret_scan", "packing"]
+    docs, seen = documents(spark, SF_SMALL), {}
+    columns = docs.columns
+    rows = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = keep_table(stage(spark, docs, SF_SMALL), "test-stage")
+        assert docs.columns == columns
+        seen[name] = {r.doc_id: r for r in docs.collect()}
+    kept = {r.doc_id for r in queries.op2_quality(spark, SF_SMALL).collect() if r.kept}
+    assert seen["quality"].keys() == kept and all(seen["quality"][d] == rows[d] for d in kept)
+    first = {}
+    for d in sorted(kept):
+        first.setdefault(" ".join(rows[d].text.replace("\n", " ").split(" ")), d)
+    assert seen["exact_dedup"].keys() == set(first.values())
+    parts = near_components([(d, rows[d].text) for d in seen["exact_dedup"]], 5)
+    assert seen["near_dedup"].keys() == {d for d, (_, c) in parts.items() if c == d}
+    assert seen["secret_scan"].keys() == seen["near_dedup"].keys()
+    for d, r in seen["secret_scan"].items():
+        assert not base_secrets(r.text) and r.n_chars == len(r.text)
+        if not base_secrets(rows[d].text) and "PRIVATE KEY" not in rows[d].text:
+            assert r == rows[d]
+    _check_packed(corpus_pipeline.run(spark, SF_SMALL).collect(), [(d, r.text) for d, r in seen["secret_scan"].items()])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages_on_odd_and_empty_tables(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for docs in (odd_documents(spark), empty_documents(spark)):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.count() >= 0 and (name == "packing" or out.columns == docs.columns)
+
+
+def test_every_operator_has_a_query():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+
+
+def test_stage_functions_do_not_depend_on_unused_columns(spark):
+    docs = spark.createDataFrame([row(1, "token=abcdef77 here"), row(2, "nothing")], SCHEMA)
+    assert secret_scan.redact(docs.select("doc_id", "text")).columns == ["doc_id", "text"]
+    assert exact_dedup.drop_duplicates(docs.select("text", "doc_id")).columns == ["text", "doc_id"]
