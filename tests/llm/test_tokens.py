@@ -102,6 +102,12 @@ def test_words_apart_give_the_tokenizers_ids(text):
     assert got == TOKENS.encode(text, add_special_tokens=False).ids + [0]
 
 
+def test_white_space_of_all_kinds():
+    texts = ["x  a\tb", "\t a\tb", "a\n\t\tb", "a \t b", " a", "a ", "a\n", "\n", "", "a\u00a0b c", "a\x1cb c", "a\u3000 b", "y" * 3000 + " z"]
+    for t, got in zip(texts, packing.load().encode(texts)):
+        assert np.frombuffer(got, "<u2").tolist() == TOKENS.encode(t, add_special_tokens=False).ids + [0], t[:20]
+
+
 def test_neighbours_are_the_best_by_bm25(spark):
     """Texts about one subject end up in one sequence, whatever their ids."""
     rows = [(i, " ".join(f"subject{i % 6}word{j}" for j in range(12))) for i in range(48)]
