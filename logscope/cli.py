@@ -5,8 +5,11 @@
     python -m logscope.cli activity --input '/logs/*.txt' --output /tables/ip_activity
     python -m logscope.cli geo      --input '/logs/*.txt' --ranges /tables/geo_ranges --output /tables/by_region
     python -m logscope.cli cluster  --input '/logs/*.txt' --what requests|ips --output /tables/clusters
+    python -m logscope.cli geo-replies --input '/replies/*.json' --output /tables/by_region
     python -m logscope.cli stream   --report url --files /incoming | --kafka host:9092 --topic test
                                     --sink /tables/url_totals --checkpoint /ckpt/url_totals [--once]
+                                    (also unique_ips_by_hour, hourly_windows, ip_hourly, etl, dedup, topn)
+    python -m logscope.cli fold     --sink /tables/url_totals --keys request_url [--sum hits]
 
 Every job reads with Spark, writes parquet with Spark and prints nothing but a
 one-line summary; the session (cluster, memory, shuffle width) comes from
@@ -18,10 +21,10 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.operators import activity, cluster, geo, parsing, reports
+from logscope.operators import activity, cluster, geo, parsing, reports, sinks
 from logscope.streaming import jobs, sources
 
 # report name -> grouping columns of the access table
@@ -37,14 +40,19 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write(df: DataFrame, out: str) -> int:
-    df.write.mode("overwrite").parquet(out)
-    return df.sparkSession.read.parquet(out).count()
+    """Write and count in one pass."""
+    seen = Observation("written")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
+    return seen.get["n"]
+
+
+STREAMS = ["unique_ips_by_hour", "unique_ips_batch_sum", "hourly_windows", "ip_hourly", "etl", "dedup", "topn"]
 
 
 def run(argv: list[str], spark: SparkSession | None = None) -> str:
     p = argparse.ArgumentParser(prog="logscope")
     sub = p.add_subparsers(dest="job", required=True)
-    for name in ("etl", "report", "activity", "geo", "cluster"):
+    for name in ("etl", "report", "activity", "geo", "geo-replies", "cluster"):
         s = sub.add_parser(name)
         s.add_argument("--input", required=True)
         s.add_argument("--output", required=True)
@@ -56,47 +64,59 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
         if name == "cluster":
             s.add_argument("--what", choices=["requests", "ips"], default="ips")
     s = sub.add_parser("stream")
-    s.add_argument("--report", choices=sorted(REPORTS) + ["unique_ips_by_hour", "hourly_windows"],
-                   required=True)
+    s.add_argument("--report", choices=sorted(REPORTS) + STREAMS, required=True)
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--files")
     src.add_argument("--kafka")
     s.add_argument("--topic", default="test")
     s.add_argument("--sink", required=True)
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--top", type=int, default=10, help="rows per micro-batch of topn")
     s.add_argument("--once", action="store_true", help="drain what is there, then stop")
+    s = sub.add_parser("fold", help="maintenance of a stream's sink")
+    s.add_argument("--sink", required=True)
+    s.add_argument("--keys", default="", help="comma-separated key columns; none keeps all rows")
+    s.add_argument("--sum", default="", help="column that is summed per key")
     a = p.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"logscope-{a.job}").getOrCreate()
     if a.job == "stream":
         return _stream(spark, a)
+    if a.job == "fold":
+        return f"fold: up to batch {sinks.fold(spark, a.sink, [k for k in a.keys.split(',') if k], a.sum or None)}"
     lines = _lines(spark, a.input)
     if a.job == "etl":
-        acc = parsing.access_table(lines, keep=())
-        n = _write(acc.select(*parsing.ACCESS_COLUMNS, "tz_offset", "epoch_ms", "hour"), a.output)
-        q = _write(parsing.quarantine(lines, keep=()), a.output.rstrip("/") + "_quarantine")
+        split = parsing.split_parse(lines, keep=()).persist()
+        try:
+            n = _write(split.where("reject IS NULL").select(
+                *parsing.ACCESS_COLUMNS, "tz_offset", F.unix_millis("_event_time").alias("epoch_ms"), "hour"), a.output)
+            q = _write(split.where("reject IS NOT NULL").select("line", F.col("reject").alias("reason")),
+                       a.output.rstrip("/") + "_quarantine")
+        finally:
+            split.unpersist()
         return f"etl: {n} rows, {q} quarantined"
     if a.job == "report":
-        acc = parsing.access_table(lines, keep=())
         if a.report == "unique_ips_by_hour":
-            out = reports.unique_ips_by_hour(acc)
-        elif a.top:
-            out = reports.top_n(acc, a.top, *REPORTS[a.report])
+            out = reports.unique_ips_by_hour(parsing.report_rows(lines, "remote_addr", "hour"))
         else:
-            out = reports.ranked(acc, *REPORTS[a.report])
+            keys = REPORTS[a.report]
+            rows = parsing.hourly_rows(lines) if keys == ["hour"] else parsing.report_rows(lines, *keys)
+            out = reports.top_n(rows, a.top, *keys) if a.top else reports.ranked(rows, *keys)
         return f"report {a.report}: {_write(out, a.output)} rows"
     if a.job == "activity":
-        out = activity.trailing_activity(parsing.access_table(lines, keep=()))
+        out = activity.trailing_activity(parsing.report_rows(lines, "remote_addr", "epoch_ms"))
         return f"activity: {_write(out, a.output)} rows"
     if a.job == "geo":
         out = geo.ips_by_region(lines, spark.read.parquet(a.ranges))
         return f"geo: {_write(out, a.output)} rows"
+    if a.job == "geo-replies":
+        return f"geo-replies: {_write(geo.replies_by_region(geo.parse_replies(lines)), a.output)} rows"
     requests = parsing.strict_parse(lines.withColumn("event_id", F.monotonically_increasing_id()))
     if a.what == "ips":
-        out = cluster.ip_clusters(requests).select("ip", *cluster.IP_FEATURES, "prediction")
+        out = cluster.projection(cluster.ip_clusters(requests)).select("ip", *cluster.IP_FEATURES, "prediction", "x", "y")
     else:
-        out = cluster.request_clusters(requests).select("event_id", *cluster.REQUEST_COLUMNS,
-                                                        "prediction")
+        out = cluster.projection(cluster.request_clusters(requests)).select(
+            "event_id", *cluster.REQUEST_COLUMNS, "prediction", "x", "y")
     return f"cluster {a.what}: {_write(out, a.output)} rows"
 
 
@@ -106,13 +126,16 @@ def _stream(spark: SparkSession, a) -> str:
     else:
         records = sources.kafka_records(spark, a.kafka, a.topic)
     trigger = {"availableNow": True} if a.once else {"processingTime": "1 second"}
-    if a.report == "unique_ips_by_hour":
-        run_ = jobs.unique_ips_by_hour(records, a.sink, a.checkpoint, trigger=trigger)
-    elif a.report == "hourly_windows":
-        run_ = jobs.hourly_windows(records, a.sink, a.checkpoint, trigger=trigger)
+    named = {"unique_ips_by_hour": jobs.unique_ips_by_hour, "unique_ips_batch_sum": jobs.unique_ips_batch_sum,
+             "hourly_windows": jobs.hourly_windows, "ip_hourly": jobs.ip_hourly_counts,
+             "etl": jobs.access_etl, "dedup": jobs.dedup}
+    if a.report in named:
+        done = named[a.report](records, a.sink, a.checkpoint, trigger=trigger)
+    elif a.report == "topn":
+        done = jobs.batch_top_n(records, "request_url", a.top, a.sink, a.checkpoint, trigger=trigger)
     else:
-        run_ = jobs.running_totals(records, REPORTS[a.report], a.sink, a.checkpoint, trigger=trigger)
-    return f"stream {a.report}: {run_.batches} micro-batches"
+        done = jobs.running_totals(records, REPORTS[a.report], a.sink, a.checkpoint, trigger=trigger)
+    return f"stream {a.report}: {done.batches} micro-batches, {done.unusable} of {done.records} records without its fields"
 
 
 def main() -> None:

@@ -36,9 +36,14 @@ IP_FIND_REGEX = r"(\d+\.\d+\.\d+\.\d+)"
 # Timestamp layout of the log (with the numeric offset appended).
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
+# What a usable address and the beginning of a usable time look like.
+ADDRESS_REGEX = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+TIME_REGEX = r"^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:"
+
 MIN_LINE_LENGTH = 10   # keep lines strictly longer than this
 MIN_LINE_TOKENS = 10   # keep lines with strictly more space tokens than this
 
+# The columns of the access table.
 ACCESS_COLUMNS = ["remote_addr", "remote_user", "time_local", "status", "body_bytes_send",
                   "request_method", "request_url", "http_version", "http_referer",
                   "http_user_agent"]
@@ -56,25 +61,34 @@ def _c(c) -> Column:
 # ---------------------------------------------------------------- split parser
 
 def split_fields_sql(line: str = "line") -> dict[str, str]:
-    """Quote-split parse: fragment 0 = head, 1 = request, 2 = status/bytes, 3 = referer, 5 = agent."""
-    q = f"split({line}, '\"', -1)"
-    head = f"split(get({q}, 0), ' ', -1)"
-    req = f"split(get({q}, 1), ' ', -1)"
-    sb = f"split(trim(get({q}, 2)), ' ', -1)"
+    """Every field of a line, each by its own rule: NULL when that field is unusable, whatever the others are.
+
+    Whole-line space tokens 0, 3, 4 = address, time, offset; quote-split fragments 1 = request,
+    2 = status and bytes, 3 = referer, 5 = agent. A URL may hold spaces: it is all between the
+    method and the version. A size of ``-`` is NULL.
+    """
+    q, tok = f"split({line}, '\"', -1)", f"split({line}, ' ', -1)"
+    req, sb = f"split(get({q}, 1), ' ', -1)", f"split(trim(get({q}, 2)), ' ', -1)"
+    addr, last = f"get({tok}, 0)", f"get({req}, size({req}) - 1)"
+    time_local = f"if(startswith(get({tok}, 3), '['), substring(get({tok}, 3), 2), NULL)"
+    version = f"if(startswith({last}, 'HTTP/'), {last}, NULL)"
+    n_url = f"size({req}) - if(startswith({last}, 'HTTP/'), 2, 1)"
     return {
-        "remote_addr": f"get({head}, 0)",
+        "remote_addr": f"if({addr} RLIKE {sql_str(ADDRESS_REGEX)}, {addr}, NULL)",
         "remote_user": "'- -'",
-        "time_local": f"substring(get({head}, 3), 2)",
-        "tz_offset": _strip_bracket(f"get({head}, 4)"),
-        "request_method": f"get({req}, 0)",
-        "request_url": f"get({req}, 1)",
-        "http_version": f"get({req}, 2)",
+        "time_local": time_local,
+        "tz_offset": _strip_bracket(f"get({tok}, 4)"),
+        "hour": f"if({time_local} RLIKE {sql_str(TIME_REGEX)}, substring({time_local}, 13, 2), NULL)",
+        "day": f"if({time_local} RLIKE {sql_str(TIME_REGEX)}, try_cast(substring({time_local}, 1, 2) AS INT), NULL)",
+        "request_method": f"if(get({req}, 0) RLIKE '^[A-Za-z]+$', get({req}, 0), NULL)",
+        "request_url": f"if({n_url} > 0, nullif(array_join(slice({req}, 2, {n_url}), ' '), ''), NULL)",
+        "http_version": version,
         "status": f"try_cast(get({sb}, 0) AS INT)",
-        "body_bytes_send": f"try_cast(get({sb}, 1) AS INT)",
+        "body_bytes_send": f"try_cast(get({sb}, 1) AS BIGINT)",
         "http_referer": f"get({q}, 3)",
         "http_user_agent": f"get({q}, 5)",
+        "tokens": f"size({tok})",
         "_fragments": f"size({q})",
-        "_request_tokens": f"size({req})",
     }
 
 
@@ -94,12 +108,16 @@ def event_time_sql(time_local: str = "time_local", tz_offset: str = "tz_offset")
 
 
 def reject_sql(line: str = "line", event_time: str | None = None) -> str:
-    """First rule a split-parsed line breaks (NULL = valid), over the split field columns."""
+    """First reason why a line is no use to the log table (NULL = usable), over the field columns.
+
+    Only what every record must have counts: an address, a time and a status. A missing size,
+    request, referer or agent is a NULL field of a good record.
+    """
     event_time = event_time or event_time_sql()
     return f"""CASE WHEN length({line}) <= {MIN_LINE_LENGTH} THEN 'too_short'
-  WHEN _fragments < 6 THEN 'no_request'
-  WHEN _request_tokens <> 3 THEN 'bad_request'
-  WHEN status IS NULL OR body_bytes_send IS NULL THEN 'bad_status'
+  WHEN _fragments < 3 THEN 'no_request'
+  WHEN remote_addr IS NULL THEN 'bad_address'
+  WHEN status IS NULL THEN 'bad_status'
   WHEN {event_time} IS NULL THEN 'bad_time' END"""
 
 
@@ -149,13 +167,17 @@ def normalised_agent(agent) -> Column:
 
 # --------------------------------------------------------------- keys and IPs
 
-def row_key(ip, time_local, line, ordinal) -> Column:
-    """Deterministic, replay-safe key: ip_time_sha256(ordinal:line).
+def row_key(ip, time_local, line, source, position) -> Column:
+    """Deterministic, replay-safe key: ip_time_sha256(source:position:line).
 
-    The ordinal (source offset) separates genuinely identical lines; a replay of
-    the same record reproduces the same key.
+    Source and position name the record (topic and partition with the offset, or a file with
+    the place in it), so equal lines of different records differ and a replay repeats its key.
+    A record without them raises: a key made of less would merge records.
     """
-    digest = F.sha2(F.concat(_c(ordinal).cast("string"), F.lit(":"), _c(line)), 256)
+    def named(c) -> Column:
+        c = _c(c).cast("string")
+        return F.when(c.isNull(), F.raise_error(F.lit("a record has no source or position")).cast("string")).otherwise(c)
+    digest = F.sha2(F.concat(named(source), F.lit(":"), named(position), F.lit(":"), _c(line)), 256)
     return F.concat_ws("_", _c(ip), _c(time_local), digest)
 
 

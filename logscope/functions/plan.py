@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from logscope.session import scratch_dir
 
 
 def fence(df: DataFrame) -> DataFrame:
@@ -18,15 +19,9 @@ def fence(df: DataFrame) -> DataFrame:
     return df.selectExpr("inline(array(struct(*)))")
 
 
-# A broadcast table is shipped whole to every executor: keep it well below
-# executor memory. Sides are counted (one cheap job over a small input) before
-# the hint is applied; anything larger is left to a shuffle join, where AQE can
-# still split skewed partitions.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a checked row count (``rows`` when already known)."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared scratch space and reread: later passes read only the
+    columns they use, and a lost executor loses nothing. ``session.drop_scratch`` removes it."""
+    path = f"{scratch_dir(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

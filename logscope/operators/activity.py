@@ -5,10 +5,9 @@ the reference's report is: hits with ``ts >= last_seen - span``. One IP may
 hold a third of all rows, so nothing here is keyed by the IP alone over raw
 rows (no ``Window.partitionBy(ip)``, no row-level join on ip):
 
-1. rows are partitioned once by ``(ip, hour bucket)`` — a hot IP spreads over
-   the hours it was active — compacted to (ip, bucket, ts) counts and written
-   once (``checkpoint`` into the shared folder); the hourly table (ip, bucket)
-   is aggregated in the same partitions;
+1. rows are compacted to (ip, bucket, ts) counts, combined in each task before
+   the shuffle, and written once to the shared folder; the hourly table
+   (ip, bucket) comes from it;
 2. ``last_seen`` per IP is a partial aggregate; per (ip, span) it gives the
    boundary ``lo = last_seen - span`` and its bucket ``b``;
 3. whole buckets after ``b`` come from the hourly table joined on ip — its rows
@@ -25,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logscope.session import scratch_dir
+from logscope.functions.plan import written
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
@@ -38,13 +37,10 @@ def trailing_activity(access: DataFrame, spans: dict[str, int] | None = None,
     """Per IP: last_seen_ms and, per span, hits with ``ts >= last_seen_ms - span``."""
     spans = spans or TRAILING_SPANS
     rows = access.select(ip, ts, F.floor(F.col(ts) / bucket_ms).cast("bigint").alias("_b"))
-    scratch_dir(access.sparkSession)      # checkpoint folder (shared on a cluster)
     # Written once: the four branches below would otherwise each re-derive it
     # from the raw input (the optimizer rewrites each branch differently, so
     # Spark cannot reuse one exchange for all of them).
-    compact = (rows.repartition(ip, "_b")
-               .groupBy(ip, "_b", ts).agg(F.count(F.lit(1)).alias("_n"))
-               .checkpoint(eager=True))
+    compact = written(rows.groupBy(ip, "_b", ts).agg(F.count(F.lit(1)).alias("_n")), "activity")
     hourly = compact.groupBy(ip, "_b").agg(F.sum("_n").alias("_nb"))
     last = compact.groupBy(ip).agg(F.max(ts).alias("last_seen_ms"))
     per_span = F.explode(F.array(*[

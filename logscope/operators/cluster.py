@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logscope.functions.plan import written
 from logscope.operators import features as FE
 from logscope.operators import grouped
-from logscope.session import scratch_dir
 
 K = 5
 SEED = 42
@@ -23,13 +24,12 @@ IP_FEATURES = ["distinct_urls", "distinct_methods", "distinct_user_agents"]
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the model input once (reliable checkpoint in the shared checkpoint folder).
+    """Write the model input once, as columns.
 
     The scaler fit, the k-means|| initialisation and every Lloyd iteration
     read their input again; without this each pass re-parses the raw log.
     """
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return written(df, "model-input")
 
 
 def clustering_estimator(inputs: list[str], k: int = K, seed: int = SEED) -> Pipeline:
@@ -42,22 +42,40 @@ def clustering_estimator(inputs: list[str], k: int = K, seed: int = SEED) -> Pip
 
 
 def indexed_requests(requests: DataFrame) -> DataFrame:
-    """Requests with the frequency index of each of the five request columns."""
-    index = FE.frequency_index(requests, REQUEST_COLUMNS)
-    return materialise(FE.apply_index(requests, index, REQUEST_COLUMNS))
+    """Requests with the frequency index of each of the five request columns; nothing else is carried."""
+    slim = requests.select(*[c for c in ("event_id", "status", *REQUEST_COLUMNS) if c in requests.columns])
+    index = FE.frequency_index(slim, REQUEST_COLUMNS)
+    return materialise(FE.apply_index(slim, index, REQUEST_COLUMNS))
+
+
+def with_nearest(model, clustered: DataFrame, name: str = "is_nearest") -> DataFrame:
+    """Whether each row's cluster is that of the nearest centre (ties count), by plain arithmetic."""
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]       # k short vectors
+    point = vector_to_array("scaledFeatures")
+    far = [sum(((point[i] - F.lit(x)) * (point[i] - F.lit(x)) for i, x in enumerate(c)), F.lit(0.0)) for c in centres]
+    own = F.element_at(F.array(*far), F.col("prediction") + 1)
+    return clustered.withColumn(name, own <= F.least(*far) + 1e-9 if len(far) > 1 else F.lit(True))
 
 
 def request_clusters(requests: DataFrame) -> DataFrame:
     """strict parse -> frequency index -> Pipeline(assemble, scale, KMeans k=5)."""
     indexed = indexed_requests(requests)
     inputs = [c + "_index" for c in REQUEST_COLUMNS]
-    return clustering_estimator(inputs).fit(indexed).transform(indexed)
+    model = clustering_estimator(inputs).fit(indexed)
+    return with_nearest(model, model.transform(indexed))
 
 
 def ip_clusters(requests: DataFrame) -> DataFrame:
     """per-IP distinct counts -> Pipeline(assemble, scale, KMeans k=5)."""
     feats = materialise(FE.ip_features(requests))
-    return clustering_estimator(IP_FEATURES).fit(feats).transform(feats)
+    model = clustering_estimator(IP_FEATURES).fit(feats)
+    return with_nearest(model, model.transform(feats))
+
+
+def sampled(df: DataFrame, key: str = "event_id", one_in: int = 10) -> DataFrame:
+    """A repeatable sample: rows whose key's MD5 is 0 modulo ``one_in``."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return df.where(digest % one_in == 0)
 
 
 def projection(clustered: DataFrame, features_col: str = "features") -> DataFrame:

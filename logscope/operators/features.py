@@ -11,9 +11,9 @@ every label on the driver; here the label table stays distributed:
 4. index = offset of the partition + position inside it, minus the first
    index of the column.
 
-The sorted table is checkpointed into the shared checkpoint folder before it is
-consumed twice, so partition ids and positions are stable (a recomputed
-range partitioner could draw different bounds).
+The sorted table is written to the shared folder, partition ids and positions
+included, before it is consumed twice (a recomputed range partitioner could
+draw different bounds).
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logscope.functions.plan import BROADCAST_MAX_ROWS
-from logscope.session import scratch_dir
+from logscope.functions.plan import written
 
 
 def ip_features(requests: DataFrame, ip: str = "ip") -> DataFrame:
@@ -37,11 +36,9 @@ def ip_features(requests: DataFrame, ip: str = "ip") -> DataFrame:
 
 def global_index(df: DataFrame, order: list, name: str = "gidx") -> DataFrame:
     """Dense 0-based position of every row in ``order`` (which must be a total order)."""
-    scratch_dir(df.sparkSession)  # make sure a checkpoint folder is set
-    tagged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = written(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_mid", F.monotonically_increasing_id()), "ordered")
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_offset"))
@@ -64,36 +61,31 @@ def frequency_index(df: DataFrame, columns: list[str]) -> DataFrame:
             .select("column", "value", "hits", (F.col("gidx") - F.col("_base")).alias("freq_index")))
 
 
-SALTS = 16    # copies of a too-large-to-broadcast index, so a hot value spreads over 16 tasks
+HEAVY = 1000    # a value with more than 1 / HEAVY of all rows is heavy: at most HEAVY values of a column are
 
 
-def apply_index(df: DataFrame, index: DataFrame, columns: list[str], suffix: str = "_index",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def apply_index(df: DataFrame, index: DataFrame, columns: list[str], suffix: str = "_index") -> DataFrame:
     """Attach ``<col>_index`` (DOUBLE, as ML expects) for each indexed column.
 
-    A column's index (one row per distinct value) is broadcast when its checked
-    size allows. Otherwise the join is salted: every request row gets a
-    deterministic salt ``pmod(xxhash64(row), SALTS)`` and the index is
-    replicated once per salt, so the join key is (value, salt). A hot value
-    (say a third of all requests on one URL) then spreads over SALTS tasks;
-    AQE does not split such a partition in this chain of outer joins (checked).
-    Every row matches exactly one copy, so the result is unchanged.
+    The few heavy values of a column, by the counts that the index has already, are joined from
+    a broadcast of at most ``HEAVY`` rows; all others by a plain equi-join, whose largest key
+    then holds no more than 1 / ``HEAVY`` of the rows. Rows that are done get a key that matches
+    nothing, spread by their hash.
     """
-    sizes = {r["column"]: r["n"] for r in
-             index.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
-    big = [c for c in columns if sizes.get(c, 0) > max_broadcast_rows]
-    out = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))) if big else df
+    totals = index.groupBy("column").agg(F.sum("hits").alias("_all"))                 # one row per column
+    tagged = index.join(F.broadcast(totals), "column").withColumn("_heavy", F.col("hits") * HEAVY > F.col("_all"))
+    tagged = written(tagged.select("column", "value", F.col("freq_index").cast("double").alias("freq_index"), "_heavy"), "index")
+    out = df
     for c in columns:
-        idx = index.filter(F.col("column") == c).select(
-            F.col("value").alias(f"_v_{c}"), F.col("freq_index").cast("double").alias(c + suffix))
-        if c in big:
-            idx = idx.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(f"_s_{c}"))
-            cond = (out[c].cast("string") == F.col(f"_v_{c}")) & (F.col("_salt") == F.col(f"_s_{c}"))
-            out = out.join(idx, cond, "left").drop(f"_v_{c}", f"_s_{c}")
-        else:
-            idx = F.broadcast(idx)
-            out = out.join(idx, out[c].cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-    return out.drop("_salt") if big else out
+        own = tagged.where(F.col("column") == c)
+        heavy = own.where("_heavy").select(F.col("value").alias("_hv"), F.col("freq_index").alias("_hi"))
+        light = own.where("NOT _heavy").select(F.col("value").alias("_lv"), F.col("freq_index").alias("_li"))
+        out = out.join(F.broadcast(heavy), out[c].cast("string") == F.col("_hv"), "left")
+        apart = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("string"))
+        out = out.withColumn("_key", F.when(F.col("_hv").isNull() & F.col(c).isNotNull(), F.col(c).cast("string")).otherwise(apart))
+        out = out.join(light, F.col("_key") == F.col("_lv"), "left") \
+                 .withColumn(c + suffix, F.coalesce("_hi", "_li")).drop("_hv", "_hi", "_lv", "_li", "_key")
+    return out
 
 
 def assemble(df: DataFrame, inputs: list[str], output: str = "features") -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
-from logscope.functions.plan import broadcast_if_small
 
 BUCKET_SHIFT = 16                 # /16 buckets
 
@@ -29,20 +28,20 @@ def bucketed_ranges(ranges: DataFrame) -> DataFrame:
     return ranges.select("*", F.explode(F.sequence(lo_b, hi_b)).alias("bucket"))
 
 
-def lookup(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip",
-           broadcast: bool | None = None) -> DataFrame:
+def lookup(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip", shuffle: bool = False) -> DataFrame:
     """Left range join: each row of ``ips`` gets (pro, city) of the range holding it.
 
-    ``broadcast=None`` checks the exploded range table's size; ``False`` forces
-    the shuffle (sort-merge) form on the bucket key; ``True`` = check as well.
+    Spark chooses between broadcast and shuffle by bytes at run time; ``shuffle`` asks for the
+    sort-merge form. An invalid address has no bucket: it gets a negative one that no range has,
+    drawn from its text, so that invalid addresses do not meet in one task.
     """
-    ip_num = P.ip_to_long(ip_col)
-    left = ips.select("*", ip_num.alias("ip_num")).withColumn(
-        "bucket", F.shiftright(F.col("ip_num"), BUCKET_SHIFT))
+    nowhere = -1 - F.pmod(F.xxhash64(ip_col), F.lit(1 << 16))
+    left = ips.select("*", P.ip_to_long(ip_col).alias("ip_num")).withColumn(
+        "bucket", F.coalesce(F.shiftright(F.col("ip_num"), BUCKET_SHIFT), nowhere))
     right = bucketed_ranges(ranges).select(
         F.col("bucket").alias("r_bucket"), "lo", "hi", "pro", "city")
-    if broadcast is not False:
-        right = broadcast_if_small(right)
+    if shuffle:
+        right = right.hint("merge")
     cond = ((F.col("bucket") == F.col("r_bucket"))
             & F.col("ip_num").between(F.col("lo"), F.col("hi")))
     return left.join(right, cond, "left").drop("bucket", "r_bucket", "lo", "hi")
@@ -69,3 +68,24 @@ def first_n_ips(lines: DataFrame, ranges: DataFrame, n: int = 1000) -> DataFrame
     """The first ``n`` IP occurrences in log order, resolved — a top-k, not a full sort."""
     occ = ip_occurrences(lines).orderBy("event_id", "pos").limit(n)
     return lookup(occ, ranges)
+
+
+# The fields of a geo service's reply that are used.
+REPLY_SCHEMA = "pro STRING, city STRING, ip STRING"
+
+
+def parse_replies(lines: DataFrame, line: str = "line") -> DataFrame:
+    """JSON replies, one per line -> (pro, city, ip, bad): ``bad`` holds a reply that is no JSON object.
+
+    The service escapes characters that JSON does not know; a backslash counts as a space.
+    """
+    text = F.translate(F.col(line), "\\", " ")
+    reply = F.from_json(text, REPLY_SCHEMA + ", _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return lines.select(reply.alias("r"), F.col(line).alias("_text")).select(
+        "r.pro", "r.city", "r.ip", F.when(F.col("r").isNull() | F.col("r._bad").isNotNull(), F.col("_text")).alias("bad"))
+
+
+def replies_by_region(replies: DataFrame) -> DataFrame:
+    """Replies per province, official names attached; those without province, city or ip are dropped."""
+    kept = replies.where("bad IS NULL").dropna(subset=["pro", "city", "ip"]).where("pro <> ''")
+    return kept.groupBy("pro").agg(F.count(F.lit(1)).alias("ips")).select("pro", P.canonical_region("pro").alias("region"), "ips")

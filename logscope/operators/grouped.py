@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 
 def modes(df: DataFrame, group: str, columns: list[str], prefix: str = "mode_") -> DataFrame:
-    """Most frequent value of each column per group (as STRING), ties -> smallest."""
+    """Most frequent value of each column per group (as STRING; NULL is no value), ties -> smallest."""
     stacked = df.select(group, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-        for c in columns])).alias("kv")).select(group, "kv.column", "kv.value")
+        for c in columns])).alias("kv")).select(group, "kv.column", "kv.value") \
+        .where("value IS NOT NULL")
     counts = stacked.groupBy(group, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy(group, "column").agg(
         F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("best"))

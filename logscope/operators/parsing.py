@@ -39,23 +39,52 @@ def space_split(df: DataFrame, line: str = "line") -> DataFrame:
                          f"get({t}, 9) AS bytes_token")
 
 
+def report_fields(df: DataFrame, needed: list[str], wanted: list[str] = (), line: str = "line", keep=(),
+                  all_lines: bool = False) -> DataFrame:
+    """``needed`` and ``wanted`` fields of the lines that have all needed ones; a wanted one may be NULL.
+
+    ``all_lines`` keeps lines below the minimum length, too, all fields NULL.
+    """
+    kept, sql = _keep(df, keep), P.split_fields_sql(line)
+    sql["epoch_ms"] = f"unix_millis({P.event_time_sql(sql['time_local'], sql['tz_offset'])})"
+    names = list(dict.fromkeys([*needed, *wanted]))
+    long_enough = f"length({line}) > {P.MIN_LINE_LENGTH}"
+    each = [f"if({long_enough}, {sql[f]}, NULL) AS {f}" if all_lines else f"{sql[f]} AS {f}" for f in names]
+    parsed = fence((df if all_lines else filter_min_length(df, line)).selectExpr(*kept, *each))
+    return parsed.dropna(subset=list(needed)) if needed else parsed
+
+
+def report_rows(df: DataFrame, *fields: str, line: str = "line", keep=()) -> DataFrame:
+    """Lines that have all of ``fields``, each parsed by its own rule; nothing else is parsed.
+
+    A line longer than the minimum counts in a report as soon as it has what the report names,
+    whatever is wrong with its other fields. ``epoch_ms`` stands for a usable time.
+    """
+    return report_fields(df, list(fields), (), line, keep)
+
+
+def hourly_rows(df: DataFrame, *fields: str, line: str = "line", keep=()) -> DataFrame:
+    """``report_rows`` with the hour, of lines with more than the least number of tokens."""
+    rows = report_rows(df, "hour", "tokens", *fields, line=line, keep=keep)
+    return rows.where(F.col("tokens") > P.MIN_LINE_TOKENS).drop("tokens")
+
+
 def split_parse(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
-    """All split fields plus ``reject`` (NULL when the line is a valid record), fenced."""
+    """All fields plus ``reject`` (NULL when the line is a record of the log table), fenced."""
     kept = _keep(df, keep)
     fields = P.split_fields_sql(line)
     parsed = fence(df.selectExpr(*kept, line, *[f"{sql} AS {name}" for name, sql in fields.items()]))
     timed = parsed.selectExpr("*", f"{P.event_time_sql()} AS _event_time")
-    return timed.selectExpr(*kept, line, *ACCESS_COLUMNS, "tz_offset", "_event_time",
+    return timed.selectExpr(*kept, line, *ACCESS_COLUMNS, "tz_offset", "hour", "_event_time",
                             f"{P.reject_sql(line, '_event_time')} AS reject")
 
 
 def access_table(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:
-    """Valid records only: the ten access columns + tz_offset, event_time, epoch_ms and hour."""
+    """Records of the log table: the ten access columns + tz_offset, event_time, epoch_ms and hour."""
     kept = _keep(df, keep)
     parsed = fence(split_parse(df, line, keep)).filter("reject IS NULL")
     return parsed.selectExpr(*kept, line, *ACCESS_COLUMNS, "tz_offset",
-                             "_event_time AS event_time", "unix_millis(_event_time) AS epoch_ms",
-                             f"{P.hour_sql()} AS hour")
+                             "_event_time AS event_time", "unix_millis(_event_time) AS epoch_ms", "hour")
 
 
 def quarantine(df: DataFrame, line: str = "line", keep=("event_id",)) -> DataFrame:

@@ -1,30 +1,26 @@
 """Idempotent table sinks over plain parquet in a shared folder.
 
-The reference writes running totals with read-add-write round trips per row
-(racy, double-counts on replay). Here every write is a whole micro-batch keyed
-by ``batch_id``, and no write rewrites the table:
-
-* ``append_batch``   — batch ``b`` goes to ``<root>/batch_id=b`` with overwrite, so a
-  replayed batch replaces itself instead of duplicating rows.
-* ``upsert_latest``  — last write wins per key. Each batch appends its rows to the
-  changelog ``<root>/log/batch_id=b``; readers resolve ``max_by(row, batch_id)``
-  per key (a partial aggregate: no skew, no full rewrite per batch).
-* ``upsert_accumulate`` — ``value += delta`` per key. Each batch appends its
-  deltas; readers ``sum`` them.
-
-Every ``compact_every`` batches the changelog is folded into a snapshot
-``<root>/base/v=b``; readers take the newest committed snapshot (Spark's
-``_SUCCESS`` marker) plus the log partitions above it, so a crash during
-compaction never double-counts, and folded partitions are deleted afterwards.
+Every write is a whole micro-batch named by its ``batch_id``; nothing is read, changed or
+rewritten by it:
+
+* ``append_batch``      — rows go to ``<root>/log/batch_id=b``. A batch that is committed already
+  (Spark's ``_SUCCESS`` marker) is a replay and is skipped; a partial one is overwritten.
+* ``upsert_latest``     — the same append; readers resolve the newest row per key.
+* ``upsert_accumulate`` — the same append of deltas; readers sum them, so late rows just add.
+
+Readers name the committed batches and read only those. ``fold`` is a maintenance job outside
+the write path: it writes what committed batches add up to as a new snapshot under a fresh name,
+and only when that is committed deletes what it replaces. A crash at any point leaves either
+the old files or both; readers then ignore the batches that the newest snapshot covers.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMPACT_EVERY = 50
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -32,133 +28,125 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    """Ids of ``<root>/<prefix><id>`` directories that carry a _SUCCESS marker."""
+def _folders(spark: SparkSession, root: str, prefix: str) -> dict[str, bool]:
+    """Names of the folders ``<root>/<prefix>...`` and whether each is committed; two listings in all."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(prefix):]))
-    return sorted(out)
+        return {}
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}*/_SUCCESS")) or []
+    done = {st.getPath().getParent().getName() for st in marks}
+    return {n: n in done for n in names if n.startswith(prefix)}
 
 
 def _log(root: str) -> str:
     return f"{root.rstrip('/')}/log"
 
 
-def _base(root: str, b: int | None = None) -> str:
-    return f"{root.rstrip('/')}/base" + ("" if b is None else f"/v={b:012d}")
+def _base(root: str) -> str:
+    return f"{root.rstrip('/')}/base"
 
 
-def _write_batch(batch: DataFrame, root: str, batch_id: int) -> bool:
-    """Overwrite ``<root>/batch_id=<id>``; True when the batch is new (not a replay)."""
-    path = f"{root.rstrip('/')}/batch_id={batch_id}"
-    fs, _, jvm = _fs(batch.sparkSession, path)
-    replay = fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-    batch.write.mode("overwrite").parquet(path)
-    return not replay
+def _batch(root: str, batch_id: int) -> str:
+    return f"{_log(root)}/batch_id={batch_id}"
 
 
-def _changes(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest snapshot ∪ log partitions above it (with their batch_id)."""
-    bases = _committed(spark, _base(root), "v=")
-    log_ids = _committed(spark, _log(root), "batch_id=")
-    base_id = bases[-1] if bases else -1
-    parts = []
-    if bases:
-        parts.append(spark.read.parquet(_base(root, base_id)))
-    if any(i > base_id for i in log_ids):
-        log = spark.read.option("basePath", _log(root)).parquet(_log(root))
-        parts.append(log.filter(F.col("batch_id") > base_id)
-                     .withColumn("batch_id", F.col("batch_id").cast("bigint")))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def committed(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the committed batches that no snapshot covers, in order."""
+    _, upto = _snapshot(spark, root)
+    ids = sorted(int(n.partition("=")[2]) for n, done in _folders(spark, _log(root), "batch_id=").items() if done)
+    return [i for i in ids if i > upto]
 
 
-def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame | None:
-    """Current table of an ``upsert_latest`` sink: newest row per key (+ its batch_id)."""
-    ch = _changes(spark, root)
-    if ch is None:
-        return None
-    values = [c for c in ch.columns if c not in keys and c != "batch_id"]
-    best = ch.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch_id"), "batch_id").alias("_r"))
-    return best.select(*keys, *[F.col("_r." + c).alias(c) for c in values],
-                       F.col("_r.batch_id").alias("batch_id"))
+def _snapshot(spark: SparkSession, root: str) -> tuple[str | None, int]:
+    """The newest committed snapshot folder ``v=<last batch>-<name>`` and the last batch it covers."""
+    done = sorted(n for n, ok in _folders(spark, _base(root), "v=").items() if ok)
+    return (done[-1], int(done[-1][2:].split("-")[0])) if done else (None, -1)
 
 
-def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) -> DataFrame | None:
-    """Current table of an ``upsert_accumulate`` sink: summed deltas per key."""
-    ch = _changes(spark, root)
-    if ch is None:
-        return None
-    return ch.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value),
-                                 F.max("batch_id").alias("batch_id"))
-
-
-def _maybe_compact(spark: SparkSession, root: str, batch_id: int, compact_every: int, reader) -> None:
-    if compact_every <= 0 or batch_id == 0 or batch_id % compact_every != 0:
-        return
-    snap = reader()
-    if snap is None:
-        return
-    snap.write.mode("overwrite").parquet(_base(root, batch_id))
-    fs, _, jvm = _fs(spark, root)
-    for i in _committed(spark, _log(root), "batch_id="):
-        if i <= batch_id:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{_log(root)}/batch_id={i}"), True)
-    for b in _committed(spark, _base(root), "v=")[:-1]:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(_base(root, b)), True)
-
-
-def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int,
-                  compact_every: int = COMPACT_EVERY) -> bool:
-    """Last write wins per key. Returns False when the batch is a replay (it then replaces itself)."""
-    spark = batch.sparkSession
-    new = _write_batch(batch, _log(root), batch_id)
-    _maybe_compact(spark, root, batch_id, compact_every,
-                   lambda: read_latest(spark, root, keys))
-    return new
-
-
-def upsert_accumulate(batch: DataFrame, root: str, keys: list[str], value: str,
-                      batch_id: int, compact_every: int = COMPACT_EVERY) -> bool:
-    """``value += delta`` per key. Returns False when the batch is a replay (no double count)."""
-    spark = batch.sparkSession
-    delta = batch.select(*keys, F.col(value).cast("bigint").alias(value))
-    new = _write_batch(delta, _log(root), batch_id)
-    _maybe_compact(spark, root, batch_id, compact_every,
-                   lambda: read_totals(spark, root, keys, value).drop("batch_id")
-                   .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-    return new
-
-
-def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> None:
-    """Append-only table; re-delivering a batch overwrites its own partition only."""
-    out = f"{root.rstrip('/')}/batch_id={batch_id}"
+def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> bool:
+    """Append one batch. False, and nothing is written, if it is a replay of a committed batch."""
+    spark, path = batch.sparkSession, _batch(root, batch_id)
+    fs, _, jvm = _fs(spark, path)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")) or batch_id <= _snapshot(spark, root)[1]:
+        return False
     writer = batch.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(out)
+    writer.parquet(path)
+    return True
+
+
+def upsert_latest(batch: DataFrame, root: str, keys: list[str], batch_id: int) -> bool:
+    """Last write wins per key. False if the batch is a replay."""
+    return append_batch(batch, root, batch_id)
+
+
+def upsert_accumulate(batch: DataFrame, root: str, keys: list[str], value: str, batch_id: int) -> bool:
+    """``value += delta`` per key. False if the batch is a replay (it does not count twice)."""
+    return append_batch(batch.select(*keys, F.col(value).cast("bigint").alias(value)), root, batch_id)
+
+
+def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows of the newest snapshot and of the committed batches above it, with their ``batch_id``."""
+    snapshot, _ = _snapshot(spark, root)
+    parts = []
+    if snapshot:
+        parts.append(spark.read.parquet(f"{_base(root)}/{snapshot}"))
+    ids = committed(spark, root)
+    if ids:
+        log = spark.read.option("basePath", _log(root)).parquet(*[_batch(root, i) for i in ids])
+        parts.append(log.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def read_appended(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(root)
+def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch_id"), "batch_id").alias("_r"))
+    return best.select(*keys, *[F.col("_r." + c).alias(c) for c in values], F.col("_r.batch_id").alias("batch_id"))
+
+
+def _totals(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value), F.max("batch_id").alias("batch_id"))
+
+
+def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame | None:
+    """Newest row per key (and the batch it came from)."""
+    rows = read_appended(spark, root)
+    return None if rows is None else _latest(rows, keys)
+
+
+def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) -> DataFrame | None:
+    """Summed deltas per key."""
+    rows = read_appended(spark, root)
+    return None if rows is None else _totals(rows, keys, value)
+
+
+def fold(spark: SparkSession, root: str, keys: list[str] | None = None, value: str | None = None) -> int:
+    """Maintenance: replace all committed batches by one snapshot; returns the last batch it covers.
+
+    With ``keys`` alone the snapshot keeps the newest row per key, with ``value`` also the sum
+    per key, without both all rows. Safe to stop at any point and to run again.
+    """
+    old, upto = _snapshot(spark, root)
+    ids = committed(spark, root)
+    if not ids:
+        return upto
+    rows = read_appended(spark, root)
+    out = rows if not keys else _totals(rows, keys, value) if value else _latest(rows, keys)
+    out.write.mode("errorifexists").parquet(f"{_base(root)}/v={ids[-1]:012d}-{uuid.uuid4().hex[:8]}")
+    fs, _, jvm = _fs(spark, root)
+    for path in [_batch(root, i) for i in ids] + ([f"{_base(root)}/{old}"] if old else []):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+    return ids[-1]
 
 
 def key_scan(table: DataFrame, key: str, start: str | None = None, stop: str | None = None,
              regex: str | None = None) -> DataFrame:
     """Keyed-table scan: start inclusive, stop exclusive (lexicographic), regex = find on the key.
 
-    Range bounds are plain comparisons, so they are pushed to the parquet scan
-    (row-group min/max pruning); the regex is evaluated as a residual filter.
+    On a table that stores the key, sorted within its files, the bounds are pushed to the
+    parquet scan and skip row groups by their minima and maxima; the regex is a residual filter.
     """
     cond = F.lit(True)
     if start is not None:

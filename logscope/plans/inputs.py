@@ -1,60 +1,35 @@
-"""Shared query inputs, defined once per session and input.
-
-Each is a lazy DataFrame (nothing is cached or persisted: every query still
-executes from the raw parquet). Like a Spark user who defines ``access`` once
-and runs many reports on it, the definitions are reused across queries of the
-same session, which saves re-analysing the parser plan for every report.
-Catalyst prunes the columns a query does not use all the way down to the scan.
-"""
+"""Shared query inputs: lazy DataFrames over the given tables, defined anew for each query."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from logscope.operators import parsing
 from logscope.sources import fixture
-from logscope.sources.tables import table_path
-
-_DEFINED: dict[tuple, DataFrame] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str, name: str, table: str) -> tuple:
-    path = table_path(sf_dir, table)
-    try:
-        st = os.stat(path)
-        sig = (st.st_size, st.st_mtime_ns)
-    except OSError:                       # not a local path: the path names the data
-        sig = None
-    # analysis binds the session zone and ANSI mode into expressions: part of the key
-    conf = (spark.conf.get("spark.sql.session.timeZone"), spark.conf.get("spark.sql.ansi.enabled"))
-    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), conf, path, sig, name)
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture.read_access_log(spark, sf_dir)
 
 
-def _defined(spark: SparkSession, sf_dir: str, name: str, table: str, build) -> DataFrame:
-    key = _key(spark, sf_dir, name, table)
-    df = _DEFINED.get(key)
-    if df is None:
-        df = _DEFINED[key] = build()
-    return df
+def fields(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The lines that have all the named fields; only these are parsed."""
+    return parsing.report_rows(lines(spark, sf_dir), *names)
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _defined(spark, sf_dir, "lines", "events",
-                    lambda: fixture.read_access_log(spark, sf_dir))
+def hourly(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """As ``fields``, with the hour, of lines with enough tokens."""
+    return parsing.hourly_rows(lines(spark, sf_dir), *names)
 
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _defined(spark, sf_dir, "access", "events",
-                    lambda: parsing.access_table(lines(spark, sf_dir)))
+    """Records of the log table."""
+    return parsing.access_table(lines(spark, sf_dir))
 
 
 def strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _defined(spark, sf_dir, "strict", "events",
-                    lambda: parsing.strict_parse(lines(spark, sf_dir)))
+    return parsing.strict_parse(lines(spark, sf_dir))
 
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _defined(spark, sf_dir, "geo_ranges", "nation",
-                    lambda: fixture.read_geo_ranges(spark, sf_dir))
+    return fixture.read_geo_ranges(spark, sf_dir)

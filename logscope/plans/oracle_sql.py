@@ -21,51 +21,58 @@ SELECT event_id, ts, user_id,
        ELSE concat(
   CAST(10 + user_id % 25 AS STRING), '.', CAST((user_id*7) % 256 AS STRING), '.',
   CAST((user_id*13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING),
-  ' - - [', strftime(ts,'%d/%b/%Y:%H:%M:%S'), ' +0000] "',
+  ' - - [', strftime(ts,'%d/%b/%Y:%H:%M:%S'), ' +0000] "', CASE WHEN event_id % 23 = 0 THEN '-' ELSE concat(
   CASE WHEN event_id % 13 = 0 THEN 'HEAD' WHEN event_type IN ('purchase','signup') THEN 'POST' ELSE 'GET' END, ' ',
+  CASE WHEN event_id % 29 = 0 THEN '/search?q=two words ' ELSE '' END,
   CASE event_type WHEN 'purchase' THEN concat('/cart?item=', json_extract_string(props,'$.k')) WHEN 'signup' THEN '/signup'
        WHEN 'error' THEN concat('/filter/27|', json_extract_string(props,'$.k')) ELSE concat('/product/', json_extract_string(props,'$.k')) END, ' ',
-  CASE WHEN event_id % 10 = 0 THEN 'HTTP/1.0' WHEN event_id % 7 = 0 THEN 'HTTP/2.0' ELSE 'HTTP/1.1' END, '" ',
-  CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '500' WHEN event_type = 'error' THEN '404'
+  CASE WHEN event_id % 10 = 0 THEN 'HTTP/1.0' WHEN event_id % 7 = 0 THEN 'HTTP/2.0' ELSE 'HTTP/1.1' END) END, '" ',
+  CASE WHEN event_id % 23 = 0 THEN '408' WHEN event_id % 19 = 0 THEN '304' WHEN event_type = 'error' AND event_id % 2 = 0 THEN '500' WHEN event_type = 'error' THEN '404'
        WHEN event_id % 17 = 0 THEN '302' ELSE '200' END, ' ',
-  CAST((event_id * 37) % 50000 AS STRING), ' "',
-  CASE WHEN event_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/ref/', CAST(user_id % 12 AS STRING)) END, '" "',
+  CASE WHEN event_id % 19 = 0 THEN '-' WHEN event_id % 31 = 0 THEN '3000000000' ELSE CAST((event_id * 37) % 50000 AS STRING) END,
+  CASE WHEN event_id % 37 = 0 THEN '' ELSE concat(' "', CASE WHEN event_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/ref/', CAST(user_id % 12 AS STRING)) END, '" "',
   CASE user_id % 5 WHEN 0 THEN 'Mozilla/5.0 (Windows NT 6.1) Chrome/66.0.3359.117 Safari/537.36'
      WHEN 1 THEN 'Mozilla/5.0 (Linux; Android 6.0) Chrome/71.0.3578.99 Mobile'
      WHEN 2 THEN 'Mozilla/5.0 (compatible; bingbot/2.0)' WHEN 3 THEN 'AhrefsBot/6.1' ELSE '-' END, '"',
-  CASE WHEN event_id % 2 = 0 THEN ' "-"' ELSE '' END) END AS line
+  CASE WHEN event_id % 2 = 0 THEN ' "-"' ELSE '' END) END) END AS line
 FROM events)"""
 
-SPLIT_CTE = """
-split_frag AS (
-  SELECT event_id, line, string_split(line, '"') AS q FROM access_log),
-split_raw AS (
-  SELECT event_id, line, q, string_split(q[1], ' ') AS head, string_split(q[2], ' ') AS req,
-         string_split(trim(q[3]), ' ') AS sb
-  FROM split_frag),
-split_fields AS (
-  SELECT event_id, line,
-    head[1] AS remote_addr, '- -' AS remote_user, substring(head[4], 2) AS time_local,
-    regexp_replace(head[5], '\\]$', '') AS tz_offset,
-    req[1] AS request_method, req[2] AS request_url, req[3] AS http_version,
-    TRY_CAST(sb[1] AS INTEGER) AS status, TRY_CAST(sb[2] AS INTEGER) AS body_bytes_send,
-    q[4] AS http_referer, q[6] AS http_user_agent, len(q) AS n_frag, len(req) AS n_req
-  FROM split_raw),
-split_parsed AS (
-  SELECT *,
-    CASE WHEN length(line) <= 10 THEN 'too_short'
-         WHEN n_frag < 6 THEN 'no_request'
-         WHEN n_req <> 3 THEN 'bad_request'
-         WHEN status IS NULL OR body_bytes_send IS NULL THEN 'bad_status'
-         WHEN try_strptime(time_local || ' ' || tz_offset, '%d/%b/%Y:%H:%M:%S %z') IS NULL THEN 'bad_time'
-    END AS reject
-  FROM split_fields),
-access AS (
-  SELECT event_id, line, remote_addr, remote_user, time_local, status, body_bytes_send,
-         request_method, request_url, http_version, http_referer, http_user_agent, tz_offset,
-         epoch_ms(try_strptime(time_local || ' ' || tz_offset, '%d/%b/%Y:%H:%M:%S %z')) AS epoch_ms,
-         substring(time_local, instr(time_local, ':') + 1, 2) AS hour
-  FROM split_parsed WHERE reject IS NULL)"""
+# One column per field, each by its own rule; reports name what they need (``having``).
+FIELDS_CTE = r"""
+pieces AS (
+  SELECT event_id, line, string_split(line, ' ') AS tok, string_split(line, '"') AS q FROM access_log),
+pieces2 AS (
+  SELECT *, string_split(q[2], ' ') AS req, string_split(trim(q[3]), ' ') AS sb,
+         CASE WHEN starts_with(tok[4], '[') THEN substring(tok[4], 2) END AS time_local,
+         regexp_replace(tok[5], '\]$', '') AS tz_offset FROM pieces),
+fields AS (
+  SELECT event_id, line, time_local, tz_offset, len(tok) AS tokens, len(q) AS fragments, '- -' AS remote_user,
+    CASE WHEN regexp_full_match(tok[1], '[0-9]{1,3}(\.[0-9]{1,3}){3}') THEN tok[1] END AS remote_addr,
+    CASE WHEN regexp_matches(time_local, '^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:') THEN substring(time_local, 13, 2) END AS hour,
+    CASE WHEN regexp_matches(time_local, '^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:')
+         THEN TRY_CAST(substring(time_local, 1, 2) AS INTEGER) END AS day,
+    epoch_ms(try_strptime(time_local || ' ' || tz_offset, '%d/%b/%Y:%H:%M:%S %z')) AS epoch_ms,
+    CASE WHEN regexp_full_match(req[1], '[A-Za-z]+') THEN req[1] END AS request_method,
+    CASE WHEN starts_with(req[len(req)], 'HTTP/') THEN nullif(array_to_string(req[2:len(req) - 1], ' '), '')
+         ELSE nullif(array_to_string(req[2:], ' '), '') END AS request_url,
+    CASE WHEN starts_with(req[len(req)], 'HTTP/') THEN req[len(req)] END AS http_version,
+    TRY_CAST(sb[1] AS INTEGER) AS status, TRY_CAST(sb[2] AS BIGINT) AS body_bytes_send,
+    q[4] AS http_referer, q[6] AS http_user_agent
+  FROM pieces2),
+access_all AS (
+  SELECT *, CASE WHEN length(line) <= 10 THEN 'too_short' WHEN fragments < 3 THEN 'no_request'
+                 WHEN remote_addr IS NULL THEN 'bad_address' WHEN status IS NULL THEN 'bad_status'
+                 WHEN epoch_ms IS NULL THEN 'bad_time' END AS reject FROM fields),
+access AS (SELECT * FROM access_all WHERE reject IS NULL)"""
+
+
+def having(*names: str) -> str:
+    """The rows of a report that needs these fields."""
+    return "(SELECT * FROM fields WHERE length(line) > 10 AND " + " AND ".join(f"{n} IS NOT NULL" for n in names) + ")"
+
+
+def hourly(*names: str) -> str:
+    return "(SELECT * FROM " + having("hour", *names) + " WHERE tokens > 10)"
 
 
 def _strict_cte() -> str:
@@ -88,7 +95,7 @@ geo_ranges AS (
     (15,'河南省'),(16,'四川省'),(17,'湖北省'),(18,'湖南省'),(19,'福建省'),(20,'安徽省'),(21,'河北省'),
     (22,'陕西省'),(23,''),(24,CAST(NULL AS STRING))) AS t(k, pro) ON n_nationkey = k)"""
 
-ALL_CTES = ",".join([ACCESS_LOG_CTE, SPLIT_CTE, _strict_cte(), GEO_CTE])
+ALL_CTES = ",".join([ACCESS_LOG_CTE, FIELDS_CTE, _strict_cte(), GEO_CTE])
 
 
 def with_ctes(body: str) -> str:

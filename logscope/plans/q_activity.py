@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logscope.operators import activity, cluster, features, grouped
-from logscope.plans.inputs import access, strict
+from logscope.operators import activity, cluster, features, grouped, parsing
+from logscope.plans.inputs import fields, lines, strict
+from logscope.plans.oracle_sql import having
 from logscope.plans.registry import register
 
 _LAST_SQL = """
-WITH last AS (SELECT remote_addr, max(epoch_ms) AS last_seen_ms FROM access GROUP BY remote_addr)
+WITH timed AS """ + having("remote_addr", "epoch_ms") + """,
+last AS (SELECT remote_addr, max(epoch_ms) AS last_seen_ms FROM timed GROUP BY remote_addr)
 SELECT a.remote_addr, l.last_seen_ms, count(*) AS {name}
-FROM access a JOIN last l ON a.remote_addr = l.remote_addr
+FROM timed a JOIN last l ON a.remote_addr = l.remote_addr
 WHERE a.epoch_ms >= l.last_seen_ms - {span}
 GROUP BY a.remote_addr, l.last_seen_ms"""
 
@@ -19,18 +21,18 @@ GROUP BY a.remote_addr, l.last_seen_ms"""
 @register("ip_trailing_1d", _LAST_SQL.format(name="hits_1d", span=activity.DAY_MS))
 def ip_trailing_1d(spark, sf):
     """Per IP: hits in the day ending at its latest request."""
-    return activity.trailing_activity(access(spark, sf), {"hits_1d": activity.DAY_MS})
+    return activity.trailing_activity(fields(spark, sf, "remote_addr", "epoch_ms"), {"hits_1d": activity.DAY_MS})
 
 
 @register("ip_trailing_3d", _LAST_SQL.format(name="hits_3d", span=3 * activity.DAY_MS))
 def ip_trailing_3d(spark, sf):
     """Per IP: hits in the three days ending at its latest request."""
-    return activity.trailing_activity(access(spark, sf), {"hits_3d": 3 * activity.DAY_MS})
+    return activity.trailing_activity(fields(spark, sf, "remote_addr", "epoch_ms"), {"hits_3d": 3 * activity.DAY_MS})
 
 
 @register("ip_activity_snapshot", f"""
 WITH h AS (SELECT remote_addr, CAST(floor(epoch_ms / {activity.HOUR_MS}) * {activity.HOUR_MS} AS BIGINT) AS bucket_ms,
-                  count(*) AS hits FROM access GROUP BY ALL)
+                  count(*) AS hits FROM {having("remote_addr", "epoch_ms")} GROUP BY ALL)
 SELECT remote_addr, bucket_ms, hits,
   CAST(sum(hits) OVER (PARTITION BY remote_addr ORDER BY bucket_ms
        RANGE BETWEEN {activity.DAY_MS - activity.HOUR_MS} PRECEDING AND CURRENT ROW) AS BIGINT) AS hits_1d,
@@ -39,24 +41,24 @@ SELECT remote_addr, bucket_ms, hits,
 FROM h""")
 def ip_activity_snapshot(spark, sf):
     """Per (IP, hour): hits and trailing 24 h / 72 h sums over hourly buckets."""
-    return activity.hourly_activity(access(spark, sf))
+    return activity.hourly_activity(fields(spark, sf, "remote_addr", "epoch_ms"))
 
 
-@register("top5_urls_per_group", """
-WITH c AS (SELECT hour, request_url, count(*) AS hits FROM access GROUP BY ALL),
+@register("top5_urls_per_group", f"""
+WITH c AS (SELECT hour, request_url, count(*) AS hits FROM {having("hour", "request_url")} GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY hits DESC, request_url) AS rank FROM c)
 SELECT hour, request_url, hits, rank FROM r WHERE rank <= 5""")
 def top5_urls_per_group(spark, sf):
     """Top-5 URLs per hour of day."""
-    out = grouped.top_k_per_group(access(spark, sf), "hour", "request_url", 5)
+    out = grouped.top_k_per_group(fields(spark, sf, "hour", "request_url"), "hour", "request_url", 5)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@register("group_modes", """
-WITH st AS (SELECT hour, 'request_method' AS col, request_method AS value FROM access
-            UNION ALL SELECT hour, 'status', CAST(status AS VARCHAR) FROM access
-            UNION ALL SELECT hour, 'http_user_agent', http_user_agent FROM access),
-c AS (SELECT hour, col, value, count(*) AS n FROM st GROUP BY ALL),
+@register("group_modes", f"""
+WITH st AS (SELECT hour, 'request_method' AS col, request_method AS value FROM {having("hour")}
+            UNION ALL SELECT hour, 'status', CAST(status AS VARCHAR) FROM {having("hour")}
+            UNION ALL SELECT hour, 'http_user_agent', http_user_agent FROM {having("hour")}),
+c AS (SELECT hour, col, value, count(*) AS n FROM st WHERE value IS NOT NULL GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY hour, col ORDER BY n DESC, value) AS rn FROM c)
 SELECT hour,
   max(CASE WHEN col = 'request_method' THEN value END) AS mode_request_method,
@@ -65,8 +67,8 @@ SELECT hour,
 FROM r WHERE rn = 1 GROUP BY hour""")
 def group_modes(spark, sf):
     """Most frequent method, status and agent per hour of day."""
-    return grouped.modes(access(spark, sf), "hour",
-                         ["request_method", "status", "http_user_agent"])
+    columns = ["request_method", "status", "http_user_agent"]
+    return grouped.modes(parsing.report_fields(lines(spark, sf), ["hour"], columns), "hour", columns)
 
 
 _FREQ_COLS = ["ip", "url", "request_method", "referer", "user_agent"]
@@ -112,13 +114,12 @@ def scaled_ip_features(spark, sf):
     return out
 
 
-# ---- clustering (rows-only checks: labels depend on the optimiser's seed path) ----
+# ---- clustering: labels depend on the optimiser's path, so the checks are facts about any right result ----
 
-@register("request_clusters")
+@register("request_clusters", "SELECT event_id, ip, url, true AS is_nearest FROM strict")
 def request_clusters(spark, sf):
-    """Request clustering: index -> assemble -> scale -> KMeans(k=5); one label per request."""
-    out = cluster.request_clusters(strict(spark, sf))
-    return out.select("event_id", "ip", "url", F.col("prediction").cast("int").alias("prediction"))
+    """Request clustering (index, assemble, scale, KMeans k=5): each request has its nearest centre's label."""
+    return cluster.request_clusters(strict(spark, sf)).select("event_id", "ip", "url", "is_nearest")
 
 
 @register("cluster_sizes")
@@ -128,11 +129,10 @@ def cluster_sizes(spark, sf):
     return out.groupBy("prediction").agg(F.count(F.lit(1)).alias("requests"))
 
 
-@register("ip_clusters")
+@register("ip_clusters", _IP_FEATURES_SQL.replace("count(DISTINCT url)", "true AS is_nearest, count(DISTINCT url)"))
 def ip_clusters(spark, sf):
-    """IP clustering over per-IP behaviour counts; one label per IP."""
-    out = cluster.ip_clusters(strict(spark, sf))
-    return out.select("ip", *cluster.IP_FEATURES, "prediction")
+    """IP clustering over per-IP behaviour counts: each IP has its nearest centre's label."""
+    return cluster.ip_clusters(strict(spark, sf)).select("ip", *cluster.IP_FEATURES, "is_nearest")
 
 
 @register("cluster_projection")
@@ -142,11 +142,26 @@ def cluster_projection(spark, sf):
     return out.select("event_id", "prediction", "x", "y")
 
 
-@register("sample_points")
+@register("ip_cluster_projection", "SELECT DISTINCT ip, true AS is_nearest FROM strict")
+def ip_cluster_projection(spark, sf):
+    """PCA(2) of the IP features, by IP; the points themselves are tested on their own."""
+    return cluster.projection(cluster.ip_clusters(strict(spark, sf))).select("ip", "is_nearest")
+
+
+_SAMPLE_SQL = "CAST('0x' || substring(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 10 = 0"
+
+
+@register("sample_points", "SELECT event_id, url, true AS is_nearest FROM strict WHERE " + _SAMPLE_SQL.format(key="event_id"))
 def sample_points(spark, sf):
-    """10 % Bernoulli sample (seeded) of the projected points."""
-    out = cluster.projection(cluster.request_clusters(strict(spark, sf)))
-    return out.select("event_id", "prediction", "x", "y").sample(False, 0.1, seed=7)
+    """One in ten of the projected points, by a hash of the request's id."""
+    out = cluster.sampled(cluster.projection(cluster.request_clusters(strict(spark, sf))))
+    return out.select("event_id", "url", "is_nearest")
+
+
+@register("sample_ip_points", "SELECT DISTINCT ip, true AS is_nearest FROM strict WHERE " + _SAMPLE_SQL.format(key="ip"))
+def sample_ip_points(spark, sf):
+    """One in ten of the projected IP points, by a hash of the IP."""
+    return cluster.sampled(cluster.projection(cluster.ip_clusters(strict(spark, sf))), "ip").select("ip", "is_nearest")
 
 
 @register("cluster_modes")

@@ -37,7 +37,7 @@ def _distinct_ips(spark, sf):
 
 @register("geo_lookup", _LOOKUP_SQL)
 def geo_lookup(spark, sf):
-    """Distinct found IPs -> (province, city) by bucketed range join (size-checked broadcast)."""
+    """Distinct found IPs -> (province, city) by bucketed range join (broadcast or shuffle as Spark decides)."""
     return geo.lookup(_distinct_ips(spark, sf), geo_ranges(spark, sf)).select(
         "ip", "ip_num", "pro", "city")
 
@@ -45,7 +45,7 @@ def geo_lookup(spark, sf):
 @register("geo_lookup_bucketed", _LOOKUP_SQL)
 def geo_lookup_bucketed(spark, sf):
     """Same range join in its shuffle form (sort-merge on the /16 bucket key)."""
-    return geo.lookup(_distinct_ips(spark, sf), geo_ranges(spark, sf), broadcast=False).select(
+    return geo.lookup(_distinct_ips(spark, sf), geo_ranges(spark, sf), shuffle=True).select(
         "ip", "ip_num", "pro", "city")
 
 
@@ -75,3 +75,21 @@ def first_n_ips(spark, sf):
     out = geo.first_n_ips(lines(spark, sf), geo_ranges(spark, sf), 1000)
     return out.select("event_id", F.col("pos").cast("bigint").alias("pos"), "ip", "ip_num",
                       "pro", "city")
+
+
+def _replies(spark, sf):
+    """One reply per found IP of a known province; some are broken, some lack the province."""
+    found = geo.lookup(_distinct_ips(spark, sf), geo_ranges(spark, sf)).where("city IS NOT NULL")
+    good = F.to_json(F.struct("pro", "city", "ip"))
+    return found.select(F.when(F.col("ip").endswith("7"), F.concat(F.lit("{broken "), "ip")).otherwise(good).alias("line"))
+
+
+@register("geo_replies", f"""
+WITH ips AS (SELECT DISTINCT unnest({_FOUND}) AS ip FROM access_log),
+ipn AS (SELECT ip, {_IP_NUM_SQL} AS ip_num FROM ips),
+geo AS (SELECT ip, pro, city FROM ipn JOIN geo_ranges ON ip_num BETWEEN lo AND hi)
+SELECT pro, {_CANON_SQL} AS region, count(*) AS ips FROM geo
+WHERE pro IS NOT NULL AND pro <> '' AND ip NOT LIKE '%7' GROUP BY pro""")
+def geo_replies(spark, sf):
+    """JSON replies of a geo service, one per line, counted per province; broken ones are set aside."""
+    return geo.replies_by_region(geo.parse_replies(_replies(spark, sf)))

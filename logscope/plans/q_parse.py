@@ -91,16 +91,16 @@ def extract_hour(spark, sf):
 
 @register("row_key", """
 SELECT event_id, concat_ws('_', remote_addr, time_local,
-       sha256(concat(CAST(event_id AS VARCHAR), ':', line))) AS row_key FROM access""")
+       sha256(concat('events:', CAST(event_id AS VARCHAR), ':', line))) AS row_key FROM access""")
 def row_key(spark, sf):
-    """Deterministic row key ip_time_sha256(offset:line)."""
+    """Deterministic row key ip_time_sha256(source:position:line)."""
     df = access(spark, sf)
-    return df.select("event_id", P.row_key("remote_addr", "time_local", "line", "event_id")
+    return df.select("event_id", P.row_key("remote_addr", "time_local", "line", F.lit("events"), "event_id")
                      .alias("row_key"))
 
 
 @register("quarantine_counts", """
-SELECT reject AS reason, count(*) AS lines FROM split_parsed WHERE reject IS NOT NULL GROUP BY reject""")
+SELECT reject AS reason, count(*) AS lines FROM access_all WHERE reject IS NOT NULL GROUP BY reject""")
 def quarantine_counts(spark, sf):
     """Rejected lines per reason (nothing is silently dropped)."""
     q = parsing.quarantine(lines(spark, sf))

@@ -5,103 +5,111 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logscope.operators import reports
-from logscope.plans.inputs import access
+from logscope.plans.inputs import fields, hourly
+from logscope.plans.oracle_sql import having
+from logscope.plans.oracle_sql import hourly as hourly_sql
 from logscope.plans.registry import register
 
 
 def _ranked_sql(key: str) -> str:
-    return f"SELECT {key}, count(*) AS hits FROM access GROUP BY {key} ORDER BY hits DESC, {key}"
+    return f"SELECT {key}, count(*) AS hits FROM {having(key)} GROUP BY {key} ORDER BY hits DESC, {key}"
 
 
 @register("top_urls", _ranked_sql("request_url"))
 def top_urls(spark, sf):
     """Page views per URL, ranked (the reference's "PageRank" report)."""
-    return reports.ranked(access(spark, sf), "request_url")
+    return reports.ranked(fields(spark, sf, "request_url"), "request_url")
 
 
 @register("hits_by_ip", _ranked_sql("remote_addr"))
 def hits_by_ip(spark, sf):
     """Hits per client IP, ranked."""
-    return reports.ranked(access(spark, sf), "remote_addr")
+    return reports.ranked(fields(spark, sf, "remote_addr"), "remote_addr")
 
 
 @register("top_user_agents", _ranked_sql("http_user_agent"))
 def top_user_agents(spark, sf):
     """Hits per user agent, ranked."""
-    return reports.ranked(access(spark, sf), "http_user_agent")
+    return reports.ranked(fields(spark, sf, "http_user_agent"), "http_user_agent")
 
 
 @register("top_referers", _ranked_sql("http_referer"))
 def top_referers(spark, sf):
     """Hits per referer, ranked."""
-    return reports.ranked(access(spark, sf), "http_referer")
+    return reports.ranked(fields(spark, sf, "http_referer"), "http_referer")
 
 
 @register("hits_by_http_version", _ranked_sql("http_version"))
 def hits_by_http_version(spark, sf):
     """Hits per HTTP version, ranked."""
-    return reports.ranked(access(spark, sf), "http_version")
+    return reports.ranked(fields(spark, sf, "http_version"), "http_version")
 
 
 @register("hits_by_method", _ranked_sql("request_method"))
 def hits_by_method(spark, sf):
     """Hits per request method, ranked."""
-    return reports.ranked(access(spark, sf), "request_method")
+    return reports.ranked(fields(spark, sf, "request_method"), "request_method")
 
 
 @register("hits_by_status", _ranked_sql("status"))
 def hits_by_status(spark, sf):
     """Hits per status code, ranked."""
-    return reports.ranked(access(spark, sf), "status")
+    return reports.ranked(fields(spark, sf, "status"), "status")
 
 
-@register("hits_by_ip_method", """
-SELECT remote_addr, request_method, count(*) AS hits FROM access
+@register("hits_by_ip_method", f"""
+SELECT remote_addr, request_method, count(*) AS hits FROM {having("remote_addr", "request_method")}
 GROUP BY remote_addr, request_method ORDER BY hits DESC, remote_addr, request_method""")
 def hits_by_ip_method(spark, sf):
     """Hits per (IP, method), ranked."""
-    return reports.ranked(access(spark, sf), "remote_addr", "request_method")
+    return reports.ranked(fields(spark, sf, "remote_addr", "request_method"), "remote_addr", "request_method")
 
 
-@register("method_grouping_sets", """
+@register("method_grouping_sets", f"""
 SELECT remote_addr, request_method, count(*) AS hits,
        CAST(grouping(remote_addr, request_method) AS INTEGER) AS grouping_level
-FROM access GROUP BY GROUPING SETS ((request_method), (remote_addr, request_method))""")
+FROM {having("remote_addr", "request_method")} GROUP BY GROUPING SETS ((request_method), (remote_addr, request_method))""")
 def method_grouping_sets(spark, sf):
     """Per-method and per-(IP, method) hits in one pass."""
-    return reports.method_grouping_sets(access(spark, sf)).withColumn(
+    return reports.method_grouping_sets(fields(spark, sf, "remote_addr", "request_method")).withColumn(
         "grouping_level", F.col("grouping_level").cast("int"))
 
 
-@register("unique_ips_by_hour", """
-SELECT hour, count(DISTINCT remote_addr) AS unique_ips FROM access GROUP BY hour""")
+@register("unique_ips_by_hour", f"""
+SELECT hour, count(DISTINCT remote_addr) AS unique_ips FROM {having("remote_addr", "hour")} GROUP BY hour""")
 def unique_ips_by_hour(spark, sf):
     """Distinct client IPs per hour of day."""
-    return reports.unique_ips_by_hour(access(spark, sf))
+    return reports.unique_ips_by_hour(fields(spark, sf, "remote_addr", "hour"))
 
 
-@register("unique_ips_by_hour_approx")
+@register("unique_ips_by_hour_approx", f"""
+SELECT hour, count(DISTINCT remote_addr) AS unique_ips, true AS within_tolerance
+FROM {having("remote_addr", "hour")} GROUP BY hour""")
 def unique_ips_by_hour_approx(spark, sf):
-    """Approximate distinct client IPs per hour of day (HyperLogLog++)."""
-    return reports.unique_ips_by_hour_approx(access(spark, sf))
+    """Distinct client IPs per hour of day, and whether the HyperLogLog++ estimate is within 5 % of it."""
+    rows = fields(spark, sf, "remote_addr", "hour")
+    both = reports.unique_ips_by_hour(rows).join(
+        reports.unique_ips_by_hour_approx(rows).withColumnRenamed("unique_ips", "estimate"), "hour")
+    off = F.abs(F.col("estimate") - F.col("unique_ips"))
+    return both.select("hour", "unique_ips", (off <= 0.05 * F.col("unique_ips") + 1).alias("within_tolerance"))
 
 
-@register("hits_by_hour", "SELECT hour, count(*) AS hits FROM access GROUP BY hour")
+@register("hits_by_hour", f"SELECT hour, count(*) AS hits FROM {hourly_sql()} GROUP BY hour")
 def hits_by_hour(spark, sf):
     """Hits per hour of day."""
-    return reports.hits_by_hour(access(spark, sf))
+    return reports.hits_by_hour(hourly(spark, sf))
 
 
-@register("ip_last_seen", """
-SELECT remote_addr, max(epoch_ms) AS last_seen_ms, count(*) AS hits FROM access GROUP BY remote_addr""")
+@register("ip_last_seen", f"""
+SELECT remote_addr, max(epoch_ms) AS last_seen_ms, count(*) AS hits FROM {having("remote_addr", "epoch_ms")} GROUP BY remote_addr""")
 def ip_last_seen(spark, sf):
     """Latest request time and hits per IP."""
-    return reports.ip_last_seen(access(spark, sf))
+    return reports.ip_last_seen(fields(spark, sf, "remote_addr", "epoch_ms"))
 
 
-@register("top10_ips", """
-SELECT remote_addr, count(*) AS hits FROM access GROUP BY remote_addr
+@register("top10_ips", f"""
+SELECT remote_addr, count(*) AS hits FROM {having("remote_addr")} GROUP BY remote_addr
 ORDER BY hits DESC, remote_addr LIMIT 10""")
 def top10_ips(spark, sf):
     """Top-10 preview of the per-IP ranking."""
-    return reports.top_n(access(spark, sf), 10, "remote_addr")
+    return reports.top_n(fields(spark, sf, "remote_addr"), 10, "remote_addr")

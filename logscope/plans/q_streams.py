@@ -1,21 +1,27 @@
 """Structured Streaming queries (T2-T14): replay the log as files, drain with
-``availableNow``, return the sink table. Each must equal its batch twin."""
+``availableNow``, return the sink table. Each must equal its batch twin.
+
+The replay delivers every fiftieth record with the last file only, far too late.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from logscope.operators import activity, parsing, sinks
 from logscope.plans.inputs import lines
+from logscope.plans.oracle_sql import having, hourly
 from logscope.plans.registry import register
 from logscope.session import scratch_dir
-from logscope.streaming import jobs, sources
+from logscope.sources import fixture
+from logscope.streaming import jobs
 
 
-def _records(spark, sf, redeliver: bool = False):
-    path = scratch_dir(spark, "replay")
-    recs = lines(spark, sf).select(F.col("event_id").alias("offset"), F.col("line").alias("value"))
-    n = sources.write_replay(recs, path, redeliver=redeliver)
-    return sources.replay_records(spark, path, sources.files_per_trigger(n))
+def _records(spark, sf, redeliver: bool = False, disorder: bool = True):
+    path = f"{scratch_dir(spark, 'replay')}/files"
+    recs = lines(spark, sf).select(F.lit("events").alias("source"), F.col("event_id").alias("offset"), F.col("line").alias("value"))
+    fixture.write_replay(recs, path, redeliver=redeliver, disorder=disorder)
+    return fixture.replay_records(spark, path)
 
 
 def _dirs(spark, name):
@@ -27,21 +33,16 @@ def _state_partitions(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def _totals(spark, sf, keys, name):
-    sink, ckpt = _dirs(spark, name)
-    run = jobs.running_totals(_records(spark, sf), keys, sink, ckpt,
-                              state_partitions=_state_partitions(spark))
-    return jobs.read_latest(spark, run.sink_root, keys).select(*keys, "hits")
-
-
 def _register_totals(qname: str, keys: list[str], doc: str):
     cols = ", ".join(keys)
-    sql = f"SELECT {cols}, count(*) AS hits FROM access GROUP BY {cols}"
+    rows = hourly() if keys == ["hour"] else having(*keys)
 
     def build(spark, sf):
-        return _totals(spark, sf, keys, qname)
+        sink, ckpt = _dirs(spark, qname)
+        jobs.running_totals(_records(spark, sf), keys, sink, ckpt, state_partitions=_state_partitions(spark))
+        return jobs.read_latest(spark, sink, keys).select(*keys, "hits")
     build.__doc__ = doc
-    register(qname, sql)(build)
+    register(qname, f"SELECT {cols}, count(*) AS hits FROM {rows} GROUP BY {cols}")(build)
 
 
 _register_totals("stream_hits_by_hour", ["hour"], "Running hits per hour of day (state store).")
@@ -56,7 +57,7 @@ _register_totals("stream_referer_totals", ["http_referer"], "Running total per r
 
 
 @register("stream_unique_ips_by_hour",
-          "SELECT hour, count(DISTINCT remote_addr) AS unique_ips FROM access GROUP BY hour")
+          f"SELECT hour, count(DISTINCT remote_addr) AS unique_ips FROM {having('remote_addr', 'hour')} GROUP BY hour")
 def stream_unique_ips_by_hour(spark, sf):
     """True distinct IPs per hour on a stream (dedup state + count)."""
     sink, ckpt = _dirs(spark, "stream-uniq")
@@ -64,20 +65,34 @@ def stream_unique_ips_by_hour(spark, sf):
     return jobs.read_latest(spark, sink, ["hour"]).select("hour", "unique_ips")
 
 
-@register("stream_unique_ips_batch_sum")
+# The replay's files are equal ranges of event_id; each is one micro-batch.
+_BATCHED = f"""
+span AS (SELECT min(event_id) AS lo, greatest(1, -((-(max(event_id) - min(event_id) + 1)) // {fixture.REPLAY_FILES})) AS width
+         FROM events),
+batched AS (SELECT f.*, CAST((event_id - lo) // width AS BIGINT) AS batch_id FROM fields f, span WHERE length(line) > 10)"""
+
+
+@register("stream_unique_ips_batch_sum", f"""
+WITH {_BATCHED.strip()},
+b AS (SELECT hour, batch_id, count(DISTINCT remote_addr) AS n FROM batched
+      WHERE hour IS NOT NULL AND remote_addr IS NOT NULL GROUP BY ALL)
+SELECT hour, CAST(sum(n) AS BIGINT) AS unique_ips FROM b GROUP BY hour""")
 def stream_unique_ips_batch_sum(spark, sf):
     """Per-batch distinct IPs per hour, accumulated across micro-batches (literal reference form)."""
     sink, ckpt = _dirs(spark, "stream-uniq-sum")
-    jobs.unique_ips_batch_sum(_records(spark, sf), sink, ckpt)
+    jobs.unique_ips_batch_sum(_records(spark, sf, disorder=False), sink, ckpt)
     return jobs.read_totals(spark, sink, ["hour"], "unique_ips").select("hour", "unique_ips")
 
 
-@register("stream_batch_topn")
+@register("stream_batch_topn", f"""
+WITH {_BATCHED.strip()},
+c AS (SELECT batch_id, request_url, count(*) AS hits FROM batched WHERE request_url IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY hits DESC, request_url) AS rn FROM c)
+SELECT batch_id, request_url, hits FROM r WHERE rn <= 10""")
 def stream_batch_topn(spark, sf):
     """Top-10 URLs of every micro-batch, appended with the batch id."""
-    from logscope.operators import sinks
     sink, ckpt = _dirs(spark, "stream-topn")
-    jobs.batch_top_n(_records(spark, sf), "request_url", 10, sink, ckpt)
+    jobs.batch_top_n(_records(spark, sf, disorder=False), "request_url", 10, sink, ckpt)
     return sinks.read_appended(spark, sink).select("batch_id", "request_url", "hits")
 
 
@@ -86,26 +101,25 @@ SELECT event_id, remote_addr, remote_user, time_local, status, body_bytes_send,
        request_url, http_version, http_referer, http_user_agent FROM access""")
 def stream_access_etl(spark, sf):
     """Streaming ETL: parse once per micro-batch, write access rows and the quarantine."""
-    from logscope.operators import parsing, sinks
     sink, ckpt = _dirs(spark, "stream-etl")
     jobs.access_etl(_records(spark, sf), sink, ckpt)
     out = sinks.read_appended(spark, f"{sink}/access")
     return out.select(F.col("offset").alias("event_id"), *parsing.ACCESS_COLUMNS)
 
 
-@register("stream_hourly_windows", """
+@register("stream_hourly_windows", f"""
 SELECT CAST(floor(epoch_ms / 3600000) * 3600000 AS BIGINT) AS window_start_ms, count(*) AS hits
-FROM access GROUP BY 1""")
+FROM {having("epoch_ms")} GROUP BY 1""")
 def stream_hourly_windows(spark, sf):
-    """Event-time 1-hour tumbling windows with a watermark, upserted per window."""
+    """Hits per event-time hour; records that come far too late still count."""
     sink, ckpt = _dirs(spark, "stream-windows")
-    jobs.hourly_windows(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
-    return jobs.read_latest(spark, sink, ["window_start_ms"]).select("window_start_ms", "hits")
+    jobs.hourly_windows(_records(spark, sf), sink, ckpt)
+    return jobs.read_totals(spark, sink, ["bucket_ms"], "hits").select(F.col("bucket_ms").alias("window_start_ms"), "hits")
 
 
 @register("stream_ip_hourly_activity", f"""
 WITH h AS (SELECT remote_addr, CAST(floor(epoch_ms / 3600000) * 3600000 AS BIGINT) AS bucket_ms,
-                  count(*) AS hits FROM access GROUP BY ALL)
+                  count(*) AS hits FROM {having("remote_addr", "epoch_ms")} GROUP BY ALL)
 SELECT remote_addr, bucket_ms, hits,
   CAST(sum(hits) OVER (PARTITION BY remote_addr ORDER BY bucket_ms
        RANGE BETWEEN {23 * 3600000} PRECEDING AND CURRENT ROW) AS BIGINT) AS hits_1d,
@@ -113,23 +127,19 @@ SELECT remote_addr, bucket_ms, hits,
        RANGE BETWEEN {71 * 3600000} PRECEDING AND CURRENT ROW) AS BIGINT) AS hits_3d
 FROM h""")
 def stream_ip_hourly_activity(spark, sf):
-    """Streaming per-IP activity: watermarked hourly counts, trailing 1-day / 3-day sums on them."""
-    from logscope.operators import activity
+    """Streaming per-IP activity: hourly counts, trailing 1-day / 3-day sums on them."""
     sink, ckpt = _dirs(spark, "stream-ip-hourly")
-    jobs.ip_hourly_counts(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
-    hourly = jobs.read_latest(spark, sink, ["remote_addr", "bucket_ms"]).select(
-        "remote_addr", "bucket_ms", "hits")
-    return activity.trailing_over_hours(hourly)
+    jobs.ip_hourly_counts(_records(spark, sf), sink, ckpt)
+    return activity.trailing_over_hours(jobs.read_totals(spark, sink, ["remote_addr", "bucket_ms"], "hits")
+                                        .select("remote_addr", "bucket_ms", "hits"))
 
 
-@register("stream_dedup", """
+@register("stream_dedup", f"""
 SELECT event_id, concat_ws('_', remote_addr, time_local,
-       sha256(concat(CAST(event_id AS VARCHAR), ':', line))) AS row_key FROM access""")
+       sha256(concat('events:', CAST(event_id AS VARCHAR), ':', line))) AS row_key
+FROM {having("remote_addr", "time_local", "epoch_ms")}""")
 def stream_dedup(spark, sf):
-    """At-least-once delivery (every record sent twice) deduplicated by row key."""
-    from logscope.operators import sinks
+    """Every record sent twice, some far too late, deduplicated by row key."""
     sink, ckpt = _dirs(spark, "stream-dedup")
-    jobs.dedup(_records(spark, sf, redeliver=True), sink, ckpt,
-               state_partitions=_state_partitions(spark))
-    out = sinks.read_appended(spark, sink)
-    return out.select(F.col("offset").alias("event_id"), "row_key")
+    jobs.dedup(_records(spark, sf, redeliver=True), sink, ckpt)
+    return jobs.read_latest(spark, sink, ["row_key"]).select(F.col("offset").alias("event_id"), "row_key")

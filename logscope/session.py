@@ -1,14 +1,13 @@
 """Session construction and shared scratch space.
 
-Scratch data (stream sources, sink tables, checkpoints) lives under the shared
-folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
-absent (local tests) do we create one, so nothing ever lands on a machine-local
-temporary folder on a cluster.
+Scratch data (stream sources, sink tables, checkpoints) lives under the shared folder the
+cluster names in ``spark.checkpoint.dir``. Where that setting is absent, a local session gets a
+folder of its own; on a cluster its absence is an error, as a machine-local folder would be
+seen by one machine only.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,6 +24,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Running totals per ip / url / agent grow with the key space: RocksDB keeps
     # state off-heap (spilling to local disk) and checkpoints changelogs only.
     "spark.sql.streaming.stateStore.providerClass":
@@ -54,18 +54,22 @@ def _checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Unset: only the case in local tests. A cluster names a shared folder.
+        if not (sc.master.startswith("local[") or sc.master == "local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="logscope-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh, unique directory under the shared checkpoint folder."""
-    root = _checkpoint_root(spark)
-    if name is None:
-        return root
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique name under the shared folder; what is written there makes the folder."""
+    root = _checkpoint_root(spark).rstrip("/")
+    return root if name is None else f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made under ``scratch_dir`` once its data is no longer read."""
+    if not path.startswith(_checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not in this session's scratch space")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

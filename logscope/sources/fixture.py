@@ -11,11 +11,13 @@ column (day, month, hour, ...), which never consult the session time zone.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions.plan import fence
-from logscope.sources.tables import ensure_parallelism, read_table
+from logscope.sources.tables import read_table
 
 # English month abbreviations used by the log time format.
 MONTH_ABBREVIATIONS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
@@ -64,17 +66,18 @@ def line_sql() -> str:
   ELSE concat(
     CAST(10 + user_id % 25 AS STRING), '.', CAST((user_id * 7) % 256 AS STRING), '.',
     CAST((user_id * 13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING),
-    ' - - [', {log_time_sql('ts')}, ' +0000] "',
+    ' - - [', {log_time_sql('ts')}, ' +0000] "', CASE WHEN event_id % 23 = 0 THEN '-' ELSE concat(
     CASE WHEN event_id % 13 = 0 THEN 'HEAD' WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END, ' ',
+    CASE WHEN event_id % 29 = 0 THEN '/search?q=two words ' ELSE '' END,
     CASE event_type WHEN 'purchase' THEN concat('/cart?item=', {k}) WHEN 'signup' THEN '/signup'
          WHEN 'error' THEN concat('/filter/27|', {k}) ELSE concat('/product/', {k}) END, ' ',
-    CASE WHEN event_id % 10 = 0 THEN 'HTTP/1.0' WHEN event_id % 7 = 0 THEN 'HTTP/2.0' ELSE 'HTTP/1.1' END, '" ',
-    CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '500' WHEN event_type = 'error' THEN '404'
+    CASE WHEN event_id % 10 = 0 THEN 'HTTP/1.0' WHEN event_id % 7 = 0 THEN 'HTTP/2.0' ELSE 'HTTP/1.1' END) END, '" ',
+    CASE WHEN event_id % 23 = 0 THEN '408' WHEN event_id % 19 = 0 THEN '304' WHEN event_type = 'error' AND event_id % 2 = 0 THEN '500' WHEN event_type = 'error' THEN '404'
          WHEN event_id % 17 = 0 THEN '302' ELSE '200' END, ' ',
-    CAST((event_id * 37) % 50000 AS STRING), ' "',
-    CASE WHEN event_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/ref/', CAST(user_id % 12 AS STRING)) END,
+    CASE WHEN event_id % 19 = 0 THEN '-' WHEN event_id % 31 = 0 THEN '3000000000' ELSE CAST((event_id * 37) % 50000 AS STRING) END,
+    CASE WHEN event_id % 37 = 0 THEN '' ELSE concat(' "', CASE WHEN event_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/ref/', CAST(user_id % 12 AS STRING)) END,
     '" "', element_at(array({_sql_list(FIXTURE_AGENTS)}), CAST(user_id % 5 + 1 AS INT)), '"',
-    CASE WHEN event_id % 2 = 0 THEN ' "-"' ELSE '' END)
+    CASE WHEN event_id % 2 = 0 THEN ' "-"' ELSE '' END) END)
 END"""
 
 
@@ -85,7 +88,7 @@ def access_log(events: DataFrame) -> DataFrame:
 
 def read_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
-    return access_log(ensure_parallelism(events))
+    return access_log(events)
 
 
 def geo_ranges(nation: DataFrame) -> DataFrame:
@@ -101,3 +104,44 @@ def geo_ranges(nation: DataFrame) -> DataFrame:
 
 def read_geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_ranges(read_table(spark, sf_dir, "nation", "n_nationkey"))
+
+
+# ------------------------------------------------------------- replay of the log as a stream
+
+REPLAY_FILES = 5
+LATE_EVERY, LATE_REST = 50, 7        # one record in so many comes with the last file only
+
+
+def write_replay(records: DataFrame, path: str, redeliver: bool = False, disorder: bool = False) -> int:
+    """Write (source, offset, value) as ``REPLAY_FILES`` files of equal offset ranges; returns their number.
+
+    The file source takes files by modification time, which is set in the files' order, so file
+    i is micro-batch i. ``redeliver`` delivers every record again with the next file (at least
+    once); ``disorder`` delivers some records of all ranges with the last file, far too late.
+    """
+    lo, hi = records.agg(F.min("offset"), F.max("offset")).first()
+    width = max(1, -(-(hi - lo + 1) // REPLAY_FILES))
+    file = F.floor((F.col("offset") - lo) / width).cast("int")
+    if disorder:
+        file = F.when(F.col("offset") % LATE_EVERY == LATE_REST, REPLAY_FILES - 1).otherwise(file)
+    rows = records.select("source", "offset", "value", file.alias("file"))
+    if redeliver:
+        rows = rows.unionByName(rows.withColumn("file", F.least(F.col("file") + 1, F.lit(REPLAY_FILES - 1))))
+    rows.repartition(REPLAY_FILES, "file").write.partitionBy("file").parquet(path)
+    return _stamp_in_order(records.sparkSession, path)
+
+
+def _stamp_in_order(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.Path(f"{path}/file=*/part-*")
+    fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(st.getPath().toString() for st in fs.globStatus(files))
+    now = int(time.time() * 1000)
+    for i, name in enumerate(found):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), now + i * 1000, -1)
+    return len(found)
+
+
+def replay_records(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    return (spark.readStream.schema("source STRING, offset BIGINT, value STRING")
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger).parquet(path))

@@ -1,4 +1,4 @@
-"""Readers for the driver's parquet tables (read-only inputs)."""
+"""Readers for parquet tables (read-only inputs)."""
 
 from __future__ import annotations
 
@@ -9,32 +9,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; naming the columns up front keeps the scan's ReadSchema minimal.
-
-    The footer-derived schema is remembered per path (inputs are read-only), so
-    repeated queries skip schema discovery.
-    """
-    path = table_path(sf_dir, name)
-    known = _SCHEMAS.get(path)
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if known is None:
-        _SCHEMAS[path] = df.schema
+    """Read one table; naming the columns up front keeps the scan's ReadSchema minimal."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single-row-group parquet file is one task however many cores exist. On a
-    cluster reading many files the scan already has >= defaultParallelism
-    splits and this is a no-op (no shuffle is added); only an under-split input
-    pays one round-robin redistribution of its narrow rows.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

@@ -1,11 +1,12 @@
-"""Structured Streaming jobs: running totals, distinct visitors, windows, ETL, dedup.
-
-Every job reads ``(offset, value)`` records (Kafka or replay files), parses
-them with the same column expressions as the batch path, and writes through
-the ``batch_id``-guarded sinks in ``operators.sinks`` from ``foreachBatch``, so
-a restarted query (offsets + state in ``checkpointLocation``) never
-double-counts. Running totals live in the streaming state store (RocksDB
-provider recommended for high-cardinality keys: ip, url, agent).
+"""Structured Streaming jobs: running totals, distinct visitors, hourly counts, ETL, dedup.
+
+Every job reads ``(source, offset, value)`` records, parses only the fields it reports by the
+batch path's expressions, and writes through the ``batch_id``-guarded sinks from
+``foreachBatch``, so that a restarted query (offsets and state in ``checkpointLocation``) never
+counts twice. No job has a watermark: a late record counts like any other. What must not grow
+in the state store is kept out of it: hourly counts and dedup are stateless per micro-batch and
+come together in the sink. Records without the fields of a report are counted, not just dropped
+(``StreamRun.unusable``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
 from logscope.operators import parsing, reports, sinks
+from logscope.streaming.sources import with_positions
+
+HOUR_MS = 3_600_000
+_OBSERVED = "records"
 
 
 @dataclass
@@ -24,12 +29,20 @@ class StreamRun:
     sink_root: str
     checkpoint: str
     batches: int
+    records: int = 0         # of the progress reports that the query keeps
+    unusable: int = 0        # those of them without the report's fields
 
 
-def parsed(records: DataFrame) -> DataFrame:
-    """(offset, value) -> typed access rows (+ event_time, row_key); rejects dropped."""
-    acc = parsing.access_table(records, line="value", keep=("offset",))
-    return acc.select("*", P.row_key("remote_addr", "time_local", "value", "offset").alias("row_key"))
+def parsed(records: DataFrame, *fields: str, keep=()) -> DataFrame:
+    """Records -> the named fields, of those that have all; how many have not is observed."""
+    rows = parsing.report_fields(records, [], [*fields, "tokens"], line="value", keep=keep, all_lines=True)
+    if fields == ("hour",):      # this report asks for enough tokens instead of another field
+        rows = rows.withColumn("hour", F.when(F.col("tokens") > P.MIN_LINE_TOKENS, F.col("hour")))
+    rows = rows.drop("tokens")
+    missing = " OR ".join(f"{f} IS NULL" for f in fields)
+    counted = rows.observe(_OBSERVED, F.count(F.lit(1)).alias("records"),
+                           F.count(F.expr(f"CASE WHEN {missing} THEN 1 END")).alias("unusable"))
+    return counted.dropna(subset=list(fields))
 
 
 STATE_PARTITIONS_CONF = "spark.sql.shuffle.partitions"
@@ -53,18 +66,18 @@ def _start_with_state_partitions(writer, spark: SparkSession, state_partitions:
         spark.conf.set(STATE_PARTITIONS_CONF, old)
 
 
-def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
-         trigger: dict | None = None, state_partitions: int | None = None) -> int:
-    """Start a foreachBatch query and wait for it; returns the number of micro-batches.
+def _run(df: DataFrame, sink_root: str, checkpoint: str, batch_fn, mode: str = "update",
+         trigger: dict | None = None, state_partitions: int | None = None) -> StreamRun:
+    """Start a foreachBatch query and wait for it.
 
     Default trigger is ``availableNow`` (drain what is there, then stop); pass
     ``{"processingTime": "1 second"}`` for the reference's fixed 1 s cadence.
     """
-    seen = []
+    run = StreamRun(sink_root, checkpoint, 0)
 
     def wrapped(batch: DataFrame, batch_id: int) -> None:
         batch_fn(batch, batch_id)
-        seen.append(batch_id)
+        run.batches += 1
 
     writer = (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
               .foreachBatch(wrapped))
@@ -73,7 +86,11 @@ def _run(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return len(seen)
+    for progress in q.recentProgress:
+        seen = progress.observedMetrics.get(_OBSERVED)
+        if seen is not None:
+            run.records, run.unusable = run.records + seen["records"], run.unusable + seen["unusable"]
+    return run
 
 
 def start(df: DataFrame, checkpoint: str, batch_fn, mode: str = "update",
@@ -101,97 +118,87 @@ def running_totals(records: DataFrame, keys: list[str], sink_root: str, checkpoi
                    name: str = "hits", trigger: dict | None = None,
                    state_partitions: int | None = None) -> StreamRun:
     """Total per key since the stream started (state store) -> keyed upsert sink."""
-    agg = parsed(records).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, keys, bid),
-             trigger=trigger, state_partitions=state_partitions)
-    return StreamRun(sink_root, checkpoint, n)
+    agg = parsed(records, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return _run(agg, sink_root, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, keys, bid),
+                trigger=trigger, state_partitions=state_partitions)
 
 
 def unique_ips_by_hour(records: DataFrame, sink_root: str, checkpoint: str,
                        state_partitions: int | None = None, trigger: dict | None = None) -> StreamRun:
     """True distinct IPs per hour: dedup (ip, hour) in state, then count per hour."""
-    pairs = parsed(records).select("remote_addr", "hour").dropDuplicates(["remote_addr", "hour"])
+    pairs = parsed(records, "remote_addr", "hour").dropDuplicates(["remote_addr", "hour"])
     agg = pairs.groupBy("hour").agg(F.count(F.lit(1)).alias("unique_ips"))
-    n = _run(agg, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["hour"], bid),
-             trigger=trigger, state_partitions=state_partitions)
-    return StreamRun(sink_root, checkpoint, n)
+    return _run(agg, sink_root, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["hour"], bid),
+                trigger=trigger, state_partitions=state_partitions)
 
 
-def unique_ips_batch_sum(records: DataFrame, sink_root: str, checkpoint: str) -> StreamRun:
+def unique_ips_batch_sum(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
     """The reference's literal report: Σ over micro-batches of per-batch distinct IPs per hour."""
     def per_batch(batch: DataFrame, bid: int) -> None:
-        sinks.upsert_accumulate(reports.unique_ips_by_hour(batch), sink_root, ["hour"],
-                                "unique_ips", bid)
-    n = _run(parsed(records).select("remote_addr", "hour"), checkpoint, per_batch, mode="append")
-    return StreamRun(sink_root, checkpoint, n)
+        sinks.upsert_accumulate(reports.unique_ips_by_hour(batch), sink_root, ["hour"], "unique_ips", bid)
+    return _run(parsed(records, "remote_addr", "hour"), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
-def batch_top_n(records: DataFrame, key: str, n_top: int, sink_root: str,
-                checkpoint: str) -> StreamRun:
+def batch_top_n(records: DataFrame, key: str, n_top: int, sink_root: str, checkpoint: str,
+                trigger: dict | None = None) -> StreamRun:
     """Stateless ranking of each micro-batch, appended with its batch_id."""
     def per_batch(batch: DataFrame, bid: int) -> None:
         sinks.append_batch(reports.top_n(batch, n_top, key), sink_root, bid)
-    n = _run(parsed(records).select(key), checkpoint, per_batch, mode="append")
-    return StreamRun(sink_root, checkpoint, n)
+    return _run(parsed(records, key), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
-def access_etl(records: DataFrame, sink_root: str, checkpoint: str) -> StreamRun:
-    """Parse each micro-batch once (persist), write the access rows and the quarantine."""
+def access_etl(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
+    """Parse each micro-batch once (persist), write the access rows with their key and the quarantine."""
     def per_batch(batch: DataFrame, bid: int) -> None:
-        split = parsing.split_parse(batch, line="value", keep=("offset",)).persist()
+        split = parsing.split_parse(with_positions(batch), line="value", keep=("source", "offset")).persist()
         try:
-            good = split.filter(F.col("reject").isNull()).select(
-                "offset", *parsing.ACCESS_COLUMNS)
+            key = P.row_key("remote_addr", "time_local", "value", "source", "offset")
+            good = split.filter(F.col("reject").isNull()).select("source", "offset", key.alias("row_key"), *parsing.ACCESS_COLUMNS)
             bad = split.filter(F.col("reject").isNotNull()).select(
-                "offset", "value", F.col("reject").alias("reason"))
+                "source", "offset", "value", F.col("reject").alias("reason"))
             sinks.append_batch(good, f"{sink_root}/access", bid)
             sinks.append_batch(bad, f"{sink_root}/quarantine", bid)
         finally:
             split.unpersist()
-    n = _run(records, checkpoint, per_batch, mode="append")
-    return StreamRun(sink_root, checkpoint, n)
-
-
-def hourly_windows(records: DataFrame, sink_root: str, checkpoint: str,
-                   delay: str = "2 hours", state_partitions: int | None = None,
-                   trigger: dict | None = None) -> StreamRun:
-    """Event-time tumbling 1-hour windows with a watermark (bounded state), upserted per window."""
-    windowed = (parsed(records).withWatermark("event_time", delay)
-                .groupBy(F.window("event_time", "1 hour")).agg(F.count(F.lit(1)).alias("hits")))
-    out = windowed.select(F.unix_millis(F.col("window.start")).alias("window_start_ms"), "hits")
-    n = _run(out, checkpoint,
-             lambda b, bid: sinks.upsert_latest(b, sink_root, ["window_start_ms"], bid),
-             trigger=trigger, state_partitions=state_partitions)
-    return StreamRun(sink_root, checkpoint, n)
-
-
-def ip_hourly_counts(records: DataFrame, sink_root: str, checkpoint: str,
-                     delay: str = "2 hours", state_partitions: int | None = None) -> StreamRun:
-    """Per (ip, event-time hour) counts with a watermark — the compact table the
-    trailing-activity windows are computed on (sliding 1-day windows on the
-    stream itself would multiply every update by 24)."""
-    counts = (parsed(records).withWatermark("event_time", delay)
-              .groupBy("remote_addr", F.window("event_time", "1 hour"))
-              .agg(F.count(F.lit(1)).alias("hits")))
-    out = counts.select("remote_addr", F.unix_millis(F.col("window.start")).alias("bucket_ms"), "hits")
-    n = _run(out, checkpoint,
-             lambda b, bid: sinks.upsert_latest(b, sink_root, ["remote_addr", "bucket_ms"], bid),
-             state_partitions=state_partitions)
-    return StreamRun(sink_root, checkpoint, n)
-
-
-def dedup(records: DataFrame, sink_root: str, checkpoint: str, delay: str = "1 day",
-          state_partitions: int | None = None) -> StreamRun:
-    """Drop redelivered records by row key within the watermark; append the survivors."""
-    rows = (parsed(records).withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(["row_key"]).select("offset", "row_key"))
-    n = _run(rows, checkpoint, lambda b, bid: sinks.append_batch(b, sink_root, bid), mode="append",
-             state_partitions=state_partitions)
-    return StreamRun(sink_root, checkpoint, n)
+    return _run(records, sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
+
+
+def hourly_windows(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
+    """Hits per event-time hour: each micro-batch's counts are added up in the sink, however late they come."""
+    return _hourly(records, [], sink_root, checkpoint, trigger)
+
+
+def ip_hourly_counts(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
+    """Hits per (ip, event-time hour), the compact table that trailing activity is computed on."""
+    return _hourly(records, ["remote_addr"], sink_root, checkpoint, trigger)
+
+
+def _hourly(records: DataFrame, keys: list[str], sink_root: str, checkpoint: str, trigger: dict | None) -> StreamRun:
+    def per_batch(batch: DataFrame, bid: int) -> None:
+        counts = reports.hits_by(batch, *keys, "bucket_ms")
+        sinks.upsert_accumulate(counts, sink_root, [*keys, "bucket_ms"], "hits", bid)
+    rows = parsed(records, *keys, "epoch_ms").withColumn(
+        "bucket_ms", (F.floor(F.col("epoch_ms") / HOUR_MS) * HOUR_MS).cast("bigint"))
+    return _run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
+
+
+def dedup(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
+    """Each record once by its row key, however often and late it is delivered.
+
+    Micro-batches are appended, deduplicated in themselves, and ``read_latest`` on ``row_key``
+    resolves the rest; ``sinks.fold`` makes that permanent.
+    """
+    def per_batch(batch: DataFrame, bid: int) -> None:
+        key = P.row_key("remote_addr", "time_local", "value", "source", "offset")
+        rows = with_positions(batch).select(key.alias("row_key"), "source", "offset").dropDuplicates(["row_key"])
+        sinks.upsert_latest(rows, sink_root, ["row_key"], bid)
+    rows = parsed(records.withColumn("line", F.col("value")), "remote_addr", "time_local", "epoch_ms",
+                  keep=("source", "offset", "line")).withColumnRenamed("line", "value")
+    return _run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
 def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """The table a running-total / window job maintains (newest value per key)."""
+    """The table a running-total job maintains (newest value per key)."""
     cur = sinks.read_latest(spark, root, keys)
     if cur is None:
         raise RuntimeError(f"nothing committed under {root}")

@@ -1,18 +1,16 @@
-"""Streaming sources: Kafka (production) and a file replay of log records (tests, backfill).
+"""Streaming sources: Kafka and tailed log files, in one shape.
 
-Both yield the same shape, ``offset BIGINT, value STRING`` — Kafka's record
-offset and payload — so every streaming job is source-agnostic.
+``source STRING, offset BIGINT, value STRING``: source and offset name a record for good. For
+Kafka they are topic/partition and the offset in it; for a file its path, and the offset is
+filled in by ``with_positions`` where a job needs it.
 """
 
 from __future__ import annotations
 
-import math
-import time
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-REPLAY_SCHEMA = "offset BIGINT, value STRING"
+RECORD_SCHEMA = "source STRING, offset BIGINT, value STRING"
 
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
@@ -29,60 +27,32 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "e
     return opts
 
 
+def kafka_shape(raw: DataFrame) -> DataFrame:
+    """Columns of the Kafka source -> records."""
+    return raw.select(F.concat_ws("/", "topic", F.col("partition").cast("string")).alias("source"), "offset",
+                      F.col("value").cast("string").alias("value"))
+
+
 def kafka_records(spark: SparkSession, bootstrap_servers: str, topic: str, **kw) -> DataFrame:
-    """Kafka topic -> (offset, value). Needs the spark-sql-kafka connector on the class path."""
+    """Kafka topic -> records. Needs the spark-sql-kafka connector on the class path."""
     reader = spark.readStream.format("kafka")
     for k, v in kafka_options(bootstrap_servers, topic, **kw).items():
         reader = reader.option(k, v)
-    return reader.load().select(F.col("offset"), F.col("value").cast("string").alias("value"))
+    return kafka_shape(reader.load())
 
 
 def text_records(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Tail a directory of plain log files (one line per row); no offset available."""
-    return (spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-            .select(F.lit(None).cast("bigint").alias("offset"), "value"))
+    """Tail a directory of plain log files (one line per row)."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("source"), F.lit(None).cast("bigint").alias("offset"), "value")
 
 
-def write_replay(records: DataFrame, path: str, files: int | None = None,
-                 redeliver: bool = False) -> int:
-    """Write (offset, value) records as parquet files in offset order; returns the file count.
+def with_positions(batch: DataFrame) -> DataFrame:
+    """Fills in missing offsets: the how-manieth of its equal lines in its file a line is.
 
-    Rows are range-partitioned on offset, so file i holds the i-th offset range.
-    File modification times are then stamped in that order: the file source
-    consumes files by modification time, so micro-batches arrive in offset
-    (= time) order, as they would from a Kafka partition.
-
-    ``redeliver=True`` delivers every record a second time about one file
-    later (at-least-once delivery), for the replay-safety tests.
+    For a batch, not a stream: a file is read in one micro-batch, so the numbers repeat in a
+    replay. Equal lines of a file are interchangeable, so any order among them gives one result.
     """
-    spark = records.sparkSession
-    n = files or max(5, records.rdd.getNumPartitions())
-    rows = records.select("offset", "value").withColumn("_sort", F.col("offset").cast("double"))
-    if redeliver:
-        bounds = records.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-        lag = max(1.0, (bounds["hi"] - bounds["lo"] + 1) / n)
-        rows = rows.unionByName(rows.withColumn("_sort", F.col("_sort") + F.lit(lag) + 0.5))
-    (rows.repartitionByRange(n, "_sort").sortWithinPartitions("_sort")
-     .drop("_sort").write.mode("overwrite").parquet(path))
-    return _stamp_in_order(spark, path)
-
-
-def _stamp_in_order(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().toString() for st in fs.listStatus(p)
-                   if st.getPath().getName().startswith("part-"))
-    base = int(time.time() * 1000)
-    for i, name in enumerate(names):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + i * 1000, -1)
-    return len(names)
-
-
-def replay_records(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(REPLAY_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
-
-
-def files_per_trigger(n_files: int, batches: int = 5) -> int:
-    return max(1, math.ceil(n_files / batches))
+    nth = F.row_number().over(Window.partitionBy("source", "value").orderBy("value"))
+    known, missing = batch.where("offset IS NOT NULL"), batch.where("offset IS NULL")
+    return known.unionByName(missing.withColumn("offset", nth.cast("bigint")))

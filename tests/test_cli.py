@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from conftest import SF_SMALL
 from logscope import cli
-from logscope.operators import activity, geo, reports, sinks
+from logscope.operators import activity, geo, parsing, reports, sinks
 from logscope.plans.inputs import access, geo_ranges, lines
 from logscope.session import scratch_dir
 from logscope.sources import text
@@ -26,11 +26,12 @@ def test_cli_batch_jobs(spark):
 
     cli.run(["report", "--input", logs, "--report", "url", "--top", "5", "--output", f"{out}/top"], spark)
     got = sorted(spark.read.parquet(f"{out}/top").collect())
-    assert got == sorted(reports.top_n(acc, 5, "request_url").collect())
+    ln = lines(spark, SF_SMALL)
+    assert got == sorted(reports.top_n(parsing.report_rows(ln, "request_url"), 5, "request_url").collect())
 
     cli.run(["activity", "--input", logs, "--output", f"{out}/act"], spark)
     got = sorted(spark.read.parquet(f"{out}/act").collect())
-    assert got == sorted(activity.trailing_activity(acc).collect())
+    assert got == sorted(activity.trailing_activity(parsing.report_rows(ln, "remote_addr", "epoch_ms")).collect())
 
     geo_ranges(spark, SF_SMALL).write.parquet(f"{out}/ranges")
     cli.run(["geo", "--input", logs, "--ranges", f"{out}/ranges", "--output", f"{out}/geo"], spark)
@@ -39,6 +40,7 @@ def test_cli_batch_jobs(spark):
 
     msg = cli.run(["cluster", "--input", logs, "--what", "ips", "--output", f"{out}/ipc"], spark)
     assert msg.startswith("cluster ips: ")
+    assert {"prediction", "x", "y"} <= set(spark.read.parquet(f"{out}/ipc").columns)
 
 
 def test_cli_stream_once(spark):
@@ -48,5 +50,28 @@ def test_cli_stream_once(spark):
                    "--checkpoint", ckpt, "--once"], spark)
     assert msg.startswith("stream status:")
     got = {r["status"]: r["hits"] for r in sinks.read_latest(spark, sink, ["status"]).collect()}
-    want = {r["status"]: r["hits"] for r in reports.hits_by(access(spark, SF_SMALL), "status").collect()}
-    assert got == want
+    rows = parsing.report_rows(lines(spark, SF_SMALL), "status")
+    want = {r["status"]: r["hits"] for r in reports.hits_by(rows, "status").collect()}
+    assert got == want and f"{1000 - rows.count()} of 1000 records" in msg
+
+
+def test_cli_other_streams(spark):
+    logs, n = _logs(spark), access(spark, SF_SMALL).count()
+    out = scratch_dir(spark, "cli-streams")
+
+    def stream(report, *more):
+        return cli.run(["stream", "--report", report, "--files", logs, "--sink", f"{out}/{report}",
+                        "--checkpoint", f"{out}/ckpt-{report}", "--once", *more], spark)
+
+    stream("etl")
+    assert sinks.read_appended(spark, f"{out}/etl/access").count() == n
+    assert sinks.read_appended(spark, f"{out}/etl/quarantine").count() == 1000 - n
+    stream("dedup")
+    timed = parsing.report_rows(lines(spark, SF_SMALL), "remote_addr", "time_local", "epoch_ms").count()
+    assert sinks.read_latest(spark, f"{out}/dedup", ["row_key"]).count() == timed
+    stream("ip_hourly")
+    assert sinks.read_totals(spark, f"{out}/ip_hourly", ["remote_addr", "bucket_ms"], "hits").agg({"hits": "sum"}).first()[0] == timed
+    assert cli.run(["fold", "--sink", f"{out}/ip_hourly", "--keys", "remote_addr,bucket_ms", "--sum", "hits"], spark).startswith("fold:")
+    assert sinks.read_totals(spark, f"{out}/ip_hourly", ["remote_addr", "bucket_ms"], "hits").agg({"hits": "sum"}).first()[0] == timed
+    stream("topn", "--top", "3")
+    assert sinks.read_appended(spark, f"{out}/topn").count() == 9          # three files, three micro-batches

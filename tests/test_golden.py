@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import lines_df
@@ -47,6 +48,39 @@ def test_quarantine_reasons(spark):
     assert got == {1: "too_short", 2: "no_request", 3: "bad_status"}
 
 
+# One odd field each; every one is an ordinary line of a web server.
+HEAD = '1.2.3.4 - - [22/Jan/2019:03:56:16 +0000] '
+ODD = [HEAD + '"GET /a HTTP/1.1" 304 - "-" "agent"', HEAD + '"-" 408 0 "-" "-"', HEAD + '"GET /a b c HTTP/1.1" 404 9 "-" "agent"',
+       HEAD + '"GET /big HTTP/1.1" 200 3000000000 "-" "agent"', HEAD + '"GET /plain HTTP/1.0" 200 12',
+       HEAD + '"GET /old" 200 12 "-" "agent"', '1.2.3.4 - - [broken +0000] "GET /t HTTP/1.1" 200 1 "-" "agent"',
+       'nohost - - [22/Jan/2019:03:56:16 +0000] "GET /h HTTP/1.1" 200 1 "-" "agent"']
+
+
+def test_one_bad_field_costs_only_its_own_reports(spark):
+    df = lines_df(spark, ODD)
+
+    def values(field):
+        return [r[0] for r in parsing.report_rows(df, field).collect()]
+
+    assert values("status") == [304, 408, 404, 200, 200, 200, 200, 200]
+    assert values("request_url") == ["/a", "/a b c", "/big", "/plain", "/old", "/t", "/h"]
+    assert values("http_version") == ["HTTP/1.1", "HTTP/1.1", "HTTP/1.1", "HTTP/1.0", "HTTP/1.1", "HTTP/1.1"]
+    assert values("request_method") == ["GET"] * 7
+    assert values("remote_addr") == ["1.2.3.4"] * 7 and len(values("epoch_ms")) == len(values("hour")) == 7
+    assert len(values("http_user_agent")) == 7 and len(values("http_referer")) == 7
+    got = {r["event_id"]: r for r in parsing.access_table(df).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 5}
+    assert got[0]["body_bytes_send"] is None and got[3]["body_bytes_send"] == 3_000_000_000
+    assert got[4]["http_referer"] is None and got[1]["request_url"] is None
+    assert {r["event_id"]: r["reason"] for r in parsing.quarantine(df).collect()} == {6: "bad_time", 7: "bad_address"}
+
+
+def test_a_report_parses_only_its_fields(spark):
+    plan = parsing.report_rows(lines_df(spark, ODD), "remote_addr")._jdf.queryExecution().executedPlan().toString()
+    assert "http_referer" not in plan and "http_user_agent" not in plan and "try_to_timestamp" not in plan
+    assert plan.count("split(") <= 2 and 'split(line#' in plan
+
+
 def test_parsed_plus_quarantined_is_everything(spark):
     lines = [VALID, TRAILING, SHORT, NO_QUOTES, BAD_STATUS, REGEX_URL]
     df = lines_df(spark, lines)
@@ -74,11 +108,20 @@ def test_find_ips_includes_lookalikes(spark):
 def test_row_key_is_deterministic_and_distinguishes_offsets(spark):
     df = lines_df(spark, [VALID, VALID])
     keys = parsing.access_table(df).select(
-        P.row_key("remote_addr", "time_local", "line", "event_id").alias("k")).collect()
+        P.row_key("remote_addr", "time_local", "line", F.lit("t/0"), "event_id").alias("k")).collect()
     assert len({r["k"] for r in keys}) == 2
     assert all(r["k"].startswith("1.2.3.4_22/Jan/2019:03:56:16_") for r in keys)
 
 
+def test_row_key_needs_a_whole_identity(spark):
+    df = parsing.access_table(lines_df(spark, [VALID]))
+    key = lambda source, offset: df.select(P.row_key("remote_addr", "time_local", "line", source, offset)).first()[0]
+    assert key(F.lit("t/0"), F.lit(5)) != key(F.lit("t/1"), F.lit(5))
+    for source, offset in ((F.lit(None), F.lit(5)), (F.lit("t/0"), F.lit(None))):
+        with pytest.raises(Exception, match="no source or position"):
+            key(source, offset)
+
+
 def test_canonical_region(spark):
     df = spark.createDataFrame([("北京",), ("广东省",), ("新疆",), (None,)], "pro STRING")
     got = [r["r"] for r in df.select(P.canonical_region("pro").alias("r")).collect()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from logscope.operators import cluster, features, geo, reports
 from logscope.plans.catalog import all_queries
-from logscope.plans.inputs import access, geo_ranges, lines, strict
+from logscope.plans.inputs import fields, geo_ranges, lines, strict
 
 
 def _plan(df) -> str:
@@ -49,19 +49,76 @@ def test_pca_variance_non_increasing(spark):
 
 def test_geo_join_is_hash_join_not_nested_loop(spark):
     ips = lines(spark, SF_SMALL).select(F.explode(F.regexp_extract_all("line", F.lit(r"(\d+\.\d+\.\d+\.\d+)"), 1)).alias("ip"))
-    plan = _plan(geo.lookup(ips, geo_ranges(spark, SF_SMALL)))
-    assert "BroadcastHashJoin" in plan and "NestedLoopJoin" not in plan
-    plan2 = _plan(geo.lookup(ips, geo_ranges(spark, SF_SMALL), broadcast=False))
-    assert "NestedLoopJoin" not in plan2
+    for shuffle in (False, True):
+        out = geo.lookup(ips, geo_ranges(spark, SF_SMALL), shuffle=shuffle)
+        out.collect()
+        assert "NestedLoopJoin" not in _plan(out) and "Cartesian" not in _plan(out)
+
+
+def test_trailing_activity_combines_before_its_shuffle(spark):
+    """No exchange lies below the partial aggregate of the raw rows."""
+    from logscope.operators import parsing
+
+    rows = parsing.report_rows(lines(spark, SF_SMALL), "remote_addr", "epoch_ms")
+    plan = _plan(rows.groupBy("remote_addr", "epoch_ms").count())
+    assert plan.index("Exchange") < plan.rindex("HashAggregate") and plan.count("Exchange") == 1
+
+
+def test_key_range_is_pushed_to_the_scan(spark):
+    from logscope.plans import q_sinks
+    from logscope.operators import sinks
+
+    table = q_sinks.keyed_table(spark, SF_SMALL)
+    plan = sinks.key_scan(table, "row_key", "10.", "2").where("log_date <= DATE'2024-01-05'") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row_key,10.)" in plan and "LessThan(row_key,2)" in plan
+    assert "PartitionFilters: [isnotnull(log_date" in plan
+
+
+def test_json_replies(spark):
+    from logscope.operators import geo
+
+    lines_ = ['{"pro": "北京", "city": "x", "ip": "1.2.3.4", "more": [1]}', '{broken', '[]', '{"pro": "", "city": "c", "ip": "2.2.2.2"}',
+              '{"pro": "a\\qb", "city": "c", "ip": "3.3.3.3"}', '{"city": "c"}', None]
+    got = geo.parse_replies(spark.createDataFrame([(x,) for x in lines_], "line STRING"))
+    rows = got.collect()
+    assert len(rows) == len(lines_) and [r.bad for r in rows][1] == "{broken"
+    assert {(r.pro, r.ips) for r in geo.replies_by_region(got).collect()} == {("北京", 1), ("a qb", 1)}
+
+
+def test_cluster_profiles_against_duckdb(spark):
+    """Sizes, modes, top URLs and the projection, from one written label table."""
+    import duckdb
+    from logscope.operators import grouped
+    from logscope.session import scratch_dir
+
+    path = scratch_dir(spark, "t-labels")
+    out = cluster.projection(cluster.request_clusters(strict(spark, SF_SMALL)))
+    out.select("event_id", "url", "status", "request_method", "user_agent", "prediction", "x", "y").write.parquet(path)
+    table = spark.read.parquet(path)
+    con = duckdb.connect()
+    src = f"read_parquet('{path.replace('file:', '', 1)}/*.parquet')"
+    n, cov, vx, vy = con.execute(f"SELECT count(*), covar_samp(x, y), var_samp(x), var_samp(y) FROM {src}").fetchall()[0]
+    assert n == strict(spark, SF_SMALL).count() and abs(cov) <= 1e-3 * (vx * vy) ** 0.5 and vx >= vy
+    want = con.execute(f"""SELECT prediction, url, hits, rank FROM (SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY hits DESC, url) AS rank
+        FROM (SELECT prediction, url, count(*) AS hits FROM {src} GROUP BY ALL)) WHERE rank <= 5 ORDER BY ALL""").fetchall()
+    got = sorted((r.prediction, r.url, r.hits, r["rank"]) for r in grouped.top_k_per_group(table, "prediction", "url", 5).collect())
+    assert got == want
+    modes = {r.prediction: (r.mode_request_method, r.mode_status, r.mode_user_agent)
+             for r in grouped.modes(table, "prediction", ["request_method", "status", "user_agent"]).collect()}
+    for p, m, s, a in con.execute(f"""SELECT prediction, {', '.join(f"(SELECT CAST({c} AS VARCHAR) FROM {src} i WHERE i.prediction = o.prediction GROUP BY {c} ORDER BY count(*) DESC, CAST({c} AS VARCHAR) LIMIT 1)" for c in ('request_method', 'status', 'user_agent'))}
+        FROM (SELECT DISTINCT prediction FROM {src}) o""").fetchall():
+        assert modes[p] == (m, s, a)
+    assert {r.prediction for r in cluster.profile(table).collect()} == set(modes)
 
 
 def test_top_k_is_take_ordered(spark):
-    plan = _plan(reports.top_n(access(spark, SF_SMALL), 10, "remote_addr"))
+    plan = _plan(reports.top_n(fields(spark, SF_SMALL, "remote_addr"), 10, "remote_addr"))
     assert "TakeOrderedAndProject" in plan
 
 
 def test_scan_prunes_columns(spark):
-    plan = _plan(reports.hits_by(access(spark, SF_SMALL), "request_url"))
+    plan = _plan(reports.hits_by(fields(spark, SF_SMALL, "request_url"), "request_url"))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
     assert "value:double" not in plan
 
@@ -70,7 +127,7 @@ def test_no_python_evaluation_in_any_batch_query(spark):
     skip = {n for n in all_queries() if n.startswith("stream_")}
     for name, spec in all_queries().items():
         if name in skip or name.startswith("cluster_") or name in (
-                "request_clusters", "ip_clusters", "sample_points", "scaled_ip_features"):
+                "request_clusters", "ip_clusters", "ip_cluster_projection", "sample_points", "sample_ip_points", "scaled_ip_features"):
             continue
         plan = _plan(spec.build(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name

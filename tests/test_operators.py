@@ -25,8 +25,8 @@ def test_range_join_equals_between_brute_force(spark):
     ips = [(_ip(n),) for n in probes] + [("66.0.3359.117",), ("1.2.3",)]
     rdf = spark.createDataFrame(ranges, "lo BIGINT, hi BIGINT, pro STRING, city STRING")
     idf = spark.createDataFrame(ips, "ip STRING")
-    for bc in (None, False):
-        got = sorted((r["ip"], r["pro"]) for r in geo.lookup(idf, rdf, broadcast=bc).collect())
+    for shuffle in (True, False):
+        got = sorted((r["ip"], r["pro"]) for r in geo.lookup(idf, rdf, shuffle=shuffle).collect())
         want = []
         for (ip,) in ips:
             parts = ip.split(".")

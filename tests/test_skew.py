@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
-from logscope.operators import activity, reports
-from logscope.plans.inputs import access
+from logscope.operators import activity, parsing, reports
+from logscope.plans.inputs import lines
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -20,7 +20,7 @@ SKEW_CONF = {
 
 
 def _hot(spark):
-    acc = access(spark, SF_ORACLE)
+    acc = parsing.report_rows(lines(spark, SF_ORACLE), "remote_addr", "epoch_ms", keep=("event_id",))
     return acc.withColumn("remote_addr", F.when(F.col("event_id") % 3 == 0, F.lit("9.9.9.9"))
                           .otherwise(F.col("remote_addr")))
 
@@ -61,20 +61,19 @@ def test_hot_ip_counts_exact(spark):
     assert sum(got.values()) == acc.count()
 
 
-def test_hot_value_index_join_is_salted_and_exact(spark):
-    """Index tables too large to broadcast: joins on (value, salt) give the same result."""
+def test_hot_value_index_join_is_exact(spark):
+    """Heavy values come from a bounded broadcast, all others from a plain join; together they are whole."""
     from logscope.operators import features as FE
     from logscope.plans.inputs import strict
 
     req = strict(spark, SF_ORACLE).withColumn(
-        "url", F.when(F.col("event_id") % 3 == 0, F.lit("/hot")).otherwise(F.col("url")))
+        "url", F.when(F.col("event_id") % 3 == 0, F.lit("/hot")).otherwise(F.concat("url", F.col("event_id").cast("string"))))
+    req = req.withColumn("referer", F.when(F.col("event_id") % 5 > 0, F.col("referer")))           # and NULLs
     cols = ["ip", "url", "request_method", "referer", "user_agent"]
     idx = FE.frequency_index(req, cols)
-    want = FE.apply_index(req, idx, cols).select("event_id", *[c + "_index" for c in cols])
-    got = FE.apply_index(req, idx, cols, max_broadcast_rows=0).select(
-        "event_id", *[c + "_index" for c in cols])
-    assert sorted(got.collect()) == sorted(want.collect())
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    joins = [ln for ln in plan.splitlines()
-             if ("SortMergeJoin [" in ln or "HashJoin [" in ln) and "_v_" in ln]   # the index joins
-    assert len(joins) >= len(cols) and all("_salt#" in ln for ln in joins)  # AQE may still broadcast
+    want = {(r["column"], r["value"]): float(r["freq_index"]) for r in idx.collect()}
+    got = FE.apply_index(req, idx, cols)
+    rows = got.collect()
+    assert len(rows) == req.count()
+    assert all(r[c + "_index"] == (want[c, r[c]] if r[c] is not None else None) for r in rows for c in cols)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()

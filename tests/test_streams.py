@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from logscope.operators import reports, sinks
-from logscope.plans.inputs import access, lines
+from logscope.plans.inputs import fields, lines
 from logscope.session import scratch_dir
+from logscope.sources import fixture
 from logscope.streaming import jobs, sources
 
 
 def _records(spark):
-    return lines(spark, SF_SMALL).select(F.col("event_id").alias("offset"),
+    return lines(spark, SF_SMALL).select(F.lit("t/0").alias("source"), F.col("event_id").alias("offset"),
                                          F.col("line").alias("value"))
 
 
+def _rows(spark, *names):
+    return fields(spark, SF_SMALL, *names)
+
+
 def test_replay_files_are_consumed_in_offset_order(spark):
     path = scratch_dir(spark, "t-replay")
-    n = sources.write_replay(_records(spark), path, files=5)
-    assert n == 5
+    assert fixture.write_replay(_records(spark), path) == 5
     seen = []
 
     def batch_fn(b, bid):
@@ -27,8 +32,8 @@ def test_replay_files_are_consumed_in_offset_order(spark):
         if r[0] is not None:
             seen.append((r[0], r[1]))
 
-    stream = sources.replay_records(spark, path, 1)
-    jobs._run(stream, scratch_dir(spark, "t-ckpt"), batch_fn, mode="append")
+    stream = fixture.replay_records(spark, path, 1)
+    jobs._run(stream, "", scratch_dir(spark, "t-ckpt"), batch_fn, mode="append")
     assert len(seen) == 5
     assert all(seen[i][1] < seen[i + 1][0] for i in range(len(seen) - 1))
 
@@ -39,17 +44,17 @@ def test_restart_from_checkpoint_keeps_totals_exact(spark):
     src = scratch_dir(spark, "t-src")
     first = recs.filter("offset < 500")
     rest = recs.filter("offset >= 500")
-    sources.write_replay(first, f"{src}/a", files=2)
+    fixture.write_replay(first, f"{src}/a")
     sink, ckpt = scratch_dir(spark, "t-sink"), scratch_dir(spark, "t-ckpt")
-    stream_a = sources.replay_records(spark, f"{src}/*/*.parquet", 1)
+    stream_a = fixture.replay_records(spark, src, 1)
     jobs.running_totals(stream_a, ["request_method"], sink, ckpt)
-    sources.write_replay(rest, f"{src}/b", files=3)
-    stream_b = sources.replay_records(spark, f"{src}/*/*.parquet", 1)
+    fixture.write_replay(rest, f"{src}/b")
+    stream_b = fixture.replay_records(spark, src, 1)
     run = jobs.running_totals(stream_b, ["request_method"], sink, ckpt)
-    assert run.batches == 3                       # only the new files were read
+    assert run.batches == 5                       # only the new files were read
     got = {r["request_method"]: r["hits"] for r in jobs.read_latest(spark, sink, ["request_method"]).collect()}
     want = {r["request_method"]: r["hits"]
-            for r in reports.hits_by(access(spark, SF_SMALL), "request_method").collect()}
+            for r in reports.hits_by(_rows(spark, "request_method"), "request_method").collect()}
     assert got == want
 
 
@@ -64,16 +69,16 @@ def test_text_tail_source_equals_batch(spark):
     assert run.batches == 3
     got = {r["http_version"]: r["hits"] for r in jobs.read_latest(spark, sink, ["http_version"]).collect()}
     want = {r["http_version"]: r["hits"]
-            for r in reports.hits_by(access(spark, SF_SMALL), "http_version").collect()}
+            for r in reports.hits_by(_rows(spark, "http_version"), "http_version").collect()}
     assert got == want
 
 
 def test_processing_time_trigger_runs_and_stops(spark):
     recs = _records(spark)
     path = scratch_dir(spark, "t-pt")
-    sources.write_replay(recs, path, files=2)
+    fixture.write_replay(recs, path)
     sink, ckpt = scratch_dir(spark, "t-pt-sink"), scratch_dir(spark, "t-pt-ckpt")
-    agg = jobs.parsed(sources.replay_records(spark, path, 1)).groupBy("status").agg(
+    agg = jobs.parsed(fixture.replay_records(spark, path, 1), "status").groupBy("status").agg(
         F.count(F.lit(1)).alias("hits"))
     q = jobs.start(agg, ckpt, lambda b, bid: sinks.upsert_latest(b, sink, ["status"], bid),
                    interval="1 second")
@@ -82,14 +87,14 @@ def test_processing_time_trigger_runs_and_stops(spark):
     finally:
         q.stop()
     got = {r["status"]: r["hits"] for r in jobs.read_latest(spark, sink, ["status"]).collect()}
-    want = {r["status"]: r["hits"] for r in reports.hits_by(access(spark, SF_SMALL), "status").collect()}
+    want = {r["status"]: r["hits"] for r in reports.hits_by(_rows(spark, "status"), "status").collect()}
     assert got == want
 
 
 def test_console_preview_runs(spark):
     path = scratch_dir(spark, "t-cons")
-    sources.write_replay(_records(spark), path, files=2)
-    counts = jobs.parsed(sources.replay_records(spark, path, 1)).groupBy("request_url").agg(
+    fixture.write_replay(_records(spark), path)
+    counts = jobs.parsed(fixture.replay_records(spark, path, 1), "request_url").groupBy("request_url").agg(
         F.count(F.lit(1)).alias("hits"))
     q = jobs.console_preview(counts, scratch_dir(spark, "t-cons-ckpt"),
                              [F.col("hits").desc(), "request_url"])
@@ -117,32 +122,92 @@ def test_upsert_latest_last_write_wins(spark):
     assert got == {"a": (1, 0), "b": (7, 1), "c": (2, 1)}
 
 
-def test_compaction_folds_the_log(spark):
-    import os
-
-    root = scratch_dir(spark, "t-compact")
+def _filled(spark, root):
     acc, lat = f"{root}/acc", f"{root}/lat"
     for bid in range(1, 6):
         d = spark.createDataFrame([("a", bid), ("b", 1)], "k STRING, v BIGINT")
-        sinks.upsert_accumulate(d, acc, ["k"], "v", bid, compact_every=2)
-        sinks.upsert_latest(d, lat, ["k"], bid, compact_every=2)
-    sinks.upsert_accumulate(spark.createDataFrame([("a", 5), ("b", 1)], "k STRING, v BIGINT"),
-                            acc, ["k"], "v", 5, compact_every=2)          # replay of batch 5
-    tot = {r["k"]: r["v"] for r in sinks.read_totals(spark, acc, ["k"], "v").collect()}
-    assert tot == {"a": 15, "b": 5}
-    latest = {r["k"]: (r["v"], r["batch_id"]) for r in sinks.read_latest(spark, lat, ["k"]).collect()}
-    assert latest == {"a": (5, 5), "b": (1, 5)}
-    local = acc.replace("file:", "", 1)
-    assert sorted(os.listdir(f"{local}/log")) == ["batch_id=5"]           # 1..4 folded into base v=4
-    assert [d for d in os.listdir(f"{local}/base") if d.startswith("v=")] == ["v=000000000004"]
+        sinks.upsert_accumulate(d, acc, ["k"], "v", bid)
+        sinks.upsert_latest(d, lat, ["k"], bid)
+    return acc, lat
+
+
+def _read(spark, acc, lat):
+    return ({r["k"]: r["v"] for r in sinks.read_totals(spark, acc, ["k"], "v").collect()},
+            {r["k"]: (r["v"], r["batch_id"]) for r in sinks.read_latest(spark, lat, ["k"]).collect()})
+
+
+def test_folding_changes_no_total_and_replays_stay_replays(spark):
+    acc, lat = _filled(spark, scratch_dir(spark, "t-fold"))
+    want = ({"a": 15, "b": 5}, {"a": (5, 5), "b": (1, 5)})
+    assert _read(spark, acc, lat) == want
+    assert sinks.fold(spark, acc, ["k"], "v") == 5 and sinks.fold(spark, lat, ["k"]) == 5
+    assert _read(spark, acc, lat) == want and sinks.committed(spark, acc) == []
+    again = spark.createDataFrame([("a", 5), ("b", 1)], "k STRING, v BIGINT")
+    assert not sinks.upsert_accumulate(again, acc, ["k"], "v", 5)          # the batch that was folded last
+    assert not sinks.upsert_latest(again, lat, ["k"], 3)
+    assert _read(spark, acc, lat) == want
+    assert sinks.upsert_accumulate(again, acc, ["k"], "v", 6)
+    assert sinks.fold(spark, acc, ["k"], "v") == 6 and sinks.fold(spark, acc, ["k"], "v") == 6
+    assert _read(spark, acc, lat)[0] == {"a": 20, "b": 6}
+
+
+def test_a_fold_that_fails_loses_nothing(spark, monkeypatch):
+    acc, lat = _filled(spark, scratch_dir(spark, "t-crash"))
+    want = _read(spark, acc, lat)
+    real = sinks._totals
+    monkeypatch.setattr(sinks, "_totals", lambda *a: real(*a).withColumn("v", F.raise_error(F.lit("lost")).cast("bigint")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.fold(spark, acc, ["k"], "v")
+    monkeypatch.undo()
+    assert _read(spark, acc, lat) == want                                  # the old files are all there
+    # Stopped between the commit and the deletion: both are there, and count once.
+    rows = sinks.read_totals(spark, acc, ["k"], "v")
+    rows.write.parquet(f"{acc}/base/v=000000000005-crash")
+    assert _read(spark, acc, lat) == want
+    assert sinks.upsert_accumulate(spark.createDataFrame([("a", 1)], "k STRING, v BIGINT"), acc, ["k"], "v", 6)
+    assert sinks.fold(spark, acc, ["k"], "v") == 6 and _read(spark, acc, lat)[0] == {"a": 16, "b": 5}
+
+
+def test_uncommitted_batches_are_not_read(spark):
+    root = scratch_dir(spark, "t-part")
+    d = spark.createDataFrame([("a", 1)], "k STRING, v BIGINT")
+    sinks.append_batch(d, root, 0)
+    d.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/log/batch_id=1")
+    assert sinks.committed(spark, root) == [0] and sinks.read_appended(spark, root).count() == 1
+    assert sinks.append_batch(d, root, 1) and sinks.read_appended(spark, root).count() == 2
+
+
+def test_records_are_named_by_their_whole_identity(spark):
+    """Equal lines at equal offsets of two partitions, and equal lines of a text file, stay apart."""
+    line = '1.2.3.4 - - [22/Jan/2019:03:56:16 +0000] "GET /a HTTP/1.1" 200 1 "-" "x"'
+    raw = spark.createDataFrame([("t", 0, 5, line), ("t", 1, 5, line), ("t", 1, 6, line)],
+                                "topic STRING, partition INT, offset BIGINT, value STRING")
+    path, sink, ckpt = (scratch_dir(spark, x) for x in ("t-id", "t-id-sink", "t-id-ckpt"))
+    recs = sources.kafka_shape(raw)
+    fixture.write_replay(recs, path, redeliver=True)
+    jobs.dedup(fixture.replay_records(spark, path), sink, ckpt)
+    assert sinks.read_latest(spark, sink, ["row_key"]).count() == 3
+    text = scratch_dir(spark, "t-id-text")
+    spark.createDataFrame([(line,), (line,), (line.replace("/a", "/b"),)], "value STRING").coalesce(1).write.text(text)
+    jobs.dedup(sources.text_records(spark, text), f"{sink}-text", f"{ckpt}-text")
+    assert sinks.read_latest(spark, f"{sink}-text", ["row_key"]).count() == 3
+
+
+def test_late_records_count_and_unusable_ones_are_counted(spark):
+    path, sink, ckpt = (scratch_dir(spark, x) for x in ("t-late", "t-late-sink", "t-late-ckpt"))
+    fixture.write_replay(_records(spark), path, disorder=True)
+    run = jobs.hourly_windows(fixture.replay_records(spark, path), sink, ckpt)
+    timed = _rows(spark, "epoch_ms").count()
+    assert sinks.read_totals(spark, sink, ["bucket_ms"], "hits").agg({"hits": "sum"}).first()[0] == timed
+    assert run.batches == 5 and run.records - run.unusable == timed
 
 
 def test_append_batch_replay_overwrites_itself(spark):
     root = scratch_dir(spark, "t-app")
     d = spark.createDataFrame([("x",), ("y",)], "k STRING")
-    sinks.append_batch(d, root, 0)
-    sinks.append_batch(d, root, 0)
-    sinks.append_batch(d, root, 1)
+    assert sinks.append_batch(d, root, 0)
+    assert not sinks.append_batch(d, root, 0)
+    assert sinks.append_batch(d, root, 1)
     assert sinks.read_appended(spark, root).count() == 4
 
 
