@@ -63,7 +63,17 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+BATCH_BYTES = 8 << 20
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``df.mapInArrow`` by a function of this package."""
-    ship_package(df.sparkSession)
+    """``df.mapInArrow`` by a function of this package, in batches of at most ``BATCH_BYTES``.
+
+    The session's bound on Arrow batches is lowered to that, never raised: rows here are whole
+    texts and sets, and a batch is held by the JVM and by Python at once.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    ship_package(spark)
     return df.mapInArrow(function, schema)
