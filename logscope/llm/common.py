@@ -9,9 +9,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logscope.session import scratch_dir
+from logscope.session import drop_scratch, scratch_dir
 
 _shipped: set[str] = set()
+_kept: dict[str, list[str]] = {}          # application -> folders that keep_table wrote
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,9 +41,22 @@ def without_ids(docs: DataFrame, doc_id: str, gone: DataFrame) -> DataFrame:
 def keep_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and reread it: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark, label)}/table"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = scratch_dir(spark, label)
+    df.write.option("compression", "zstd").parquet(f"{folder}/table")
+    _kept.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return spark.read.schema(df.schema).parquet(f"{folder}/table")
+
+
+def kept_tables(spark: SparkSession) -> list[str]:
+    """Folders that ``keep_table`` wrote and ``release`` has not deleted, oldest first."""
+    return list(_kept.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, folders: list[str]) -> None:
+    """Delete kept tables that no DataFrame in use reads any more."""
+    for folder in folders:
+        drop_scratch(spark, folder)
+        _kept[spark.sparkContext.applicationId].remove(folder)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -19,7 +19,7 @@ import corpus_pipeline
 from conftest import SF_SMALL
 from helpers import SCHEMA, base_secrets, documents, empty_documents, near_components, odd_documents, odd_rows, row
 from logscope.llm import exact_dedup, packing, piece_codec, quality_lm, queries, secret_scan
-from logscope.llm.common import keep_table
+from logscope.llm.common import keep_table, kept_tables
 
 PIECES = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(piece_codec.MODEL))
 TOKENS = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
@@ -198,7 +198,10 @@ def test_pipeline_stages_against_brute_force(spark):
         assert not base_secrets(r.text) and r.n_chars == len(r.text)
         if not base_secrets(rows[d].text) and "PRIVATE KEY" not in rows[d].text:
             assert r == rows[d]
-    _check_packed(corpus_pipeline.run(spark, SF_SMALL).collect(), [(d, r.text) for d, r in seen["secret_scan"].items()])
+    before = len(kept_tables(spark))
+    packed = corpus_pipeline.run(spark, SF_SMALL)
+    assert len(kept_tables(spark)) == before + 1                 # the last stage's input; all else is deleted
+    _check_packed(packed.collect(), [(d, r.text) for d, r in seen["secret_scan"].items()])
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
