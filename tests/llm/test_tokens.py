@@ -97,7 +97,7 @@ def test_packing_odd_rows(spark):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from([*"ab1 .'  \n\t é", "the", "日", "'s", "  ", "\n\n", " \n", "<|endoftext|>"]), max_size=40).map("".join))
-def test_words_apart_give_the_tokenizers_ids(text):
+def test_ranks_give_the_tokenizers_ids(text):
     got = np.frombuffer(packing.load().encode([text])[0], "<u2").tolist()
     assert got == TOKENS.encode(text, add_special_tokens=False).ids + [0]
 
@@ -108,6 +108,13 @@ def test_white_space_of_all_kinds():
         assert np.frombuffer(got, "<u2").tolist() == TOKENS.encode(t, add_special_tokens=False).ids + [0], t[:20]
 
 
+def test_ranks_class_characters_like_the_tokenizer():
+    """Letters, digits and white space are the same to both, over the basic plane."""
+    texts = [f"x{c}y {c}{c} z{c} 1{c}\n{c}" for c in map(chr, range(0x10000)) if not 0xD800 <= ord(c) <= 0xDFFF]
+    want = TOKENS.encode_batch(texts, add_special_tokens=False)
+    assert all(np.frombuffer(got, "<u2").tolist() == e.ids + [0] for got, e in zip(packing.load().encode(texts), want))
+
+
 def test_neighbours_are_the_best_by_bm25(spark):
     """Texts about one subject end up in one sequence, whatever their ids."""
     rows = [(i, " ".join(f"subject{i % 6}word{j}" for j in range(12))) for i in range(48)]
