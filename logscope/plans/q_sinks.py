@@ -47,8 +47,10 @@ def _etl(spark, sf, columns):
     rows = access(spark, sf).select(
         "event_id", key.alias("row_key"), *_trimmed(columns),
         F.to_date(F.substring("time_local", 1, 11), "dd/MMM/yyyy").alias("log_date"))
-    # One range of dates and keys per task: few files per date, each with a narrow range of keys.
-    sorted_ = rows.repartitionByRange("log_date", "row_key").sortWithinPartitions("log_date", "row_key")
+    # Rows of one date and address prefix come together, so that a file has a narrow range of keys;
+    # a rebalance, unlike a repartition, lets Spark split a prefix that is too large and join small ones.
+    near = rows.withColumn("_prefix", F.substring_index("row_key", ".", 1)).hint("rebalance", "log_date", "_prefix")
+    sorted_ = near.sortWithinPartitions("log_date", "row_key").drop("_prefix")
     sinks.append_batch(sorted_, root, 0, partition_by=["log_date"])
     return sinks.read_appended(spark, root)
 
