@@ -60,9 +60,9 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.repeat([False, True], [int(inside.sum()), len(single)]))], ["doc_id", "line", "hash", "single"])
 
 
-def _lines(text: str, start: str, last: str) -> Column:
-    """The lines from ``start`` to ``last`` of a text."""
-    return F.array_join(F.slice(F.split(F.col(text), "\n", -1), F.col(start) + 1, F.col(last) - F.col(start) + 1), "\n")
+def _with_lines(text: str, result) -> Column:
+    """``result(lines)`` for the lines of a text, which is split once however often they are used."""
+    return F.transform(F.array(F.split(F.col(text), "\n", -1)), result)[0]
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -82,9 +82,12 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     twice = keep_table(chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk"), "chunks-repeated")
     spans = chunks.join(twice, "chunk", "left_semi").groupBy("doc_id") \
         .agg(F.collect_list(F.struct("start", "last", "chunk")).alias("spans"))
-    found = rows.join(spans, "doc_id").select("doc_id", "body", F.explode("spans").alias("s")) \
-        .select("doc_id", "body", "s.start", "s.last", "s.chunk") \
-        .select("doc_id", "start", "last", "chunk", _lines("body", "start", "last").alias("bytes"))
+    def texts(lines: Column) -> Column:
+        return F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["last"].alias("last"), s["chunk"].alias("chunk"), F.array_join(
+            F.slice(lines, s["start"] + 1, s["last"] - s["start"] + 1), "\n").alias("bytes")))
+
+    found = rows.join(spans, "doc_id").select("doc_id", F.explode(_with_lines("body", texts)).alias("s")) \
+        .select("doc_id", "s.start", "s.last", "s.chunk", "s.bytes")
     found = keep_table(found, "chunk-texts")
     place = F.struct("doc_id", "start")
     first = keep_table(found.groupBy("chunk").agg(F.min(place).alias("first"), F.min_by("bytes", place).alias("first_bytes")),
@@ -102,8 +105,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     numbers = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["last"])))
     joined = rows.join(keep_table(gone, "lines-removed"), F.col("doc_id") == F.col("g_id"), "left") \
         .withColumn("drop", F.array_distinct(numbers))
-    # A marker in place of a dropped line's number keeps the pass over the lines linear.
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop"), lambda i: F.element_at(lines, i + 1))
+    kept = _with_lines("body", lambda x: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), "drop"), lambda i: F.element_at(x, i + 1)))
     removed = F.coalesce(F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["last"].cast("string"))), ","),
                          F.lit(""))
     body = F.when(F.col("drop").isNull(), F.col("body")).otherwise(F.array_join(kept, "\n"))
