@@ -40,12 +40,19 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+# A PEM block: header, body and END marker. Without one it ends with the last line of base64, or the
+# last of the long runs of a body on one line. All loops are possessive, which Java runs without recursion.
+_PEM = "-----%s [A-Z ]{0,40}PRIVATE KEY-----"
+_GAP, _BASE64 = r"""(?:[\s>#*|"',]|\\[nrt])""", "[A-Za-z0-9+/=]"
+_TO_END = rf"[^-]*+(?:-{{1,4}}+(?!-)[^-]*+)*+{_PEM % 'END'}"
+_NO_END = rf"""(?:{_GAP}*+(?:Proc-Type|DEK-Info):[^\n]*+)*+(?:{_GAP}*+(?:{_BASE64}{{40,}}+|(?<=[\n>#*|"'\x20\t]|\\[nrt]){_BASE64}++(?=[\x20\t"',]*+(?:[\r\n]|\\[nr]|\z))))*+"""
+
 # The patterns of the three base rules, and one that this method adds.
 RULES = (
     Rule("assign", 1, r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 6),
     Rule("access", 1, r"()(AKIA[A-Z0-9]{16,})", 20),
     Rule("hex", 1, r"()([0-9a-f]{24,})", 24),
-    Rule("pem", 1, r"()(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)", 1, base=False),
+    Rule("pem", 3, f"()({_PEM % 'BEGIN'}(?:{_TO_END}|{_NO_END}))", 1, base=False),
 )
 _SPANS = "array<struct<start:int,rank:int,end:int>>"
 
@@ -135,7 +142,8 @@ def redact(docs: DataFrame, path: str = "doc_id", text: str = "text", mark: str
     dirty = keep_table(findings(versions, ledger, rules).where(F.size("spans") > 0)
                        .select(F.col("path").alias(key), F.lit(True).alias(flag)).distinct(), "blob-dirty")
     clean = whole_text(text)
-    for r in rules:
+    # Added rules first: they match whole blocks, which a mark set inside by a base rule would break.
+    for r in sorted(rules, key=lambda r: r.base):
         clean = F.array_join(F.transform(_parts(clean, r), _marked(r.least, mark)), "")
     joined = docs.join(dirty, docs[path].eqNullSafe(F.col(key)), "left")
     return joined.withColumn(text, F.when(F.col(flag), clean).otherwise(F.col(text))).select(*docs.columns)

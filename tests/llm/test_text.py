@@ -186,6 +186,23 @@ def test_ledger_scans_only_what_is_unseen(spark):
     assert {r.rule for r in new.collect()} == {"pem@2"} and new.count() == 3
 
 
+def test_private_keys_are_redacted_whole(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = [(f"k{i}Q/+" + "Zx9" * 30)[:64] for i in range(30)]
+    lines[3], lines[7] = "AKIA" + "B" * 60, "ab" * 32                     # other rules match inside the body
+    body, armor = "\n".join([*lines, "Zm9v="]), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011AABB\n\n"
+    blocks = [f"{begin}\n{body}\n{end}", f"{begin}\r\n{armor}{body}\n{end}", f"{begin}\\n" + body.replace("\n", "\\n") + f"\\n{end}",
+              f"{begin} {body.replace(chr(10), ' ')} {end}", f"{begin}\n{body}", f"{begin}\n{armor}{body}", f"{begin}\nc2hvcnQ="]
+    rows = [row(i, f"head line\nsecret: {b}\nthe tail stays") for i, b in enumerate(blocks)]
+    rows += [row(90, f"{blocks[4]}\n{blocks[0]}\nthe tail stays"), row(91, f"{begin} is the header of a key"),
+             row(92, f"{begin}\n" + "Zx9+" * 100_000 + f"\n{end}")]
+    got = {r.doc_id: r.text for r in secret_scan.redact(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(len(blocks)):
+        assert got[i] == "head line\nsecret: [REDACTED]\nthe tail stays", i
+    assert got[90] == "[REDACTED]\n[REDACTED]\nthe tail stays" and got[91] == "[REDACTED] is the header of a key"
+    assert got[92] == "[REDACTED]"
+
+
 def test_secrets_odd_rows_and_redaction(spark):
     found = secret_scan.findings(*secret_scan.scan(odd_documents(spark))[:2]).collect()
     assert len(found) == len(odd_rows()) and {r.path for r in found if r.spans} == {12}
