@@ -13,10 +13,14 @@ component cannot change the result).
 
 A candidate also agrees in at least ``AGREE`` of the ``KEY`` values of the order, which texts that
 merely share a passage seldom do. At a similarity of 0.8 a pair fails that with probability 1e-3,
-misses one tree with 0.49 and all 32 with 1e-10. In a
-dense region, where only the nearest rows are paired, a pair whose rivals are nearly as similar
-can be missed; near copies are still linked through each other, as each has up to
-``2 * NEAR * TREES`` partners.
+misses one tree with 0.49 and all 32 with 1e-10.
+
+All rows of dense regions then take an exact path, which looks only between components known so
+far. Sets are ordered by one global order, rare shingles first; two sets of enough similarity have
+their first common shingle in a prefix of both, whose length follows from their sizes alone. The
+order comes from a sample, which bears on the work and not on the result. Rows that share a
+prefix shingle held by at most ``HOT`` rows are joined; those of hotter shingles form groups, dealt
+over pairs of blocks of about ``BLOCK`` rows, in which all sets are compared by a matrix product.
 
 Defined results: a null text counts as empty; a text without words has no shingles, is linked
 with nothing and is its own component; rows that repeat one doc_id are one document (the first
@@ -39,6 +43,8 @@ from logscope.llm.graph import components
 
 TREES, DEPTH, KEY = 32, 3, 16        # trees, least common prefix, values in a sort key
 NEAR, SMALL = 6, 12                 # neighbours in dense regions, rows of a region that is not dense
+HOT, BLOCK, WIDE = 64, 256, 4        # rows of a hot shingle, rows of a block, a group's rows to its hottest shingle's
+ORDERED, LISTED = 10_000, 1 << 17    # rows whose shingles are counted for the global order, shingles it lists
 AGREE = 9                            # of a key's values that a candidate shares at least, in any places
 _SIZE = TREES * DEPTH
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, _SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,7 +86,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates among rows sorted by tree and key; the last rows of a batch are carried into the next."""
+    """Candidates among rows sorted by tree and key, and each row of a dense region as a pair with itself;
+    the last rows of a batch are carried into the next."""
     held = None
     for batch in batches:
         tree = batch.column(0).to_numpy().astype(np.uint16)
@@ -95,6 +102,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         far = np.zeros(n, bool)      # SMALL rows back is still the same region: it is dense
         if n > SMALL:
             far[SMALL:] = (rows[SMALL:, :DEPTH + 1] == rows[:-SMALL, :DEPTH + 1]).all(1)
+        dense = far.copy()
+        for step in range(1, min(SMALL + 1, n)):
+            dense[:-step] |= far[step:]
+        if dense.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[dense]), pa.array(ids[dense]), pa.array(np.zeros(int(dense.sum()), np.int32))], ["a", "b", "common"])
         for step in range(1, min(SMALL, n)):
             later = np.arange(max(old, step), n)
             if step > NEAR:
@@ -135,6 +148,150 @@ def _confirm(percent: int):
     return run
 
 
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for x in batch.column(0):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), np.int64))], ["token"])
+
+
+def _prefixes(percent: int, listed: np.ndarray, counts: np.ndarray):
+    """The rarest shingles of each set, as many as another set of enough similarity can lack, and one more.
+
+    ``early``: also among those that a set at least as large can lack.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, comps, tokens, early, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy(), [], [], []
+            for x in batch.column(2):
+                h = np.frombuffer(x.as_buffer(), np.uint64)
+                rank = np.zeros(len(h), np.int64)
+                if len(listed):
+                    at = np.minimum(np.searchsorted(listed, h), len(listed) - 1)
+                    rank = np.where(listed[at] == h, counts[at], 0)
+                n = min(len(h), len(h) + 1 + -percent * len(h) // 100)
+                tokens.append(h[np.lexsort((h, rank))[:n]].view(np.int64))
+                early.append(np.arange(n) < len(h) + 1 + -2 * percent * len(h) // (100 + percent))
+                sizes.append(n)
+            if sizes:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens)), pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(comps, sizes)),
+                     pa.array(np.concatenate(early))], ["token", "id", "c", "early"])
+    return run
+
+
+def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common shingles of each of ``x`` with each of ``y``."""
+    both = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    out = np.zeros((len(x), len(y)), np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row, h = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets)
+        at = np.minimum(np.searchsorted(both, h), max(len(both) - 1, 0))
+        hit = both[at] == h if len(both) else np.zeros(len(h), bool)
+        return row[hit], at[hit]
+
+    (xr, xc), (yr, yc) = places(x), places(y)
+    for first in range(0, len(both), 4096):
+        one, two = np.zeros((len(x), 4096), np.float32), np.zeros((len(y), 4096), np.float32)
+        for m, r, c in ((one, xr, xc), (two, yr, yc)):
+            here = (c >= first) & (c < first + 4096)
+            m[r[here], c[here] - first] = 1
+        out += one @ two.T
+    return out
+
+
+def _blocks(percent: int):
+    """Links between components in each pair of blocks, as many as tell which of them belong together."""
+    def found(held: list[tuple[int, int, int, np.ndarray]], one: bool) -> pa.RecordBatch | None:
+        x = [h for h in held if h[0] == 0]
+        y = x if one else [h for h in held if h[0] == 1]
+        if not x or not y or len({h[2] for h in held}) < 2:
+            return None
+        sizes = [np.array([len(h[3]) for h in side], np.int64) for side in (x, y)]
+        comps = [np.array([h[2] for h in side], np.int64) for side in (x, y)]
+        common = np.rint(_overlaps([h[3] for h in x], [h[3] for h in y])).astype(np.int64)
+        total = sizes[0][:, None] + sizes[1][None, :] - common
+        near = (100 * common >= percent * total) & (comps[0][:, None] != comps[1][None, :])
+        up: dict[int, int] = {}
+        a, b = [], []
+        for i, j in np.argwhere(near).tolist():
+            p, q = x[i][2], y[j][2]
+            while p in up:
+                p = up[p]
+            while q in up:
+                q = up[q]
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                a.append(min(x[i][1], y[j][1]))
+                b.append(max(x[i][1], y[j][1]))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]) if a else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            for key, side, id_, c, x in zip(keys, *(batch.column(i).to_pylist() for i in (4, 5, 6)), batch.column(7)):
+                if key != at:
+                    if at and (out := found(held, at[2] == at[3])):
+                        yield out
+                    at, held = key, []
+                held.append((side, id_, c, np.frombuffer(x.as_py(), np.uint64)))
+        if at and (out := found(held, at[2] == at[3])):
+            yield out
+    return run
+
+
+def _exact(sets: DataFrame, dense: DataFrame, known: DataFrame, percent: int, confirmed) -> DataFrame | None:
+    """Links (a, b) among the rows of dense regions that lie in different components (n, c) so far."""
+    n = dense.count()
+    if not n:
+        return None
+    spark, parts = sets.sparkSession, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sets.join(dense.hint("merge"), "id", "left_semi")
+    some = map_arrow(rows.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // ORDERED))) == 0).select("shingles"), _single, "token long")
+    top = some.groupBy("token").count().where("count > 1").orderBy(F.desc("count"), "token").limit(LISTED).toArrow()
+    listed, counts = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
+    order = np.argsort(listed)
+    placed = rows.join(known, rows.id == known.n, "left").select("id", F.coalesce("c", "id").alias("c"), "shingles")
+    prefix = keep_table(map_arrow(placed, _prefixes(percent, listed[order], counts[order]),
+                                  "token long, id long, c long, early boolean"), "shingle-prefixes")
+    mixed = prefix.groupBy("token", "c").agg(F.count(F.lit(1)).alias("n"), F.max("early").alias("early")) \
+        .groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"), F.max("early").alias("any"),
+                              F.max_by("c", "n").alias("major")).where("comps > 1 AND any")
+    live = keep_table(prefix.join(mixed.select("token", "n", "major").hint("merge"), "token"), "prefixes-mixed")
+    # Of two components one is not the shingle's largest.
+    few = live.where(F.col("n") <= HOT)
+    x, y = few.select("token", "id", "c", "early"), few.where("c != major").toDF("token", "id2", "c2", "early2", "n2", "major2")
+    pairs = x.join(y.hint("merge"), "token").where("c != c2 AND (early OR early2)") \
+        .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+    out = confirmed(pairs, "links-rare")
+    hot = live.where(F.col("n") > HOT).select("token", "id", "c", "n")
+    if hot.isEmpty():
+        return out
+    # Hot shingles that meet in a prefix form one group; where that is much larger than each, they stay apart.
+    first = hot.groupBy("id").agg(F.min("token").alias("first"))
+    edges = hot.join(first, "id").where("token != first").select(F.col("token").alias("a"), F.col("first").alias("b")).distinct()
+    whole = components(edges).select(F.col("node").alias("token"), F.col("component").alias("g"))
+    # Groups are sized by way of the shingles, so that no group's rows meet in one task.
+    named = hot.groupBy("token").agg(F.max("n").alias("n")).join(whole, "token", "left") \
+        .join(first.groupBy(F.col("first").alias("token")).agg(F.count(F.lit(1)).alias("firsts")), "token", "left") \
+        .select("token", "n", F.coalesce("g", "token").alias("g"), F.coalesce("firsts", F.lit(0)).alias("firsts"))
+    group = named.groupBy("g").agg(F.sum("firsts").alias("rows"), F.max("n").alias("most"))
+    wide = F.col("rows") > WIDE * F.col("most")
+    dealing = keep_table(named.join(group, "g").select(
+        "token", wide.alias("wide"), F.when(wide, F.col("token")).otherwise(F.col("g")).alias("g"),
+        F.ceil(F.when(wide, F.col("n")).otherwise(F.col("rows")) / BLOCK).cast("int").alias("blocks")), "hot-shingles")
+    member = keep_table(hot.join(dealing, "token").select("wide", "g", "blocks", "id", "c").distinct(), "hot-groups")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = member.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")) \
+        .select("wide", "g", "own", "id", "c", other) \
+        .select("wide", "g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "c")
+    met = dealt.join(sets.hint("merge"), "id").select("wide", "g", "i", "j", "side", "id", "c", "shingles") \
+        .repartition(parts, "wide", "g", "i", "j").sortWithinPartitions("wide", "g", "i", "j")
+    return out.unionByName(keep_table(map_arrow(met, _blocks(percent), "a long, b long").distinct(), "links-hot"))
+
+
 def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") \
         -> tuple[DataFrame, DataFrame]:
     """(members, links): members (doc_id, n_shingles, class_id) of every document, and confirmed
@@ -149,10 +306,11 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
     forest = map_arrow(classes.select("id", "sig"), _keys, "tree int, key binary, id long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = forest.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
-    pairs = map_arrow(ordered, _neighbours, "a long, b long, common int").where("a != b")
-    pairs = keep_table(pairs.groupBy("a", "b").agg(F.struct(F.count(F.lit(1)), F.sum("common")).alias("weight")), "candidates")
+    pairs = map_arrow(ordered, _neighbours, "a long, b long, common int")
+    seen = keep_table(pairs.groupBy("a", "b").agg(F.struct(F.count(F.lit(1)), F.sum("common")).alias("weight")), "candidates")
+    pairs, dense = seen.where("a != b"), seen.where("a = b").select(F.col("a").alias("id"))
     # The list grows with the corpus: joined by shuffle at every size, never sent to all tasks.
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge")
+    ids = seen.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge")
     wanted = body.join(ids, body.doc_id == ids.id, "left_semi").select("doc_id", "body")
     sets = keep_table(map_arrow(wanted, _sets(k), "id long, shingles binary"), "shingle-sets")
 
@@ -169,7 +327,10 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
                 .join(known.select(F.col("n").alias("b"), F.col("c").alias("cb")), "b", "left") \
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")) \
                 .join(best, ["a", "b"], "left_anti")
-    return members, first.unionByName(confirmed(rest, "links-rest"))
+    found = first.unionByName(confirmed(rest, "links-rest"))
+    known = components(found).select(F.col("node").alias("n"), F.col("component").alias("c"))
+    more = _exact(sets, dense, known, percent, confirmed)
+    return members, found if more is None else found.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
