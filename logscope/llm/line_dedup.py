@@ -1,12 +1,11 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by repeated pairs of neighbouring lines.
 
-A rolling hash over a window of two line hashes names each pair of neighbouring lines. Pairs
-are counted over all documents. A chunk is a run of lines whose pairs all occur more than once,
-cut where a pair's hash is 0 modulo ``DIVISOR``; both depend on the lines alone, so that text
-inserted before or after a passage moves no boundary inside it. A single line of more than
-``LONG_WORDS`` words is a chunk as well. Of chunks with equal hashes the one in the smallest
-doc_id (then the first line) stays; every other is compared with it byte by byte and, if equal,
-removed from its document.
+A rolling hash over a window of two line hashes names each pair of neighbouring lines, wherever it
+lies; a single line of more than ``LONG_WORDS`` words is named as well. Pairs are counted over all
+documents. Of equal ones the first, in the smallest doc_id and then line, stays; the lines of every
+other are removed, so that a repeated passage of two lines or more goes whole, whatever lies around
+it. Neighbouring pairs whose firsts are neighbours too form one chunk, which is compared byte by
+byte with the lines of the firsts before it is removed.
 
 Counts are aggregates with map-side combining and hashes are joined back as narrow rows, so
 that a passage shared by a third of all documents is spread over tasks.
@@ -31,7 +30,7 @@ from pyspark.sql import Window as W
 from logscope.llm.common import keep_table, map_arrow, whole_text
 from logscope.llm.wordhash import mix
 
-DIVISOR, LONG_WORDS = 8, 50
+LONG_WORDS = 50
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 1024
 
@@ -51,7 +50,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 alone += [x.count(" ") >= LONG_WORDS for x in lines]
             ids, place, h = np.array(ids, np.int64), np.array(place, np.int32), np.array(hashes, np.uint64)
             pair = mix(h[:-1] * _FACTOR + h[1:])
-            inside = (place[1:] > 0) & (pair % np.uint64(DIVISOR) != 0)      # else another text begins, or a chunk ends
+            inside = place[1:] > 0      # else another text begins
             single = np.flatnonzero(np.array(alone, bool))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([ids[:-1][inside], ids[single]])),
@@ -66,34 +65,40 @@ def _with_lines(text: str, result) -> Column:
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, start, last, chunk): chunks of lines to remove, all but the first of equal ones."""
+    """(doc_id, start, last): chunks of lines to remove, all but the first of equal ones."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("body")).where("doc_id IS NOT NULL")
     pairs = keep_table(map_arrow(rows, _pairs, "doc_id long, line int, hash long, single boolean"), "line-pairs")
-    often = keep_table(pairs.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "pairs-repeated")
-    known = pairs.join(often, "hash", "left_semi").distinct()
-    in_doc = W.partitionBy("doc_id").orderBy("line")
-    runs = known.where("NOT single").withColumn("run", F.col("line") - F.row_number().over(in_doc)) \
-        .groupBy("doc_id", "run").agg(F.min("line").alias("start"), (F.max("line") + 1).alias("last"),
-                                      F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("line", "hash"))),
-                                                             lambda x: x["hash"])).alias("chunk")) \
-        .select("doc_id", "start", "last", "chunk")
-    chunks = keep_table(runs.unionByName(known.where("single").select(
-        "doc_id", F.col("line").alias("start"), F.col("line").alias("last"), F.col("hash").alias("chunk"))), "line-chunks")
-    twice = keep_table(chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk"), "chunks-repeated")
-    spans = chunks.join(twice, "chunk", "left_semi").groupBy("doc_id") \
-        .agg(F.collect_list(F.struct("start", "last", "chunk")).alias("spans"))
+    place = F.struct("doc_id", "line")
+    often = keep_table(pairs.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+                       .where("n > 1").select("hash", "first"), "pairs-repeated")
+    later = pairs.join(often, "hash").where(F.col("first") != place) \
+        .select("doc_id", "line", "single", F.col("first.doc_id").alias("from_doc"), (F.col("line") - F.col("first.line")).alias("shift")) \
+        .distinct()
+    # A chunk's firsts lie next to each other as well, ``shift`` lines before it in ``from_doc``.
+    source = ["doc_id", "single", "from_doc", "shift"]
+    runs = later.withColumn("run", F.col("line") - F.row_number().over(W.partitionBy(*source).orderBy("line"))) \
+        .groupBy(*source, "run").agg(F.min("line").alias("start"), F.max("line").alias("last")) \
+        .select("doc_id", "start", (F.col("last") + F.when(F.col("single"), 0).otherwise(1)).alias("last"), "from_doc", "shift")
+    chunks = keep_table(runs, "line-chunks")
+    origin = [F.col("from_doc"), (F.col("start") - F.col("shift")).alias("from_start"), (F.col("last") - F.col("start")).alias("more")]
+
+    own = chunks.select("doc_id", "start", *origin, F.lit(True).alias("own"))
+    firsts = chunks.select(*origin).distinct().select(F.col("from_doc").alias("doc_id"), F.col("from_start").alias("start"), F.lit(None).cast("long")
+                                                      .alias("from_doc"), F.lit(None).cast("int").alias("from_start"), "more", F.lit(False).alias("own"))
+    # The list grows with the corpus: joined by shuffle at every size, never sent to all tasks.
+    spans = own.unionByName(firsts).groupBy("doc_id") \
+        .agg(F.collect_list(F.struct("start", "from_doc", "from_start", "more", "own")).alias("spans")).hint("merge")
+
     def texts(lines: Column) -> Column:
-        return F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["last"].alias("last"), s["chunk"].alias("chunk"), F.array_join(
-            F.slice(lines, s["start"] + 1, s["last"] - s["start"] + 1), "\n").alias("bytes")))
+        return F.transform("spans", lambda s: F.struct(
+            s.alias("s"), F.array_join(F.slice(lines, s["start"] + 1, s["more"] + 1), "\n").alias("bytes")))
 
-    found = rows.join(spans, "doc_id").select("doc_id", F.explode(_with_lines("body", texts)).alias("s")) \
-        .select("doc_id", "s.start", "s.last", "s.chunk", "s.bytes")
+    found = rows.join(spans, "doc_id").select("doc_id", F.explode(_with_lines("body", texts)).alias("x")).select("doc_id", "x.s.*", "x.bytes")
     found = keep_table(found, "chunk-texts")
-    place = F.struct("doc_id", "start")
-    first = keep_table(found.groupBy("chunk").agg(F.min(place).alias("first"), F.min_by("bytes", place).alias("first_bytes")),
-                       "chunk-firsts")
-    return found.join(first, "chunk").where((F.col("bytes") == F.col("first_bytes")) & (F.col("first") != place)) \
-                .select("doc_id", "start", "last", "chunk").distinct()
+    first = found.where("NOT own").select(F.col("doc_id").alias("from_doc"), F.col("start").alias("from_start"), "more",
+                                          F.col("bytes").alias("first_bytes"))
+    return found.where("own").drop("own").join(first.hint("merge"), ["from_doc", "from_start", "more"]) \
+        .where("bytes = first_bytes").select("doc_id", "start", (F.col("start") + F.col("more")).alias("last")).distinct()
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -103,7 +108,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("body"))
     lines = F.split("body", "\n", -1)
     numbers = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["last"])))
-    joined = rows.join(keep_table(gone, "lines-removed"), F.col("doc_id") == F.col("g_id"), "left") \
+    joined = rows.join(keep_table(gone, "lines-removed").hint("merge"), F.col("doc_id") == F.col("g_id"), "left") \
         .withColumn("drop", F.array_distinct(numbers))
     kept = _with_lines("body", lambda x: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), "drop"), lambda i: F.element_at(x, i + 1)))

@@ -171,6 +171,24 @@ def test_line_dedup_finds_shifted_passages(spark):
     assert len(set(removed)) == 1 and removed[0] >= 8 and all(f"end {i}" in got[i].text for i in range(1, 20))
 
 
+def test_line_dedup_removes_whole_passages(spark):
+    """Passages of two lines, and passages of five inside a document that has an exact copy."""
+    rows = []
+    for i in range(40):
+        two = [f"{i} {part} " + " ".join(f"w{j}" for j in range(28)) for part in ("first", "second")]
+        rows += [(1000 * i + d, "\n".join([f"a{i} {d}", *two, f"b{i} {d}"])) for d in (1, 2, 3)]
+        five = [f"passage {i} line {j}" for j in range(5)]
+        full = "\n".join([*[f"head {i} {j}" for j in range(4)], *five, *[f"tail {i} {j}" for j in range(4)]])
+        rows += [(1000 * i + 11, "\n".join([f"c{i}", *five, f"d{i}"])), (1000 * i + 12, full), (1000 * i + 13, full)]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for i in range(40):
+        assert got[1000 * i + 1].text == texts[1000 * i + 1] and got[1000 * i + 11].text == texts[1000 * i + 11]
+        assert all(got[1000 * i + d].text == f"a{i} {d}\nb{i} {d}" for d in (2, 3))
+        assert got[1000 * i + 12].text == "\n".join([*[f"head {i} {j}" for j in range(4)], *[f"tail {i} {j}" for j in range(4)]])
+        assert got[1000 * i + 13].text == "" and got[1000 * i + 13].n_removed == 13
+
+
 def test_line_dedup_odd_rows(spark):
     got = line_dedup.dedup_lines(odd_documents(spark)).collect()
     assert len(got) == len(odd_rows())
