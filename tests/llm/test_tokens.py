@@ -23,7 +23,6 @@ from logscope.llm.common import keep_table, kept_tables
 
 PIECES = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(piece_codec.MODEL))
 TOKENS = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-TOKENS.encode_special_tokens = True
 
 
 def _same_as_library(texts):
