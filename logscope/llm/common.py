@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from logscope.session import drop_scratch, scratch_dir
 
 _shipped: set[str] = set()
-_kept: dict[str, list[str]] = {}          # application -> folders that keep_table wrote
+_kept: dict[str, list[str]] = {}          # application -> folders that keep_folder named
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,17 +38,23 @@ def without_ids(docs: DataFrame, doc_id: str, gone: DataFrame) -> DataFrame:
     return docs.join(gone.toDF(name).distinct(), docs[doc_id].cast("long").eqNullSafe(F.col(name)), "left_anti")
 
 
+def keep_folder(spark: SparkSession, label: str) -> str:
+    """The name of a new folder under the shared one, which ``release`` can delete."""
+    folder = scratch_dir(spark, label)
+    _kept.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
 def keep_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and reread it: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    folder = scratch_dir(spark, label)
+    folder = keep_folder(spark, label)
     df.write.option("compression", "zstd").parquet(f"{folder}/table")
-    _kept.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return spark.read.schema(df.schema).parquet(f"{folder}/table")
 
 
 def kept_tables(spark: SparkSession) -> list[str]:
-    """Folders that ``keep_table`` wrote and ``release`` has not deleted, oldest first."""
+    """Folders that ``keep_folder`` named and ``release`` has not deleted, oldest first."""
     return list(_kept.get(spark.sparkContext.applicationId, ()))
 
 

@@ -54,12 +54,12 @@ def text_runs(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of each word, in order; words are runs without ASCII white space, A-Z lower-cased."""
+def words(raw: np.ndarray, offs: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of each word, in order; words are runs without bytes of ``between`` (ASCII white space), A-Z lower-cased."""
     n = len(raw)
     if n == 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    space = SPACE[raw]
+    space = between[raw]
     edge = np.zeros(n + 1, bool)                 # a text starts or ends here
     edge[offs] = True
     before = np.empty(n, bool)
