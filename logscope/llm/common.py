@@ -32,10 +32,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def without_ids(docs: DataFrame, doc_id: str, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not in ``gone``, a table of one column."""
-    name = fresh(docs, "_gone")
-    return docs.join(gone.toDF(name).distinct(), docs[doc_id].cast("long").eqNullSafe(F.col(name)), "left_anti")
+def text_digest(text: str = "text") -> Column:
+    """Tells the texts of rows with one id apart."""
+    return F.xxhash64(whole_text(text))
+
+
+def without_rows(docs: DataFrame, doc_id: str, text: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not in ``gone``, a table of (id, ``text_digest``).
+
+    Rows go by id and text together: another text under the same id, or under no id, stays.
+    """
+    name, digest = fresh(docs, "_gone"), fresh(docs, "_gone_text")
+    named = docs[doc_id].cast("long").eqNullSafe(F.col(name))
+    return docs.join(gone.toDF(name, digest).distinct(), named & (text_digest(text) == F.col(digest)), "left_anti")
 
 
 def keep_folder(spark: SparkSession, label: str) -> str:

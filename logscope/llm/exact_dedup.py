@@ -5,9 +5,9 @@ Only built-in SQL functions run. Two cheap keys (length in bytes, hash of the fi
 whose (length, prefix) pair occurs more than once. Every grouping is an aggregate with
 map-side combining, so a group that holds a third of all rows ships one partial row per task.
 
-Defined results: a null text counts as empty; empty texts are equal to each other; rows that
-repeat one doc_id are the same document and share one decision; a null doc_id never wins over
-another id; an empty table gives an empty result; columns that are not named are ignored
+Defined results: a null text counts as empty; empty texts are equal to each other; equal rows with
+one doc_id share one decision, rows with one doc_id and different texts are decided each by its text; a null doc_id never wins over
+another id, and rows without an id stay where no row with an id has their text; a very long text is hashed whole, nothing of it is kept; an empty table gives an empty result; columns that are not named are ignored
 (``drop_duplicates`` passes them through).
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logscope.llm.common import keep_table, whole_text, without_ids
+from logscope.llm.common import keep_table, text_digest, whole_text, without_rows
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 PREFIX = 256
@@ -42,16 +42,20 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return keep_table(groups.where("group_size > 1"), "dedup-groups")
 
 
-def memberships(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256): one row per input row."""
-    digests = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+def _decided(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    digests = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_digest(text).alias("text_digest"),
                           F.sha2(normalised(text).cast("binary"), 256).alias("text_sha256"))
     out = digests.join(duplicate_groups(docs, doc_id, text), "text_sha256", "left")
     keep = F.coalesce("keep_id", "doc_id")
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                      keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
+                      keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256", "text_digest")
+
+
+def memberships(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256): one row per input row."""
+    return _decided(docs, doc_id, text).drop("text_digest")
 
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of equal texts, those with the smallest doc_id."""
-    return without_ids(docs, doc_id, memberships(docs, doc_id, text).where("NOT kept").select("doc_id"))
+    return without_rows(docs, doc_id, text, _decided(docs, doc_id, text).where("NOT kept").select("doc_id", "text_digest"))

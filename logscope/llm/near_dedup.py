@@ -23,8 +23,8 @@ prefix shingle held by at most ``HOT`` rows are joined; those of hotter shingles
 over pairs of blocks of about ``BLOCK`` rows, in which all sets are compared by a matrix product.
 
 Defined results: a null text counts as empty; a text without words has no shingles, is linked
-with nothing and is its own component; rows that repeat one doc_id are one document (the first
-of their sets by hash counts); a null doc_id is never linked; an empty table gives an empty result.
+with nothing and is its own component; rows that repeat one doc_id with one set share a decision, those with
+different texts are linked each by its own set; a null doc_id is never linked and its row stays; a very long text is one set, whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,13 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logscope.llm import wordhash
-from logscope.llm.common import keep_table, map_arrow, whole_text, without_ids
+from logscope.llm.common import keep_table, map_arrow, text_digest, whole_text, without_rows
 from logscope.llm.graph import components
 
 TREES, DEPTH, KEY = 32, 3, 16        # trees, least common prefix, values in a sort key
 NEAR, SMALL = 6, 12                 # neighbours in dense regions, rows of a region that is not dense
 HOT, BLOCK, WIDE = 64, 256, 4        # rows of a hot shingle, rows of a block, a group's rows to its hottest shingle's
 ORDERED, LISTED = 10_000, 1 << 17    # rows whose shingles are counted for the global order, shingles it lists
+OTHER = -(1 << 62)                   # classes of another text under a doc_id that stands for a class already are numbered from here down
 AGREE = 9                            # of a key's values that a candidate shares at least, in any places
 _SIZE = TREES * DEPTH
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, _SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,7 +69,8 @@ def _signatures(k: int):
                            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(sizes)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                     pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
+                     pa.array([r.tobytes() for r in sig], pa.binary()), batch.column(2).slice(first, len(sizes))],
+                    ["doc_id", "n_shingles", "digest", "sig", "text_digest"])
     return run
 
 
@@ -292,17 +294,33 @@ def _exact(sets: DataFrame, dense: DataFrame, known: DataFrame, percent: int, co
     return out.unionByName(keep_table(map_arrow(met, _blocks(percent), "a long, b long").distinct(), "links-hot"))
 
 
+def _numbered(classes: DataFrame) -> tuple[DataFrame, bool]:
+    """``classes`` with different ids, and whether some had to be made up: a doc_id may stand for several texts."""
+    repeated = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("first")).where("n > 1") \
+                      .select(F.col("id").alias("r_id"), "first")
+    repeated = keep_table(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return classes, False
+    other = F.lit(OTHER) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
+    named = classes.join(repeated, F.col("id") == F.col("r_id"), "left") \
+        .withColumn("id", F.when(F.col("r_id").isNull() | (F.col("digest") == F.col("first")), F.col("id")).otherwise(other))
+    return keep_table(named.drop("r_id", "first"), "set-classes"), True
+
+
 def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") \
-        -> tuple[DataFrame, DataFrame]:
-    """(members, links): members (doc_id, n_shingles, class_id) of every document, and confirmed
-    links (a, b) between class representatives."""
-    body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("body"))
-    rows = keep_table(map_arrow(body, _signatures(k), "doc_id long, n_shingles long, digest binary, sig binary"), "signatures")
+        -> tuple[DataFrame, DataFrame, bool]:
+    """(members, links, made up): members (doc_id, n_shingles, class_id, text_digest) of every document, confirmed
+    links (a, b) between class representatives, and whether some representatives are no doc_id."""
+    body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("body"), text_digest(text).alias("text_digest"))
+    rows = keep_table(map_arrow(body, _signatures(k), "doc_id long, n_shingles long, digest binary, sig binary, text_digest long"),
+                      "signatures")
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = keep_table(real.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "set-classes")
+    classes = real.groupBy("digest").agg(F.min(F.struct("doc_id", "text_digest")).alias("r"), F.first("sig").alias("sig")) \
+                  .select("digest", F.col("r.doc_id").alias("id"), F.col("r.doc_id").alias("rep"), F.col("r.text_digest").alias("rep_text"), "sig")
+    classes, made_up = _numbered(keep_table(classes, "set-classes"))
     named = classes.select(F.col("digest").alias("c_digest"), F.col("id").alias("class_id"))
     members = rows.join(named, (rows.digest == named.c_digest) & (rows.n_shingles > 0) & rows.doc_id.isNotNull(), "left") \
-                  .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"))
+                  .select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), "text_digest")
     forest = map_arrow(classes.select("id", "sig"), _keys, "tree int, key binary, id long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = forest.repartitionByRange(parts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
@@ -311,7 +329,11 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
     pairs, dense = seen.where("a != b"), seen.where("a = b").select(F.col("a").alias("id"))
     # The list grows with the corpus: joined by shuffle at every size, never sent to all tasks.
     ids = seen.select(F.explode(F.array("a", "b")).alias("id")).distinct().hint("merge")
-    wanted = body.join(ids, body.doc_id == ids.id, "left_semi").select("doc_id", "body")
+    if made_up:
+        ids = ids.join(classes.select("id", "rep", "rep_text"), "id")
+        wanted = body.join(ids.hint("merge"), (body.doc_id == ids.rep) & (body.text_digest == ids.rep_text)).select("id", "body")
+    else:
+        wanted = body.join(ids, body.doc_id == ids.id, "left_semi").select("doc_id", "body")
     sets = keep_table(map_arrow(wanted, _sets(k), "id long, shingles binary"), "shingle-sets")
 
     def confirmed(some: DataFrame, label: str) -> DataFrame:
@@ -330,18 +352,26 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
     found = first.unionByName(confirmed(rest, "links-rest"))
     known = components(found).select(F.col("node").alias("n"), F.col("component").alias("c"))
     more = _exact(sets, dense, known, percent, confirmed)
-    return members, found if more is None else found.unionByName(more)
+    return members, found if more is None else found.unionByName(more), made_up
+
+
+def _decided(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    members, found, made_up = links(docs, k, percent, doc_id, text)
+    part = components(found).select(F.col("node").alias("n"), F.col("component"))
+    rows = members.join(part, members.class_id == part.n, "left") \
+        .select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "text_digest")
+    if made_up:                          # a component is named by its smallest doc_id
+        rows = keep_table(rows, "near-rows")
+        least = rows.where(F.col("component_id") <= OTHER).groupBy(F.col("component_id").alias("c")).agg(F.min("doc_id").alias("least"))
+        rows = rows.join(least, rows.component_id == least.c, "left").withColumn("component_id", F.coalesce("least", "component_id"))
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"), "text_digest")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per input row."""
-    members, found = links(docs, k, percent, doc_id, text)
-    part = components(found).select(F.col("node").alias("n"), F.col("component"))
-    component = F.coalesce("component", "class_id")
-    return members.join(part, members.class_id == part.n, "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return _decided(docs, k, percent, doc_id, text).drop("text_digest")
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, that with the smallest doc_id."""
-    return without_ids(docs, doc_id, near_duplicates(docs, k, percent, doc_id, text).where("NOT kept").select("doc_id"))
+    return without_rows(docs, doc_id, text, _decided(docs, k, percent, doc_id, text).where("NOT kept").select("doc_id", "text_digest"))

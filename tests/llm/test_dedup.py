@@ -139,6 +139,41 @@ def test_near_dedup_odd_rows(spark):
     assert near_dedup.near_duplicates(empty_documents(spark)).count() == 0
 
 
+def _texts_left(df):
+    return Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def test_a_duplicate_takes_no_other_text_along(spark):
+    """Rows go by id and text: neither another text of a repeated id nor rows without an id are lost."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near = base + " tail"
+    rows = [row(1, "same"), row(None, "same"), row(None, "unique A"), row(5, "same"), row(5, "unique B"), row(None, None), row(6, ""),
+            row(10, base), row(12, near), row(12, "a text of its own that also has number twelve"), row(None, near), row(3, base + " other end")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert _texts_left(exact_dedup.drop_duplicates(docs)) == Counter(
+        [(r[0], r[1]) for r in rows if (r[0], r[1]) not in {(None, "same"), (5, "same"), (None, None), (None, near)}])
+    assert _texts_left(near_dedup.drop_near_duplicates(docs)) == Counter(
+        [(r[0], r[1]) for r in rows if (r[0], r[1]) not in {(5, "same"), (10, base), (12, near)}])
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect() if r.doc_id is not None}
+    assert got[12, 57] == (3, False) and got[12, 6] == (12, True) and got[3, 58] == (3, True)
+
+
+def test_texts_under_one_id_are_linked_each_by_its_own_set(spark):
+    rng, rows = random.Random(5), []
+    for i in range(60):                        # 30 ids with two texts each, each a near copy of one under another id
+        words = [f"{i}u{j}" for j in range(50)]
+        rows.append((i % 30, " ".join(words)))
+        words[rng.randrange(50)] = "x"
+        rows.append((100 + i, " ".join(words)))
+    want = near_components(list(enumerate(t for _, t in rows)), 5)
+    least = {}
+    for n, (d, _) in enumerate(rows):
+        least[want[n][1]] = min(least.get(want[n][1], d), d)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got.collect()) == Counter(
+        (d, want[n][0], least[want[n][1]], d == least[want[n][1]]) for n, (d, _) in enumerate(rows))
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 300)] + [(900, 901), (901, 905)], "a long, b long")
     got = {r.node: r.component for r in graph.components(links).collect()}

@@ -68,14 +68,20 @@ def _check_packed(rows, texts):
     for r in rows:
         by_doc[r.doc_id].append(r)
         by_sequence[r.sequence_id].append(r)
-    if len({d for d, _ in texts}) == len(texts):
-        for (d, _), x in zip(texts, ids):
+    alike = Counter(d for d, _ in texts)
+    for (d, _), x in zip(texts, ids):
+        if alike[d] == 1:
             at = 0
             for r in sorted(by_doc[d], key=lambda r: r.start):
                 assert r.start == at and r.doc_tokens == len(x) and r.length > 0
                 assert r.ids_crc32 == zlib.crc32(np.array(x[at:at + r.length], "<u4").tobytes())
                 at += r.length
             assert at == len(x)
+        else:                          # each piece of a repeated id is one of one of its texts
+            same = [y for (e, _), y in zip(texts, ids) if e == d]
+            for r in by_doc[d]:
+                assert any(r.doc_tokens == len(y) and r.ids_crc32 == zlib.crc32(np.array(y[r.start:r.start + r.length], "<u4").tobytes())
+                           for y in same)
     assert sum(r.length for r in rows) == sum(n * c for (_, n), c in want.items())
     for parts in by_sequence.values():
         at = 0
@@ -90,7 +96,8 @@ def test_packing_against_the_tokenizer(spark):
 
 
 def test_packing_odd_rows(spark):
-    _check_packed(packing.pack(odd_documents(spark)).collect(), [(r[0], r[1]) for r in odd_rows()])
+    rows = odd_rows() + [row(30, "a <|endoftext|> b"), row(31, "<|endoftext|>"), row(32, "\U0001D4B3\U0001F600 x"), row(8, "another text of eight")]
+    _check_packed(packing.pack(spark.createDataFrame(rows, SCHEMA)).collect(), [(r[0], r[1]) for r in rows])
     assert packing.pack(empty_documents(spark)).count() == 0
 
 
@@ -182,6 +189,15 @@ def test_quality_odd_rows(spark):
     assert kept.columns == odd_documents(spark).columns
 
 
+def test_a_rejected_text_takes_no_other_text_along(spark):
+    good = [row(i, " ".join(f"the quick brown fox number {j} jumps" for j in range(i, i + 30))) for i in range(1, 20)]
+    junk = "%%%% ### $$$ 0x" * 60
+    rows = good + [row(5, junk), row(None, junk), row(None, good[2][1])]
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 20) if i != 5], "doc_id long, quality int")
+    kept = quality_lm.drop_rejected(spark.createDataFrame(rows, SCHEMA), labels).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter((r[0], r[1]) for r in rows if r[1] != junk)
+
+
 def test_pipeline_stages_against_brute_force(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "secret_scan", "packing"]
     docs, seen = documents(spark, SF_SMALL), {}
@@ -222,7 +238,7 @@ def test_every_operator_has_a_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stage_functions_do_not_depend_on_unused_columns(spark):
