@@ -36,8 +36,7 @@ IP_FIND_REGEX = r"(\d+\.\d+\.\d+\.\d+)"
 # Timestamp layout of the log (with the numeric offset appended).
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
-# What a usable address and the beginning of a usable time look like.
-ADDRESS_REGEX = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+# What the beginning of a usable time looks like.
 TIME_REGEX = r"^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:"
 
 MIN_LINE_LENGTH = 10   # keep lines strictly longer than this
@@ -65,7 +64,9 @@ def split_fields_sql(line: str = "line") -> dict[str, str]:
 
     Whole-line space tokens 0, 3, 4 = address, time, offset; quote-split fragments 1 = request,
     2 = status and bytes, 3 = referer, 5 = agent. A URL may hold spaces: it is all between the
-    method and the version. A size of ``-`` is NULL.
+    method and the version. A size of ``-`` is NULL. The address is whatever names the client: IPv4, IPv6
+    or a host name, of any line that has a quoted request; ``-`` and nothing are NULL. Whether it
+    is an IPv4 address matters to geography alone (``ip_to_long``).
     """
     q, tok = f"split({line}, '\"', -1)", f"split({line}, ' ', -1)"
     req, sb = f"split(get({q}, 1), ' ', -1)", f"split(trim(get({q}, 2)), ' ', -1)"
@@ -74,7 +75,7 @@ def split_fields_sql(line: str = "line") -> dict[str, str]:
     version = f"if(startswith({last}, 'HTTP/'), {last}, NULL)"
     n_url = f"size({req}) - if(startswith({last}, 'HTTP/'), 2, 1)"
     return {
-        "remote_addr": f"if({addr} RLIKE {sql_str(ADDRESS_REGEX)}, {addr}, NULL)",
+        "remote_addr": f"if(contains({line}, '\"') AND {addr} NOT IN ('', '-'), {addr}, NULL)",
         "remote_user": "'- -'",
         "time_local": time_local,
         "tz_offset": _strip_bracket(f"get({tok}, 4)"),

@@ -19,8 +19,10 @@ SELECT event_id, ts, user_id,
   CASE WHEN event_id % 97 = 0 THEN 'bad line'
        WHEN event_id % 101 = 0 THEN '- - broken request without any quotes'
        ELSE concat(
+  CASE WHEN user_id % 11 = 3 THEN concat('2001:db8::', lower(to_hex(user_id)))
+       WHEN user_id % 13 = 5 THEN concat('host', CAST(user_id AS STRING), '.example.net') ELSE concat(
   CAST(10 + user_id % 25 AS STRING), '.', CAST((user_id*7) % 256 AS STRING), '.',
-  CAST((user_id*13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING),
+  CAST((user_id*13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING)) END,
   ' - - [', strftime(ts,'%d/%b/%Y:%H:%M:%S'), ' +0000] "', CASE WHEN event_id % 23 = 0 THEN '-' ELSE concat(
   CASE WHEN event_id % 13 = 0 THEN 'HEAD' WHEN event_type IN ('purchase','signup') THEN 'POST' ELSE 'GET' END, ' ',
   CASE WHEN event_id % 29 = 0 THEN '/search?q=two words ' ELSE '' END,
@@ -47,7 +49,7 @@ pieces2 AS (
          regexp_replace(tok[5], '\]$', '') AS tz_offset FROM pieces),
 fields AS (
   SELECT event_id, line, time_local, tz_offset, len(tok) AS tokens, len(q) AS fragments, '- -' AS remote_user,
-    CASE WHEN regexp_full_match(tok[1], '[0-9]{1,3}(\.[0-9]{1,3}){3}') THEN tok[1] END AS remote_addr,
+    CASE WHEN len(q) > 1 AND tok[1] NOT IN ('', '-') THEN tok[1] END AS remote_addr,
     CASE WHEN regexp_matches(time_local, '^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:') THEN substring(time_local, 13, 2) END AS hour,
     CASE WHEN regexp_matches(time_local, '^[0-9]{2}/[A-Za-z]{3}/[0-9]{4}:[0-9]{2}:')
          THEN TRY_CAST(substring(time_local, 1, 2) AS INTEGER) END AS day,

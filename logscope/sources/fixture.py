@@ -64,8 +64,10 @@ def line_sql() -> str:
     return f"""CASE WHEN event_id % 97 = 0 THEN 'bad line'
   WHEN event_id % 101 = 0 THEN '- - broken request without any quotes'
   ELSE concat(
+    CASE WHEN user_id % 11 = 3 THEN concat('2001:db8::', lower(hex(user_id)))
+         WHEN user_id % 13 = 5 THEN concat('host', CAST(user_id AS STRING), '.example.net') ELSE concat(
     CAST(10 + user_id % 25 AS STRING), '.', CAST((user_id * 7) % 256 AS STRING), '.',
-    CAST((user_id * 13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING),
+    CAST((user_id * 13) % 256 AS STRING), '.', CAST(1 + user_id % 254 AS STRING)) END,
     ' - - [', {log_time_sql('ts')}, ' +0000] "', CASE WHEN event_id % 23 = 0 THEN '-' ELSE concat(
     CASE WHEN event_id % 13 = 0 THEN 'HEAD' WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END, ' ',
     CASE WHEN event_id % 29 = 0 THEN '/search?q=two words ' ELSE '' END,

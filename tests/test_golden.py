@@ -53,7 +53,9 @@ HEAD = '1.2.3.4 - - [22/Jan/2019:03:56:16 +0000] '
 ODD = [HEAD + '"GET /a HTTP/1.1" 304 - "-" "agent"', HEAD + '"-" 408 0 "-" "-"', HEAD + '"GET /a b c HTTP/1.1" 404 9 "-" "agent"',
        HEAD + '"GET /big HTTP/1.1" 200 3000000000 "-" "agent"', HEAD + '"GET /plain HTTP/1.0" 200 12',
        HEAD + '"GET /old" 200 12 "-" "agent"', '1.2.3.4 - - [broken +0000] "GET /t HTTP/1.1" 200 1 "-" "agent"',
-       'nohost - - [22/Jan/2019:03:56:16 +0000] "GET /h HTTP/1.1" 200 1 "-" "agent"']
+       '- - - [22/Jan/2019:03:56:16 +0000] "GET /h HTTP/1.1" 200 1 "-" "agent"',
+       'web7.example.net - - [22/Jan/2019:03:56:16 +0000] "GET /n HTTP/1.1" 200 1 "-" "agent"',
+       '2001:db8::7f - - [22/Jan/2019:03:56:16 +0000] "GET /6 HTTP/1.1" 200 1 "-" "agent"']
 
 
 def test_one_bad_field_costs_only_its_own_reports(spark):
@@ -62,14 +64,15 @@ def test_one_bad_field_costs_only_its_own_reports(spark):
     def values(field):
         return [r[0] for r in parsing.report_rows(df, field).collect()]
 
-    assert values("status") == [304, 408, 404, 200, 200, 200, 200, 200]
-    assert values("request_url") == ["/a", "/a b c", "/big", "/plain", "/old", "/t", "/h"]
-    assert values("http_version") == ["HTTP/1.1", "HTTP/1.1", "HTTP/1.1", "HTTP/1.0", "HTTP/1.1", "HTTP/1.1"]
-    assert values("request_method") == ["GET"] * 7
-    assert values("remote_addr") == ["1.2.3.4"] * 7 and len(values("epoch_ms")) == len(values("hour")) == 7
-    assert len(values("http_user_agent")) == 7 and len(values("http_referer")) == 7
+    assert values("status") == [304, 408, 404, 200, 200, 200, 200, 200, 200, 200]
+    assert values("request_url") == ["/a", "/a b c", "/big", "/plain", "/old", "/t", "/h", "/n", "/6"]
+    assert values("http_version") == ["HTTP/1.1", "HTTP/1.1", "HTTP/1.1", "HTTP/1.0", "HTTP/1.1", "HTTP/1.1", "HTTP/1.1", "HTTP/1.1"]
+    assert values("request_method") == ["GET"] * 9
+    assert values("remote_addr") == ["1.2.3.4"] * 7 + ["web7.example.net", "2001:db8::7f"]
+    assert len(values("epoch_ms")) == len(values("hour")) == 9
+    assert len(values("http_user_agent")) == 9 and len(values("http_referer")) == 9
     got = {r["event_id"]: r for r in parsing.access_table(df).collect()}
-    assert set(got) == {0, 1, 2, 3, 4, 5}
+    assert set(got) == {0, 1, 2, 3, 4, 5, 8, 9}
     assert got[0]["body_bytes_send"] is None and got[3]["body_bytes_send"] == 3_000_000_000
     assert got[4]["http_referer"] is None and got[1]["request_url"] is None
     assert {r["event_id"]: r["reason"] for r in parsing.quarantine(df).collect()} == {6: "bad_time", 7: "bad_address"}
