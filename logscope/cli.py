@@ -8,7 +8,8 @@
     python -m logscope.cli geo-replies --input '/replies/*.json' --output /tables/by_region
     python -m logscope.cli stream   --report url --files /incoming | --kafka host:9092 --topic test
                                     --sink /tables/url_totals --checkpoint /ckpt/url_totals [--once]
-                                    (also unique_ips_by_hour, hourly_windows, ip_hourly, etl, dedup, topn)
+                                    (also unique_ips_by_hour, unique_ips_bitmaps, hourly_windows, event_windows, ip_hourly,
+                                    ip_trailing, etl, dedup, topn)
     python -m logscope.cli fold     --sink /tables/url_totals --keys request_url [--sum hits]
 
 Every job reads with Spark, writes parquet with Spark and prints nothing but a
@@ -20,12 +21,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.operators import activity, cluster, geo, parsing, reports, sinks
-from logscope.streaming import jobs, sources
+from logscope.streaming import dedup, jobs, sources, trailing, windows
 
 # report name -> grouping columns of the access table
 REPORTS = {
@@ -46,7 +48,8 @@ def _write(df: DataFrame, out: str) -> int:
     return seen.get["n"]
 
 
-STREAMS = ["unique_ips_by_hour", "unique_ips_batch_sum", "hourly_windows", "ip_hourly", "etl", "dedup", "topn"]
+STREAMS = ["unique_ips_by_hour", "unique_ips_batch_sum", "unique_ips_bitmaps", "hourly_windows", "event_windows", "ip_hourly",
+           "ip_trailing", "etl", "dedup", "topn"]
 
 
 def run(argv: list[str], spark: SparkSession | None = None) -> str:
@@ -127,8 +130,9 @@ def _stream(spark: SparkSession, a) -> str:
         records = sources.kafka_records(spark, a.kafka, a.topic)
     trigger = {"availableNow": True} if a.once else {"processingTime": "1 second"}
     named = {"unique_ips_by_hour": jobs.unique_ips_by_hour, "unique_ips_batch_sum": jobs.unique_ips_batch_sum,
-             "hourly_windows": jobs.hourly_windows, "ip_hourly": jobs.ip_hourly_counts,
-             "etl": jobs.access_etl, "dedup": jobs.dedup}
+             "unique_ips_bitmaps": jobs.unique_ips_bitmaps, "hourly_windows": jobs.hourly_windows,
+             "event_windows": windows.event_windows, "ip_hourly": jobs.ip_hourly_counts, "ip_trailing": trailing.trailing_activity,
+             "etl": jobs.access_etl, "dedup": partial(dedup.distinct_records, numbered=bool(a.kafka))}
     if a.report in named:
         done = named[a.report](records, a.sink, a.checkpoint, trigger=trigger)
     elif a.report == "topn":

@@ -9,14 +9,20 @@ rewritten by it:
 * ``upsert_accumulate`` — the same append of deltas; readers sum them, so late rows just add.
 
 Readers name the committed batches and read only those. ``fold`` is a maintenance job outside
-the write path: it writes what committed batches add up to as a new snapshot under a fresh name,
-and only when that is committed deletes what it replaces. A crash at any point leaves either
+the write path: it lists the committed batches once, writes what exactly these add up to as a new
+snapshot under a fresh name, and only when that is committed deletes what it replaces. A batch that is
+committed meanwhile is in neither and stays. A crash at any point leaves either
 the old files or both; readers then ignore the batches that the newest snapshot covers.
+
+A table may have a layout (partition columns, the order within files, columns with Bloom filters), stated by its
+first write and kept in ``<root>/_layout.json``, so that folding keeps it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +57,19 @@ def _batch(root: str, batch_id: int) -> str:
     return f"{_log(root)}/batch_id={batch_id}"
 
 
+def _contents(spark: SparkSession, root: str) -> tuple[str | None, int, list[int]]:
+    """The newest snapshot, the last batch it covers, and the committed batches above it.
+
+    The batches are listed first: a fold that ends between the two listings then covers them.
+    """
+    ids = sorted(int(n.partition("=")[2]) for n, done in _folders(spark, _log(root), "batch_id=").items() if done)
+    snapshot, upto = _snapshot(spark, root)
+    return snapshot, upto, [i for i in ids if i > upto]
+
+
 def committed(spark: SparkSession, root: str) -> list[int]:
     """Ids of the committed batches that no snapshot covers, in order."""
-    _, upto = _snapshot(spark, root)
-    ids = sorted(int(n.partition("=")[2]) for n, done in _folders(spark, _log(root), "batch_id=").items() if done)
-    return [i for i in ids if i > upto]
+    return _contents(spark, root)[2]
 
 
 def _snapshot(spark: SparkSession, root: str) -> tuple[str | None, int]:
@@ -64,16 +78,52 @@ def _snapshot(spark: SparkSession, root: str) -> tuple[str | None, int]:
     return (done[-1], int(done[-1][2:].split("-")[0])) if done else (None, -1)
 
 
-def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None) -> bool:
-    """Append one batch. False, and nothing is written, if it is a replay of a committed batch."""
+def layout(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The table's layout: ``partition_by``, ``order_by`` and ``bloom``; empty if its writes state none."""
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/_layout.json")
+    if not fs.exists(p):
+        return {}
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _state_layout(spark: SparkSession, root: str, stated: dict) -> None:
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/_layout.json")
+    if stated and not fs.exists(p):
+        stream = fs.create(p, True)
+        stream.write(bytearray(json.dumps(stated).encode()))
+        stream.close()
+
+
+def _write(rows: DataFrame, path: str, how: dict, mode: str) -> None:
+    partition_by, order_by = how.get("partition_by") or [], how.get("order_by") or []
+    if order_by:
+        rows = rows.sortWithinPartitions(*partition_by, *order_by)
+    writer = rows.write.mode(mode)
+    for column in how.get("bloom") or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
+def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[str] | None = None,
+                 order_by: list[str] | None = None, bloom: list[str] | None = None) -> bool:
+    """Append one batch. False, and nothing is written, if it is a replay of a committed batch.
+
+    ``partition_by``, ``order_by`` (within files) and ``bloom`` (columns with a Bloom filter, for point
+    lookups) make the table's layout, which ``fold`` keeps.
+    """
     spark, path = batch.sparkSession, _batch(root, batch_id)
     fs, _, jvm = _fs(spark, path)
     if fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")) or batch_id <= _snapshot(spark, root)[1]:
         return False
-    writer = batch.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    how = {k: v for k, v in (("partition_by", partition_by), ("order_by", order_by), ("bloom", bloom)) if v}
+    _state_layout(spark, root, how)
+    _write(batch, path, how, "overwrite")
     return True
 
 
@@ -89,20 +139,24 @@ def upsert_accumulate(batch: DataFrame, root: str, keys: list[str], value: str,
 
 def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
     """Rows of the newest snapshot and of the committed batches above it, with their ``batch_id``."""
-    snapshot, _ = _snapshot(spark, root)
+    snapshot, _, ids = _contents(spark, root)
+    return _rows(spark, root, snapshot, ids)
+
+
+def _rows(spark: SparkSession, root: str, snapshot: str | None, ids: list[int]) -> DataFrame | None:
     parts = []
     if snapshot:
         parts.append(spark.read.parquet(f"{_base(root)}/{snapshot}"))
-    ids = committed(spark, root)
     if ids:
         log = spark.read.option("basePath", _log(root)).parquet(*[_batch(root, i) for i in ids])
         parts.append(log.withColumn("batch_id", F.col("batch_id").cast("bigint")))
     return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    # Rows of one key in one batch have no order; the greatest values win, whatever file they are in.
     values = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*values, "batch_id"), "batch_id").alias("_r"))
+    best = rows.groupBy(*keys).agg(F.max(F.struct("batch_id", *values)).alias("_r"))
     return best.select(*keys, *[F.col("_r." + c).alias(c) for c in values], F.col("_r.batch_id").alias("batch_id"))
 
 
@@ -113,7 +167,7 @@ def _totals(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame | None:
     """Newest row per key (and the batch it came from)."""
     rows = read_appended(spark, root)
-    return None if rows is None else _latest(rows, keys)
+    return None if rows is None else latest(rows, keys)
 
 
 def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) -> DataFrame | None:
@@ -122,19 +176,23 @@ def read_totals(spark: SparkSession, root: str, keys: list[str], value: str) ->
     return None if rows is None else _totals(rows, keys, value)
 
 
-def fold(spark: SparkSession, root: str, keys: list[str] | None = None, value: str | None = None) -> int:
-    """Maintenance: replace all committed batches by one snapshot; returns the last batch it covers.
+def fold(spark: SparkSession, root: str, keys: list[str] | None = None, value: str | None = None,
+         merge: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Maintenance: replace the committed batches by one snapshot; returns the last batch it covers.
 
     With ``keys`` alone the snapshot keeps the newest row per key, with ``value`` also the sum
-    per key, without both all rows. Safe to stop at any point and to run again.
+    per key, with ``merge`` what that makes of all rows, without any all rows. Safe to stop at any point, to run
+    again, and to run beside a stream that goes on writing. The table's layout is kept.
     """
-    old, upto = _snapshot(spark, root)
-    ids = committed(spark, root)
+    old, upto, ids = _contents(spark, root)
     if not ids:
         return upto
-    rows = read_appended(spark, root)
-    out = rows if not keys else _totals(rows, keys, value) if value else _latest(rows, keys)
-    out.write.mode("errorifexists").parquet(f"{_base(root)}/v={ids[-1]:012d}-{uuid.uuid4().hex[:8]}")
+    rows, how = _rows(spark, root, old, ids), layout(spark, root)
+    out = merge(rows) if merge else rows if not keys else _totals(rows, keys, value) if value else latest(rows, keys)
+    near = [*how.get("partition_by", []), *how.get("order_by", [])]
+    if near:                             # each file gets a narrow range of keys
+        out = out.repartitionByRange(*near)
+    _write(out, f"{_base(root)}/v={ids[-1]:012d}-{uuid.uuid4().hex[:8]}", how, "errorifexists")
     fs, _, jvm = _fs(spark, root)
     for path in [_batch(root, i) for i in ids] + ([f"{_base(root)}/{old}"] if old else []):
         fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)

@@ -50,8 +50,7 @@ def _etl(spark, sf, columns):
     # Rows of one date and address prefix come together, so that a file has a narrow range of keys;
     # a rebalance, unlike a repartition, lets Spark split a prefix that is too large and join small ones.
     near = rows.withColumn("_prefix", F.substring_index("row_key", ".", 1)).hint("rebalance", "log_date", "_prefix")
-    sorted_ = near.sortWithinPartitions("log_date", "row_key").drop("_prefix")
-    sinks.append_batch(sorted_, root, 0, partition_by=["log_date"])
+    sinks.append_batch(near.drop("_prefix"), root, 0, partition_by=["log_date"], order_by=["row_key"], bloom=["row_key"])
     return sinks.read_appended(spark, root)
 
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logscope.operators import activity, parsing, sinks
+from logscope.operators import activity, distinct, parsing, sinks
 from logscope.plans.inputs import lines
 from logscope.plans.oracle_sql import having, hourly
 from logscope.plans.registry import register
 from logscope.session import scratch_dir
 from logscope.sources import fixture
-from logscope.streaming import jobs
+from logscope.streaming import checkpoint, dedup, jobs, trailing, windows
 
 
 def _records(spark, sf, redeliver: bool = False, disorder: bool = True):
@@ -139,7 +139,69 @@ SELECT event_id, concat_ws('_', remote_addr, time_local,
        sha256(concat('events:', CAST(event_id AS VARCHAR), ':', line))) AS row_key
 FROM {having("remote_addr", "time_local", "epoch_ms")}""")
 def stream_dedup(spark, sf):
-    """Every record sent twice, some far too late, deduplicated by row key."""
+    """Every record sent twice, some far too late, each stored once."""
     sink, ckpt = _dirs(spark, "stream-dedup")
-    jobs.dedup(_records(spark, sf, redeliver=True), sink, ckpt)
-    return jobs.read_latest(spark, sink, ["row_key"]).select(F.col("offset").alias("event_id"), "row_key")
+    dedup.distinct_records(_records(spark, sf, redeliver=True), sink, ckpt, state_partitions=_state_partitions(spark))
+    return sinks.read_appended(spark, sink).select(F.col("offset").alias("event_id"), "row_key")
+
+
+@register("stream_unique_ips_bitmap",
+          f"SELECT hour, count(DISTINCT remote_addr) AS unique_ips FROM {having('remote_addr', 'hour')} GROUP BY hour")
+def stream_unique_ips_bitmap(spark, sf):
+    """True distinct IPs per hour on a stream without state: bitmaps that micro-batches append and a fold unites."""
+    sink, ckpt = _dirs(spark, "stream-bitmap")
+    jobs.unique_ips_bitmaps(_records(spark, sf), sink, ckpt)
+    sinks.fold(spark, sink, merge=lambda rows: distinct.unite_bitmaps(rows, "hour"))
+    return distinct.count_bitmaps(sinks.read_appended(spark, sink), "hour")
+
+
+# A batch judges lateness by the watermark of the batch before: the latest time of the batches before that, less the delay.
+_EVENT_WINDOWS_SQL = f"""
+WITH {_BATCHED.strip()},
+arrived AS (SELECT epoch_ms, CAST(floor(epoch_ms / 3600000) * 3600000 AS BIGINT) AS w,
+                   CASE WHEN event_id % {fixture.LATE_EVERY} = {fixture.LATE_REST} THEN {fixture.REPLAY_FILES - 1} ELSE batch_id END AS batch
+            FROM batched WHERE epoch_ms IS NOT NULL),
+marks AS (SELECT b.batch, (SELECT max(epoch_ms) FROM arrived WHERE arrived.batch < b.batch - 1) - 3600000 AS mark
+          FROM (SELECT DISTINCT batch FROM arrived) b),
+judged AS (SELECT w, coalesce(w + 3600000 <= mark, false) AS late, w + 3600000 > (SELECT max(epoch_ms) FROM arrived) - 3600000 AS open
+           FROM arrived JOIN marks ON arrived.batch = marks.batch)
+SELECT w AS window_start_ms, count(*) FILTER (NOT late AND NOT open) AS closed_hits, count(*) FILTER (late) AS late_hits,
+       count(*) FILTER (NOT late AND open) AS open_hits, count(*) AS hits
+FROM judged GROUP BY w"""
+
+
+@register("stream_event_windows", _EVENT_WINDOWS_SQL)
+def stream_event_windows(spark, sf):
+    """Event-time windows under a watermark: closed ones, corrections by late records, and what is still in the state."""
+    sink, ckpt = _dirs(spark, "stream-event-windows")
+    windows.event_windows(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
+    return windows.read_event_windows(spark, sink, ckpt)
+
+
+def _spans_sql() -> str:
+    counts = ",\n  ".join(f"count(*) FILTER (a.epoch_ms >= l.last_seen_ms - {span}) AS {name}" for name, span in activity.TRAILING_SPANS.items())
+    return f"""
+WITH timed AS {having("remote_addr", "epoch_ms")},
+last AS (SELECT remote_addr, max(epoch_ms) AS last_seen_ms FROM timed GROUP BY remote_addr)
+SELECT a.remote_addr, l.last_seen_ms,
+  {counts}
+FROM timed a JOIN last l ON a.remote_addr = l.remote_addr GROUP BY a.remote_addr, l.last_seen_ms"""
+
+
+@register("stream_ip_trailing", _spans_sql())
+def stream_ip_trailing(spark, sf):
+    """Trailing 1-day / 3-day hits per IP, kept up to date by keyed state as records come."""
+    sink, ckpt = _dirs(spark, "stream-trailing")
+    trailing.trailing_activity(_records(spark, sf), sink, ckpt, state_partitions=_state_partitions(spark))
+    return jobs.read_latest(spark, sink, ["remote_addr"]).select("remote_addr", "last_seen_ms", *activity.TRAILING_SPANS)
+
+
+@register("stream_state_audit", f"""
+SELECT remote_addr, request_method, count(*) AS state_hits, count(*) AS sink_hits
+FROM {having("remote_addr", "request_method")} GROUP BY remote_addr, request_method""")
+def stream_state_audit(spark, sf):
+    """Running totals per (IP, method): what the checkpoint's state holds next to what the sink holds."""
+    sink, ckpt = _dirs(spark, "stream-audit")
+    keys = ["remote_addr", "request_method"]
+    jobs.running_totals(_records(spark, sf), keys, sink, ckpt, state_partitions=_state_partitions(spark))
+    return checkpoint.audit_totals(spark, ckpt, sink, keys)

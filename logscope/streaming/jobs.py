@@ -1,12 +1,15 @@
-"""Structured Streaming jobs: running totals, distinct visitors, hourly counts, ETL, dedup.
+"""Structured Streaming jobs: running totals, distinct visitors, hourly counts, ETL.
 
 Every job reads ``(source, offset, value)`` records, parses only the fields it reports by the
 batch path's expressions, and writes through the ``batch_id``-guarded sinks from
 ``foreachBatch``, so that a restarted query (offsets and state in ``checkpointLocation``) never
-counts twice. No job has a watermark: a late record counts like any other. What must not grow
-in the state store is kept out of it: hourly counts and dedup are stateless per micro-batch and
+counts twice. No job here has a watermark: a late record counts like any other. What must not grow
+in the state store is kept out of it: hourly counts and bitmaps of visitors are stateless per micro-batch and
 come together in the sink. Records without the fields of a report are counted, not just dropped
 (``StreamRun.unusable``).
+
+Jobs with a watermark have modules of their own: ``windows`` (windows that close, late records as
+corrections), ``dedup`` (each record once) and ``trailing`` (activity per client).
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
-from logscope.operators import parsing, reports, sinks
+from logscope.operators import distinct, parsing, reports, sinks
 from logscope.streaming.sources import with_positions
 
 HOUR_MS = 3_600_000
@@ -31,6 +34,7 @@ class StreamRun:
     batches: int
     records: int = 0         # of the progress reports that the query keeps
     unusable: int = 0        # those of them without the report's fields
+    state_rows: int = 0      # the most rows that the state held after a batch
 
 
 def parsed(records: DataFrame, *fields: str, keep=()) -> DataFrame:
@@ -87,6 +91,7 @@ def _run(df: DataFrame, sink_root: str, checkpoint: str, batch_fn, mode: str = "
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     for progress in q.recentProgress:
+        run.state_rows = max(run.state_rows, sum(op.numRowsTotal for op in progress.stateOperators))
         seen = progress.observedMetrics.get(_OBSERVED)
         if seen is not None:
             run.records, run.unusable = run.records + seen["records"], run.unusable + seen["unusable"]
@@ -139,6 +144,13 @@ def unique_ips_batch_sum(records: DataFrame, sink_root: str, checkpoint: str, tr
     return _run(parsed(records, "remote_addr", "hour"), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
+def unique_ips_bitmaps(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
+    """True distinct IPs per hour without state: each micro-batch appends bitmaps, which unite on reading and in ``fold``."""
+    def per_batch(batch: DataFrame, bid: int) -> None:
+        sinks.append_batch(distinct.bitmaps(batch, "hour"), sink_root, bid)
+    return _run(parsed(records, "remote_addr", "hour"), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
+
+
 def batch_top_n(records: DataFrame, key: str, n_top: int, sink_root: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamRun:
     """Stateless ranking of each micro-batch, appended with its batch_id."""
@@ -182,21 +194,6 @@ def _hourly(records: DataFrame, keys: list[str], sink_root: str, checkpoint: str
     return _run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
-def dedup(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
-    """Each record once by its row key, however often and late it is delivered.
-
-    Micro-batches are appended, deduplicated in themselves, and ``read_latest`` on ``row_key``
-    resolves the rest; ``sinks.fold`` makes that permanent.
-    """
-    def per_batch(batch: DataFrame, bid: int) -> None:
-        key = P.row_key("remote_addr", "time_local", "value", "source", "offset")
-        rows = with_positions(batch).select(key.alias("row_key"), "source", "offset").dropDuplicates(["row_key"])
-        sinks.upsert_latest(rows, sink_root, ["row_key"], bid)
-    rows = parsed(records.withColumn("line", F.col("value")), "remote_addr", "time_local", "epoch_ms",
-                  keep=("source", "offset", "line")).withColumnRenamed("line", "value")
-    return _run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
-
-
 def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
     """The table a running-total job maintains (newest value per key)."""
     cur = sinks.read_latest(spark, root, keys)

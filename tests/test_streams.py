@@ -10,7 +10,7 @@ from logscope.operators import reports, sinks
 from logscope.plans.inputs import fields, lines
 from logscope.session import scratch_dir
 from logscope.sources import fixture
-from logscope.streaming import jobs, sources
+from logscope.streaming import dedup, jobs, sources
 
 
 def _records(spark):
@@ -185,12 +185,12 @@ def test_records_are_named_by_their_whole_identity(spark):
     path, sink, ckpt = (scratch_dir(spark, x) for x in ("t-id", "t-id-sink", "t-id-ckpt"))
     recs = sources.kafka_shape(raw)
     fixture.write_replay(recs, path, redeliver=True)
-    jobs.dedup(fixture.replay_records(spark, path), sink, ckpt)
-    assert sinks.read_latest(spark, sink, ["row_key"]).count() == 3
+    dedup.distinct_records(fixture.replay_records(spark, path), sink, ckpt)
+    assert sinks.read_appended(spark, sink).count() == 3
     text = scratch_dir(spark, "t-id-text")
     spark.createDataFrame([(line,), (line,), (line.replace("/a", "/b"),)], "value STRING").coalesce(1).write.text(text)
-    jobs.dedup(sources.text_records(spark, text), f"{sink}-text", f"{ckpt}-text")
-    assert sinks.read_latest(spark, f"{sink}-text", ["row_key"]).count() == 3
+    dedup.distinct_records(sources.text_records(spark, text), f"{sink}-text", f"{ckpt}-text", numbered=False)
+    assert sinks.read_appended(spark, f"{sink}-text").count() == 3
 
 
 def test_late_records_count_and_unusable_ones_are_counted(spark):
