@@ -38,7 +38,8 @@ HEADLINE = [
 ]
 
 # Timed as well, reported apart, so that the sum stays comparable over the rounds.
-MORE = ["request_clusters", "cluster_profile", "key_range_scan", "stream_dedup", "stream_ip_hourly_activity"]
+MORE = ["request_clusters", "cluster_profile", "key_range_scan", "stream_dedup", "stream_ip_hourly_activity",
+        "stream_event_windows", "stream_ip_trailing", "stream_unique_ips_bitmap", "stream_top_urls", "geo_client_lookup", "stored_model_scores"]
 SMALL = "/root/testdata/sf0.01"          # second scale, for each query's slope
 
 

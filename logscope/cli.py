@@ -26,6 +26,7 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from logscope.functions import parse as P
 from logscope.operators import activity, cluster, geo, parsing, reports, sinks
 from logscope.streaming import dedup, jobs, sources, trailing, windows
 
@@ -41,10 +42,10 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def _write(df: DataFrame, out: str) -> int:
+def _write(df: DataFrame, out: str, layout: dict | None = None) -> int:
     """Write and count in one pass."""
     seen = Observation("written")
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
+    sinks.write_rows(df.observe(seen, F.count(F.lit(1)).alias("n")), out, layout or {}, "overwrite")
     return seen.get["n"]
 
 
@@ -89,10 +90,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
         return f"fold: up to batch {sinks.fold(spark, a.sink, [k for k in a.keys.split(',') if k], a.sum or None)}"
     lines = _lines(spark, a.input)
     if a.job == "etl":
-        split = parsing.split_parse(lines, keep=()).persist()
+        named = spark.read.text(a.input).select(F.col("_metadata.file_path").alias("source"), F.lit(None).cast("bigint").alias("offset"),
+                                                F.col("value").alias("line"))
+        split = parsing.split_parse(sources.with_positions(named), keep=("source", "offset")).persist()
         try:
+            key = P.row_key("remote_addr", "time_local", "line", "source", "offset")
             n = _write(split.where("reject IS NULL").select(
-                *parsing.ACCESS_COLUMNS, "tz_offset", F.unix_millis("_event_time").alias("epoch_ms"), "hour"), a.output)
+                key.alias("row_key"), *parsing.ACCESS_COLUMNS, "tz_offset", F.unix_millis("_event_time").alias("epoch_ms"), "hour",
+                P.log_date().alias("log_date")).repartitionByRange("log_date", "row_key"), a.output, sinks.LOG_LAYOUT)
             q = _write(split.where("reject IS NOT NULL").select("line", F.col("reject").alias("reason")),
                        a.output.rstrip("/") + "_quarantine")
         finally:

@@ -182,6 +182,11 @@ def row_key(ip, time_local, line, source, position) -> Column:
     return F.concat_ws("_", _c(ip), _c(time_local), digest)
 
 
+def log_date(time_local="time_local") -> Column:
+    """The date of the record's own clock. It is part of the key, so that a redelivery has it again."""
+    return F.try_to_date(F.substring(_c(time_local), 1, 11), "dd/MMM/yyyy")
+
+
 def find_ips(line) -> Column:
     """Every dotted-quad substring, look-alikes such as 66.0.3359.117 included."""
     return F.regexp_extract_all(_c(line), F.lit(IP_FIND_REGEX), 1)
@@ -203,6 +208,33 @@ def ip_to_long(ip: str = "ip") -> Column:
     return F.expr(f"CASE WHEN {ip_valid_sql(ip)} THEN {parts} END")
 
 
+_MAPPED = "0" * 20 + "ffff"          # what stands before an IPv4 address among the IPv6 addresses
+
+
+def address_key_sql(ip: str = "ip") -> str:
+    """An address as 32 hexadecimal digits, which sort as the addresses do; NULL for what is none.
+
+    IPv4 addresses are those mapped into IPv6. ``::`` stands for zeros, a dotted tail for two groups; a zone is no
+    part of an address.
+    """
+    def number(x: str) -> str:
+        o = f"split({x}, '[.]', -1)"
+        return "(" + " + ".join(f"try_cast(get({o}, {i}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4)) + ")"
+    tail = f"substring_index({ip}, ':', -1)"
+    v4 = f"concat('{_MAPPED}', lpad(lower(hex({number(ip)})), 8, '0'))"
+    plain = (f"if(contains({tail}, '.'), if({ip_valid_sql(tail)}, concat(left({ip}, length({ip}) - length({tail})), "
+             f"hex({number(tail)} DIV 65536), ':', hex({number(tail)} % 65536)), NULL), {ip})")
+    halves = [f"filter(split(split_part(s.p, '::', {i}), ':', -1), x -> x <> '')" for i in (1, 2)]
+    short = "concat(s.a, array_repeat('0', greatest(1, 8 - size(s.a) - size(s.b))), s.b)"
+    wrong = ("length(s.p) - length(replace(s.p, '::', '')) > 2 OR contains(s.p, ':::') OR s.p RLIKE '^:[^:]' OR s.p RLIKE '[^:]:$'")
+    cut = f"transform(array(named_struct('p', {plain})), s -> named_struct('p', s.p, 'a', {halves[0]}, 'b', {halves[1]}))"
+    listed = f"get(transform({cut}, s -> if({wrong}, NULL, if(contains(s.p, '::'), {short}, split(s.p, ':', -1)))), 0)"
+    good = "size(g) = 8 AND forall(g, x -> x RLIKE '^[0-9a-fA-F]{1,4}$')"
+    joined = "array_join(transform(g, x -> lpad(lower(x), 4, '0')), '')"
+    v6 = f"get(transform(array({listed}), g -> if({good}, {joined}, NULL)), 0)"
+    return f"CASE WHEN contains({ip}, ':') THEN {v6} WHEN {ip_valid_sql(ip)} THEN {v4} END"
+
+
 # Short province names and the official form a map expects.
 # Three named autonomous regions, Inner Mongolia and Tibet, four
 # municipalities and two special administrative regions.

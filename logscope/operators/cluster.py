@@ -19,6 +19,7 @@ from logscope.operators import grouped
 
 K = 5
 SEED = 42
+FLAT = 1e-9          # share of the variance up to which a principal component counts as none
 REQUEST_COLUMNS = ["ip", "url", "request_method", "referer", "user_agent"]   # fixed order
 IP_FEATURES = ["distinct_urls", "distinct_methods", "distinct_user_agents"]
 
@@ -79,12 +80,33 @@ def sampled(df: DataFrame, key: str = "event_id", one_in: int = 10) -> DataFrame
 
 
 def projection(clustered: DataFrame, features_col: str = "features") -> DataFrame:
-    """PCA to two components of the unscaled features -> x, y columns."""
+    """PCA to two components of the unscaled features -> x, y columns.
+
+    A component's direction is free; its largest loading is made positive, so results can be compared. A component
+    without variance (constant features) has any direction at all; its column is 0.
+    """
     model = PCA(k=2, inputCol=features_col, outputCol="pca").fit(clustered)
+    loadings = model.pc.toArray()                                          # features times two
+    signs = [1.0 if max(column, key=abs) >= 0 else -1.0 for column in loadings.T.tolist()]
     out = model.transform(clustered)
-    return FE.vector_columns(out.select(*[c for c in out.columns
-                                          if c not in (features_col, "scaledFeatures")]),
-                             "pca", ["x", "y"])
+    factors = [sign if share > FLAT else 0.0 for sign, share in zip(signs, model.explainedVariance.toArray().tolist())]
+    flat = FE.vector_columns(out.select(*[c for c in out.columns if c not in (features_col, "scaledFeatures")]), "pca", ["x", "y"], digits=None)
+    return flat.withColumn("x", F.col("x") * factors[0]).withColumn("y", F.col("y") * factors[1])
+
+
+def variance(clustered: DataFrame, inputs: list[str], group: str = "prediction") -> DataFrame:
+    """(n, within_ss, between_ss) over all rows: how the clusters split the inputs' total sum of squares.
+
+    The clusters' own means are used, so that ``within_ss + between_ss`` is the total, whatever the labels are.
+    """
+    mean = [F.avg(c).alias(f"_m{i}") for i, c in enumerate(inputs)]
+    spread = [F.coalesce(F.var_pop(c), F.lit(0.0)).alias(f"_v{i}") for i, c in enumerate(inputs)]
+    each = clustered.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), *mean, *spread)          # one row per cluster
+    n = F.sum("_n")
+    within = sum((F.sum(F.col("_n") * F.col(f"_v{i}")) for i in range(len(inputs))), F.lit(0.0))
+    between = sum((F.sum(F.col("_n") * F.col(f"_m{i}") * F.col(f"_m{i}")) - F.pow(F.sum(F.col("_n") * F.col(f"_m{i}")), 2) / n
+                   for i in range(len(inputs))), F.lit(0.0))
+    return each.agg(n.alias("n"), within.alias("within_ss"), between.alias("between_ss"))
 
 
 def profile(clustered: DataFrame, group: str = "prediction", k: int = 5) -> DataFrame:

@@ -28,6 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The layout of a log table: days, and in a day's files the keys in order.
+LOG_LAYOUT = {"partition_by": ["log_date"], "order_by": ["row_key"], "bloom": ["row_key"]}
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -98,7 +102,8 @@ def _state_layout(spark: SparkSession, root: str, stated: dict) -> None:
         stream.close()
 
 
-def _write(rows: DataFrame, path: str, how: dict, mode: str) -> None:
+def write_rows(rows: DataFrame, path: str, how: dict, mode: str) -> None:
+    """Write ``rows`` in a layout."""
     partition_by, order_by = how.get("partition_by") or [], how.get("order_by") or []
     if order_by:
         rows = rows.sortWithinPartitions(*partition_by, *order_by)
@@ -123,7 +128,7 @@ def append_batch(batch: DataFrame, root: str, batch_id: int, partition_by: list[
         return False
     how = {k: v for k, v in (("partition_by", partition_by), ("order_by", order_by), ("bloom", bloom)) if v}
     _state_layout(spark, root, how)
-    _write(batch, path, how, "overwrite")
+    write_rows(batch, path, how, "overwrite")
     return True
 
 
@@ -192,7 +197,7 @@ def fold(spark: SparkSession, root: str, keys: list[str] | None = None, value: s
     near = [*how.get("partition_by", []), *how.get("order_by", [])]
     if near:                             # each file gets a narrow range of keys
         out = out.repartitionByRange(*near)
-    _write(out, f"{_base(root)}/v={ids[-1]:012d}-{uuid.uuid4().hex[:8]}", how, "errorifexists")
+    write_rows(out, f"{_base(root)}/v={ids[-1]:012d}-{uuid.uuid4().hex[:8]}", how, "errorifexists")
     fs, _, jvm = _fs(spark, root)
     for path in [_batch(root, i) for i in ids] + ([f"{_base(root)}/{old}"] if old else []):
         fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)

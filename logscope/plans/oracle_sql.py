@@ -95,7 +95,13 @@ geo_ranges AS (
   FROM nation JOIN (VALUES (0,'新疆'),(1,'广西'),(2,'宁夏'),(3,'内蒙古'),(4,'西藏'),(5,'北京'),(6,'天津'),
     (7,'重庆'),(8,'上海'),(9,'香港'),(10,'澳门'),(11,'广东省'),(12,'江苏省'),(13,'浙江省'),(14,'山东省'),
     (15,'河南省'),(16,'四川省'),(17,'湖北省'),(18,'湖南省'),(19,'福建省'),(20,'安徽省'),(21,'河北省'),
-    (22,'陕西省'),(23,''),(24,CAST(NULL AS STRING))) AS t(k, pro) ON n_nationkey = k)"""
+    (22,'陕西省'),(23,''),(24,CAST(NULL AS STRING))) AS t(k, pro) ON n_nationkey = k),
+geo_blocks AS (
+  SELECT 4 AS family, lo, hi, pro, city FROM geo_ranges
+  UNION ALL SELECT 4, lo, lo + 128 * 65536 - 1, pro, replace(city, 'city', 'half') FROM geo_ranges
+  UNION ALL SELECT 4, lo + 64 * 65536 + 10 * 256 + 5, lo + 100 * 65536 + 200 * 256 + 17, pro, replace(city, 'city', 'odd') FROM geo_ranges
+  UNION ALL SELECT 6, 16 * (lo // 16777216 - 10), 16 * (lo // 16777216 - 10) + 11, pro, replace(city, 'city', 'six') FROM geo_ranges
+  UNION ALL SELECT 6, 0, 4611686018427387904, '文档', 'six')"""
 
 ALL_CTES = ",".join([ACCESS_LOG_CTE, FIELDS_CTE, _strict_cte(), GEO_CTE])
 
@@ -103,6 +109,8 @@ ALL_CTES = ",".join([ACCESS_LOG_CTE, FIELDS_CTE, _strict_cte(), GEO_CTE])
 def with_ctes(body: str) -> str:
     """Prefix the shared CTEs; a body with its own WITH list is merged into it."""
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ALL_CTES + ",\n" + body[15:]
     if body[:5].upper() == "WITH ":
         return "WITH " + ALL_CTES + ",\n" + body[5:]
     return "WITH " + ALL_CTES + "\n" + body

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
 from logscope.operators import geo
-from logscope.plans.inputs import geo_ranges, lines
+from logscope.plans.inputs import fields, geo_ranges, lines
+from logscope.plans.oracle_sql import having
 from logscope.plans.q_parse import _CANON_SQL
 from logscope.plans.registry import register
+from logscope.sources import fixture
 
 _IP_NUM_SQL = r"""
 CASE WHEN len(string_split(ip, '.')) = 4 AND list_bool_and(list_transform(string_split(ip, '.'),
@@ -49,6 +51,19 @@ def geo_lookup_bucketed(spark, sf):
         "ip", "ip_num", "pro", "city")
 
 
+@register("geo_client_lookup", f"""
+WITH c AS (SELECT DISTINCT remote_addr AS ip FROM {having("remote_addr")}),
+n AS (SELECT ip, CASE WHEN starts_with(ip, '2001:db8::') THEN 6 WHEN regexp_full_match(ip, '[0-9.]+') THEN 4 END AS family,
+             CASE WHEN starts_with(ip, '2001:db8::') THEN CAST('0x' || substring(ip, 11) AS BIGINT) ELSE {_IP_NUM_SQL} END AS num FROM c),
+r AS (SELECT ip, pro, city, row_number() OVER (PARTITION BY ip ORDER BY hi - lo) AS nth
+      FROM n LEFT JOIN geo_blocks g ON n.family = g.family AND num BETWEEN lo AND hi)
+SELECT ip AS client, pro, city FROM r WHERE nth = 1""")
+def geo_client_lookup(spark, sf):
+    """Clients of any form -> (province, city) of the innermost of nested IPv4 and IPv6 ranges; one row per client."""
+    clients = fields(spark, sf, "remote_addr").select(F.col("remote_addr").alias("client")).distinct()
+    return geo.lookup(clients, fixture.read_geo_blocks(spark, sf), "client").select("client", "pro", "city")
+
+
 @register("ips_by_region", _BY_REGION_SQL + f"""
 SELECT pro, {_CANON_SQL} AS region, ips FROM by_pro""")
 def ips_by_region(spark, sf):

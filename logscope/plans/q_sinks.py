@@ -46,11 +46,11 @@ def _etl(spark, sf, columns):
     key = P.row_key("remote_addr", "time_local", "line", F.lit("events"), "event_id")
     rows = access(spark, sf).select(
         "event_id", key.alias("row_key"), *_trimmed(columns),
-        F.to_date(F.substring("time_local", 1, 11), "dd/MMM/yyyy").alias("log_date"))
+        P.log_date().alias("log_date"))
     # Rows of one date and address prefix come together, so that a file has a narrow range of keys;
     # a rebalance, unlike a repartition, lets Spark split a prefix that is too large and join small ones.
     near = rows.withColumn("_prefix", F.substring_index("row_key", ".", 1)).hint("rebalance", "log_date", "_prefix")
-    sinks.append_batch(near.drop("_prefix"), root, 0, partition_by=["log_date"], order_by=["row_key"], bloom=["row_key"])
+    sinks.append_batch(near.drop("_prefix"), root, 0, **sinks.LOG_LAYOUT)
     return sinks.read_appended(spark, root)
 
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logscope.operators import activity, distinct, parsing, sinks
-from logscope.plans.inputs import lines
+from logscope.operators import activity, distinct, heavy, parsing, sinks
+from logscope.plans.inputs import fields, lines
 from logscope.plans.oracle_sql import having, hourly
 from logscope.plans.registry import register
 from logscope.session import scratch_dir
@@ -205,3 +205,13 @@ def stream_state_audit(spark, sf):
     keys = ["remote_addr", "request_method"]
     jobs.running_totals(_records(spark, sf), keys, sink, ckpt, state_partitions=_state_partitions(spark))
     return checkpoint.audit_totals(spark, ckpt, sink, keys)
+
+
+@register("stream_top_urls", f"""
+SELECT request_url, count(*) AS hits FROM {having("request_url")} GROUP BY request_url ORDER BY hits DESC, request_url LIMIT 10""")
+def stream_top_urls(spark, sf):
+    """The ten most frequent URLs over all micro-batches: candidates from bounded summaries, then an exact recount of these."""
+    sink, ckpt = _dirs(spark, "stream-heavy")
+    jobs.heavy_hitters(_records(spark, sf), "request_url", sink, ckpt, slots=100)
+    sinks.fold(spark, sink, merge=lambda rows: heavy.merge(rows, "request_url"))
+    return heavy.top_n(sinks.read_appended(spark, sink), fields(spark, sf, "request_url"), "request_url", 10)

@@ -108,6 +108,25 @@ def read_geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_ranges(read_table(spark, sf_dir, "nation", "n_nationkey"))
 
 
+def geo_blocks(nation: DataFrame) -> DataFrame:
+    """Nested ranges of both address families as texts (lo, hi, pro, city): per nation a /8 block, its lower half, a
+    piece inside that with odd ends, and twelve IPv6 addresses inside one /32 block."""
+    spark = nation.sparkSession
+    names = spark.createDataFrame(list(enumerate(GEO_PROVINCES)), "k INT, pro STRING")
+    each = nation.select("n_nationkey").join(names, F.col("n_nationkey") == F.col("k"))
+    rows = each.selectExpr("""inline(array(
+        named_struct('lo', concat(10 + k, '.0.0.0'), 'hi', concat(10 + k, '.255.255.255'), 'pro', pro, 'city', concat('city_', k)),
+        named_struct('lo', concat(10 + k, '.0.0.0'), 'hi', concat(10 + k, '.127.255.255'), 'pro', pro, 'city', concat('half_', k)),
+        named_struct('lo', concat(10 + k, '.64.10.5'), 'hi', concat(10 + k, '.100.200.17'), 'pro', pro, 'city', concat('odd_', k)),
+        named_struct('lo', concat('2001:db8::', lower(hex(16 * k))), 'hi', concat('2001:DB8:0::', hex(16 * k + 11)), 'pro', pro,
+                     'city', concat('six_', k))))""")
+    return rows.unionByName(spark.createDataFrame([("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "文档", "six")], rows.schema))
+
+
+def read_geo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo_blocks(read_table(spark, sf_dir, "nation", "n_nationkey"))
+
+
 # ------------------------------------------------------------- replay of the log as a stream
 
 REPLAY_FILES = 5

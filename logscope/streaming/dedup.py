@@ -22,14 +22,9 @@ from logscope.streaming.sources import with_positions
 DAYS = 366          # so many dates of a batch are named one by one; beyond that a range of dates is read
 
 
-def _log_date() -> Column:
-    """The date of the record's own clock; it is part of the key, so that a redelivery has it, too."""
-    return F.expr("try_to_date(substring(time_local, 1, 11), 'dd/MMM/yyyy')")
-
-
 def _keyed(rows: DataFrame, line: str) -> DataFrame:
     key = P.row_key("remote_addr", "time_local", line, "source", "offset")
-    return rows.select(key.alias("row_key"), "source", "offset", _log_date().alias("log_date"))
+    return rows.select(key.alias("row_key"), "source", "offset", P.log_date().alias("log_date"))
 
 
 def _dates(batch: DataFrame) -> Column | None:
@@ -73,7 +68,7 @@ def distinct_records(records: DataFrame, sink_root: str, checkpoint: str, trigge
         batch = batch.select("row_key", "source", "offset", "log_date").persist()
         try:
             fresh = unseen(batch, sink_root).hint("rebalance", "log_date")
-            sinks.append_batch(fresh, sink_root, bid, partition_by=["log_date"], order_by=["row_key"], bloom=["row_key"])
+            sinks.append_batch(fresh, sink_root, bid, **sinks.LOG_LAYOUT)
         finally:
             batch.unpersist()
     return jobs._run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger, state_partitions=state_partitions)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
-from logscope.operators import distinct, parsing, reports, sinks
+from logscope.operators import distinct, heavy, parsing, reports, sinks
 from logscope.streaming.sources import with_positions
 
 HOUR_MS = 3_600_000
@@ -159,16 +159,29 @@ def batch_top_n(records: DataFrame, key: str, n_top: int, sink_root: str, checkp
     return _run(parsed(records, key), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
 
 
+def heavy_hitters(records: DataFrame, key: str, sink_root: str, checkpoint: str, trigger: dict | None = None,
+                  slots: int = heavy.SLOTS) -> StreamRun:
+    """A summary of each micro-batch's frequent keys, which add up to the candidates for the most frequent ones of all."""
+    def per_batch(batch: DataFrame, bid: int) -> None:
+        counts = reports.hits_by(batch, key).persist()
+        try:
+            sinks.append_batch(heavy.summary(counts, key, slots), sink_root, bid)
+        finally:
+            counts.unpersist()
+    return _run(parsed(records, key), sink_root, checkpoint, per_batch, mode="append", trigger=trigger)
+
+
 def access_etl(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None) -> StreamRun:
-    """Parse each micro-batch once (persist), write the access rows with their key and the quarantine."""
+    """Parse each micro-batch once (persist), write the keyed, date-partitioned access rows and the quarantine."""
     def per_batch(batch: DataFrame, bid: int) -> None:
         split = parsing.split_parse(with_positions(batch), line="value", keep=("source", "offset")).persist()
         try:
             key = P.row_key("remote_addr", "time_local", "value", "source", "offset")
-            good = split.filter(F.col("reject").isNull()).select("source", "offset", key.alias("row_key"), *parsing.ACCESS_COLUMNS)
+            good = split.filter(F.col("reject").isNull()).select("source", "offset", key.alias("row_key"), *parsing.ACCESS_COLUMNS,
+                                                                 P.log_date().alias("log_date")).hint("rebalance", "log_date")
             bad = split.filter(F.col("reject").isNotNull()).select(
                 "source", "offset", "value", F.col("reject").alias("reason"))
-            sinks.append_batch(good, f"{sink_root}/access", bid)
+            sinks.append_batch(good, f"{sink_root}/access", bid, **sinks.LOG_LAYOUT)
             sinks.append_batch(bad, f"{sink_root}/quarantine", bid)
         finally:
             split.unpersist()

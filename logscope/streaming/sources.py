@@ -7,10 +7,11 @@ filled in by ``with_positions`` where a job needs it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_SCHEMA = "source STRING, offset BIGINT, value STRING"
+PART = 1000          # equal lines that are numbered together
 
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
@@ -51,8 +52,14 @@ def with_positions(batch: DataFrame) -> DataFrame:
     """Fills in missing offsets: the how-manieth of its equal lines in its file a line is.
 
     For a batch, not a stream: a file is read in one micro-batch, so the numbers repeat in a
-    replay. Equal lines of a file are interchangeable, so any order among them gives one result.
+    replay. Equal lines of a file are interchangeable, so they are counted, in each task first, and the counts are
+    written out again as numbers, in parts that are dealt over the tasks: a line that a file repeats a million times
+    comes together nowhere.
     """
-    nth = F.row_number().over(Window.partitionBy("source", "value").orderBy("value"))
+    alike = [c for c in batch.columns if c != "offset"]
     known, missing = batch.where("offset IS NOT NULL"), batch.where("offset IS NULL")
-    return known.unionByName(missing.withColumn("offset", nth.cast("bigint")))
+    counts = missing.groupBy(*alike).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(PART).cast("bigint"))).alias("_first"))
+    last = F.least(F.col("_first") + PART - 1, F.col("_n"))
+    numbered = parts.hint("rebalance").select(*alike, F.explode(F.sequence("_first", last)).alias("offset"))
+    return known.unionByName(numbered.select(*batch.columns))

@@ -217,6 +217,26 @@ def test_key_scan_bounds(spark):
     assert [r[0] for r in sinks.key_scan(t, "rk", regex="1$").orderBy("rk").collect()] == ["a1", "b1", "c1"]
 
 
+def test_kafka_columns_become_records(spark):
+    """The connector's columns: binary keys and values, nulls, two partitions; a null value is a record without fields."""
+    raw = spark.createDataFrame(
+        [(None, bytearray(b"a line"), "t", 0, 7), (bytearray(b"k"), None, "t", 1, 7), (None, bytearray("é".encode()), "t", 1, 8)],
+        "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT").withColumns(
+            {"timestamp": F.current_timestamp(), "timestampType": F.lit(0)})
+    got = sources.kafka_shape(raw)
+    assert [tuple(r) for r in got.collect()] == [("t/0", 7, "a line"), ("t/1", 7, None), ("t/1", 8, "é")]
+    assert ", ".join(f"{n} {t.upper()}" for n, t in got.dtypes) == sources.RECORD_SCHEMA
+
+
+def test_lines_that_repeat_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sources, "PART", 7)
+    rows = [("f1", None, "same")] * 100 + [("f2", None, "same")] * 3 + [("f1", None, None)] * 2 + [("t/0", 9, "same"), ("f1", None, "own")]
+    got = sources.with_positions(spark.createDataFrame(rows, "source STRING, offset BIGINT, value STRING").repartition(4))
+    assert got.columns == ["source", "offset", "value"]
+    want = [("f1", i, "same") for i in range(1, 101)] + [("f2", i, "same") for i in (1, 2, 3)] + [("f1", 1, None), ("f1", 2, None), ("t/0", 9, "same"), ("f1", 1, "own")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_kafka_options():
     o = sources.kafka_options("h1:9092,h2:9092", "test", "earliest ")
     assert o["subscribe"] == "test"
