@@ -3,14 +3,16 @@
 Each page's containers are scored by the share of its readable text that they hold. A
 container's path is its chain of tags and classes, digits removed, so that pages made from one
 template share it. Spark sums the shares per host and path; the host's winning paths are those
-that hold most of the text over all its pages, semantic containers and deeper ones first. Every
-page is then extracted again with its host's winning path, or, where the page lacks all of
+that hold most of the text of the pages that have them, semantic containers and deeper ones first. A host
+may have many templates: each has its winners. The page and its body hold everything and are no candidates. Every
+page is then extracted again with the first of its host's winning paths that it has, or, where it lacks all of
 them, with its own best container. Votes are pre-aggregated in the tasks, so that a host with a
-third of all pages sends a few rows per task.
+third of all pages sends a few rows per task. A winner is on ``LEAST_PAGES`` of its host's pages at least (and on two
+of several), so a host has at most ``1 / LEAST_PAGES`` winners per level of nesting.
 
-Defined results: a null or empty html, or one without readable text, gives the empty text; a
-null or malformed url belongs to the host ''; rows that repeat vote as often as they come and
-each get a result; ties go to the path first in alphabetical order; an empty table gives an
+Defined results: a null or empty html, or one without readable text (a page that is all menu or notice),
+gives the empty text; a null or malformed url belongs to the host ''; rows that repeat vote as often as they come and
+each get a result; ties go to the path first in alphabetical order; a very long page is read whole, in one task; an empty table gives an
 empty result; extra columns are ignored; unclosed and crossed tags are closed as browsers do in
 the common cases, and a truncated page keeps what it has.
 """
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 
 from logscope.llm.common import keep_table, map_arrow
 
-WINNERS = 5              # paths kept per host, best first
-LEAST_SHARE = 0.6        # of the host's text, so that a path can win
+LEAST_SHARE = 0.6        # of the text of the pages that have a path, so that it can win
+LEAST_PAGES = 0.005      # of the host's pages that a winning path is on
 _ROWS = 256              # pages that Python holds as strings at a time
 _FLUSH = 50_000          # (host, path) sums that a task holds
 
@@ -46,36 +48,49 @@ _ENDS_P = _BLOCKS - {"body", "html"}
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",), "body": ("head",)}
 _SCOPES = frozenset("ul ol dl table div section article body main td blockquote".split())
-# Words in class, id and role names of what is not the article.
+# Words of class, id and role names that say what is not the article.
 _NOT_ARTICLE = frozenset("""ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion
     banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr notice
     alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
     recommendations comment comments commentlist disqus reply replies respond discussion widget toolbar pagination pager
     search skip copyright legal contentinfo complementary dialog alertdialog teaser""".split())
 _HEADER = frozenset(["header"])
+# Words that may stand beside those and say only where or in what.
+_PLACES = frozenset("""site page main top left right bottom upper lower side post blog article story entry text content primary
+    secondary global sub mobile desktop fixed sticky inline box container wrapper wrap holder list area slot unit block section
+    bar inner outer link links form item items panel module region col column row group icon icons button buttons title the div
+    js id c cc fb twitter facebook google dfp yui""".split())
 _CONTENT = frozenset("content article post entry story text body main articlebody".split())
-_EXCEPT = ("has-", "has_", "with-", "with_", "no-", "no_", "without-")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)
     |<(?P<raw>script|style|noscript|title|textarea|xmp|iframe|template)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
     |<[!?][^>]*>
     |<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attr>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
     |<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<attr2>[^>]*)(?:>|\Z)""", re.S | re.I | re.X)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# A name and its value; values are taken whole, so that nothing inside one is taken for a name.
+_ATTR = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_READ = frozenset("class id role hidden aria-hidden style".split())
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(text)} if text.strip() else {}
+    """The attributes that are read; of a name that repeats the first one, as browsers take it."""
+    out: dict[str, str] = {}
+    if text.strip():
+        for m in _ATTR.finditer(text):
+            name = m[1].lower()
+            if name in _READ:
+                out.setdefault(name, unescape(m[2] or m[3] or m[4] or ""))
+    return out
 
 
 def _named(attrs: dict[str, str], words: frozenset) -> bool:
+    """Whether a class, id or role is one of ``words``, alone or with words for places beside it only."""
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower().split():
-        if not name.startswith(_EXCEPT):
-            parts = _WORDS.findall(name)
-            if parts and (parts[0] in words or parts[-1] in words):
-                return True
+        parts = _WORDS.findall(name)
+        if any(p in words for p in parts) and all(p in words or p in _PLACES for p in parts):
+            return True
     return False
 
 
@@ -84,9 +99,9 @@ def _hidden(attrs: dict[str, str]) -> bool:
     return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
 
 
-def blocks(html: str, by_name: bool = True) -> list[tuple[str, int, tuple[str, ...]]]:
+def blocks(html: str) -> list[tuple[str, int, tuple[str, ...]]]:
     """(text, characters in links, container paths from the outermost) of each readable block, in
-    page order. ``by_name`` leaves out elements whose class, id or role says they are no article."""
+    page order, without elements whose class, id or role says they are no article."""
     out: list[tuple[str, int, tuple[str, ...]]] = []
     # Of each open element: tag, 0 readable / 1 headings only / 2 skipped, container paths.
     stack: list[tuple[str, int, tuple[str, ...]]] = [("", 0, ("page",))]
@@ -158,9 +173,9 @@ def blocks(html: str, by_name: bool = True) -> list[tuple[str, int, tuple[str, .
         attrs = _attributes(text)
         if tag in _SKIPPED or attrs and _hidden(attrs):
             state = 2
-        elif by_name and attrs and tag not in ("html", "body", "article", "main") and _named(attrs, _NOT_ARTICLE):
+        elif attrs and tag not in ("html", "body", "article", "main") and _named(attrs, _NOT_ARTICLE):
             state = 2
-        elif state == 0 and (tag == "header" or by_name and attrs and tag not in _HEADINGS and _named(attrs, _HEADER)):
+        elif state == 0 and (tag == "header" or attrs and tag not in _HEADINGS and _named(attrs, _HEADER)):
             # A header inside an article has the article's headings; any other is the page's.
             state = 1 if any(p.rpartition(">")[2].startswith(("article", "main")) for p in paths) else 2
         if tag in _CONTAINERS:
@@ -176,11 +191,14 @@ def blocks(html: str, by_name: bool = True) -> list[tuple[str, int, tuple[str, .
         add(html[at:])
     close(1)
     end_block()
-    if not out and by_name:
-        return blocks(html, by_name=False)
     return out
 
 
+def _everything(path: str) -> bool:
+    """Whether a path is the page's or its body's, which hold all text whatever it is."""
+    return path == "page" or path.startswith("page>body") and path.count(">") == 1
+
+
 def shares(page: list[tuple[str, int, tuple[str, ...]]]) -> dict[str, float]:
     """Share of the page's text outside links that each container path holds."""
     total = sum(len(text) - linked for text, linked, _ in page) or 1
@@ -200,20 +218,18 @@ def preference(path: str, share: float) -> float:
 
 
 def own_path(page: list[tuple[str, int, tuple[str, ...]]]) -> str | None:
-    """The best container of one page by itself."""
+    """The best container of one page by itself; None if none but the page and its body holds most of the text."""
     held = shares(page)
     most = max(held.values(), default=0)
-    able = [p for p, s in held.items() if s >= LEAST_SHARE * most]
+    able = [p for p, s in held.items() if s >= LEAST_SHARE * most and not _everything(p)]
     return min(able, key=lambda p: (-preference(p, held[p]), p)) if able else None
 
 
 def text_of(page: list[tuple[str, int, tuple[str, ...]]], paths: list[str]) -> str:
     """The blocks inside the first of ``paths`` that the page has, else inside its own best container."""
-    for path in [*paths, own_path(page)]:
-        found = [text for text, _, chain in page if path in chain]
-        if found:
-            return "\n\n".join(found)
-    return "\n\n".join(text for text, _, _ in page)
+    has = {path for _, _, chain in page for path in chain}
+    best = next((p for p in paths if p in has), None) or own_path(page)
+    return "\n\n".join(text for text, _, chain in page if best is None or best in chain)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +270,9 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         .groupBy("host", "path").agg(F.sum("share").alias("share"), F.sum("pages").alias("pages"))
     votes = keep_table(votes, "path-votes")
     totals = votes.where("path = ''").select("host", F.col("pages").alias("of"))
-    mean = votes.where("path != ''").join(totals, "host").select("host", "path", (F.col("share") / F.col("of")).alias("share"))
+    enough = F.col("pages") >= F.greatest(F.least(F.lit(2), F.col("of")), LEAST_PAGES * F.col("of"))
+    mean = votes.where("path != '' AND NOT path RLIKE '^page(>body[^>]*)?$'").join(totals, "host").where(enough) \
+        .select("host", "path", (F.col("share") / F.col("pages")).alias("share"))
     last = F.element_at(F.split("path", ">"), -1)
     tag, words = F.element_at(F.split(last, r"\."), 1), F.split(last, r"[^a-z]+")
     hint = F.when(tag == "article", 0.4).when(tag == "main", 0.3) \
@@ -262,9 +280,8 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     depth = F.least(F.size(F.split("path", ">")) - 1, F.lit(9))
     value = F.least("share", F.lit(1.0)) + hint + 0.01 * depth
     able = mean.where(F.col("share") >= LEAST_SHARE).groupBy("host", "path").agg(F.max(value).alias("value"))
-    # The best few of each host: k rows per host, by an aggregate over (value, path) pairs.
-    best = able.groupBy("host").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("v"), "path"))), 1, WINNERS)
-                                    .alias("best"))
+    # At most 1 / LEAST_PAGES paths per level of nesting.
+    best = able.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("v"), "path"))).alias("best"))
     return keep_table(best.select("host", F.transform("best", lambda b: b["path"]).alias("paths")), "host-paths")
 
 

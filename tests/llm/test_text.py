@@ -60,11 +60,70 @@ def test_extraction_defined_results(spark):
     got = html_extract.extract(_pages(spark, rows)).collect()
     assert len(got) == len(rows)
     by = {r.page_id: r.text for r in got if r.page_id != 6}
-    assert by == {1: "", 2: "", 3: "plain & bold", 4: "a\n\nb\n\nc", 5: "", None: "t", 7: "all is in a dialog"}
+    assert by == {1: "", 2: "", 3: "plain & bold", 4: "a\n\nb\n\nc", 5: "", None: "t", 7: ""}
     assert sorted(len(r.text) for r in got if r.page_id == 6) == [5, 20_000 * 6 - 2]
     assert html_extract.extract(_pages(spark, [])).count() == 0
 
 
+def test_attributes_are_names_and_values():
+    assert html_extract._attributes(' title="the hidden truth" data-id="search" CLASS=a class="b" hidden') == {"class": "a", "hidden": ""}
+    assert html_extract._attributes(""" id='x y' data-role="menu" aria-hidden = "true" style="a: b" alt=role""") == {
+        "id": "x y", "aria-hidden": "true", "style": "a: b"}
+    kept = ['<p title="the hidden truth">word</p>', '<p><a title="hidden gem" href="x">word</a></p>', '<div data-id="search"><p>word</p></div>',
+            '<div data-role="menu"><p>word</p></div>', '<div class="search-engine-article"><p>word</p></div>', '<div class="alert-levels">word</div>',
+            '<section class="has-sidebar no-comments">word</section>', '<div id="market-share">word</div>', "<p alt='x hidden y'>word</p>"]
+    gone = ["<div class='cookie-notice'>word</div>", "<div id=sidebar-left>word</div>", "<div class='x ad-slot'>word</div>", "<p hidden>word</p>",
+            "<ul class='post-comments'><li>word</ul>", '<div role="search">word</div>', '<p aria-hidden="true">word</p>', "<div class='share-buttons'>word</div>"]
+    for part, want in [(h, True) for h in kept] + [(h, False) for h in gone]:
+        page = html_extract.blocks(f"<article><p>first</p>{part}<p>last</p></article>")
+        assert [t for t, _, _ in page] == ["first", *["word"] * want, "last"], part
+
+
+TEASER = "<div class='box'><p>Site teaser of some length that is on every page</p></div>"
+SIDE = "<div class='lower'><p>A side box with words of its own</p></div>"
+
+
+def _templated(name, n):
+    return f"<html><body>{TEASER}<div class='{name}'><h1>Head {n}</h1><p>{'body of the story ' * 12}{n}</p><p>more {n}</p></div>{SIDE}</body></html>"
+
+
+def test_every_template_of_a_host_has_its_winner(spark):
+    for names in (["story-body", "longread"], ["story-body", "longread", "reportage", "feature", "interview", "gallery-text", "column-x"]):
+        rows = [(n, f"https://h.example/{n}", _templated(names[n % len(names)], n), "x", "y") for n in range(70)]
+        rows.append((900, "https://h.example/900", "<body><div class='cookie-notice'><p>We use cookies</p></div></body>", "x", "y"))
+        got = {r.page_id: r.text for r in html_extract.extract(_pages(spark, rows)).collect()}
+        assert got.pop(900) == ""
+        assert got == {n: f"Head {n}\n\n{'body of the story ' * 12}{n}\n\nmore {n}" for n in range(70)}
+
+
+def _voted(rows):
+    """The extraction by the definition: shares summed per host and path in one place."""
+    parsed = [(i, re.match(r"https?://(?:[^/@]*@)?([^/:?#]+)", (u or "").lower()), html_extract.blocks(h or "")) for i, u, h in rows]
+    parsed = [(i, m[1] if m else "", page) for i, m, page in parsed]
+    out = []
+    for i, host, page in parsed:
+        same = [html_extract.shares(p) for _, h, p in parsed if h == host and p]
+        able = []
+        for path in {p for s in same for p in s if not html_extract._everything(p)}:
+            held = [s[path] for s in same if path in s]
+            if len(held) >= max(min(2, len(same)), html_extract.LEAST_PAGES * len(same)) and sum(held) / len(held) >= html_extract.LEAST_SHARE:
+                able.append((-html_extract.preference(path, sum(held) / len(held)), path))
+        mine = [p for _, p in sorted(able) if any(p in chain for _, _, chain in page)]
+        best = mine[0] if mine else html_extract.own_path(page)
+        out.append((i, "\n\n".join(t for t, _, chain in page if best is None or best in chain)))
+    return out
+
+
+def test_extraction_against_a_vote_by_definition(spark):
+    given = [(p.page_id, p.url, p.html) for p in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    filler = "noise words that go on and on " * 3
+    rows = given[:40] + [(1000 + n, "https://t.example/", _templated(["a", "b b2", "c"][n % 3], n)) for n in range(20)]
+    rows += [(2000 + n, "https://a.example.com/", PAGE.format(n=n, filler=filler)) for n in range(9)]
+    rows += [(3000, None, _templated("x", 1)), (3001, "bad", "<p>one<p>two"), (3002, "https://one.example/", _templated("z", 2)), (3003, None, None)]
+    got = html_extract.extract(_pages(spark, [(*r, "x", "y") for r in rows])).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted(_voted(rows))
+
+
 def test_language_held_out_accuracy(spark):
     got = queries.op7_language_id(spark, SF_ORACLE).collect()
     lang = {r.doc_id: r.lang for r in documents(spark, SF_ORACLE).collect()}
