@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from logscope.functions import parse as P
 from logscope.operators import activity, cluster, geo, parsing, reports, sinks
+from logscope.session import scratch_scope
 from logscope.streaming import dedup, jobs, sources, trailing, windows
 
 # report name -> grouping columns of the access table
@@ -88,6 +89,11 @@ def run(argv: list[str], spark: SparkSession | None = None) -> str:
         return _stream(spark, a)
     if a.job == "fold":
         return f"fold: up to batch {sinks.fold(spark, a.sink, [k for k in a.keys.split(',') if k], a.sum or None)}"
+    with scratch_scope(spark):
+        return _batch(spark, a)
+
+
+def _batch(spark: SparkSession, a) -> str:
     lines = _lines(spark, a.input)
     if a.job == "etl":
         named = spark.read.text(a.input).select(F.col("_metadata.file_path").alias("source"), F.lit(None).cast("bigint").alias("offset"),

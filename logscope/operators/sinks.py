@@ -21,6 +21,7 @@ first write and kept in ``<root>/_layout.json``, so that folding keeps it.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_KEY_DATE = re.compile(r"_([0-9]{2}/[A-Za-z]{3}/[0-9]{4}):")
+
 # The layout of a log table: days, and in a day's files the keys in order.
 LOG_LAYOUT = {"partition_by": ["log_date"], "order_by": ["row_key"], "bloom": ["row_key"]}
 
@@ -204,6 +207,20 @@ def fold(spark: SparkSession, root: str, keys: list[str] | None = None, value: s
     return ids[-1]
 
 
+def key_get(table: DataFrame, keys: list[str], key: str = "row_key", date: str | None = "log_date") -> DataFrame:
+    """Rows of a log table by their whole keys (``ip_dd/MMM/yyyy:time_digest``).
+
+    The date that a key names prunes partitions; within a day's files the equality is pushed to the scan, where the order of the keys
+    leaves one file's row groups, and its Bloom filter none if it does not have the key.
+    """
+    cond = F.col(key).isin(keys)
+    if date is not None:
+        named = sorted({m[1] for k in keys if (m := _KEY_DATE.search(k))})
+        # The dates are constants by the time partitions are chosen.
+        cond = cond & F.col(date).isin([F.try_to_date(F.lit(d), "dd/MMM/yyyy") for d in named])
+    return table.filter(cond)
+
+
 def key_scan(table: DataFrame, key: str, start: str | None = None, stop: str | None = None,
              regex: str | None = None) -> DataFrame:
     """Keyed-table scan: start inclusive, stop exclusive (lexicographic), regex = find on the key.

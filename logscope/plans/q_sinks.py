@@ -38,6 +38,10 @@ def _trimmed(columns):
 
 
 def _etl(spark, sf, columns):
+    return sinks.read_appended(spark, _stored(spark, sf, columns))
+
+
+def _stored(spark, sf, columns) -> str:
     """Append ``columns`` of the log table (trimmed strings), partitioned by log date, sorted by key.
 
     The key is stored: address, time and a digest of the record's identity.
@@ -51,7 +55,7 @@ def _etl(spark, sf, columns):
     # a rebalance, unlike a repartition, lets Spark split a prefix that is too large and join small ones.
     near = rows.withColumn("_prefix", F.substring_index("row_key", ".", 1)).hint("rebalance", "log_date", "_prefix")
     sinks.append_batch(near.drop("_prefix"), root, 0, **sinks.LOG_LAYOUT)
-    return sinks.read_appended(spark, root)
+    return root
 
 
 def _trimmed_sql(columns):
@@ -106,6 +110,17 @@ def key_regex_scan(spark, sf):
     return sinks.key_scan(days, "row_key", regex=KEY_REGEX).select(*_KEY_COLUMNS)
 
 
+@register("key_point_get", _KEYED_SQL + """
+SELECT * FROM keyed WHERE row_key IN (SELECT min(row_key) FROM keyed UNION ALL SELECT max(row_key) FROM keyed)""")
+def key_point_get(spark, sf):
+    """Two rows of the stored table by their whole keys, after its batches were folded."""
+    root = _stored(spark, sf, ["remote_addr", "time_local", "request_url"])
+    sinks.fold(spark, root)
+    table = sinks.read_appended(spark, root)
+    ends = table.agg(F.min("row_key"), F.max("row_key")).first()
+    return sinks.key_get(table, list(ends)).select(*_KEY_COLUMNS)
+
+
 _URLS = having("day", "request_url")
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,7 +66,28 @@ def _checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh, unique name under the shared folder; what is written there makes the folder."""
     root = _checkpoint_root(spark).rstrip("/")
-    return root if name is None else f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    if name is None:
+        return root
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _scopes:
+        made.append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch folders that were made inside it, for jobs whose results are written elsewhere by then."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            drop_scratch(spark, path)
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:

@@ -16,6 +16,11 @@ def _logs(spark):
     return path
 
 
+def _scratch(spark):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return {s.getPath().getName() for s in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)}
+
+
 def test_cli_batch_jobs(spark):
     logs = _logs(spark)
     out = scratch_dir(spark, "cli-out")
@@ -45,9 +50,11 @@ def test_cli_batch_jobs(spark):
     got = sorted(spark.read.parquet(f"{out}/geo").collect())
     assert got == sorted(geo.ips_by_region(lines(spark, SF_SMALL), geo_ranges(spark, SF_SMALL)).collect())
 
+    left = _scratch(spark)
     msg = cli.run(["cluster", "--input", logs, "--what", "ips", "--output", f"{out}/ipc"], spark)
     assert msg.startswith("cluster ips: ")
     assert {"prediction", "x", "y"} <= set(spark.read.parquet(f"{out}/ipc").columns)
+    assert _scratch(spark) == left                                     # what a job wrote on its way is gone
 
 
 def test_cli_stream_once(spark):

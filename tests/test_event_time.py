@@ -280,6 +280,27 @@ def test_folding_keeps_partitions_order_and_bloom_filters(spark):
     assert point.count() == 1 and "EqualTo(row_key,k000105)" in point._jdf.queryExecution().executedPlan().toString()
 
 
+def test_point_gets_read_one_day_and_push_the_key(spark):
+    root = scratch_dir(spark, "t-get")
+    rows = spark.range(900).selectExpr(
+        "concat('10.0.0.', id % 7, '_', date_format(date_add(DATE'2024-01-01', CAST(id % 9 AS INT)), 'dd/MMM/yyyy'), ':00:00:00_', sha2(CAST(id AS STRING), 256)) AS row_key",
+        "id AS v", "date_add(DATE'2024-01-01', CAST(id % 9 AS INT)) AS log_date")
+    for bid in range(2):
+        sinks.append_batch(rows.where(f"v % 2 = {bid}"), root, bid, **sinks.LOG_LAYOUT)
+    keys = [r["row_key"] for r in rows.where("v IN (12, 500)").collect()]
+    for _ in range(2):
+        table = sinks.read_appended(spark, root)
+        one = sinks.key_get(table, keys[:1])
+        assert [r["v"] for r in one.collect()] == [12] and {r["v"] for r in sinks.key_get(table, keys).collect()} == {12, 500}
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "2024-01-04" in plan.split("PartitionFilters: ")[1].split("]")[0] and "PushedFilters: [" in plan and "EqualTo(row_key," in plan
+        assert sinks.key_get(table, ["no key"]).count() == sinks.key_get(table, []).count() == 0
+        sinks.fold(spark, root)
+    files = glob.glob(root.replace("file:", "") + "/base/v=*/log_date=2024-01-04/*.parquet")
+    group = pq.ParquetFile(files[0]).metadata.row_group(0).column(0)
+    assert len(files) == 1 and group.path_in_schema == "row_key"
+
+
 def test_rows_of_one_key_in_one_batch_have_a_defined_winner(spark):
     for rows in ([("a", 1), ("a", 2)], [("a", 2), ("a", 1)]):
         root = scratch_dir(spark, "t-tie")
