@@ -24,7 +24,9 @@ over pairs of blocks of about ``BLOCK`` rows, in which all sets are compared by
 
 Defined results: a null text counts as empty; a text without words has no shingles, is linked
 with nothing and is its own component; rows that repeat one doc_id with one set share a decision, those with
-different texts are linked each by its own set; a null doc_id is never linked and its row stays; a very long text is one set, whole; an empty table gives an empty result.
+different texts are linked each by its own set; a null doc_id is never linked and its row stays; a very long text is one set, whole; of equal similarities
+any one joins two components, which has no bearing on the result; an empty table gives an empty result; extra columns pass through
+``drop_near_duplicates``, whatever they are called, and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -296,11 +298,10 @@ def _exact(sets: DataFrame, dense: DataFrame, known: DataFrame, percent: int, co
 
 def _numbered(classes: DataFrame) -> tuple[DataFrame, bool]:
     """``classes`` with different ids, and whether some had to be made up: a doc_id may stand for several texts."""
-    repeated = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("first")).where("n > 1") \
-                      .select(F.col("id").alias("r_id"), "first")
-    repeated = keep_table(repeated, "repeated-ids")
-    if repeated.isEmpty():
+    often = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if often.isEmpty():
         return classes, False
+    repeated = classes.join(often, "id", "left_semi").groupBy(F.col("id").alias("r_id")).agg(F.min("digest").alias("first"))
     other = F.lit(OTHER) - F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
     named = classes.join(repeated, F.col("id") == F.col("r_id"), "left") \
         .withColumn("id", F.when(F.col("r_id").isNull() | (F.col("digest") == F.col("first")), F.col("id")).otherwise(other))
