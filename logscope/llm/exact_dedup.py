@@ -7,8 +7,9 @@ map-side combining, so a group that holds a third of all rows ships one partial
 
 Defined results: a null text counts as empty; empty texts are equal to each other; equal rows with
 one doc_id share one decision, rows with one doc_id and different texts are decided each by its text; a null doc_id never wins over
-another id, and rows without an id stay where no row with an id has their text; a very long text is hashed whole, nothing of it is kept; an empty table gives an empty result; columns that are not named are ignored
-(``drop_duplicates`` passes them through).
+another id, and rows without an id stay where no row with an id has their text; a very long text is hashed whole, nothing of it is kept; the smallest
+doc_id is the only rule, so nothing is left to chance where texts tie; an empty table gives an empty result; columns that are not named are ignored
+(``drop_duplicates`` passes them through, whatever they are called).
 """
 
 from __future__ import annotations

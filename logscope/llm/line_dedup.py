@@ -4,7 +4,9 @@ A rolling hash over a window of two line hashes names each pair of neighbouring
 lies; a single line of more than ``LONG_WORDS`` words is named as well. Pairs are counted over all
 documents. Of equal ones the first, in the smallest doc_id and then line, stays; the lines of every
 other are removed, so that a repeated passage of two lines or more goes whole, whatever lies around
-it. Neighbouring pairs whose firsts are neighbours too form one chunk, which is compared byte by
+it. A first that would itself lose a line, as a repeat of something else, protects nothing: pairs are removed for the sake of
+firsts alone that stay whole, so what is removed is always still there, in one piece, in the document of its first. An occurrence that
+overlaps its own first is no repeat. Neighbouring pairs whose firsts are neighbours too form one chunk, which is compared byte by
 byte with the lines of the firsts before it is removed.
 
 Counts are aggregates with map-side combining and hashes are joined back as narrow rows, so
@@ -13,7 +15,7 @@ that a passage shared by a third of all documents is spread over tasks.
 Defined results: a null text counts as empty; empty texts and those without repeated chunks are
 unchanged; a document all of whose lines are repeats becomes empty; rows that repeat one doc_id
 with equal text are one document and lose the same lines; rows with a null doc_id are not
-changed; an empty table gives an empty result; extra columns are ignored.
+changed; ties between equal pairs go to the smallest doc_id, then line; a very long text is split by lines in one task; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,9 +73,20 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     place = F.struct("doc_id", "line")
     often = keep_table(pairs.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                        .where("n > 1").select("hash", "first"), "pairs-repeated")
-    later = pairs.join(often, "hash").where(F.col("first") != place) \
-        .select("doc_id", "line", "single", F.col("first.doc_id").alias("from_doc"), (F.col("line") - F.col("first.line")).alias("shift")) \
-        .distinct()
+    apart = (F.col("first.doc_id") != F.col("doc_id")) | (F.abs(F.col("line") - F.col("first.line")) > F.when(F.col("single"), 0).otherwise(1))
+    later = keep_table(pairs.join(often, "hash").where(apart).select(
+        "doc_id", "line", "single", F.col("first.doc_id").alias("from_doc"), F.col("first.line").alias("from_line")).distinct(), "pairs-later")
+
+    def lines_of(line: str) -> Column:
+        return F.explode(F.when(F.col("single"), F.array(line)).otherwise(F.array(F.col(line), F.col(line) + 1)))
+
+    # Firsts with a line that is a repeat itself are broken; nothing is removed for them.
+    gone = later.select(F.col("doc_id").alias("g_doc"), lines_of("line").alias("g_line")).distinct()
+    firsts = later.select("from_doc", "from_line", "single").distinct().select("*", lines_of("from_line").alias("_line"))
+    broken = firsts.join(gone, (F.col("from_doc") == F.col("g_doc")) & (F.col("_line") == F.col("g_line")), "left_semi") \
+        .select("from_doc", "from_line", "single").distinct()
+    later = later.join(broken, ["from_doc", "from_line", "single"], "left_anti") \
+        .select("doc_id", "line", "single", "from_doc", (F.col("line") - F.col("from_line")).alias("shift"))
     # A chunk's firsts lie next to each other as well, ``shift`` lines before it in ``from_doc``.
     source = ["doc_id", "single", "from_doc", "shift"]
     runs = later.withColumn("run", F.col("line") - F.row_number().over(W.partitionBy(*source).orderBy("line"))) \

@@ -1,22 +1,23 @@
-"""Document fingerprints: a Merkle tree of sections, paragraphs and spans of words.
+"""Document fingerprints: a Merkle tree of paragraphs and sections.
 
-A paragraph is a line. A section is a run of paragraphs that ends at a blank line or at a
-paragraph whose hash ends in three zero bits, so that an insertion moves no later boundary. A
-paragraph's leaves are spans of ``SPAN`` words; the first ``SINGLE`` words of a text are leaves
-of their own, bound to their place, so that short texts have several leaves. Inner nodes hash
-their children; the root also hashes the text itself, so equal roots mean equal texts.
+A paragraph is a line, and its node the hash of its exact bytes. A section is a run of paragraphs that ends at a blank
+line or at a paragraph whose hash ends in three zero bits, so that an insertion moves no later boundary; its
+node is the hash of its paragraphs' nodes, and the root that of the sections' nodes. So equal roots mean equal texts, and two
+trees are compared from the root down, into unequal nodes only. Below a paragraph are the hashes of its spans of ``SPAN`` words; the first
+``SINGLE`` words of a text are spans of their own, bound to their place, so that short texts have several. They say where in
+a paragraph an edit is, and how alike two texts are.
 
-The serialised fingerprint is the root and the leaves, ``root|section|section``; a section is
-``paragraph,paragraph`` and a paragraph its leaves of ``LEAF`` hex digits. Inner nodes follow
-from the leaves, so two fingerprints tell where texts differ without the texts.
+The serialised fingerprint holds all nodes: ``root|section|section``, a section being ``node:paragraph,paragraph`` and a
+paragraph its node (``NODE`` hex digits) and its spans (``LEAF`` each). So two fingerprints tell where texts differ without the texts.
 
 ``neighbour_edits`` pairs each document with the next one in descending doc_id without a global
 sort in one task: quantile bounds deal the ids out to buckets, and the one document that the
 end of a bucket needs from the next bucket is sent along as a guest.
 
-Defined results: a null text counts as empty; the empty text has a root and no leaves; two
-texts without leaves are alike (1.0) if equal, else 0.0; rows that repeat a doc_id follow each
-other in the order of their texts; a null doc_id comes after all others; a table of one row is
+Defined results: a null text counts as empty; the empty text is one empty paragraph and has no spans; two
+texts without spans are alike (1.0) if equal, else 0.0; texts that differ in white space alone are less than 1.0 alike; a very long
+text has as large a tree as it needs, in one task; rows that repeat a doc_id follow each
+other in the order of their texts, equal texts in any order; a null doc_id comes after all others; a table of one row is
 its own next document; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -33,57 +34,86 @@ from pyspark.sql import functions as F
 
 from logscope.llm.common import map_arrow, whole_text
 
-SPAN, SINGLE, LEAF = 6, 8, 6
+SPAN, SINGLE = 6, 8
+NODE, LEAF = 16, 12      # hex digits of a stored node, and of a span
 BUCKETS = 3              # per shuffle partition
 _ROWS = 512              # rows that Python holds as strings at a time
+_PARAGRAPH, _SECTION, _ROOT = b"p", b"s", b"r"       # what a hash is of, so that no node can stand for another kind
+
+
+def _node(kind: bytes, content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16, person=kind).digest()
 
 
 def fingerprint(text: str) -> str:
     """The serialised Merkle tree of a text."""
-    root = hashlib.sha256(text.encode()).hexdigest()[:32]
-    digest, sections, paragraphs, place = xxhash.xxh64_hexdigest, [], [], 0
+    digest, place = xxhash.xxh64_hexdigest, 0
+    sections, nodes, open_nodes, open_texts = [], [], [], []
+
+    def close() -> None:
+        nodes.append(_node(_SECTION, b"".join(open_nodes)))
+        sections.append(f"{nodes[-1].hex()[:NODE]}:{','.join(open_texts)}")
+        open_nodes.clear()
+        open_texts.clear()
+
     for line in text.split("\n"):
-        words = line.split()
-        leaves = []
+        node, words = _node(_PARAGRAPH, line.encode()), line.split()
+        spans = []
         for word in words[:max(0, SINGLE - place)]:
-            leaves.append(digest(f"{place} {word}")[:LEAF])
+            spans.append(digest(f"{place} {word}")[:LEAF])
             place += 1
-        for i in range(len(leaves), len(words), SPAN):
-            leaves.append(digest(" ".join(words[i:i + SPAN]))[:LEAF])
-        if leaves:
-            paragraphs.append("".join(leaves))
-        if paragraphs and (not words or xxhash.xxh64_intdigest(line) & 7 == 0):
-            sections.append(",".join(paragraphs))
-            paragraphs = []
-    if paragraphs:
-        sections.append(",".join(paragraphs))
-    return "|".join([root, *sections])
+        for i in range(len(spans), len(words), SPAN):
+            spans.append(digest(" ".join(words[i:i + SPAN]))[:LEAF])
+        open_nodes.append(node)
+        open_texts.append(node.hex()[:NODE] + "".join(spans))
+        if not words or node[-1] & 7 == 0:
+            close()
+    if open_nodes:
+        close()
+    return "|".join([_node(_ROOT, b"".join(nodes)).hex(), *sections])
+
 
+def tree(printed: str) -> tuple[str, list[tuple[str, list[tuple[str, list[str]]]]]]:
+    """(root, [(section, [(paragraph, [span])])]) of a serialised fingerprint."""
+    root, *sections = printed.split("|")
+    out = []
+    for s in sections:
+        node, _, paragraphs = s.partition(":")
+        out.append((node, [(p[:NODE], [p[i:i + LEAF] for i in range(NODE, len(p), LEAF)]) for p in paragraphs.split(",")]))
+    return root, out
 
-def _leaves(section_or_all: str) -> list[str]:
-    flat = section_or_all.replace("|", "").replace(",", "")
-    return [flat[i:i + LEAF] for i in range(0, len(flat), LEAF)]
+
+def _spans(printed: str) -> list[str]:
+    return [span for _, paragraphs in tree(printed)[1] for _, spans in paragraphs for span in spans]
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of leaves that two fingerprints have in common: 1.0 for equal texts."""
-    if a == b:
+    """Share of spans that two fingerprints have in common: 1.0 for equal texts, and for these alone."""
+    if a.partition("|")[0] == b.partition("|")[0]:
         return 1.0
-    x, y = Counter(_leaves(a.partition("|")[2])), Counter(_leaves(b.partition("|")[2]))
+    x, y = Counter(_spans(a)), Counter(_spans(b))
     total = x.total() + y.total()
-    return 2 * (x & y).total() / total if total else 0.0
+    return min(2 * (x & y).total() / total, total / (total + 1)) if total else 0.0
 
 
 def differing(a: str, b: str) -> list[tuple[int, int, int]]:
-    """(section, paragraph, leaf) of ``a`` whose branches ``b`` lacks; equal roots are not looked into."""
-    if a.partition("|")[0] == b.partition("|")[0]:
+    """(section, paragraph, span) of ``a`` that ``b`` lacks, from the root down; equal nodes are not looked into.
+
+    Span -1 stands for a paragraph whose words ``b`` has, but with other white space between, or in another order.
+    """
+    (root, sections), (other_root, others) = tree(a), tree(b)
+    if root == other_root:
         return []
-    other = b.split("|")[1:]
-    sections, paragraphs = set(other), {p for s in other for p in s.split(",")}
-    leaves = set(_leaves("".join(other)))
-    return [(i, j, k) for i, s in enumerate(a.split("|")[1:]) if s not in sections
-            for j, p in enumerate(s.split(",")) if p not in paragraphs
-            for k, leaf in enumerate(_leaves(p)) if leaf not in leaves]
+    known = {node for node, _ in others}
+    paragraphs = {node for _, ps in others for node, _ in ps}
+    leaves = {span for _, ps in others for _, spans in ps for span in spans}
+    out = []
+    for i, (node, ps) in enumerate(sections):
+        if node not in known:
+            for j, (paragraph, spans) in enumerate(ps):
+                if paragraph not in paragraphs:
+                    out += [(i, j, k) for k, span in enumerate(spans) if span not in leaves] or [(i, j, -1)]
+    return out
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

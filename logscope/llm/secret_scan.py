@@ -7,7 +7,9 @@ blob that has an unseen pair, appends the new pairs, and joins findings back to
 characters, the marked text is split, and spans are running sums of the parts' lengths.
 
 Defined results: a null text counts as empty; empty texts and texts without secrets have no
-spans; rows with equal texts get equal findings; an empty table gives an empty result;
+spans; rows with equal texts get equal findings; rows that repeat a path are versions of it, each with its own blob and findings; of
+spans that begin at one place the rule that is listed first comes first; a very long text is one blob, scanned whole in one task; an empty table gives an
+empty result; extra columns pass through ``redact``, whatever they are called, and are ignored elsewhere;
 positions are code points, end exclusive. The three marker characters are the Unicode
 non-characters U+FDD0 to U+FDD2; where a text holds one itself, it is read as U+FDD3.
 """

@@ -224,6 +224,57 @@ def test_line_dedup_removes_whole_passages(spark):
         assert got[1000 * i + 13].text == "" and got[1000 * i + 13].n_removed == 13
 
 
+def _lines_removed(rows):
+    """{doc_id: lines that go}, by the definition, in one place."""
+    at, where = {}, {}
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        at[d] = lines
+        for i, x in enumerate(lines):
+            if i + 1 < len(lines):
+                where.setdefault((x, lines[i + 1]), []).append((d, i))
+            if x.count(" ") >= line_dedup.LONG_WORDS:
+                where.setdefault((x,), []).append((d, i))
+    later = []
+    for unit, places in where.items():
+        first = min(places)
+        later += [(p, first, len(unit)) for p in places if p[0] != first[0] or abs(p[1] - first[1]) >= len(unit)]
+    lost = {(d, i + k) for (d, i), _, n in later for k in range(n)}
+    out = {d: set() for d in at}
+    for (d, i), (e, j), n in later:
+        if not any((e, j + k) in lost for k in range(n)):
+            out[d] |= {i + k for k in range(n)}
+    return out
+
+
+def test_line_dedup_against_its_definition(spark):
+    rng = random.Random(6)
+    rows = [(1, "P\nQ\nx"), (2, "P\nQ\nR"), (3, "Q\nR\nz"), (4, "\n".join("a" * 5)), (5, "b\nb\nb")]
+    rows += [(10 + i, "\n".join(rng.choice("cdefghij") for _ in range(rng.randrange(1, 9)))) for i in range(120)]
+    long = " ".join(f"w{i}" for i in range(60))
+    rows += [(200, f"k\n{long}\nl"), (201, f"m\n{long}\nn"), (202, f"k\n{long}"), (203, long)]
+    rows += [(r.doc_id + 1000, r.text) for r in documents(spark, SF_SMALL).collect()]
+    want = _lines_removed(rows)
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    for d, t in rows:
+        assert got[d].text == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[d]), d
+    assert got[2].text == "R" and got[3].text == "Q\nR\nz" and got[4].text == "a\na" and got[5].text == "b\nb\nb"
+
+
+def test_what_line_dedup_removes_is_still_there(spark):
+    """Every chunk that goes is, in one piece, in what is left of the document that it repeats."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(rng.choice("stuvwxyz") for _ in range(rng.randrange(2, 12)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = {d: t.split("\n") for d, t in rows}
+    left = {r.doc_id: f"\n{r.text}\n" for r in line_dedup.dedup_lines(docs).collect()}
+    chunks = line_dedup.repeated_chunks(docs).collect()
+    assert len(chunks) > 50
+    for c in chunks:
+        text = "\n" + "\n".join(lines[c.doc_id][c.start:c.last + 1]) + "\n"
+        assert any(text in t for d, t in left.items() if d <= c.doc_id)
+
+
 def test_line_dedup_odd_rows(spark):
     got = line_dedup.dedup_lines(odd_documents(spark)).collect()
     assert len(got) == len(odd_rows())

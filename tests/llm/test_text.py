@@ -200,10 +200,39 @@ def test_tree_locates_edits():
     b = merkle.fingerprint("\n".join(lines))
     where = merkle.differing(b, a)
     assert len(where) == 1 and merkle.differing(a, a) == [] and 0.98 < merkle.likeness(a, b) < 1
+    # The section and paragraph that are named are those of the edited line.
+    paragraphs = [(i, j) for i, (_, ps) in enumerate(merkle.tree(b)[1]) for j in range(len(ps))]
+    assert paragraphs.index(where[0][:2]) == 17
     assert merkle.likeness(a, merkle.fingerprint("\n".join(["quite new", *lines]))) > 0.85
     assert merkle.fingerprint("a  b") != merkle.fingerprint("a b") and merkle.likeness(merkle.fingerprint(""), a) == 0
 
 
+def test_tree_locates_white_space():
+    text = "one two three\nfour five six\n\nseven eight nine ten"
+    a = merkle.fingerprint(text)
+    for edited, place in ((text.replace("two three", "two  three"), 0), (text.replace("six\n\n", "six\n \n"), 2), (text + " ", 3),
+                          (text.replace("four", "\tfour"), 1)):
+        b = merkle.fingerprint(edited)
+        paragraphs = [(i, j) for i, (_, ps) in enumerate(merkle.tree(b)[1]) for j in range(len(ps))]
+        assert [paragraphs.index(w[:2]) for w in merkle.differing(b, a)] == [place] and 0 < merkle.likeness(a, b) < 1
+        assert [w[2] for w in merkle.differing(b, a)] == [-1]
+    assert merkle.fingerprint(text + "\n").partition("|")[0] != a.partition("|")[0]
+    assert merkle.likeness(merkle.fingerprint(""), merkle.fingerprint("\n")) == 0 and merkle.likeness(a, a) == 1.0
+
+
+def test_nodes_are_hashes_of_their_children():
+    text = "\n".join(f"paragraph {i} " + "word " * (i % 9) for i in range(60)) + "\n\nlast"
+    root, sections = merkle.tree(merkle.fingerprint(text))
+    lines, at, nodes = text.split("\n"), 0, []
+    for node, paragraphs in sections:
+        below = [merkle._node(b"p", line.encode()) for line in lines[at:at + len(paragraphs)]]
+        assert [p for p, _ in paragraphs] == [b.hex()[:merkle.NODE] for b in below]
+        nodes.append(merkle._node(b"s", b"".join(below)))
+        assert node == nodes[-1].hex()[:merkle.NODE]
+        at += len(paragraphs)
+    assert at == len(lines) and root == merkle._node(b"r", b"".join(nodes)).hex() and len(sections) > 3
+
+
 def test_secrets_against_brute_force(spark):
     got = {r.doc_id: r for r in queries.op9_secret_scan(spark, SF_ORACLE).collect()}
     rows = documents(spark, SF_ORACLE).collect()
