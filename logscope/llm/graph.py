@@ -27,8 +27,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: each larger partner of u points at the least one.
-        large = _star(both, "large").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = keep_table(large, "large-star")
+        # Edges that repeat are at most twice as many as before, and go with the small star's.
+        large = keep_table(_star(both, "large").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
         # Small star: u and its smaller partners (all are: v < u) point at the least one.
         small = _star(large, "small")
         edges = keep_table(small.select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -310,8 +310,8 @@ def _numbered(classes: DataFrame) -> tuple[DataFrame, bool]:
 
 def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") \
         -> tuple[DataFrame, DataFrame, bool]:
-    """(members, links, made up): members (doc_id, n_shingles, class_id, text_digest) of every document, confirmed
-    links (a, b) between class representatives, and whether some representatives are no doc_id."""
+    """(members, links, made up): members (doc_id, n_shingles, class_id, text_digest) of every document, links (a, b) between
+    class representatives that join what confirmed links join, and whether some representatives are no doc_id."""
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("body"), text_digest(text).alias("text_digest"))
     rows = keep_table(map_arrow(body, _signatures(k), "doc_id long, n_shingles long, digest binary, sig binary, text_digest long"),
                       "signatures")
@@ -344,16 +344,16 @@ def links(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id"
         return keep_table(map_arrow(both, _confirm(percent), "a long, b long"), label)
 
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a"))
-    first = confirmed(best, "links-best")
-    known = components(first).select(F.col("node").alias("n"), F.col("component").alias("c"))
+    # A component so far is known by its stars: the next contraction starts from them instead of from all links.
+    stars = components(confirmed(best, "links-best")).select(F.col("node").alias("a"), F.col("component").alias("b"))
+    known = stars.toDF("n", "c")
     rest = pairs.select("a", "b").join(known.select(F.col("n").alias("a"), F.col("c").alias("ca")), "a", "left") \
                 .join(known.select(F.col("n").alias("b"), F.col("c").alias("cb")), "b", "left") \
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")) \
                 .join(best, ["a", "b"], "left_anti")
-    found = first.unionByName(confirmed(rest, "links-rest"))
-    known = components(found).select(F.col("node").alias("n"), F.col("component").alias("c"))
-    more = _exact(sets, dense, known, percent, confirmed)
-    return members, found if more is None else found.unionByName(more), made_up
+    stars = components(stars.unionByName(confirmed(rest, "links-rest"))).select(F.col("node").alias("a"), F.col("component").alias("b"))
+    more = _exact(sets, dense, stars.toDF("n", "c"), percent, confirmed)
+    return members, stars if more is None else stars.unionByName(more), made_up
 
 
 def _decided(docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
