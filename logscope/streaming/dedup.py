@@ -5,6 +5,9 @@
   every record arrives now, none is ever late, however old its own time is.
 * *Older* redelivery passes the state and is dropped by an anti-join with the stored keys. Only the log dates that the
   micro-batch has are read: the table is partitioned by date and a redelivered record has its date again.
+* A record that was written less than ``near / 2`` ago by its own clock cannot be an older redelivery: it would have to have arrived
+  before it was written, or the clocks to be ``near / 2`` apart. It is not looked for, so that a live stream reads stored keys for its few
+  late records only, not the keys of the whole day for every micro-batch.
 
 So the sink holds distinct records only, and reading it needs no deduplication.
 """
@@ -24,7 +27,7 @@ DAYS = 366          # so many dates of a batch are named one by one; beyond that
 
 def _keyed(rows: DataFrame, line: str) -> DataFrame:
     key = P.row_key("remote_addr", "time_local", line, "source", "offset")
-    return rows.select(key.alias("row_key"), "source", "offset", P.log_date().alias("log_date"))
+    return rows.select(key.alias("row_key"), "source", "offset", P.log_date().alias("log_date"), "epoch_ms")
 
 
 def _dates(batch: DataFrame) -> Column | None:
@@ -48,7 +51,7 @@ def unseen(batch: DataFrame, sink_root: str) -> DataFrame:
     return batch.join(held, F.col("log_date").eqNullSafe(F.col("_date")) & (F.col("row_key") == F.col("_key")), "left_anti")
 
 
-def distinct_records(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None, near: str = "1 hour",
+def distinct_records(records: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None, near_ms: int = 3_600_000,
                      numbered: bool = True, state_partitions: int | None = None) -> jobs.StreamRun:
     """Append every record once to a table (row_key, source, offset), partitioned by ``log_date``.
 
@@ -58,16 +61,20 @@ def distinct_records(records: DataFrame, sink_root: str, checkpoint: str, trigge
     rows = jobs.parsed(records.withColumn("line", F.col("value")), "remote_addr", "time_local", "epoch_ms",
                        keep=("source", "offset", "line"))
     if numbered:
-        rows = _keyed(rows, "line").withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", near) \
+        rows = _keyed(rows, "line").withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", f"{near_ms} milliseconds") \
             .dropDuplicatesWithinWatermark(["row_key"])
+        rows = rows.withColumn("_recent", F.col("epoch_ms") > F.unix_millis("_arrived") - near_ms // 2)
 
     def per_batch(batch: DataFrame, bid: int) -> None:
         if not numbered:
-            batch = _keyed(with_positions(batch.withColumnRenamed("line", "value")), "value").dropDuplicates(["row_key"])
-        # Read twice (its dates, its rows); without this its state would be computed twice.
-        batch = batch.select("row_key", "source", "offset", "log_date").persist()
+            batch = _keyed(with_positions(batch.withColumnRenamed("line", "value")), "value").dropDuplicates(["row_key"]) \
+                .withColumn("_recent", F.lit(False))
+        columns = ["row_key", "source", "offset", "log_date"]
+        # Read more than once (its dates, its rows); without this its state would be computed as often.
+        batch = batch.select(*columns, "_recent").persist()
         try:
-            fresh = unseen(batch, sink_root).hint("rebalance", "log_date")
+            old = unseen(batch.where("NOT _recent").select(*columns), sink_root)
+            fresh = batch.where("_recent").select(*columns).unionByName(old).hint("rebalance", "log_date")
             sinks.append_batch(fresh, sink_root, bid, **sinks.LOG_LAYOUT)
         finally:
             batch.unpersist()

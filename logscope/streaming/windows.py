@@ -7,7 +7,8 @@ micro-batch's own records on, and those behind the watermark are counted into a
 
     closed + late + open = all records
 
-holds at every finished batch: ``closed`` and ``late`` come from the sink, ``open`` from the state.
+holds at every finished batch: ``closed`` and ``late`` come from the sink, ``open`` from the state. The price is that a
+micro-batch's records are read twice, for their keys and times alone; only counts are shuffled.
 """
 
 from __future__ import annotations

@@ -99,7 +99,7 @@ def test_redelivery_after_the_state_is_gone_stays_out(spark):
     parts = [_records(spark).where(f"offset >= {200 * i} AND offset < {200 * (i + 1)}") for i in range(5)]
     # The first two parts come again long after; the third at once.
     stream = _files(spark, path, [*parts[:3], parts[2], parts[3], parts[0], parts[4], parts[1].unionByName(parts[0])])
-    run = dedup.distinct_records(stream, sink, ckpt, near="0 seconds")
+    run = dedup.distinct_records(stream, sink, ckpt, near_ms=0)
     want = parsing.report_rows(lines(spark, SF_SMALL), "remote_addr", "time_local", "epoch_ms").count()
     table = sinks.read_appended(spark, sink)
     assert table.count() == want == table.select("row_key").distinct().count()
@@ -107,6 +107,20 @@ def test_redelivery_after_the_state_is_gone_stays_out(spark):
     assert checkpoint.state(spark, ckpt).count() < want / 2
 
 
+def test_recent_records_are_not_looked_for(spark, monkeypatch):
+    """Records of the last half hour go by the state alone; older ones are looked for by date."""
+    path, sink, ckpt = _dirs(spark, "now", "now-sink", "now-ckpt")
+    clock = spark.sql("SELECT date_format(current_timestamp(), 'dd/MMM/yyyy:HH:mm:ss')").first()[0]
+    now = [(i, f'1.2.3.{i} - - [{clock} +0000] "GET / HTTP/1.1" 200 1 "-" "x"') for i in range(20)]
+    old = [(100 + i, _line(f"9.9.9.{i}", 3, "10:00:00")) for i in range(5)]
+    looked = []
+    real = dedup.unseen
+    monkeypatch.setattr(dedup, "unseen", lambda batch, root: looked.append(batch.count()) or real(batch, root))
+    stream = _files(spark, path, [_of(spark, now[:10] + old), _of(spark, now), _of(spark, old + now[5:])])
+    dedup.distinct_records(stream, sink, ckpt)
+    assert sinks.read_appended(spark, sink).count() == 25 and looked[:3] == [5, 0, 0]
+
+
 def test_dedup_reads_the_dates_of_the_batch_only(spark):
     sink = scratch_dir(spark, "d-dates")
     rows = spark.createDataFrame([(f"k{d}-{i}", "t", i, f"2024-01-{d:02d}") for d in range(1, 11) for i in range(20)],
