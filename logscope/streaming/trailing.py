@@ -8,6 +8,9 @@ window and not at all if it is not. That is what the batch report says of the sa
 A client that sends nothing for ``idle`` of arrival time loses its state by a timer; its last result stays in the
 sink. Equal (client, time) pairs are counted per task before the shuffle, so a client with a third of all rows sends
 one row per second and task to its state.
+
+A processor with several states needs column families, which of Spark's stores only RocksDB has; the query asks for it,
+whatever the session's store is.
 """
 
 from __future__ import annotations
@@ -121,4 +124,4 @@ def trailing_activity(records: DataFrame, sink_root: str, checkpoint: str, trigg
     out = arrived.groupBy("remote_addr").transformWithStateInPandas(
         TrailingProcessor(spans, idle_ms), f"remote_addr string, last_seen_ms long, {columns}", "Update", "EventTime")
     return jobs._run(out, sink_root, checkpoint, lambda b, bid: sinks.upsert_latest(b, sink_root, ["remote_addr"], bid),
-                     trigger=trigger, state_partitions=state_partitions)
+                     trigger=trigger, state_partitions=state_partitions, state_store=jobs.ROCKSDB)

@@ -163,6 +163,21 @@ def test_trailing_activity_equals_the_batch_operator_after_every_batch(spark):
         assert got == {ip: want[ip] for ip in touched}
 
 
+def test_trailing_activity_runs_whatever_state_store_the_session_has(spark):
+    src, sink, ckpt = _dirs(spark, "c", "c-sink", "c-ckpt")
+    _files(spark, f"{src}/x", [_of(spark, [(d, _line("5.5.5.5", d, "01:00:00"))]) for d in (1, 2)])
+    old = spark.conf.get(jobs.STATE_STORE_CONF)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(jobs.STATE_STORE_CONF, plain)
+    try:
+        trailing.trailing_activity(fixture.replay_records(spark, src), sink, ckpt, state_partitions=1)
+        assert spark.conf.get(jobs.STATE_STORE_CONF) == plain
+    finally:
+        spark.conf.set(jobs.STATE_STORE_CONF, old)
+    got = [tuple(r) for r in jobs.read_latest(spark, sink, ["remote_addr"]).select("remote_addr", "hits_1d", "hits_3d").collect()]
+    assert got == [("5.5.5.5", 2, 2)]
+
+
 def test_trailing_state_is_bounded_by_the_span_and_idle_clients_leave_it(spark):
     src, sink, ckpt = _dirs(spark, "b", "b-sink", "b-ckpt")
     days = [[(100 * d + i, _line("5.5.5.5", d, f"{i:02d}:00:00")) for i in range(24)] + [(100 * d + 50, _line("gone", d, "01:00:00"))] * (d == 1)
