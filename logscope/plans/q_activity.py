@@ -192,10 +192,10 @@ def cluster_sizes(spark, sf):
     return out.groupBy("prediction").agg(F.count(F.lit(1)).alias("requests"))
 
 
-@register("ip_clusters", _IP_FEATURES_SQL)
+@register("ip_clusters", _IP_FEATURES_SQL.replace("count(DISTINCT url)", "true AS is_nearest, count(DISTINCT url)"))
 def ip_clusters(spark, sf):
-    """IP clustering over per-IP behaviour counts: the labelled IPs with the counts that the model saw."""
-    return cluster.ip_clusters(strict(spark, sf)).where("prediction BETWEEN 0 AND 4").select("ip", *cluster.IP_FEATURES)
+    """IP clustering over per-IP behaviour counts: the labelled IPs, each with its nearest centre's label, and the counts that the model saw."""
+    return cluster.ip_clusters(strict(spark, sf)).where("prediction BETWEEN 0 AND 4").select("ip", *cluster.IP_FEATURES, "is_nearest")
 
 
 @register("cluster_projection", _pca_sql(_INDEXED_SQL, 5, "event_id"))

@@ -112,6 +112,12 @@ def test_cluster_profiles_against_duckdb(spark):
     assert {r.prediction for r in cluster.profile(table).collect()} == set(modes)
 
 
+def test_ip_clusters_says_of_every_ip_whether_its_label_is_that_of_the_nearest_centre(spark):
+    rows = all_queries()["ip_clusters"].build(spark, SF_SMALL).select("ip", "is_nearest").collect()
+    assert {r["ip"] for r in rows} == {r["ip"] for r in strict(spark, SF_SMALL).select("ip").distinct().collect()}
+    assert all(r["is_nearest"] for r in rows)
+
+
 def test_top_k_is_take_ordered(spark):
     plan = _plan(reports.top_n(fields(spark, SF_SMALL, "remote_addr"), 10, "remote_addr"))
     assert "TakeOrderedAndProject" in plan
