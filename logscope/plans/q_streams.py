@@ -14,14 +14,17 @@ from logscope.plans.oracle_sql import having, hourly
 from logscope.plans.registry import register
 from logscope.session import scratch_dir
 from logscope.sources import fixture
+from logscope.sources.tables import read_table
 from logscope.streaming import checkpoint, dedup, jobs, trailing, windows
 
 
 def _records(spark, sf, redeliver: bool = False, disorder: bool = True):
     path = f"{scratch_dir(spark, 'replay')}/files"
     recs = lines(spark, sf).select(F.lit("events").alias("source"), F.col("event_id").alias("offset"), F.col("line").alias("value"))
-    fixture.write_replay(recs, path, redeliver=redeliver, disorder=disorder)
-    return fixture.replay_records(spark, path)
+    # From the table itself: of the log, the lines would be built for it.
+    span = fixture.replay_span(read_table(spark, sf, "events", F.col("event_id").alias("offset")))
+    fixture.write_replay(recs, path, redeliver=redeliver, disorder=disorder, span=span)
+    return fixture.replay_records(spark, path, fixture.replay_slices(span))
 
 
 def _dirs(spark, name):
@@ -65,7 +68,7 @@ def stream_unique_ips_by_hour(spark, sf):
     return jobs.read_latest(spark, sink, ["hour"]).select("hour", "unique_ips")
 
 
-# The replay's files are equal ranges of event_id; each is one micro-batch.
+# The replay has equal ranges of event_id; the files of each are one micro-batch.
 _BATCHED = f"""
 span AS (SELECT min(event_id) AS lo, greatest(1, -((-(max(event_id) - min(event_id) + 1)) // {fixture.REPLAY_FILES})) AS width
          FROM events),

@@ -131,16 +131,29 @@ def read_geo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REPLAY_FILES = 5
 LATE_EVERY, LATE_REST = 50, 7        # one record in so many comes with the last file only
+SLICE_RECORDS = 50_000               # about so many records lie in one file; larger tables have several for each range
 
 
-def write_replay(records: DataFrame, path: str, redeliver: bool = False, disorder: bool = False) -> int:
-    """Write (source, offset, value) as ``REPLAY_FILES`` files of equal offset ranges; returns their number.
+def replay_span(offsets: DataFrame) -> tuple[int, int, int]:
+    """The least and the greatest offset, and how many rows there are."""
+    return tuple(offsets.agg(F.min("offset"), F.max("offset"), F.count(F.lit(1))).first())
 
-    The file source takes files by modification time, which is set in the files' order, so file
-    i is micro-batch i. ``redeliver`` delivers every record again with the next file (at least
-    once); ``disorder`` delivers some records of all ranges with the last file, far too late.
+
+def replay_slices(span: tuple[int, int, int]) -> int:
+    """How many files each range of a replay is dealt over."""
+    return max(1, -(-span[2] // (REPLAY_FILES * SLICE_RECORDS)))
+
+
+def write_replay(records: DataFrame, path: str, redeliver: bool = False, disorder: bool = False,
+                 span: tuple[int, int, int] | None = None) -> int:
+    """Write (source, offset, value) as ``REPLAY_FILES`` equal offset ranges, each in ``replay_slices`` files; returns the number of files.
+
+    The file source takes files by modification time, which is set in the ranges' order, so with so many files per
+    trigger range i is micro-batch i. ``span`` is that of the records, if it is known already. ``redeliver`` delivers every record again with the next range (at least
+    once); ``disorder`` delivers some records of all ranges with the last range, far too late.
     """
-    lo, hi = records.agg(F.min("offset"), F.max("offset")).first()
+    span = span or replay_span(records)
+    (lo, hi, _), slices = span, replay_slices(span)
     width = max(1, -(-(hi - lo + 1) // REPLAY_FILES))
     file = F.floor((F.col("offset") - lo) / width).cast("int")
     if disorder:
@@ -148,19 +161,34 @@ def write_replay(records: DataFrame, path: str, redeliver: bool = False, disorde
     rows = records.select("source", "offset", "value", file.alias("file"))
     if redeliver:
         rows = rows.unionByName(rows.withColumn("file", F.least(F.col("file") + 1, F.lit(REPLAY_FILES - 1))))
-    rows.repartition(REPLAY_FILES, "file").write.partitionBy("file").parquet(path)
-    return _stamp_in_order(records.sparkSession, path)
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("offset", "value"), F.lit(slices)))
+    rows.repartition(REPLAY_FILES * slices, "file", "slice").write.partitionBy("file", "slice").parquet(path)
+    return _stamp_in_order(records.sparkSession, path, slices)
 
 
-def _stamp_in_order(spark: SparkSession, path: str) -> int:
+def _stamp_in_order(spark: SparkSession, path: str, slices: int = 1) -> int:
+    """Sets the files' times in the ranges' order; a range with fewer than ``slices`` files gets empty ones."""
     jvm = spark.sparkContext._jvm
-    files = jvm.org.apache.hadoop.fs.Path(f"{path}/file=*/part-*")
-    fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = sorted(st.getPath().toString() for st in fs.globStatus(files))
+    files = jvm.org.apache.hadoop.fs.Path(f"{path}/file=*/{{part-*,slice=*/part-*}}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = files.getFileSystem(conf)
+    ranges: dict[str, list] = {}
+    for st in fs.globStatus(files):
+        name = st.getPath().toString()
+        ranges.setdefault(name[:name.index("/", name.rindex("/file=") + 1)], []).append(st.getPath())
+    if any(len(found) < slices for found in ranges.values()):
+        blank = f"{path}-blank"
+        spark.createDataFrame([], "source STRING, offset BIGINT, value STRING").write.mode("overwrite").parquet(blank)
+        one = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{blank}/part-*"))[0].getPath()
+        for name, found in ranges.items():
+            for i in range(len(found), slices):
+                found.append(jvm.org.apache.hadoop.fs.Path(f"{name}/slice=blank/part-{i}.parquet"))
+                jvm.org.apache.hadoop.fs.FileUtil.copy(fs, one, fs, found[-1], False, conf)
     now = int(time.time() * 1000)
-    for i, name in enumerate(found):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), now + i * 1000, -1)
-    return len(found)
+    for i, name in enumerate(sorted(ranges)):
+        for found in ranges[name]:
+            fs.setTimes(found, now + i * 1000, -1)
+    return sum(len(found) for found in ranges.values())
 
 
 def replay_records(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

@@ -9,6 +9,8 @@
   before it was written, or the clocks to be ``near / 2`` apart. It is not looked for, so that a live stream reads stored keys for its few
   late records only, not the keys of the whole day for every micro-batch.
 
+The state has a key for every record of the last ``near``: it is kept in RocksDB, off the heap, whatever the session's store is.
+
 So the sink holds distinct records only, and reading it needs no deduplication.
 """
 
@@ -78,4 +80,5 @@ def distinct_records(records: DataFrame, sink_root: str, checkpoint: str, trigge
             sinks.append_batch(fresh, sink_root, bid, **sinks.LOG_LAYOUT)
         finally:
             batch.unpersist()
-    return jobs._run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger, state_partitions=state_partitions)
+    return jobs._run(rows, sink_root, checkpoint, per_batch, mode="append", trigger=trigger, state_partitions=state_partitions,
+                     state_store=jobs.ROCKSDB)

@@ -242,3 +242,16 @@ def test_kafka_options():
     assert o["subscribe"] == "test"
     assert o["startingOffsets"] == "earliest"        # trailing space trimmed
     assert o["kafka.bootstrap.servers"] == "h1:9092,h2:9092"
+
+
+def test_a_larger_replay_deals_each_range_over_several_files_that_are_one_micro_batch(spark, tmp_path, monkeypatch):
+    """Ranges of uneven size, empty ones among them: none shares a micro-batch with the next, and no record is lost or doubled."""
+    monkeypatch.setattr(fixture, "SLICE_RECORDS", 20)
+    recs = spark.range(403).selectExpr("'events' AS source", "if(id < 400, id, id + 1597) AS offset", "concat('line ', id) AS value")
+    path, seen = str(tmp_path / "replay"), []
+    span = fixture.replay_span(recs)
+    assert fixture.replay_slices(span) == 5
+    assert fixture.write_replay(recs, path) == 2 * 5
+    jobs._run(fixture.replay_records(spark, path, 5), str(tmp_path / "sink"), str(tmp_path / "ckpt"),
+              lambda batch, bid: seen.append(sorted(r["offset"] for r in batch.collect())), mode="append")
+    assert seen == [list(range(400)), [1997, 1998, 1999]]
