@@ -2,8 +2,8 @@
 
 Words are hashed to a fixed number of terms (``CELLS``). One pass counts each term's document
 frequency over all documents; that table has a fixed size and is broadcast. A second pass
-tokenises every whole text once and gives each document its ``TERMS`` heaviest BM25 terms that
-other documents have too. Documents are dealt out by their heaviest shared term, a frequent
+tokenises every whole text once and gives each document the BM25 weights of all its terms that
+other documents have too, in whole numbers, so that sums are exact. Documents are dealt out by their heaviest shared term, a frequent
 term over as many groups as its frequency asks for, so that no group grows with the data. Each
 task builds an inverted index of a shard of at most ``SHARD_DOCS`` documents at a time: a seed
 fills its window first, then its unused neighbours by BM25 score, then the next unused
@@ -37,9 +37,11 @@ from logscope.llm.common import map_arrow, whole_text
 
 TOKENIZER = "byte_bpe_50k.json"
 WINDOW, CLOSE = 1024, 0              # ids in a sequence, the id that ends a document
-CELLS, TERMS = 1 << 20, 16           # hashed terms in all, index terms of a document
+CELLS, UNIT = 1 << 20, 1 << 12       # hashed terms in all, a weight of one
 SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 22     # documents and ids of an index shard at most
 GROUP_DOCS = 512                     # documents that are dealt out together because of one term, about
+COMMON, FIRST = 32, 16               # terms of more than 1 / COMMON of a shard are multiplied as matrices; neighbours sorted first
+WIDE, PAIRS = 1024, 1 << 21          # rows of such a matrix, pairs of documents that are counted at a time
 K1, B = 1.2, 0.75
 _DOCS, _WORDS = -1, -2               # rows of the statistics that are not terms
 
@@ -116,7 +118,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, raw, offs in wordhash.text_runs(batch.column(0)):
             _, term, _, lengths = _term_counts(raw, offs)
-            seen += np.bincount(term, minlength=CELLS)
+            np.add.at(seen, term, 1)
             docs, words = docs + len(lengths), words + int(lengths.sum())
     term = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [_DOCS, _WORDS])), pa.array(np.append(seen[term], [docs, words]))],
@@ -146,22 +148,20 @@ def _indexed(stats, tokenizer: str):
                 shared = df[term] > 1
                 row, term, count = row[shared], term[shared], count[shared]
                 weight = idf[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[row] / average))
-                # By row, then the heaviest first, then the term: rows come sorted by row and term.
-                order = np.argsort((row << 32) - (weight * 65536).astype(np.int64), kind="stable")
-                row, term, weight = row[order], term[order], weight[order].astype(np.float32)
+                weight = np.maximum(weight * UNIT, 1).astype(np.int32)
                 begin = np.searchsorted(row, np.arange(n + 1))
-                top = np.arange(len(row)) - begin[row] < TERMS
-                row, term, weight = row[top], term[top].astype(np.int32), weight[top]
-                begin = np.searchsorted(row, np.arange(n + 1))
-                has = np.diff(begin) > 0
+                size = np.diff(begin)
+                has = size > 0
                 group = np.full(n, -1, np.int64)
-                group[has] = term[begin[:-1][has]]
+                if len(row):             # the heaviest term, of equal ones the least: rows come sorted by row and term
+                    most = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, begin[:-1][has]), size[has]))
+                    group[has] = term[most[np.unique(row[most], return_index=True)[1]]]
                 groups = np.where(has, df[group] // GROUP_DOCS + 1, docs // GROUP_DOCS + 1)
                 ids = tokens.encode(batch.column(1).slice(first, n).to_pylist())
                 mixed = wordhash.mix(batch.column(0).slice(first, n).fill_null(0).to_numpy().astype(np.uint64))
                 salt = (mixed % groups.astype(np.uint64)).astype(np.int64)
                 cuts = [(4 * a, 4 * b) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
-                terms, weights = term.tobytes(), weight.tobytes()
+                terms, weights = term.astype(np.int32).tobytes(), weight.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, n), pa.array(group), pa.array(salt),
                     pa.array(ids, pa.binary()),
@@ -172,18 +172,45 @@ def _indexed(stats, tokenizer: str):
 
 
 class _Shard:
-    """The inverted index of a bounded number of documents."""
+    """The BM25 scores of a bounded number of documents for each other, over all their terms."""
 
     def __init__(self, docs: list[tuple]):
-        self.docs, self.unused, self.next = docs, np.ones(len(docs), bool), 0
-        self.terms = [np.frombuffer(d[2], np.int32) for d in docs]
-        term = np.concatenate(self.terms) if docs else np.empty(0, np.int32)
-        doc = np.repeat(np.arange(len(docs)), [len(t) for t in self.terms])
-        weight = np.frombuffer(b"".join(d[3] for d in docs), np.float32)
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
-        self.known, begin = np.unique(term[order], return_index=True)
-        self.begin = np.append(begin, len(term))
+        n = len(docs)
+        self.docs, self.unused, self.next = docs, np.ones(n, bool), 0
+        doc = np.repeat(np.arange(n), [len(d[2]) // 4 for d in docs])
+        term = np.frombuffer(b"".join(d[2] for d in docs), np.int32)
+        weight = np.frombuffer(b"".join(d[3] for d in docs), np.int32)
+        known, at, times = np.unique(term, return_inverse=True, return_counts=True)
+        # Whole numbers: sums are exact in whatever order.
+        kind = np.float32 if np.bincount(doc, weight, n).max(initial=0) < 1 << 24 else np.float64
+        self.score = np.zeros((n, n), kind)
+        common = times * COMMON > n
+        place = np.cumsum(common) - 1
+        here = np.flatnonzero(common[at])
+        for first in range(0, int(common.sum()), WIDE):
+            row = place[at[here]] - first
+            some = (row >= 0) & (row < WIDE)
+            table = np.zeros((min(WIDE, int(common.sum()) - first), n), kind)
+            table[row[some], doc[here[some]]] = weight[here[some]]
+            self.score += (table > 0).T.astype(kind) @ table
+        # All others by pairs of documents that have them, some documents at a time.
+        rare = np.flatnonzero(~common[at] & (times[at] > 1))
+        order = rare[np.argsort(at[rare], kind="stable")]
+        holder, value = doc[order], weight[order].astype(np.float64)
+        held = np.bincount(at[rare], minlength=len(known))
+        begin = np.cumsum(held) - held
+        length = held[at[rare]]
+        done = np.cumsum(np.bincount(doc[rare], length, n)).astype(np.int64)
+        cut = np.append(np.searchsorted(doc[rare], np.arange(n)), len(rare))
+        low = 0
+        while low < n:
+            high = max(low + 1, int(np.searchsorted(done, (done[low - 1] if low else 0) + PAIRS, "right")))
+            mine = slice(cut[low], cut[high])
+            size = length[mine]
+            to = np.arange(int(size.sum())) + np.repeat(begin[at[rare[mine]]] - (np.cumsum(size) - size), size)
+            both = np.repeat((doc[rare[mine]] - low) * n, size) + holder[to]
+            self.score[low:high] += np.bincount(both, value[to], (high - low) * n).reshape(high - low, n).astype(kind)
+            low = high
 
     def first_unused(self) -> int | None:
         while self.next < len(self.docs) and not self.unused[self.next]:
@@ -192,17 +219,18 @@ class _Shard:
 
     def neighbours(self, seed: int) -> Iterator[int]:
         """Unused documents that share a term with the seed, best BM25 score first; ties by place."""
-        at = np.searchsorted(self.known, self.terms[seed])
-        parts = [slice(self.begin[i], self.begin[i + 1]) for i in at.tolist()]
-        if not parts:
-            return
-        doc = np.concatenate([self.doc[p] for p in parts])
-        score = np.bincount(doc, np.concatenate([self.weight[p] for p in parts]), len(self.docs))
-        score[~self.unused] = 0
-        found = np.flatnonzero(score)
-        for i in found[np.argsort(-score[found], kind="stable")].tolist():
-            if self.unused[i]:
-                yield i
+        n, score = len(self.docs), self.score[seed]
+        found = np.flatnonzero(self.unused & (score > 0))
+        best = score[found].astype(np.int64) * n + (n - 1 - found)          # all different
+        if len(found) > FIRST:                             # seldom are more asked for
+            split = np.argpartition(-best, FIRST)
+            sides = [split[:FIRST], split[FIRST:]]
+        else:
+            sides = [np.arange(len(found))]
+        for side in sides:
+            for i in found[side[np.argsort(-best[side])]].tolist():
+                if self.unused[i]:
+                    yield i
 
 
 class _Packer:

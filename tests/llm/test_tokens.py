@@ -6,9 +6,11 @@ import hashlib
 import math
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -121,6 +123,32 @@ def test_ranks_class_characters_like_the_tokenizer():
     assert all(np.frombuffer(got, "<u2").tolist() == e.ids + [0] for got, e in zip(packing.load().encode(texts), want))
 
 
+def test_index_holds_every_shared_term_and_ranks_by_all_of_them():
+    """Against brute force over all terms of all documents, most of which have more than a few dozen."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, int(rng.integers(1, 120))) % 400) for _ in range(150)] + ["w1 " * 5, "alone", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "body"])
+    stats = {r["term"]: r["n"] for b in packing._frequencies(iter([pa.RecordBatch.from_arrays([batch.column(1)], ["body"])])) for r in b.to_pylist()}
+    df = np.zeros(packing.CELLS, np.int64)
+    for term, n in stats.items():
+        if term >= 0:
+            df[term] = n
+    value = (df, stats[packing._DOCS], stats[packing._WORDS])
+    got = [r for b in packing._indexed(SimpleNamespace(value=value), packing.TOKENIZER)(iter([batch])) for r in b.to_pylist()]
+    sets = [set(t.split()) for t in texts]
+    shared = [sum(any(w in o for j, o in enumerate(sets) if j != i) for w in s) for i, s in enumerate(sets)]
+    assert [len(r["terms"]) // 4 for r in got] == shared and max(shared) > 40
+    held = [dict(zip(np.frombuffer(r["terms"], np.int32).tolist(), np.frombuffer(r["weights"], np.int32).tolist())) for r in got]
+    assert all(r["term_group"] == (min(h, key=lambda t: (-h[t], t)) if h else -1) for r, h in zip(got, held))
+    docs = [(r["doc_id"], np.frombuffer(r["ids"], "<u2"), r["terms"], r["weights"]) for r in got]
+    for some in (range(len(docs)), range(0, len(docs), 2), [0], []):
+        shard = packing._Shard([docs[i] for i in some])
+        shard.unused[1::7] = False
+        for a, i in enumerate(some):
+            score = {b: sum(w for t, w in held[j].items() if t in held[i]) for b, j in enumerate(some) if b % 7 != 1}
+            assert list(shard.neighbours(a)) == sorted((b for b, x in score.items() if x), key=lambda b: (-score[b], b))
+
+
 def test_neighbours_are_the_best_by_bm25(spark):
     """Texts about one subject end up in one sequence, whatever their ids."""
     rows = [(i, " ".join(f"subject{i % 6}word{j}" for j in range(12))) for i in range(48)]
