@@ -204,6 +204,19 @@ def test_quality_keeps_the_good_and_finds_junk(spark):
     assert np.mean(good) > 0.99 and np.mean(junk) < 0.4
 
 
+def test_quality_counts_every_trusted_document(spark, monkeypatch):
+    """More of them than a sample would hold, whether their ids are sent to all tasks or joined by shuffle."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "'en' AS lang", "concat(char(97 + id % 26), if(id = 7, '#', 'b')) AS text")
+    labels = docs.selectExpr("doc_id", "if(doc_id < 25000, 1, 0) AS quality")
+    fit, seen = quality_lm.fit, []
+    monkeypatch.setattr(quality_lm, "fit", lambda trusted: seen.append(trusted.persist().count()) or fit(trusted))
+    found = []
+    for sent in (quality_lm.SENT, 0):
+        monkeypatch.setattr(quality_lm, "SENT", sent)
+        found.append(sorted((r.doc_id, round(r.perplexity, 9), r.kept) for r in quality_lm.classify(docs, labels).collect()))
+    assert seen == [25_000, 25_000] and found[0] == found[1] and len(found[0]) == 30_000
+
+
 def test_quality_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (2, 1), (8, 1), (None, 1), (6, 0), (7, None)], "doc_id long, quality int")
     got = quality_lm.classify(odd_documents(spark), labels).collect()
