@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,6 +43,7 @@ SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 22     # documents and ids of an index sha
 GROUP_DOCS = 512                     # documents that are dealt out together because of one term, about
 COMMON, FIRST = 32, 16               # terms of more than 1 / COMMON of a shard are multiplied as matrices; neighbours sorted first
 WIDE, PAIRS = 1024, 1 << 21          # rows of such a matrix, pairs of documents that are counted at a time
+ENCODE_BYTES = 8 << 20               # text that is encoded at once, about; a longer text is encoded alone
 K1, B = 1.2, 0.75
 _DOCS, _WORDS = -1, -2               # rows of the statistics that are not terms
 
@@ -68,10 +70,62 @@ def _as_ranks(tokenizer):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+_LETTER, _NUMBER, _SPACE, _OTHER, _STRANGE = range(5)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The class of each character of the basic plane, as the tokenizer's pattern tells them apart."""
+    first = {"L": _LETTER, "N": _NUMBER}
+    names = [unicodedata.category(chr(c)) for c in range(1 << 16)]
+    kind = np.array([_STRANGE if n in ("Cn", "Cs") else first.get(n[0], _OTHER) for n in names], np.uint8)
+    kind[[*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = _SPACE
+    return kind
+
+
+def _classes(raw: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of UTF-8 belongs to; ``_STRANGE`` beyond the basic plane."""
+    kinds = _kinds()
+    out = np.append(kinds[:128], np.full(128, _STRANGE, np.uint8))[raw]
+    high = np.flatnonzero(raw >= 0xC0)
+    two, three = high[raw[high] < 0xE0], high[(raw[high] >= 0xE0) & (raw[high] < 0xF0)]
+    code = raw[two].astype(np.int32) << 6 & 0x7C0 | raw[two + 1] & 63
+    out[two] = out[two + 1] = kinds[code]
+    code = raw[three].astype(np.int32) << 12 & 0xF000 | raw[three + 1].astype(np.int32) << 6 & 0xFC0 | raw[three + 2] & 63
+    out[three] = out[three + 1] = out[three + 2] = kinds[code]
+    return out
+
+
+def _pieces(raw: np.ndarray, offs: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where the pieces begin into which ``public_tokenizers.PATTERN`` cuts each text."""
+    n = len(raw)
+    edge = np.zeros(n + 3, bool)                 # a text starts or ends here
+    edge[offs] = edge[n:] = True
+    begin = edge[:n].copy()
+    begin[1:] |= kind[1:] != kind[:-1]
+    # White space before something else: its last character is apart, a space belongs to what follows.
+    after = np.flatnonzero(begin[1:] & ~edge[1:n] & (kind[:-1] == _SPACE)) + 1
+    last = raw[after - 1]
+    begin[after[last == 32]] = False
+    wide = after[last >= 0x80]
+    begin[after[last < 0x80] - 1] = True
+    begin[wide - np.where(raw[wide - 2] >= 0xC0, 2, 3)] = True
+    # 's 't 'm 'd 're 've 'll where a piece starts with them.
+    at = np.flatnonzero((raw == 39) & begin & ~edge[1:n + 1])
+    next1, next2 = raw[at + 1], raw[np.minimum(at + 2, n - 1)]
+    short = np.isin(next1, np.frombuffer(b"stmd", np.uint8))
+    long = ~edge[at + 2] & (((next1 == ord("r")) | (next1 == ord("v"))) & (next2 == ord("e")) | (next1 == ord("l")) & (next2 == ord("l")))
+    begin[at[short | long] + 1] = False
+    ends = np.append(at[short] + 2, at[long] + 3)
+    begin[ends[ends < n]] = True
+    return np.flatnonzero(begin)
+
+
 class Tokens:
     """Ids of whole texts, as the tokenizer of a file gives them with ``add_special_tokens=False``, and ``close``.
 
     A special token's name in a text has that token's id, as the library gives it unless told otherwise.
+    Many texts are cut into the pattern's pieces at once, and each distinct piece is encoded once.
     """
 
     def __init__(self, file: str, close: int = CLOSE):
@@ -84,14 +138,78 @@ class Tokens:
         # The ranks know no special tokens; a text that may hold one goes to the tokenizer itself.
         self.special = re.compile("|".join(re.escape(t.content.strip()) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
         self.close = np.array([close], self.kind).tobytes()
+        vocabulary = self.tokenizer.get_vocab()
+        # A byte-level token has a character for each of its bytes.
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.size[i] = len(token)
 
     def _ids(self, text: str) -> list[int]:
         if self.ranks and not self.special.search(text):
             return self.ranks(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _one(self, text: str) -> bytes:
+        return array(self.code, self._ids(text)).tobytes() + self.close
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, self._ids(t)).tobytes() + self.close for t in texts]
+        if not self.ranks:
+            return [self._one(t) for t in texts]
+        out, plain = [b""] * len(texts), []
+        for i, t in enumerate(texts):
+            if self.special.search(t):
+                out[i] = self._one(t)
+            else:
+                plain.append(i)
+        for first, raw, offs in wordhash.text_runs(pa.array([texts[i] for i in plain], pa.large_string()), ENCODE_BYTES):
+            kind, mine = _classes(raw), plain[first:first + len(offs) - 1]
+            strange = np.unique(np.searchsorted(offs, np.flatnonzero(kind == _STRANGE), "right") - 1)
+            if len(strange):         # characters that engines may class differently: as the ranks' own pattern has it
+                for i in strange.tolist():
+                    out[mine[i]] = self._one(texts[mine[i]])
+                size = np.diff(offs)
+                keep = np.ones(len(size), bool)
+                keep[strange] = False
+                part = np.repeat(keep, size)
+                raw, kind, offs = raw[part], kind[part], np.append(0, np.cumsum(size[keep]))
+                mine = [i for i, k in zip(mine, keep.tolist()) if k]
+            for i, ids in zip(mine, self._encoded(raw, offs, kind)):
+                out[i] = ids + self.close
+        return out
+
+    def _of_pieces(self, pieces: pa.LargeStringArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The ids of distinct pieces, in another order, and the place of each piece in it."""
+        _, ends, data = pieces.buffers()
+        ends = np.frombuffer(ends, np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
+        raw, begin, size = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]], ends[:-1] - ends[0], np.diff(ends)
+        kind = _classes(raw)
+        # A space and what follows it are a piece wherever they come after such a piece: one call encodes them all.
+        after = (size > 1) & (raw[begin] == 32) & (kind[np.minimum(begin + 1, len(raw) - 1)] != _SPACE)
+        order = np.append(np.flatnonzero(after), np.flatnonzero(~after))
+        ids = np.array(self.ranks(raw[np.repeat(after, size)].tobytes().decode()), self.kind)
+        stop = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(size[after])) + 1
+        # Any other is one piece by itself.
+        alone = [array(self.code, self.ranks(p)).tobytes() for p in pieces.filter(pa.array(~after)).to_pylist()]
+        stop = np.concatenate([[0], stop * ids.itemsize, ids.nbytes + np.cumsum([len(x) for x in alone], dtype=np.int64)])
+        codes = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(order), [None, pa.py_buffer(stop.astype(np.int64)),
+                                                                                 pa.py_buffer(ids.tobytes() + b"".join(alone))])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return codes, place
+
+    def _encoded(self, raw: np.ndarray, offs: np.ndarray, kind: np.ndarray) -> Iterator[bytes]:
+        """The ids of each text without ``close``, from those of its pieces."""
+        if len(raw) == 0:
+            yield from [b""] * (len(offs) - 1)
+            return
+        begin = _pieces(raw, offs, kind)
+        pieces = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(raw))), pa.py_buffer(raw)).dictionary_encode()
+        codes, place = self._of_pieces(pieces.dictionary)
+        _, ends, data = codes.take(pa.array(place[pieces.indices.to_numpy()])).buffers()
+        ends, data = np.frombuffer(ends, np.int64), memoryview(data)
+        at = ends[np.searchsorted(begin, offs)].tolist()
+        for a, b in zip(at, at[1:]):
+            yield bytes(data[a:b])
 
 
 @lru_cache(maxsize=4)
@@ -118,7 +236,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, raw, offs in wordhash.text_runs(batch.column(0)):
             _, term, _, lengths = _term_counts(raw, offs)
-            np.add.at(seen, term, 1)
+            seen += np.bincount(term, minlength=CELLS)
             docs, words = docs + len(lengths), words + int(lengths.sum())
     term = np.flatnonzero(seen)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(term, [_DOCS, _WORDS])), pa.array(np.append(seen[term], [docs, words]))],
@@ -142,6 +260,7 @@ def _indexed(stats, tokenizer: str):
         idf = np.log1p((docs - df + 0.5) / (df + 0.5)).astype(np.float32)
         average, tokens = max(1.0, words / max(1, docs)), load(tokenizer)
         for batch in batches:
+            encoded = tokens.encode(batch.column(1).to_pylist())
             for first, raw, offs in wordhash.text_runs(batch.column(1)):
                 n = len(offs) - 1
                 row, term, count, lengths = _term_counts(raw, offs)
@@ -157,14 +276,13 @@ def _indexed(stats, tokenizer: str):
                     most = np.flatnonzero(weight == np.repeat(np.maximum.reduceat(weight, begin[:-1][has]), size[has]))
                     group[has] = term[most[np.unique(row[most], return_index=True)[1]]]
                 groups = np.where(has, df[group] // GROUP_DOCS + 1, docs // GROUP_DOCS + 1)
-                ids = tokens.encode(batch.column(1).slice(first, n).to_pylist())
                 mixed = wordhash.mix(batch.column(0).slice(first, n).fill_null(0).to_numpy().astype(np.uint64))
                 salt = (mixed % groups.astype(np.uint64)).astype(np.int64)
                 cuts = [(4 * a, 4 * b) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
                 terms, weights = term.astype(np.int32).tobytes(), weight.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, n), pa.array(group), pa.array(salt),
-                    pa.array(ids, pa.binary()),
+                    pa.array(encoded[first:first + n], pa.binary()),
                     pa.array([terms[a:b] for a, b in cuts], pa.binary()),
                     pa.array([weights[a:b] for a, b in cuts], pa.binary())],
                     ["doc_id", "term_group", "salt", "ids", "terms", "weights"])

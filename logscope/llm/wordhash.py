@@ -15,6 +15,7 @@ _LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOWERED = _BYTE[_LOWER]
 _BASE = 0xD1342543DE82EF95                      # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -71,9 +72,9 @@ def words(raw: np.ndarray, offs: np.ndarray, between: np.ndarray = SPACE) -> tup
     starts = np.flatnonzero(~space & (before | edge[:-1]))
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[raw]] * _power(_BASE, n), out=total[1:])
+    np.cumsum(_LOWERED[raw] * _power(_BASE, n), out=total[1:])
     hashes = (total[ends] - total[starts]) * _power(_INVERSE, n)[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64) * _GOLD), np.searchsorted(offs, starts, "right") - 1
+    return mix(hashes + (ends - starts).astype(np.uint64) * _GOLD), np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(starts, offs)))
 
 
 def shingle_sets(raw: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

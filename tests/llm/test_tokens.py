@@ -123,6 +123,28 @@ def test_ranks_class_characters_like_the_tokenizer():
     assert all(np.frombuffer(got, "<u2").tolist() == e.ids + [0] for got, e in zip(packing.load().encode(texts), want))
 
 
+def test_many_texts_at_once_like_the_library():
+    rng = np.random.default_rng(4)
+    parts = [*"ab1.'\n\t é", "'s", "'re", "'ve", "'ll", "'m", "'d", "'r", "  ", " \n", "\r\n", "\u00a0", "\u3000", "\x85", "\x1c", "e\u0301",
+             "٣", "日本", "\U0001F44D", "\u0378", "the", " and", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts, int(n))) for n in rng.integers(0, 25, 4000)] + ["x" * 20_000, " " * 5000 + "y", ""]
+    want = TOKENS.encode_batch(texts, add_special_tokens=False)
+    for t, got, e in zip(texts, packing.load().encode(texts), want):
+        assert np.frombuffer(got, "<u2").tolist() == e.ids + [0], t
+    assert packing.load().encode([]) == [] and packing.load().encode(["", ""]) == [b"\0\0"] * 2
+
+
+def test_a_piece_that_comes_often_is_encoded_once(monkeypatch):
+    tokens, seen = packing.load(), []
+    ranks = tokens.ranks
+    monkeypatch.setattr(tokens, "ranks", lambda text: seen.append(len(text)) or ranks(text))
+    words = [f"wörd{i} other's" for i in range(50)]
+    texts = [" ".join(words[i % 50:] + words[:i % 50]) for i in range(300)]
+    got = tokens.encode(texts)
+    assert sum(seen) < sum(map(len, texts)) / 50
+    assert got == [np.array(e.ids + [0], "<u2").tobytes() for e in TOKENS.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_index_holds_every_shared_term_and_ranks_by_all_of_them():
     """Against brute force over all terms of all documents, most of which have more than a few dozen."""
     rng = np.random.default_rng(5)
